@@ -168,3 +168,43 @@ def mix(docs: DataFrame, seed: int = 0, block: int = BLOCK, shard_blocks: int =
     last = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     parts = cut.select("source_no", "block", "doc_id", "start", (first - F.col("start")).alias("from"), (last - first).alias("length"))
     return rows, sources, slots(by_source, spark, seed, shard_blocks).join(parts, ["source_no", "block"])
+
+
+def taken_text(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The words of spans (turn, from, length) by turn and place; runs of a turn keep the white space within them."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    inside = np.concatenate(([False], ~((data == 32) | ((data >= 9) & (data <= 13))), [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    runs: list[list[int]] = []
+    for turn, first, length in sorted(spans):
+        if runs and runs[-1][0] == turn and runs[-1][2] == first:
+            runs[-1][2] += length
+        else:
+            runs.append([turn, first, first + length])
+    return "\n".join(bytes(data[starts[a] : ends[min(b, len(ends)) - 1]]).decode() for _, a, b in runs if a < len(starts))
+
+
+def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
+    """Documents as a mix takes them: each with the words it takes, repeats after one another, n_chars anew.
+
+    The columns are those of docs, which needs doc_id, text, source and n_chars. Documents of which it takes no word are
+    left out, as are rows without doc_id. Rows of one doc_id take part each, and each gets the spans of all.
+    """
+    docs = docs.where("doc_id is not null")
+    names = docs.columns
+    rows, _, pieces = mix(docs, seed, block)
+    spans = pieces.groupBy("doc_id").agg(F.collect_list(F.struct("turn", "from", "length")).alias("mix_spans"))  # of one document
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            lists = [[tuple(s.values()) for s in x] for x in batch.column("mix_spans").to_pylist()]
+            new = [taken_text(t or "", x) for t, x in zip(texts, lists, strict=True)]
+            made = {"text": pa.array(new, pa.string()), "n_chars": pa.array([len(t) for t in new], pa.int64())}
+            yield pa.RecordBatch.from_arrays([made.get(c, batch.column(c)) for c in names], names)
+
+    kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else 'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in docs.schema)
+    return docs.join(spans, "doc_id").select(*names, "mix_spans").mapInArrow(cut, kinds)

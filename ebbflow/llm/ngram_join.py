@@ -327,3 +327,14 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     named = classes.join(found, "node", "left").select(*prints, "copies", F.coalesce("component", "node").alias("component_id"))
     out = common.look_up(sets.select("doc_id", *prints), named, prints, "copies", F.coalesce("doc_id", "print_a"))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100) -> DataFrame:
+    """docs with one document of each component: that of the smallest doc_id, and one row of it.
+
+    Documents without shingles all stay. Rows without doc_id stay.
+    """
+    found = components(docs, words, p, q)
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)

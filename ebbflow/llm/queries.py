@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, mixing, ngram_join, packing, token_files, url_filter
+from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, token_files, toxicity, url_filter, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,6 +16,33 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(common.table(spark, sf_dir, "documents"), words=3, p=90, q=100)
 
 
+#: Statements of licences, by SPDX name.
+LICENSES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms are permitted under the BSD 3-Clause License."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
+    ("LGPL-3.0-only", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("MIT", "Released under the MIT License."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+]
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as files below source and language. A statement in the first line is a header, for its file alone; one
+    further down makes the document a licence file of its directory."""
+    docs = common.table(spark, sf_dir, "documents")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    folder = F.when(F.pmod("doc_id", F.lit(10)) == 0, F.lit("")).otherwise(F.concat(F.pmod(F.floor(F.col("doc_id") / 10), F.lit(500)).cast("string"), F.lit("/")))
+    path = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.coalesce("lang", F.lit("none")), F.lit("/"), F.coalesce(folder, F.lit("")), name)
+    templates = spark.createDataFrame(LICENSES, "license_id string, text string")
+    own = license_scan.matched(docs.select("doc_id", path.alias("path"), "text"), templates)
+    own = common.stored(own.withColumn("is_license_file", F.coalesce(F.col("line") > 0, F.lit(False))), "own-licences")
+    return license_scan.inherited(own).select("doc_id", "path", "license_id", "cosine", "inherited", "from_dir")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return token_files.read(token_files.write(docs, TOKENIZER, common.new_path(spark, "token-files"), end_id=2))
@@ -29,6 +57,30 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vectors.cleaned(common.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", zero=False)
+    found = multi_index.search(rows, rows.where("id % 100 = 0"), 10)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = common.table(spark, sf_dir, "embeddings")
+    rows = vectors.cleaned(embeddings, "vec_id", "embedding", zero=True, map_=lambda x: np.floor(64 * x))
+    found = cover_tree.search(rows, rows.where("id % 20 = 0"), 20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(common.table(spark, sf_dir, "pages"), common.new_path(spark, "warc"))
+    return warc.read(warc.normalised(archives))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, common.table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(common.table(spark, sf_dir, "documents"), TOKENIZER, end_id=1)
 
@@ -42,9 +94,32 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op3_token_files, op4_source_mix, op9_best_fit_packing, op10_url_filter)}
+_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL = {
+    "op6_top_products": """
+        WITH clean AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scores QUALIFY rank <= 20
+    """,
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), g AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS response FROM p
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+            CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> response THEN response END AS refers_to
+        FROM g
+    """,
     "op10_url_filter": f"""
         WITH rests AS (
             SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
