@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,19 +92,26 @@ def signature(panel: DataFrame, channels: list[str], window: int = 12) -> DataFr
     0 to 1 over the window. A single point has zeros.
     """
     w = _past().rowsBetween(1 - window, Window.currentRow)
-    rows = panel.withColumn("pts", F.collect_list(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in channels])).over(w))
-    n, k = F.size("pts"), len(channels)
-    value = lambda c, t: F.element_at(F.element_at("pts", t), c + 1)
-    clock = lambda t: F.when(n > 1, (t - 1) / (n - 1)).otherwise(0.0)
-    earlier = lambda t: F.greatest(t - 1, F.lit(1))
-    dims = [clock] + [lambda t, c=c: value(c, t) for c in range(k)] + [lambda t, c=c: value(c, earlier(t)) for c in range(k)]
-    rows = rows.withColumn("path", F.transform(F.sequence(F.lit(1), n), lambda t: F.array(*[d(t) for d in dims])))
-    size = len(dims)
-    at = lambda t, i: F.element_at(F.element_at("path", t), i + 1)
-    level1 = [at(n, i) - at(F.lit(1), i) for i in range(size)]
-
-    def area(i: int, j: int):
-        terms = F.transform(F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>")), lambda t: (at(t - 1, i) - at(F.lit(1), i)) * (at(t, j) - at(t - 1, j)) + (at(t, i) - at(t - 1, i)) * (at(t, j) - at(t - 1, j)) / 2)
-        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
-
-    return rows.select(*panel.columns, F.array(*level1, *[area(i, j) for i in range(size) for j in range(size)]).alias("sig"))
+    points = F.collect_list(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in channels])).over(w)
+    k, names = len(channels), panel.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            n = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten().flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            # paths of equal length by standing on the last point: a step before the first is none
+            at = np.arange(window)[None] - (window - n)[:, None]
+            first = np.cumsum(n) - n
+            x = flat[first[:, None] + np.maximum(at, 0)]
+            before = flat[first[:, None] + np.maximum(at - 1, 0)]
+            clock = np.maximum(at, 0) / np.maximum(n - 1, 1)[:, None]
+            path = np.concatenate([clock[:, :, None], x, before], axis=2)
+            step, back = np.diff(path, axis=1), path[:, :-1] - path[:, :1]
+            area = np.einsum("nti,ntj->nij", back, step) + np.einsum("nti,ntj->nij", step, step) / 2
+            sig = np.concatenate([path[:, -1] - path[:, 0], area.reshape(len(n), -1)], axis=1)
+            ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * sig.shape[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(sig.ravel()))], [*names, "sig"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in panel.schema)
+    return panel.select(*names, points.alias("pts")).mapInArrow(run, f"{kinds}, sig array<double>")

@@ -39,7 +39,7 @@ def combinatorial(months: DataFrame, n_blocks: int = 8, horizon: int = 1, embarg
     pairs = a.join(b, F.col("block1") < F.col("block2"))
     both = rows.crossJoin(F.broadcast(pairs))  # months by pairs of blocks
     clear = lambda k: ((F.col("month_int") + horizon < F.col(f"lo{k}")) | (F.col("month_int") > F.col(f"hi{k}") + embargo))
-    role = F.when(F.col("block").isin("block1") | (F.col("block") == F.col("block1")) | (F.col("block") == F.col("block2")), "test").when(clear(1) & clear(2), "train")
+    role = F.when((F.col("block") == F.col("block1")) | (F.col("block") == F.col("block2")), "test").when(clear(1) & clear(2), "train")
     return both.select(F.col("block1").alias("b1"), F.col("block2").alias("b2"), "month_int", role.alias("role")).where("role is not null")
 
 

@@ -1,4 +1,742 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the adapter views, with the SQL that gives the same rows where SQL can."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import features, macro, panel, rates, runoff, series, uncertainty, validate
+from ..sources import dumps, payloads
+from . import views as V
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+# --- panel -----------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {V.ACCOUNTS} SELECT account_id, month_int, round(balance_kda, 6) AS balance_kda, segment, open_month FROM monthly")
+def ag1_monthly_balances(spark, d):
+    return rounded(panel.monthly(V.records(spark, d)))
+
+
+@query(f"WITH {V.ACCOUNTS} SELECT min(month_int) AS panel_start, max(month_int) AS panel_end, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts FROM monthly")
+def ag2_panel_bounds(spark, d):
+    return V.records(spark, d).agg(F.min("month_int").alias("panel_start"), F.max("month_int").alias("panel_end"), F.countDistinct("account_id").alias("n_accounts"))
+
+
+@query(
+    f"""WITH {V.ACCOUNTS} SELECT account_id, first_seen, last_seen, open_mi, event_mi, segment,
+        CASE WHEN event_mi IS NULL THEN 'censored' WHEN event_mi = floor_mi THEN 'floor' ELSE 'closure' END AS event_kind,
+        CAST(known_open > first_seen AS INT) AS bad_open, CAST(open_mi < panel_start AS INT) AS left_truncated FROM acct"""
+)
+def ag3_account_summary(spark, d):
+    rows = panel.accounts(panel.monthly(V.records(spark, d)), V.FLOOR).where("month_int = first_seen")
+    return rows.select("account_id", "first_seen", "last_seen", "open_mi", "event_mi", "segment", "event_kind", "bad_open", "left_truncated")
+
+
+@query(
+    f"""WITH {V.ACCOUNTS} SELECT segment, count(*) AS n_accounts, CAST(sum(coalesce(event_mi, last_seen) - first_seen + 1) AS BIGINT) AS n_person_months,
+        CAST(count(*) FILTER (WHERE event_mi = floor_mi) AS BIGINT) AS events_floor, CAST(count(*) FILTER (WHERE event_mi IS NOT NULL AND event_mi IS DISTINCT FROM floor_mi) AS BIGINT) AS events_closure,
+        count(*) FILTER (WHERE event_mi IS NULL) AS censored, CAST(sum(CAST(open_mi < panel_start AS INT)) AS BIGINT) AS left_truncated,
+        CAST(sum(CAST(known_open > first_seen AS INT)) AS BIGINT) AS bad_open FROM acct GROUP BY ROLLUP (segment)"""
+)
+def ag4_panel_summary(spark, d):
+    return panel.summary(V.records(spark, d), V.FLOOR)
+
+
+@query(f"WITH {V.PANEL} SELECT account_id, month_int, year, month, event, seasoning, round(log_balance, 6) AS log_balance, round(balance_kda, 6) AS balance_kda, segment FROM panel")
+def wn1_panel(spark, d):
+    return rounded(V.account_panel(spark, d).drop("cal_month"))
+
+
+@query(f"WITH {V.PANEL} SELECT p.account_id, p.month_int, p.event FROM panel p JOIN monthly m ON p.account_id = m.account_id AND p.month_int = m.month_int")
+def wn1_panel_without_gaps(spark, d):
+    return panel.build(V.records(spark, d), V.FLOOR, carry_gaps=False).select("account_id", "month_int", "event")
+
+
+@query(f"WITH {V.PANEL}, {V.PIT} SELECT p.account_id, p.month_int, round(t.money_market, 6) AS money_market, round(t.cpi_yoy, 6) AS cpi_yoy FROM panel p LEFT JOIN pit t ON p.month_int = t.month_int")
+def jn1_panel_macro(spark, d):
+    rows = panel.build(V.records(spark, d), V.FLOOR, pit=V.point_in_time(spark, d))
+    return rounded(rows.select("account_id", "month_int", "money_market", "cpi_yoy"))
+
+
+@query(f"WITH {V.CURVES} SELECT segment, h, round(B, 6) AS realized FROM curves")
+def ro6_cohort_realized(spark, d):
+    return rounded(panel.realized(V.account_panel(spark, d), V.CUTOFF, V.HORIZON))
+
+
+@query(f"WITH {V.PANEL} SELECT account_id, segment, round(balance_kda, 6) AS balance_kda FROM panel WHERE event = 0 AND month_int = (SELECT max(month_int) FROM panel)")
+def flt4_alive(spark, d):
+    return rounded(panel.alive(V.account_panel(spark, d)).select("account_id", "segment", "balance_kda"))
+
+
+@query(
+    f"""WITH {V.PANEL} SELECT segment, count(*) AS n_rows, count(DISTINCT month_int) AS n_months,
+        CASE WHEN count(DISTINCT month_int) < 60 THEN 'too few months' WHEN segment = 'MACHINERY' THEN 'not behavioral' WHEN count(*) < 200 THEN 'too few rows' END AS skipped
+    FROM panel GROUP BY segment"""
+)
+def flt3_behavioral(spark, d):
+    known = spark.createDataFrame([(s, s != "MACHINERY") for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")], "segment string, behavioral boolean")
+    return panel.behavioral(V.account_panel(spark, d), known, 200, 60)
+
+
+@query(f"WITH {V.PANEL} SELECT month_int, round(sum(balance_kda), 6) AS total FROM panel GROUP BY month_int")
+def ag9_book_totals(spark, d):
+    return rounded(V.account_panel(spark, d).groupBy("month_int").agg(F.sum("balance_kda").alias("total")))
+
+
+@query(f"WITH {V.MODEL} SELECT segment, month_int, round(ln(greatest(sum(balance_kda), 1e-9)), 6) AS logbal, round(avg(money_market), 6) AS rate, round(avg(cpi_yoy), 6) AS infl FROM model_rows GROUP BY 1, 2")
+def ag10_book_months(spark, d):
+    from ..operators import models
+
+    return rounded(models.book_months(V.model_rows(spark, d)))
+
+
+# --- macro -----------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {V.MACRO} SELECT month_int, cpi_yoy AS value FROM yoy")
+def prj2_year_on_year(spark, d):
+    return macro.year_on_year(V.macro_long(spark, d).where("series = 'cpi'"), "cpi", "cpi_yoy").select("month_int", "value")
+
+
+@query(f"WITH {V.PIT} SELECT month_int, round(money_market, 6) AS money_market, round(cpi, 4) AS cpi, cpi_yoy, round(oil_brent, 4) AS oil_brent, round(usd_dzd, 6) AS usd_dzd FROM pit")
+def jn2_point_in_time(spark, d):
+    t = V.point_in_time(spark, d)
+    return t.select("month_int", F.round("money_market", 6).alias("money_market"), F.round("cpi", 4).alias("cpi"), "cpi_yoy", F.round("oil_brent", 4).alias("oil_brent"), F.round("usd_dzd", 6).alias("usd_dzd"))
+
+
+@query(
+    """WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey FROM orders), p AS (SELECT l_orderkey AS k, o_custkey, l_shipdate AS available, min(l_discount) AS value
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3)
+    SELECT o_custkey AS custkey, o_orderkey AS orderkey, round((SELECT min(value) FROM (SELECT value, available, rank() OVER (ORDER BY available DESC) AS r FROM p WHERE p.o_custkey = o.o_custkey AND p.available <= o.o_orderdate) WHERE r = 1), 6) AS value FROM o"""
+)
+def jn3_as_of(spark, d):
+    orders = V.table(spark, d, "orders")
+    items = V.table(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    values = items.groupBy(F.col("o_custkey").alias("custkey"), F.col("l_shipdate").alias("available")).agg(F.min("l_discount").alias("value"))
+    points = orders.select(F.col("o_custkey").alias("custkey"), F.col("o_orderdate").alias("at")).distinct()
+    found = macro.as_of(points, values, ["custkey"])
+    keyed = orders.select(F.col("o_custkey").alias("custkey"), F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("orderkey"))
+    return rounded(keyed.join(found, ["custkey", "at"]).select("custkey", "orderkey", "value"))
+
+
+@query(
+    """WITH e AS (SELECT r_regionkey AS row_no, 23940 + r_regionkey * 5 AS s, 23940 + r_regionkey * 5 + 7 AS e, r_name AS state FROM region), m AS (SELECT row_no, state, unnest(generate_series(s, e)) AS month_int FROM e)
+    SELECT CAST(month_int AS INT) AS month_int, arg_max(state, row_no) AS regime_state, CAST(max(row_no) AS INT) AS severity FROM m GROUP BY month_int"""
+)
+def jn5_event_months(spark, d):
+    k = F.col("r_regionkey")
+    events = V.table(spark, d, "region").select(k.alias("row_no"), (23940 + k * 5).alias("start"), (23940 + k * 5 + 7).alias("end"), F.col("r_name").alias("state"), k.alias("severity"))
+    return macro.event_months(events).select("month_int", "regime_state", "severity")
+
+
+@query()
+def ag12_seasonal_calendar(spark, d):
+    """Months of the orders with their share of Ramadan."""
+    months = V.table(spark, d, "orders").select(C.month_of(F.col("o_orderdate")).alias("month_int")).distinct()
+    return months.join(F.broadcast(macro.seasonal(spark, 1992, 2002)), "month_int", "left")
+
+
+@query(
+    f"""WITH {V.SERIES}, h AS (SELECT a.series_id, a.t, a.x, list_sort(list(b.x)) AS past FROM s a JOIN s b ON a.series_id = b.series_id AND b.t <= a.t GROUP BY 1, 2, 3)
+    SELECT series_id, t AS month_int, CASE WHEN len(past) < 24 THEN NULL WHEN x < past[len(past) // 3 + 1] THEN 'low' WHEN x >= past[2 * len(past) // 3 + 1] THEN 'high' ELSE 'mid' END AS tertile FROM h"""
+)
+def wn15_causal_tertile(spark, d):
+    s = V.series(spark, d).select("series_id", F.col("t").alias("month_int"), F.col("x").alias("value"))
+    return macro.causal_tertile(s).drop("value")
+
+
+@query(
+    f"""WITH {V.SERIES}, l AS (SELECT *, lag(x) OVER (PARTITION BY series_id ORDER BY t) AS b FROM s), c AS (SELECT *, CASE WHEN b IS NULL OR b <> x THEN 1 ELSE 0 END AS ch FROM l),
+    r AS (SELECT *, sum(ch) OVER (PARTITION BY series_id ORDER BY t) AS run FROM c), f AS (SELECT series_id, max(n) AS longest_flat FROM (SELECT series_id, run, count(*) AS n FROM r GROUP BY 1, 2) GROUP BY 1)
+    SELECT r.series_id, count(*) AS n, count(DISTINCT round(x, 6)) AS n_distinct, round(min(x), 6) AS low, round(max(x), 6) AS high, round(stddev_pop(x), 6) AS std, CAST(sum(ch) - 1 AS BIGINT) AS n_changes, max(longest_flat) AS longest_flat
+    FROM r JOIN f ON r.series_id = f.series_id GROUP BY 1"""
+)
+def ag13_identifiability(spark, d):
+    return rounded(macro.identifiability(V.series(spark, d).select("series_id", F.col("t").alias("month_int"), F.col("x").alias("value"))))
+
+
+@query(f"WITH {V.SERIES} SELECT series_id, count(DISTINCT round(x, 6)) <= 5 AS stepwise, count(DISTINCT round(x, 6)) >= 30 AND stddev_pop(x) > 0.2 AS identifiable, stddev_pop(x) < 0.15 AS flat FROM s GROUP BY 1")
+def ag14_gate(spark, d):
+    return macro.gate(macro.identifiability(V.series(spark, d).select("series_id", F.col("t").alias("month_int"), F.col("x").alias("value"))))
+
+
+@query(f"WITH {V.SERIES}, p AS (SELECT *, max(x) OVER (PARTITION BY series_id ORDER BY t) AS peak FROM s) SELECT series_id, t AS month_int, round(CASE WHEN peak > 0 THEN (peak - x) / peak ELSE 0 END, 6) AS drawdown FROM p")
+def wn12_drawdown(spark, d):
+    return rounded(macro.drawdown(V.series(spark, d).select("series_id", F.col("t").alias("month_int"), F.col("x").alias("value"))))
+
+
+@query(f"WITH {V.SERIES}, p AS (SELECT *, coalesce(lag(x, 3) OVER (PARTITION BY series_id ORDER BY t), first_value(x) OVER (PARTITION BY series_id ORDER BY t)) AS o FROM s) SELECT series_id, t AS month_int, round(CASE WHEN o <> 0 THEN (x - o) / o ELSE 0 END, 6) AS depreciation FROM p")
+def wn13_depreciation(spark, d):
+    return rounded(macro.depreciation(V.series(spark, d).select("series_id", F.col("t").alias("month_int"), F.col("x").alias("value"))))
+
+
+@query(
+    """WITH q AS (SELECT year(ts) * 12 + month(ts) - 1 AS month_int, value + 1 AS p, value + 2 AS o, CASE WHEN event_id % 3 = 0 THEN value END AS u FROM events)
+    SELECT CAST(month_int AS INT) AS month_int, round(avg(p), 2) AS parallel, round(avg(o), 2) AS official, round(avg(u), 2) AS usd, round((avg(p) / avg(o) - 1) * 100, 2) AS premium_pct FROM q GROUP BY 1"""
+)
+def ag11_monthly_premium(spark, d):
+    q = V.table(spark, d, "events").select(F.col("ts").alias("day"), (F.col("value") + 1).alias("parallel"), (F.col("value") + 2).alias("official"), F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("usd"))
+    return macro.monthly_premium(q)
+
+
+@query(f"WITH {V.PIT} SELECT unnest(['money_market', 'cpi', 'cpi_yoy', 'oil_brent', 'usd_dzd']) AS series, unnest([count(money_market), count(cpi), count(cpi_yoy), count(oil_brent), count(usd_dzd)]) AS months FROM pit WHERE month_int BETWEEN 23952 AND 23999")
+def va13_coverage(spark, d):
+    return macro.coverage(V.point_in_time(spark, d), V.NAMES, 23952, 23999)
+
+
+# --- path features ---------------------------------------------------------------------------------------------
+
+_PATH = f"""WITH {V.PANEL}, w AS (
+    SELECT *, row_number() OVER o AS i, lag(log_balance) OVER o AS prev, max(log_balance) OVER o AS peak, avg(log_balance) OVER o AS mean, coalesce(lag(log_balance, 3) OVER o, first_value(log_balance) OVER o) AS b3,
+        coalesce(lag(log_balance, 6) OVER o, first_value(log_balance) OVER o) AS b6, max(log_balance) OVER (PARTITION BY account_id ORDER BY month_int ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+    FROM panel WINDOW o AS (PARTITION BY account_id ORDER BY month_int)
+), v AS (SELECT *, log_balance - prev AS step, coalesce(log_balance < prev, false) AS falls FROM w), u AS (
+    SELECT *, max(CASE WHEN before IS NULL OR log_balance > before THEN i END) OVER o AS peak_i, max(CASE WHEN NOT falls THEN i END) OVER o AS stop_i,
+        count(step) OVER (PARTITION BY account_id ORDER BY month_int ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS steps, stddev_pop(step) OVER (PARTITION BY account_id ORDER BY month_int ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS spread
+    FROM v WINDOW o AS (PARTITION BY account_id ORDER BY month_int)
+)"""
+
+
+@query(
+    _PATH + """ SELECT account_id, month_int, round(CASE WHEN peak > 1e-9 THEN (peak - log_balance) / peak ELSE 0 END, 6) AS bal_drawdown, CAST(i - stop_i AS DOUBLE) AS decline_streak,
+        round(log_balance - b3, 6) AS bal_mom3, round((log_balance - b3) - (b3 - b6), 6) AS bal_accel, round(log_balance - mean, 6) AS bal_vs_mean,
+        round(CASE WHEN steps >= 2 THEN spread ELSE 0 END, 6) AS bal_vol6, CAST(i - peak_i AS DOUBLE) AS months_since_peak FROM u"""
+)
+def wn5_path_features(spark, d):
+    rows = rounded(V.with_path(spark, d))
+    return rows.select("account_id", "month_int", *[F.col(c) + 0.0 for c in ()], "bal_drawdown", "decline_streak", "bal_mom3", "bal_accel", "bal_vs_mean", "bal_vol6", "months_since_peak")
+
+
+@query(f"WITH {V.PANEL} SELECT account_id, month_int, round(CASE WHEN count(*) OVER m > 1 THEN (row_number() OVER (PARTITION BY month_int ORDER BY log_balance, account_id) - 1) / (count(*) OVER m - 1) ELSE 0.5 END, 6) AS xs_rank_bal FROM panel WINDOW m AS (PARTITION BY month_int)")
+def wn11_cross_rank(spark, d):
+    return rounded(features.cross_rank(V.account_panel(spark, d)).select("account_id", "month_int", "xs_rank_bal"))
+
+
+@query(f"WITH {V.PANEL}, l AS (SELECT *, lag(month_int) OVER o AS m0, lag(log_balance) OVER o AS b0, lag(balance_kda) OVER o AS w0 FROM panel WINDOW o AS (PARTITION BY account_id ORDER BY month_int)) SELECT account_id, month_int, round(log_balance - b0, 6) AS d_logbal, round(CASE WHEN w0 IS NULL OR w0 = 0 THEN 1 ELSE w0 END, 6) AS weight FROM l WHERE month_int - m0 = 1")
+def wn4_increments(spark, d):
+    return rounded(features.increments(V.account_panel(spark, d)).select("account_id", "month_int", "d_logbal", "weight"))
+
+
+@query(
+    f"""WITH {V.MODEL}, o AS (SELECT month_int, max(oil_brent) AS oil FROM model_rows GROUP BY 1), dd AS (SELECT month_int, CASE WHEN max(oil) OVER w > 0 THEN (max(oil) OVER w - oil) / max(oil) OVER w ELSE 0 END AS oil_drawdown FROM o WINDOW w AS (ORDER BY month_int))
+    SELECT account_id, r.month_int, round(money_market - cpi_yoy, 6) AS real_rate, round(oil_drawdown * CASE WHEN seasoning < 18 THEN 1 ELSE 0 END, 6) AS oil_young FROM model_rows r JOIN dd ON r.month_int = dd.month_int"""
+)
+def wn14_interactions(spark, d):
+    rows = V.model_rows(spark, d)
+    oil = macro.drawdown(rows.groupBy("month_int").agg(F.max("oil_brent").alias("value")).withColumn("series_id", F.lit("oil")))
+    rows = rows.join(F.broadcast(oil.select("month_int", F.col("drawdown").alias("oil_drawdown"))), "month_int")  # a row a month
+    return rounded(features.young_under_stress(features.real_rate(rows)).select("account_id", "month_int", "real_rate", "oil_young"))
+
+
+_SPLIT = f"""WITH {V.PANEL}, c AS (SELECT *, min(balance_kda) OVER (PARTITION BY account_id ORDER BY month_int ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS lo, row_number() OVER (PARTITION BY account_id ORDER BY month_int DESC) AS back FROM panel),
+split AS (SELECT account_id, segment, month_int, least(greatest(lo, 0), greatest(balance_kda, 0)) AS core, balance_kda - least(greatest(lo, 0), greatest(balance_kda, 0)) AS volatile FROM c WHERE back = 1)"""
+
+
+@query(_SPLIT + " SELECT account_id, month_int, round(core, 6) AS core, round(volatile, 6) AS volatile FROM split")
+def wn16_core_volatile(spark, d):
+    return rounded(features.core_volatile(V.account_panel(spark, d)).select("account_id", "month_int", "core", "volatile"))
+
+
+@query()
+def wn18_signature(spark, d):
+    rows = V.model_rows(spark, d).select("account_id", "month_int", "log_balance", "money_market")
+    return features.signature(rows, ["log_balance", "money_market"]).select("account_id", "month_int", F.transform("sig", lambda x: F.round(x, 6)).alias("sig"))
+
+
+# --- curves ----------------------------------------------------------------------------------------------------
+
+_HAZARDS = f"{V.CURVES}, hz AS (SELECT segment, h, CASE WHEN lag(B) OVER (PARTITION BY segment ORDER BY h) > 0 THEN 1 - B / lag(B) OVER (PARTITION BY segment ORDER BY h) ELSE 0 END AS hazard FROM curves)"
+
+
+def _hazards(spark, d):
+    before = F.lag("B").over(Window.partitionBy("segment").orderBy("h"))
+    rows = V.curves(spark, d).withColumn("hazard", F.when(before > 0, 1 - F.col("B") / before).otherwise(0.0))
+    return rows.where("h >= 1").select("segment", "h", "hazard")
+
+
+@query(f"WITH {_HAZARDS} SELECT segment, h, round(exp(sum(ln(greatest(1 - hazard, 1e-300))) OVER (PARTITION BY segment ORDER BY h)), 6) AS S FROM hz WHERE h >= 1")
+def ro1_survival(spark, d):
+    return rounded(runoff.survival(_hazards(spark, d), ["segment"]).select("segment", "h", "S"))
+
+
+@query(f"WITH {_HAZARDS} SELECT segment, h, round(exp(sum(-hazard / 2) OVER (PARTITION BY segment ORDER BY h)), 6) AS r FROM hz WHERE h >= 1")
+def ro5_retention(spark, d):
+    steps = _hazards(spark, d).select("segment", "h", (-F.col("hazard") / 2).alias("increment"))
+    return rounded(runoff.retention(steps, ["segment"]).select("segment", "h", "r"))
+
+
+_ROLL = f"""WITH {V.MODEL}, last AS (SELECT segment AS sg, max(month_int) AS m FROM model_rows GROUP BY 1), alive AS (SELECT r.*, CASE WHEN w = 0 THEN 1 ELSE w END AS wt FROM model_rows r JOIN last ON segment = sg AND month_int = m WHERE event = 0),
+steps AS (SELECT *, unnest(generate_series(1, 24)) AS h FROM alive), hz AS (SELECT *, 1 / (1 + exp(-(-1.5 - 0.01 * (seasoning + h) - 0.3 * log_balance + 0.1 * money_market))) AS p, -0.002 - 0.001 * money_market + 0.0001 * (seasoning + h) AS e FROM steps),
+paths AS (SELECT account_id, segment, wt, h, exp(sum(ln(1 - p)) OVER o) AS a, exp(sum(ln(1 - p)) OVER o) * exp(sum(e) OVER o) AS b FROM hz WINDOW o AS (PARTITION BY account_id ORDER BY h))
+SELECT segment, CAST(h AS INT) AS h, round(sum(wt * a) / sum(wt), 6) AS A, round(sum(wt * b) / sum(wt), 6) AS B FROM paths GROUP BY 1, 2 UNION ALL SELECT DISTINCT segment, 0, 1.0, 1.0 FROM alive"""
+
+
+@query(_ROLL)
+def ro2_book_roll(spark, d):
+    alive = panel.alive(V.model_rows(spark, d), ["segment"])
+    return rounded(runoff.roll(alive, V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 24, ["segment"]))
+
+
+@query()
+def ro11_rate_bump(spark, d):
+    """Base and +2 points of money market, side by side."""
+    alive = panel.alive(V.model_rows(spark, d), ["segment"])
+    both = [runoff.roll(alive, V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 24, ["segment"], rate_bump=b).withColumn("scenario", F.lit(n)) for n, b in (("base", 0.0), ("up_200bp", 2.0))]
+    return rounded(runoff.attribution(both[0].unionByName(both[1])))
+
+
+@query(f"WITH {V.CURVES} SELECT segment, round(sum(CASE WHEN h >= 1 THEN B ELSE 0 END), 6) AS wal, min(CASE WHEN B < 0.5 THEN h END) AS runoff_month FROM curves GROUP BY segment")
+def ag17_curve_summary(spark, d):
+    return rounded(runoff.curve_summary(V.curves(spark, d), ["segment"], 0.5))
+
+
+@query(f"WITH {V.CURVES} SELECT h, segment, round(sum(b0 * B) / sum(b0), 6) AS B FROM curves GROUP BY GROUPING SETS ((h, segment), (h))")
+def ag16_book_curve(spark, d):
+    c = V.curves(spark, d)
+    weights = c.groupBy("segment").agg(F.max("b0").alias("W"))
+    return rounded(runoff.book_curve(c.withColumn("A", F.col("B")), weights, "segment").select("h", "segment", "B"))
+
+
+@query(_SPLIT + """, t AS (SELECT segment, sum(core) AS c, sum(volatile) AS v FROM split GROUP BY 1) SELECT segment, CAST(h AS INT) AS h, round(CASE WHEN c + v > 0 THEN (c * greatest(1 - h / 60, 0) + v * greatest(1 - h / 3, 0)) / (c + v) ELSE CAST(h = 0 AS INT) END, 6) AS B,
+    round(CASE WHEN c + v > 0 THEN c / (c + v) ELSE 0 END, 6) AS core_share FROM t CROSS JOIN (SELECT unnest(generate_series(0, 72)) AS h)""")
+def ro7_convention(spark, d):
+    return rounded(runoff.convention(features.core_volatile(V.account_panel(spark, d)), 72))
+
+
+@query(f"WITH {V.MODEL}, b AS (SELECT segment, arg_max(lb, month_int) AS lb0, avg(lb) AS eq FROM (SELECT segment, month_int, ln(greatest(sum(balance_kda), 1e-9)) AS lb FROM model_rows GROUP BY 1, 2) GROUP BY 1) SELECT segment, CAST(h AS INT) AS h, round(exp((lb0 - eq) * (pow(0.9, h) - 1)), 6) AS B FROM b CROSS JOIN (SELECT unnest(generate_series(0, 24)) AS h)")
+def ro8_reverting(spark, d):
+    from ..operators import models
+
+    states = models.book_months(V.model_rows(spark, d)).groupBy("segment").agg(F.max_by("logbal", "month_int").alias("lb0"), F.avg("logbal").alias("eq")).withColumn("phi", F.lit(-0.1))
+    return rounded(runoff.reverting(states, 24).select("segment", "h", "B"))
+
+
+@query(f"WITH {V.PANEL}, r AS (SELECT segment, avg(event) AS rate FROM panel GROUP BY 1) SELECT segment, CAST(h AS INT) AS h, round(pow(1 - rate, h), 6) AS B FROM r CROSS JOIN (SELECT unnest(generate_series(0, 24)) AS h)")
+def ro14_constant_hazard(spark, d):
+    return rounded(runoff.constant_hazard(V.account_panel(spark, d), 24))
+
+
+def _compared(spark, d):
+    rows = V.account_panel(spark, d)
+    real = panel.realized(rows, V.CUTOFF, V.HORIZON)
+    past = rows.where(F.col("month_int") <= V.CUTOFF)
+    conv = runoff.convention(features.core_volatile(past), V.HORIZON).select("segment", "h", "B").withColumn("model", F.lit("convention"))
+    const = runoff.constant_hazard(past, V.HORIZON).withColumn("model", F.lit("constant"))
+    return runoff.errors(conv.unionByName(const), real, ["segment"])
+
+
+@query()
+def ro9_model_errors(spark, d):
+    return rounded(_compared(spark, d))
+
+
+@query()
+def ro10_model_choice(spark, d):
+    return runoff.pick(_compared(spark, d), ["segment"], {"convention": 0, "constant": 1})
+
+
+@query(
+    f"""WITH {V.SERIES}, q AS (SELECT *, ntile(3) OVER (PARTITION BY series_id ORDER BY x, t) AS state FROM s), l AS (SELECT *, lead(state) OVER (PARTITION BY series_id ORDER BY t) AS nxt FROM q),
+    n AS (SELECT series_id, CAST(state AS INT) AS a, CAST(nxt AS INT) AS b, count(*) AS c FROM l WHERE nxt IS NOT NULL GROUP BY ALL) SELECT series_id, a AS "from", b AS "to", c AS count, round(c / sum(c) OVER (PARTITION BY series_id, a), 6) AS share FROM n"""
+)
+def ag19_transitions(spark, d):
+    s = V.series(spark, d).withColumn("state", F.ntile(3).over(Window.partitionBy("series_id").orderBy("x", "t")))
+    return rounded(runoff.transitions(s.select("series_id", F.col("t").alias("month_int"), "state")))
+
+
+# --- rate risk and stress --------------------------------------------------------------------------------------
+
+_FLOWS = f"""{V.CURVES}, flows AS (SELECT segment, h, b0, b0 * (lag(B) OVER w - B + CASE WHEN h = {V.HORIZON} THEN B ELSE 0 END) AS cf FROM curves WINDOW w AS (PARTITION BY segment ORDER BY h)),
+shocks(scenario, p, s, l) AS (VALUES {", ".join(f"('{n}', {p}, {s}, {x})" for n, p, s, x in rates.SHOCKS)})"""
+
+_POINTS = [(0.1, 0.03), (0.25, 0.034), (1.0, 0.05)]
+
+
+@query(f"WITH {_FLOWS} SELECT segment, h, round(cf, 6) AS cf FROM flows WHERE h >= 1")
+def ir1_cash_flows(spark, d):
+    return rounded(rates.cash_flows(V.curves(spark, d), ["segment"]).select("segment", "h", "cf"))
+
+
+@query(
+    f"""WITH {V.CURVES}, t AS (SELECT DISTINCT h, h / 12 AS t FROM curves) SELECT h, round(CASE WHEN t <= 0.1 THEN 0.03 WHEN t <= 0.25 THEN 0.03 + (t - 0.1) * (0.034 - 0.03) / 0.15 WHEN t <= 1 THEN 0.034 + (t - 0.25) * (0.05 - 0.034) / 0.75 ELSE 0.05 END, 6) AS rate FROM t"""
+)
+def ir3_curve_rates(spark, d):
+    points = spark.createDataFrame(_POINTS, "tenor double, rate double")
+    tenors = V.curves(spark, d).select("h", (F.col("h") / 12).alias("t")).distinct()
+    return rounded(rates.curve_rates(points, tenors).select("h", "rate"))
+
+
+def _eve(spark, d):
+    c = V.curves(spark, d)
+    flat = spark.range(0, V.HORIZON + 1).select(F.col("id").cast("int").alias("h"), F.lit(0.03).alias("rate"))
+    return rates.delta_eve(rates.cash_flows(c, ["segment"]), flat, rates.scenarios(spark), ["segment"])
+
+
+_EVE = f"{_FLOWS}, eve AS (SELECT segment, scenario, sum(cf * exp(-0.03 * h / 12)) AS pv_base, sum(cf * exp(-(0.03 + p + s * exp(-h / 12 / 4) + l * (1 - exp(-h / 12 / 4))) * h / 12)) AS pv_shock FROM flows CROSS JOIN shocks WHERE h >= 1 GROUP BY 1, 2)"
+
+
+@query(f"WITH {_EVE} SELECT segment, scenario, round(pv_base, 4) AS pv_base, round(pv_shock, 4) AS pv_shock, round(pv_base - pv_shock, 4) AS delta_eve FROM eve")
+def ir4_delta_eve(spark, d):
+    return rounded(_eve(spark, d), 4)
+
+
+@query(f"WITH {_EVE} SELECT scenario, round(sum(pv_base - pv_shock), 4) AS delta_eve, CAST(row_number() OVER (ORDER BY sum(pv_base - pv_shock), scenario) AS INT) AS severity, row_number() OVER (ORDER BY sum(pv_base - pv_shock), scenario) = 1 AS worst FROM eve GROUP BY 1")
+def ir6_book_totals(spark, d):
+    return rounded(rates.book_totals(_eve(spark, d), "segment"), 4)
+
+
+@query(f"WITH {V.CURVES} SELECT segment, scenario, round(-CASE WHEN segment = 'BUILDING' THEN 0.4 ELSE 0 END * p * b0 * (1 - B) + 0.0, 4) AS delta_nii FROM curves CROSS JOIN (VALUES ('parallel_up', 0.02), ('parallel_down', -0.02), ('up_200bp', 0.02), ('down_200bp', -0.02)) x(scenario, p) WHERE h = 12")
+def ir5_delta_nii(spark, d):
+    betas = spark.createDataFrame([("BUILDING", 0.4)], "segment string, beta double")
+    got = rates.delta_nii(V.curves(spark, d), betas, rates.scenarios(spark), "segment")
+    return got.select("segment", "scenario", (F.round("delta_nii", 4) + F.lit(0.0)).alias("delta_nii"))
+
+
+_STRESS = f"""WITH {V.PANEL}, {V.MACRO}, c AS (SELECT h, sum(b0 * B) / sum(b0) AS B FROM (SELECT b.segment, g.h, coalesce(k.kept, 0) / b.b0 AS B, b.b0 FROM (SELECT segment, sum(balance_kda) AS b0 FROM panel WHERE month_int = {V.CUTOFF} GROUP BY 1) b
+        CROSS JOIN (SELECT unnest(generate_series(0, {V.HORIZON})) AS h) g LEFT JOIN (SELECT a.segment, p.month_int - {V.CUTOFF} AS h, sum(p.balance_kda) AS kept FROM panel a JOIN panel p ON a.account_id = p.account_id WHERE a.month_int = {V.CUTOFF} AND p.month_int BETWEEN {V.CUTOFF} AND {V.CUTOFF + V.HORIZON} GROUP BY 1, 2) k
+        ON k.segment = b.segment AND k.h = g.h) GROUP BY h),
+m AS (SELECT row_number() OVER (ORDER BY month_int) - 1 AS k, oil_brent AS oil, count(*) OVER () AS n FROM macro_month), paths AS (SELECT p.path_id, h.h, greatest((36000 - m.oil) / 36000, 0) AS stress FROM (SELECT unnest(generate_series(0, 19)) AS path_id) p CROSS JOIN (SELECT unnest(generate_series(1, {V.HORIZON})) AS h) h JOIN m ON m.k = (p.path_id * 3 + h.h) % m.n),
+f AS (SELECT path_id, h, exp(sum(ln(1 - least(1, 0.6 * stress))) OVER (PARTITION BY path_id ORDER BY h)) AS kept FROM paths), out AS (SELECT path_id, c.h, B * coalesce(kept, 1) AS B FROM (SELECT DISTINCT path_id FROM paths) CROSS JOIN c LEFT JOIN f USING (path_id, h))"""
+
+
+def _book(spark, d):
+    c = V.curves(spark, d)
+    return c.groupBy("h").agg((F.sum(F.col("b0") * F.col("B")) / F.sum("b0")).alias("B"))
+
+
+def _stressed(spark, d):
+    """Twenty paths of observed oil prices, from months three apart, over the book's curve."""
+    months = V.macro_long(spark, d).where("series = 'oil_brent'")
+    rows = months.select((F.row_number().over(Window.orderBy("month_int")) - 1).alias("k"), F.col("value").alias("oil"), F.count("*").over(Window.partitionBy()).alias("n"))  # a row a month
+    grid = spark.range(20).select(F.col("id").alias("path_id"), F.explode(F.sequence(F.lit(1), F.lit(V.HORIZON))).alias("h"))
+    paths = grid.join(F.broadcast(rows), F.col("k") == (F.col("path_id") * 3 + F.col("h")) % F.col("n"))
+    return rates.flight(_book(spark, d), rates.stress_index(paths, 36_000.0).select("path_id", "h", "stress"), 0.6)
+
+
+@query(_STRESS + " SELECT h, round(quantile_cont(B, 0.05), 6) AS p5, round(quantile_cont(B, 0.5), 6) AS p50, round(quantile_cont(B, 0.95), 6) AS p95 FROM out GROUP BY h")
+def ss5_positioning_bands(spark, d):
+    return rounded(rates.bands(_stressed(spark, d), [], [0.05, 0.5, 0.95]))
+
+
+@query(_STRESS + " SELECT count(*) AS n_paths, round(quantile_cont(wal, 0.05), 6) AS p5, round(quantile_cont(wal, 0.5), 6) AS p50, round(quantile_cont(wal, 0.95), 6) AS p95 FROM (SELECT path_id, sum(B) AS wal FROM out WHERE h >= 1 GROUP BY 1)")
+def ss5_positioning_wal(spark, d):
+    return rounded(rates.wal_levels(_stressed(spark, d), [0.05, 0.5, 0.95]))
+
+
+@query(_STRESS + f", cr AS (SELECT h, exp(sum(ln(1 - least(1, 0.8 * CASE WHEN h <= 6 THEN 0.4 ELSE 0.2 END))) OVER (ORDER BY h)) AS kept FROM (SELECT unnest(generate_series(1, {V.HORIZON})) AS h)) SELECT CAST(c.h AS INT) AS h, round(B, 6) AS base, round(B * coalesce(kept, 1), 6) AS stressed FROM c LEFT JOIN cr USING (h)")
+def ss6_crisis(spark, d):
+    book = _book(spark, d)
+    hit = rates.flight(book, rates.crisis_path(spark, 0.4, 6, V.HORIZON), 0.8)
+    return rounded(book.select("h", F.col("B").alias("base")).join(hit.select("h", F.col("B").alias("stressed")), "h"))
+
+
+# --- validation ------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {V.PANEL}, m AS (SELECT month_int, row_number() OVER (ORDER BY month_int DESC) AS r FROM (SELECT DISTINCT month_int FROM panel)) SELECT month_int, CASE WHEN r <= 12 THEN 'test' WHEN r <= 24 THEN 'val' ELSE 'train' END AS split FROM m")
+def flt7_split(spark, d):
+    return validate.label_split(V.account_panel(spark, d), 12, 12)
+
+
+_FOLDS = f"""WITH {V.PANEL}, m AS (SELECT month_int, row_number() OVER (ORDER BY month_int) - 1 AS k, count(*) OVER () AS n FROM (SELECT DISTINCT month_int FROM panel)), o AS (SELECT unnest(generate_series(0, CAST(floor((max(n) - 36) / 6) AS INT))) AS fold FROM m),
+x AS (SELECT fold, month_int, k, fold * 6 + 24 AS origin FROM o JOIN m ON k < fold * 6 + 36), y AS (SELECT *, min(CASE WHEN k >= origin THEN month_int END) OVER (PARTITION BY fold) AS first_test FROM x),
+folds AS (SELECT CAST(fold AS INT) AS fold, month_int, CASE WHEN k >= origin THEN 'test' WHEN month_int + 6 < first_test THEN 'train' END AS role FROM y)"""
+
+
+@query(_FOLDS + " SELECT * FROM folds WHERE role IS NOT NULL")
+def va1_walk_forward(spark, d):
+    return validate.walk_forward(V.account_panel(spark, d), 6)
+
+
+_CPCV = f"""WITH {V.PANEL}, m AS (SELECT month_int, row_number() OVER (ORDER BY month_int) - 1 AS k, count(*) OVER () AS n FROM (SELECT DISTINCT month_int FROM panel)), b AS (SELECT month_int, CAST(((k + 1) * 8 - 1) // n AS INT) AS block FROM m),
+    s AS (SELECT block, min(month_int) AS lo, max(month_int) AS hi FROM b GROUP BY 1), x AS (SELECT s1.block AS b1, s2.block AS b2, b.month_int, CASE WHEN b.block IN (s1.block, s2.block) THEN 'test'
+        WHEN (month_int + 3 < s1.lo OR month_int > s1.hi + 3) AND (month_int + 3 < s2.lo OR month_int > s2.hi + 3) THEN 'train' END AS role FROM b, s s1, s s2 WHERE s1.block < s2.block),
+    folds AS (SELECT * FROM x WHERE role IS NOT NULL)"""
+
+
+@query(_CPCV + " SELECT * FROM folds")
+def va2_combinatorial(spark, d):
+    return validate.combinatorial(V.account_panel(spark, d), 8, 3)
+
+
+@query(_CPCV + " SELECT count(*) AS n FROM folds a JOIN folds b ON a.b1 = b.b1 AND a.b2 = b.b2 WHERE a.role = 'train' AND b.role = 'test' AND (b.month_int BETWEEN a.month_int AND a.month_int + 3 OR a.month_int > b.month_int AND a.month_int <= b.month_int + 3)")
+def va3_leaks(spark, d):
+    return validate.leaks(validate.combinatorial(V.account_panel(spark, d), 8, 3), ["b1", "b2"], 3, 3).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""WITH {V.SCORED}, c AS (SELECT segment, greatest(1e-12, least(1 - 1e-12, p)) AS p, y FROM scored), g AS (SELECT segment, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS nll, avg((p - y) ** 2) AS brier, avg(p) AS mean_p, avg(y) AS rate, count(*) AS n FROM c GROUP BY 1),
+    q AS (SELECT *, greatest(1e-12, least(1 - 1e-12, rate)) AS q FROM g) SELECT segment, round(nll, 6) AS nll, round(brier, 6) AS brier, round(mean_p, 6) AS mean_p, round(rate, 6) AS rate, n, round((1 - nll / -(q * ln(q) + (1 - q) * ln(1 - q))) * 100, 4) AS nll_skill_pct, round((1 - brier / (q * (1 - q))) * 100, 4) AS brier_skill_pct FROM q"""
+)
+def va10_skill(spark, d):
+    got = validate.skill(V.scored(spark, d), ["segment"])
+    return got.select("segment", *[F.round(c, 6).alias(c) for c in ("nll", "brier", "mean_p", "rate")], "n", *[F.round(c, 4).alias(c) for c in ("nll_skill_pct", "brier_skill_pct")])
+
+
+_BINS = f"""WITH {V.SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY p, key) AS r, count(*) OVER (PARTITION BY segment) AS n_all FROM scored), b AS (SELECT *, CAST((10 * r - 1) // n_all AS INT) AS bin FROM r),
+t AS (SELECT segment, bin, count(*) AS n, avg(p) AS mean_p, avg(y) AS mean_y, sum(w * p) / greatest(sum(w), 1e-12) AS w_mean_p, sum(w * y) / greatest(sum(w), 1e-12) AS w_mean_y FROM b GROUP BY 1, 2)"""
+
+
+@query(_BINS + " SELECT segment, bin, n, round(mean_p, 6) AS mean_p, round(mean_y, 6) AS mean_y, round(w_mean_p, 6) AS w_mean_p, round(w_mean_y, 6) AS w_mean_y FROM t")
+def va5_reliability(spark, d):
+    return rounded(validate.reliability(V.scored(spark, d), ["segment"], "key"))
+
+
+@query(_BINS + " SELECT segment, round(sum(n * abs(mean_p - mean_y)) / sum(n), 6) AS ece FROM t GROUP BY 1")
+def va6_calibration_error(spark, d):
+    return rounded(validate.calibration_error(validate.reliability(V.scored(spark, d), ["segment"], "key"), ["segment"]))
+
+
+@query(f"WITH {V.SCORED}, r AS (SELECT segment, p, y, avg(i) OVER (PARTITION BY segment, p) AS rk FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY p) AS i FROM scored)) SELECT segment, round((sum(rk * y) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))), 6) AS auc FROM r GROUP BY 1")
+def va9_auc(spark, d):
+    return rounded(validate.auc(V.scored(spark, d), ["segment"]))
+
+
+@query()
+def va7_pit_counts(spark, d):
+    rows = validate.pit(V.scored(spark, d), validate.hash_uniform(F.lit(0), F.col("key")))
+    return rows.groupBy("segment", F.least(F.floor(F.col("pit") * 10), F.lit(9)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query()
+def va8_pit_ks(spark, d):
+    rows = validate.pit(V.scored(spark, d), validate.hash_uniform(F.lit(0), F.col("key")))
+    return rounded(validate.ks_uniform(rows, ["segment"], "pit", "key"))
+
+
+@query(f"WITH {V.SCORED}, r AS (SELECT segment, abs(y - p) AS r, row_number() OVER (PARTITION BY segment ORDER BY abs(y - p), key) AS k, count(*) OVER (PARTITION BY segment) AS n FROM scored) SELECT segment, round(max(CASE WHEN k = ceil((n + 1) * 0.9) THEN r END), 6) AS q FROM r GROUP BY 1")
+def cf1_conformal(spark, d):
+    rows = V.scored(spark, d).withColumn("r", F.abs(F.col("y") - F.col("p")))
+    return rounded(validate.conformal(rows, ["segment"], "key", 0.1))
+
+
+@query(f"WITH {V.SCORED}, r AS (SELECT segment, abs(y - p) AS r, sum(w) OVER (PARTITION BY segment ORDER BY abs(y - p), key ROWS UNBOUNDED PRECEDING) / (sum(w) OVER (PARTITION BY segment) + 1) AS c FROM scored) SELECT segment, round(min(CASE WHEN c >= 0.9 THEN r END), 6) AS q FROM r GROUP BY 1")
+def cf2_weighted_conformal(spark, d):
+    rows = V.scored(spark, d).withColumn("r", F.abs(F.col("y") - F.col("p")))
+    return rounded(validate.weighted_conformal(rows, ["segment"], "key", 0.1))
+
+
+@query(f"WITH {V.CURVES} SELECT segment, h, round(greatest(0, least(1, B - 0.01 * h)), 6) AS low, round(greatest(0, least(1, B + 0.01 * h)), 6) AS high FROM curves")
+def cf3_band(spark, d):
+    return rounded(validate.band(V.curves(spark, d), 0.01).select("segment", "h", "low", "high"))
+
+
+# --- series ----------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {V.SERIES}, w(k, v) AS (VALUES {', '.join(f'({k}, {v!r})' for k, v in enumerate(series.difference_weights(0.5, 1e-2)))}), r AS (SELECT series_id, t, x, row_number() OVER (PARTITION BY series_id ORDER BY t) AS i FROM s) SELECT a.series_id, a.t, round(CASE WHEN count(b.x) = (SELECT count(*) FROM w) THEN sum(w.v * b.x) END, 4) AS ffd FROM r a CROSS JOIN w LEFT JOIN r b ON b.series_id = a.series_id AND b.i = a.i - w.k GROUP BY 1, 2")
+def wn17_fractional(spark, d):
+    return rounded(series.fractional(V.series(spark, d), 0.5, 1e-2).select("series_id", "t", "ffd"), 4)
+
+
+@query()
+def ts1_cusum(spark, d):
+    return rounded(series.cusum(V.user_series(spark, d)))
+
+
+@query()
+def ts2_alarm(spark, d):
+    return series.alarm(series.cusum(V.user_series(spark, d)))
+
+
+@query()
+def ts3_icss(spark, d):
+    return series.icss(V.user_series(spark, d).withColumn("x", F.col("x") - F.avg("x").over(Window.partitionBy("series_id"))))
+
+
+@query()
+def ts3_icss_robust(spark, d):
+    return series.icss(V.user_series(spark, d).withColumn("x", F.col("x") - F.avg("x").over(Window.partitionBy("series_id"))), robust=True)
+
+
+@query()
+def ts4_icss_causal(spark, d):
+    return rounded(series.icss_causal(V.series(spark, d).withColumn("x", F.col("x") - F.avg("x").over(Window.partitionBy("series_id")))))
+
+
+@query()
+def ts5_adf(spark, d):
+    return rounded(series.adf(V.series(spark, d)))
+
+
+@query()
+def ts6_least_difference(spark, d):
+    return series.least_difference(V.series(spark, d))
+
+
+_EXPLOSIVE = f"""WITH {V.SERIES}, c AS (SELECT series_id, t, x - avg(x) OVER (PARTITION BY series_id) AS x FROM s), r AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY series_id) AS n, lag(x) OVER w AS x0 FROM c WINDOW w AS (PARTITION BY series_id ORDER BY t)),
+p AS (SELECT series_id, t, i, greatest(12, floor(n * 0.2)) AS r0, coalesce(sum(x0) OVER w, 0) AS sx, coalesce(sum(x - x0) OVER w, 0) AS sy, coalesce(sum(x0 * x0) OVER w, 0) AS sxx, coalesce(sum(x0 * (x - x0)) OVER w, 0) AS sxy, coalesce(sum((x - x0) * (x - x0)) OVER w, 0) AS syy FROM r WINDOW w AS (PARTITION BY series_id ORDER BY t)),
+q AS (SELECT e.series_id, e.t, e.i - s.i AS m, e.sx - s.sx AS sx, e.sy - s.sy AS sy, e.sxx - s.sxx AS sxx, e.sxy - s.sxy AS sxy, e.syy - s.syy AS syy FROM p e JOIN p s ON e.series_id = s.series_id AND s.i <= e.i - e.r0 + 1),
+g AS (SELECT *, sxx - sx * sx / m AS vx, (sxy - sx * sy / m) / (sxx - sx * sx / m) AS g FROM q), z AS (SELECT *, syy - sy * sy / m - g * (sxy - sx * sy / m) AS rss FROM g),
+best AS (SELECT series_id, t, max(CASE WHEN vx > 1e-12 AND rss > 1e-12 AND m > 2 THEN g / sqrt(rss / (m - 2) / vx) END) AS bsadf FROM z GROUP BY 1, 2)"""
+
+
+@query(_EXPLOSIVE + " SELECT s.series_id, s.t, round(bsadf, 4) AS bsadf FROM s LEFT JOIN best ON s.series_id = best.series_id AND s.t = best.t")
+def ts8_bsadf(spark, d):
+    return rounded(series.explosive(V.series(spark, d)), 4)
+
+
+@query(_EXPLOSIVE + " SELECT series_id, round(max(bsadf), 4) AS gsadf FROM best GROUP BY 1")
+def ts8_gsadf(spark, d):
+    return rounded(series.supremum(series.explosive(V.series(spark, d))).select("series_id", "gsadf"), 4)
+
+
+@query()
+def ts9_regimes(spark, d):
+    return series.regimes(V.user_series(spark, d), ["x"]).select("series_id", "t", "n_states", "state", F.transform("posterior", lambda p: F.round(p, 6)).alias("posterior"))
+
+
+@query()
+def ts11_regime_labels(spark, d):
+    states = series.regimes(V.user_series(spark, d), ["x"]).join(V.user_series(spark, d), ["series_id", "t"])
+    return rounded(series.label_regimes(states.groupBy("series_id", "state").agg(F.avg("x").alias("score"))))
+
+
+@query()
+def ts12_adaptive(spark, d):
+    return rounded(series.adaptive(V.user_series(spark, d)))
+
+
+@query(f"WITH {V.TICKS}, b AS (SELECT user_id, day, arg_min(value, (ts, tie)) AS o, max(value) AS hi, min(value) AS lo, arg_max(value, (ts, tie)) AS c, count(*) AS n FROM ticks GROUP BY 1, 2) SELECT user_id, day, round(ln(hi / lo) ** 2 / (4 * ln(2)), 6) AS parkinson, round(0.5 * ln(hi / lo) ** 2 - (2 * ln(2) - 1) * ln(c / o) ** 2, 6) AS garman_klass, round(ln(hi / c) * ln(hi / o) + ln(lo / c) * ln(lo / o), 6) AS rogers_satchell FROM b")
+def wn20_range_volatility(spark, d):
+    rows = series.range_volatility(series.bars(_ticks(spark, d), ["user_id", "day"]))
+    return rounded(rows.select("user_id", "day", "parkinson", "garman_klass", "rogers_satchell"))
+
+
+def _ticks(spark, d):
+    return V.table(spark, d, "events").select("user_id", "ts", F.to_date("ts").alias("day"), (F.col("value") + 1).alias("value"), F.col("event_id").alias("tie")).where("value > 0")
+
+
+@query(
+    f"""WITH {V.TICKS}, b AS (SELECT user_id, day, arg_min(value, (ts, tie)) AS o, max(value) AS hi, min(value) AS lo, arg_max(value, (ts, tie)) AS c FROM ticks GROUP BY 1, 2), x AS (SELECT *, ln(o / lag(c) OVER (PARTITION BY user_id ORDER BY day)) AS night, ln(c / o) AS dy, ln(hi / c) * ln(hi / o) + ln(lo / c) * ln(lo / o) AS rs FROM b),
+    g AS (SELECT user_id, count(*) AS m, var_samp(night) AS vn, var_samp(dy) AS vd, avg(rs) AS rs FROM x WHERE night IS NOT NULL GROUP BY 1) SELECT user_id, m, round(vn + 0.34 / (1.34 + (m + 1) / (m - 1)) * vd + (1 - 0.34 / (1.34 + (m + 1) / (m - 1))) * rs, 6) AS yang_zhang FROM g WHERE m > 1"""
+)
+def wn21_yang_zhang(spark, d):
+    return rounded(series.yang_zhang(series.bars(_ticks(spark, d), ["user_id", "day"]), "user_id", "day"))
+
+
+@query(f"WITH {V.TICKS}, r AS (SELECT user_id, day, ln(value / lag(value) OVER (PARTITION BY user_id ORDER BY ts, tie)) AS r FROM ticks) SELECT user_id, day, round(sum(r * r), 6) AS rv FROM r GROUP BY 1, 2")
+def wn22_realized_variance(spark, d):
+    return rounded(series.realized_variance(_ticks(spark, d), ["user_id", "day"], "user_id"))
+
+
+# --- uncertainty -----------------------------------------------------------------------------------------------
+
+
+@query()
+def un1_block_bootstrap(spark, d):
+    rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
+    return rounded(uncertainty.monthly_bootstrap(rows, "e", uncertainty.block_months(rows, 50, 6)))
+
+
+@query()
+def un3_stationary_bootstrap(spark, d):
+    rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
+    return rounded(uncertainty.monthly_bootstrap(rows, "e", uncertainty.stationary_months(rows, 50, 6)))
+
+
+@query()
+def un2_cluster_bootstrap(spark, d):
+    return rounded(uncertainty.cluster_bootstrap(V.account_panel(spark, d).withColumn("e", F.col("event").cast("double")), "e", 50))
+
+
+@query()
+def un4_percentile_interval(spark, d):
+    rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
+    return rounded(uncertainty.percentile_interval(uncertainty.monthly_bootstrap(rows, "e", uncertainty.block_months(rows, 50, 6))))
+
+
+@query()
+def un5_bca_interval(spark, d):
+    rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
+    stats = uncertainty.cluster_bootstrap(rows, "e", 50)
+    return rounded(uncertainty.bca_interval(rows.select(F.col("e").alias("x")), stats))
+
+
+@query(
+    f"""WITH {V.SERIES}, r AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY t) AS i, count(*) OVER (PARTITION BY series_id) AS n, x - avg(x) OVER (PARTITION BY series_id) AS e FROM s), l AS (SELECT *, greatest(1, CAST(floor(4 * pow(n / 100, 2 / 9)) AS INT)) AS lags FROM r),
+    v AS (SELECT a.series_id, sum(CASE WHEN a.i = b.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / (a.lags + 1)) END * a.e * b.e) / max(a.n) AS lrv, max(a.n) AS n FROM l a JOIN l b ON a.series_id = b.series_id AND b.i BETWEEN a.i - a.lags AND a.i GROUP BY 1)
+    SELECT v.series_id, round(m, 4) AS mean, round(m - 1.96 * sqrt(greatest(lrv, 0) / n), 4) AS low, round(m + 1.96 * sqrt(greatest(lrv, 0) / n), 4) AS high FROM v JOIN (SELECT series_id, avg(x) AS m FROM s GROUP BY 1) a ON v.series_id = a.series_id"""
+)
+def un6_hac_mean(spark, d):
+    return rounded(uncertainty.hac_mean(V.series(spark, d)), 4)
+
+
+@query()
+def un8_quadrature(spark, d):
+    fan = rates.bands(_stressed(spark, d), [], [0.05, 0.5, 0.95]).toDF("h", "low", "mid", "high")
+    return rounded(uncertainty.quadrature(fan, fan))
+
+
+# --- profiles and payloads -------------------------------------------------------------------------------------
+
+
+@query(
+    """WITH t AS (SELECT o_orderstatus AS status, o_orderpriority AS priority FROM orders) SELECT 'status' AS "column", status AS value, count(*) AS n FROM t GROUP BY 2 UNION ALL SELECT 'priority', priority, count(*) FROM t GROUP BY 2"""
+)
+def ag5_profile(spark, d):
+    rows = V.table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    return dumps.profile(rows, ["status", "priority"])
+
+
+@query(f"WITH {V.SNAPSHOTS}, p AS (SELECT account_id, month_int, count(*) AS n_rows, count(DISTINCT type_compte) AS l FROM snapshots GROUP BY 1, 2) SELECT n_rows, count(*) AS n, CAST(sum(CAST(l > 1 AS INT)) AS BIGINT) AS several_labels FROM p GROUP BY 1")
+def ag6_grain(spark, d):
+    return dumps.grain(V.records(spark, d), "account_id", "month_int", "type_compte")
+
+
+@query(
+    f"""WITH {V.SNAPSHOTS} SELECT CAST(count(*) FILTER (WHERE ctrvl_kda IS NULL) AS BIGINT) AS missing, count(*) FILTER (WHERE ctrvl_kda = 0) AS zero, count(*) FILTER (WHERE ctrvl_kda < 0) AS negative, count(ctrvl_kda) AS valid, {", ".join(f"round(quantile_cont(ctrvl_kda, {q / 100}), 6) AS q{q}" for q in (0, 25, 50, 75, 95, 100))} FROM snapshots"""
+)
+def ag7_balance_quality(spark, d):
+    return rounded(dumps.balance_quality(V.records(spark, d), "ctrvl_kda"))
+
+
+@query("SELECT type_compte, n FROM (SELECT p_type AS type_compte, count(*) AS n FROM part GROUP BY 1) ORDER BY n DESC, type_compte LIMIT 20")
+def tk1_top_types(spark, d):
+    return V.table(spark, d, "part").groupBy(F.col("p_type").alias("type_compte")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "type_compte").limit(20)
+
+
+@query("SELECT doc_id, upper(trim(translate(text, '" + C.ACCENTED + "', '" + C.PLAIN + "'))) = text AS is_plain, length(regexp_replace(lower(translate(text, '" + C.ACCENTED + "', '" + C.PLAIN + "')), '[^a-z0-9]', '', 'g')) AS key_length FROM documents")
+def cln1_plain_text(spark, d):
+    return V.table(spark, d, "documents").select("doc_id", (C.plain_upper(F.col("text")) == F.col("text")).alias("is_plain"), F.length(C.header_key(F.col("text"))).alias("key_length"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment LIKE '%BUILD%' THEN 'hit' ELSE 'other' END AS hit FROM customer")
+def flt2_scope(spark, d):
+    rows = V.table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("rubrique"), F.lit("Ressources").alias("ressources"))
+    inside = panel.in_scope(rows, ["BUILD"]).select("c_custkey", F.lit("hit").alias("hit"))
+    return rows.select("c_custkey").join(inside, "c_custkey", "left").select("c_custkey", F.coalesce("hit", F.lit("other")).alias("hit"))
+
+
+@query("SELECT page_id, count(*) AS links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"/([^\"]*)\"', 1)) AS l FROM pages) GROUP BY page_id")
+def src14_page_matches(spark, d):
+    """The extraction that quotes() uses, over all pages' links."""
+    return V.table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), 1)).alias("l")).groupBy("page_id").agg(F.count("*").alias("links"))
+
+
+@query("SELECT event_id, round(CAST(json_extract(props, '$.k') AS DOUBLE), 6) AS value FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
+def src13_indicator(spark, d):
+    """Events' JSON wrapped as an indicator's payload, and read back."""
+    rows = V.table(spark, d, "events").select("event_id", F.concat(F.lit('[{},[{"date":"2024","value":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.lit("}]]")).alias("payload"))
+    return rounded(payloads.indicator(rows).select("event_id", "value"))
