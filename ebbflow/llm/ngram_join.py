@@ -4,9 +4,14 @@ Two sets x and y link when q * |x n y| >= p * |x u y|. The steps, each exact:
 
 1. Documents of equal sets form a class, which goes on as one node under its smallest doc_id.
 2. Linked sets of s tokens together differ in at most d(s) = s(q - p)/(q + p) tokens. The hash space is cut into
-   m > d segments; then two linked sets agree in a whole non-empty segment. A node emits a key for each segment;
-   m comes from a ladder, so a node uses one or two values. Nodes of one key are tied to its smallest node, first
-   within each task, so a key held by many nodes is a few rows when it is shuffled.
+   m > d segments; then two linked sets agree in m - d whole segments. A node emits a key for each non-empty segment;
+   m comes from a ladder, so a node uses one or two values. Passages that many documents share would tie documents
+   that aren't alike, so tokens are graded by how many documents hold them (counted over all documents in a table of
+   fixed size) and keys are first of tokens below the lowest grade. Any split of tokens keeps this exact: a
+   set with no more empty segments than m - d - 1 agrees in a non-empty one, and a set with more emits keys of the
+   next grade too, the last of all its tokens.
+   Nodes of one key are tied to its smallest node, first within each task, so a key held by many nodes is a few
+   rows when it is shuffled.
 3. Connected nodes form a block, which holds all their links. One task builds signature trees over a block and
    traverses them together. Nodes hold OR-combined token bitmaps, size ranges and the most bitmap collisions.
    Common bits and collisions bound the overlap of any two sets below a pair of nodes; pairs below the overlap
@@ -35,50 +40,105 @@ FANOUT = 8
 
 # --- keys of a set ---------------------------------------------------------------------------------------------
 
+#: Counters of tokens, and how far above the counters' noise each grade begins.
+COUNTERS, GRADES = 1 << 22, (32, 256, 2048)
+_CHUNK = 1 << 16
+
+
+def grades(docs: DataFrame, words: int) -> np.ndarray:
+    """For each counter the number of GRADES that its tokens reach; a document counts once for each of its tokens.
+
+    Each task adds up its documents; tasks' counters meet in chunks, added as they come. Only grades reach the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                texts = batch.column(0).slice(at, 256).cast(pa.binary()).to_pylist()
+                tokens = np.concatenate([shingle_set(t, words) for t in texts])
+                own += np.bincount((tokens & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+        parts = np.minimum(own, 65_535).astype("<u2").reshape(-1, _CHUNK)
+        for k, part in enumerate(parts):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums.setdefault(k, np.zeros(_CHUNK, np.int64))
+                sums[k] += np.frombuffer(part, "<u2")
+        for k, total in sums.items():
+            noise = total.mean()
+            grade = sum((total > noise + 6 * np.sqrt(noise) + g).astype(np.uint8) for g in GRADES)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([grade.tobytes()], pa.binary())], ["chunk", "grades"])
+
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "chunk int, counts binary")
+    out = np.zeros(COUNTERS, np.uint8)
+    for row in counted.repartition("chunk").mapInArrow(add, "chunk int, grades binary").collect():  # a byte a counter
+        out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(row["grades"], np.uint8)
+    return out
+
+
+def _spare(d: int) -> int:
+    """Segments beyond d + 1, so that some may be empty."""
+    return 2 + d // 16
+
 
 def _ladder(top: int) -> list[tuple[int, int]]:
-    """(segments, empty segments that a set may have without keys for them), ascending, until top differences fit."""
+    """(segments, differences that they allow), ascending, until top differences fit."""
     out, m = [], 4
-    while not out or out[-1][0] - out[-1][1] - 1 < top:
-        d = next(d for d in range(m, -1, -1) if d + 3 + d // 32 <= m)
-        out.append((m, m - d - 1))
+    while not out or out[-1][1] < top:
+        out.append((m, next(d for d in range(m, -1, -1) if d + 1 + _spare(d) <= m)))
         m = -(-m * 7 // 5)
     return out
 
 
 class Keys:
-    def __init__(self, p: int, q: int):
-        self.p, self.q, self.ladder = p, q, _ladder(1000)
+    def __init__(self, p: int, q: int, grade: np.ndarray | None = None):
+        self.p, self.q, self.ladder, self.grade = p, q, _ladder(1000), grade
 
     def segments(self, n: int) -> list[tuple[int, int]]:
-        """The ladder's entries that a set of n tokens needs for partners of any possible size."""
+        """(segments, differences) that a set of n tokens needs for partners of any possible size."""
         p, q = self.p, self.q
         low, high = ((n + k) * (q - p) // (q + p) for k in (-(-p * n // q), q * n // p))
         if high < 1:
             return []
-        if self.ladder[-1][0] - self.ladder[-1][1] - 1 < high:
+        if self.ladder[-1][1] < high:
             self.ladder = _ladder(2 * high)
-        holds = [m - slack - 1 for m, slack in self.ladder]
-        first, last = (next(i for i, d in enumerate(holds) if d >= max(1, k)) for k in (low, high))
-        return self.ladder[first : last + 1]
+        first, last = (next(i for i, (_, d) in enumerate(self.ladder) if d >= max(1, k)) for k in (low, high))
+        return [(m, min(d, high)) for m, d in self.ladder[first : last + 1]]
 
     def of(self, s: np.ndarray) -> np.ndarray:
-        """Of a sorted set: for each m, a hash for each segment's part of it."""
-        sums, out = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(s + np.uint64(1))))), []
-        for m, slack in self.segments(len(s)):
-            place = (s >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
-            ends = np.searchsorted(place, np.arange(m + 1, dtype=np.uint64))
-            own = sums[ends[1:]] - sums[ends[:-1]]
-            number = np.arange(m, dtype=np.uint64)
-            if len(empty := np.flatnonzero(ends[1:] == ends[:-1])) <= slack:
-                own, number = np.delete(own, empty), np.delete(number, empty)
-            out.append(mixed(own ^ mixed(number * np.uint64(0x9E3779B97F4A7C15) + np.uint64(m))))
+        """Of a sorted set: for each m and grade, a hash for each segment's part of it."""
+        out = []
+        parts = [s]
+        if self.grade is not None and len(s):
+            own = self.grade[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
+            parts = [s[own <= g] for g in range(len(GRADES))] + [s]
+        sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(x + np.uint64(1))))) for x in parts]
+        for m, differences in self.segments(len(s)):
+            for g, x in enumerate(parts):
+                place = (x >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)
+                ends = np.searchsorted(place, np.arange(m + 1, dtype=np.uint64))
+                own = sums[g][ends[1:]] - sums[g][ends[:-1]]
+                number = np.arange(m, dtype=np.uint64)
+                full = ends[1:] > ends[:-1]
+                enough = m - full.sum() <= m - differences - 1
+                if enough or g < len(parts) - 1:
+                    own, number = own[full], number[full]
+                salt = np.uint64(m * 8 + (g if g < len(parts) - 1 else 7))
+                out.append(mixed(own ^ mixed(number * np.uint64(0x9E3779B97F4A7C15) + salt)))
+                if enough:
+                    break
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def _sets(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
+    grade = docs.sparkSession.sparkContext.broadcast(grades(docs, words))  # COUNTERS bytes
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys(p, q)
+        keys = Keys(p, q, grade.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
