@@ -740,3 +740,107 @@ def src13_indicator(spark, d):
     """Events' JSON wrapped as an indicator's payload, and read back."""
     rows = V.table(spark, d, "events").select("event_id", F.concat(F.lit('[{},[{"date":"2024","value":'), F.coalesce(F.get_json_object("props", "$.k"), F.lit("null")), F.lit("}]]")).alias("payload"))
     return rounded(payloads.indicator(rows).select("event_id", "value"))
+
+
+# --- fits and whole books --------------------------------------------------------------------------------------
+
+
+def _segment(spark, d, name: str = "BUILDING"):
+    return V.model_rows(spark, d).where(F.col("segment") == name)
+
+
+@query()
+def ml2_hazard_fit(spark, d):
+    """Coefficients of the hazard over all segments' rows."""
+    from ..operators import books, models
+
+    m = models.fit_hazard(V.model_rows(spark, d), books.HAZARD, 1e-3, 0.5)
+    return rounded(spark.createDataFrame([(k, v, models.version(m)) for k, v in [*m.raw.items(), ("intercept", m.b0)]], "feature string, coefficient double, version string"), 5)
+
+
+@query()
+def ml4_erosion_fit(spark, d):
+    from ..operators import books, models
+
+    coef, b0 = models.fit_erosion(features.increments(V.model_rows(spark, d)), books.EROSION)
+    return rounded(spark.createDataFrame([*coef.items(), ("intercept", b0)], "feature string, coefficient double"))
+
+
+@query()
+def ml5_penalty_grid(spark, d):
+    from ..operators import books, models
+
+    rows = V.model_rows(spark, d).persist()
+    folds = validate.walk_forward(rows, 6, step=12)
+    return rounded(models.penalty_grid(rows, books.HAZARD, folds, [1e-4, 1e-2], [0.0, 1.0]), 4)
+
+
+@query()
+def ml6_one_se_choice(spark, d):
+    from ..operators import models
+
+    return models.one_se(ml5_penalty_grid(spark, d))
+
+
+@query()
+def ml10_trees(spark, d):
+    from ..operators import books
+
+    rows = features.path(V.model_rows(spark, d))
+    return rounded(books.compare_classes(rows, ["seasoning", "log_balance", "money_market"], ["bal_drawdown", "decline_streak", "bal_vol6"]), 3)
+
+
+@query()
+def ml11_error_correction(spark, d):
+    from ..operators import models
+
+    return rounded(models.error_correction(models.book_months(V.model_rows(spark, d))))
+
+
+@query()
+def ro13_books(spark, d):
+    from ..operators import books
+
+    return rounded(books.run(V.model_rows(spark, d).persist(), 24), 4)
+
+
+@query()
+def ro12_score_header(spark, d):
+    from ..operators import books
+
+    return rounded(books.score_header(books.run(V.model_rows(spark, d).persist(), 24), V.END), 4)
+
+
+@query()
+def va11_back_test(spark, d):
+    from ..operators import books
+
+    errors = books.back_test(V.model_rows(spark, d).persist(), [V.CUTOFF, V.CUTOFF + 12], 12)
+    return rounded(books.leaderboard(errors), 4)
+
+
+def _fan(spark, d):
+    from ..operators import books
+
+    rows = V.model_rows(spark, d).persist()
+    hazard, erosion, b0 = books.fit_segment(rows)
+    names = ["money_market", "cpi_yoy", "oil_brent"]
+    months = rows.groupBy("month_int").agg(*[F.max(n).alias(n) for n in names])
+    return books.roll_paths(panel.alive(rows), books.resampled_paths(months, names, 30, 24), hazard, erosion, b0, 24)
+
+
+@query()
+def ss1_scenario_fan(spark, d):
+    return rounded(rates.bands(_fan(spark, d), [], [0.05, 0.5, 0.95]), 4)
+
+
+@query()
+def ss1_wal_levels(spark, d):
+    return rounded(rates.wal_levels(_fan(spark, d), [0.01, 0.05, 0.5, 0.95, 0.99]), 4)
+
+
+@query()
+def un7_coefficient_fan(spark, d):
+    from ..operators import books
+
+    return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(), 24, 5), 4)

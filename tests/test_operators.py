@@ -276,3 +276,17 @@ def test_hazard_trees_and_gate(spark):
     got = models.fit_trees(df, ["a", "b"])(df).agg(validate.nll(F.col("p"), F.col("event"))).first()[0]
     assert got < 0.3
     assert models.gate(df, df, ["a"], ["e2"]) and not models.gate(df, df, ["a"], ["b"])
+
+
+def test_fan_of_constant_paths_is_the_roll(spark):
+    from ebbflow.operators import books
+
+    rows = [("a", "s", 3, 2.0, 1.0, 10.0), ("b", "s", 9, 1.0, 1.0, 3.0)]
+    df = spark.createDataFrame(rows, "account_id string, segment string, seasoning int, log_balance double, money_market double, balance_kda double")
+    hz = models.Hazard(["seasoning", "money_market"], np.zeros(2), np.ones(2), np.array([0.02, 0.3]), -3.0)
+    paths = spark.createDataFrame([(p, h, 1.0) for p in range(3) for h in range(1, 4)], "path_id int, h int, money_market double")
+    fan = books.roll_paths(df, paths, hz, {"money_market": -0.01}, 0.0, 6).collect()
+    base = {r.h: r.B for r in runoff.roll(df, hz.raw, hz.b0, {"money_market": -0.01}, 0.0, 6, ["segment"]).collect()}
+    assert len(fan) == 21 and all(r.B == pytest.approx(base[r.h]) for r in fan)
+    up = paths.withColumn("money_market", F.lit(9.0))
+    assert all(r.B < base[r.h] for r in books.roll_paths(df, up, hz, {"money_market": -0.01}, 0.0, 6).collect() if r.h)
