@@ -167,7 +167,8 @@ def mix(docs: DataFrame, seed: int = 0, block: int = BLOCK, shard_blocks: int =
     first = F.greatest(F.col("start"), F.col("block") * block)
     last = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     parts = cut.select("source_no", "block", "doc_id", "start", (first - F.col("start")).alias("from"), (last - first).alias("length"))
-    return rows, sources, slots(by_source, spark, seed, shard_blocks).join(parts, ["source_no", "block"])
+    # slots grow with the corpus, but Spark sees only a few shard numbers there: never broadcast them
+    return rows, sources, slots(by_source, spark, seed, shard_blocks).hint("merge").join(parts, ["source_no", "block"])
 
 
 def taken_text(text: str, spans: list[tuple[int, int, int]]) -> str:
