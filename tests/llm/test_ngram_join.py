@@ -59,7 +59,8 @@ def test_word_borders_and_case():
 
 
 def test_keys_meet_for_all_linked_sets():
-    rng, keys = np.random.default_rng(1), ngram_join.Keys(80, 100, rng.integers(0, 4, ngram_join.COUNTERS).astype(np.uint8))
+    rng = np.random.default_rng(1)
+    keys = ngram_join.Keys(80, 100, rng.integers(0, 4, ngram_join.COUNTERS).astype(np.uint8))
     for n in [9, 10, 11, 14, 20, 45, 100, 333, 2000]:
         for _ in range(20):
             x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))

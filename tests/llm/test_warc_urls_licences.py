@@ -35,7 +35,7 @@ def test_members_are_the_archive(spark, pages):
         path = r.archive.removeprefix("file://")
         whole = gzip.open(path.replace(".members", "")).read()
         assert gzip.open(path).read() == whole
-        index = list(warc.Archive(r.archive, r.index).index())
+        index = list(warc.Archive(r.archive, r["index"]).index())
         data, at = open(path, "rb").read(), 0
         for offset, length, _, _ in index:
             assert offset == at and gzip.decompress(data[offset : offset + length]).startswith(b"WARC/1.1\r\n")
