@@ -101,7 +101,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int, make: Callable, kind: st
 
         def result():
             top = state.top
-            scores = (-top.key if descending else top.key).astype(np.int64 if kind == "long" else np.float64)
+            scores = -top.key if descending else top.key
+            if kind == "long":  # the last float64 below 2^63
+                scores = np.clip(scores, -(2.0**63), 9223372036854774784.0).astype(np.int64)
             columns = [state.rows[top.query], state.ids[top.query], top.id, scores]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_row", "query_id", "id", "score"])
 
