@@ -179,4 +179,4 @@ def read(manifest: DataFrame) -> DataFrame:
     starts = manifest.select("shard", before.alias("base"))  # a row for each shard
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = manifest.select("shard", "path").repartition(tasks).mapInArrow(load, DOCS)
-    return found.join(starts, "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(F.broadcast(starts), "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
