@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +16,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
-def small_batches(spark: SparkSession) -> None:
+def settings(spark: SparkSession) -> None:
+    """Small Arrow batches; shuffle files go when the execution that made them ends, as its result is stored."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    settings(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,8 +48,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table from stored() that nothing reads any more."""
+    spark = df.sparkSession
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def word_count(text: Column) -> Column:
@@ -81,6 +86,3 @@ def look_up(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str, spre
     found = F.coalesce(F.col("hot_values"), F.col("cold_values"))
     return both.select(*[F.col(f"`{c}`") for c in rows.columns], *[found[v].alias(v) for v in values])
 
-
-def kept_in_memory(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

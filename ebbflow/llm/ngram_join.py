@@ -362,12 +362,15 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     document for components. A row without doc_id has the component of documents with an equal set, else null,
     and links nothing else. No rows give no rows.
     """
-    sets = common.stored(_sets(docs, words, p, q), "shingle-sets")
+    common.settings(docs.sparkSession)
+    keyed = common.stored(_sets(docs, words, p, q), "shingle-sets")
     prints = ["n_shingles", "print_a", "print_b"]
-    classes = sets.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("segment_keys").alias("segment_keys"))
+    classes = keyed.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("segment_keys").alias("segment_keys"))
     tied = classes.where("node is not null").select("node", "segment_keys").mapInArrow(_tie_within, "key long, a long, b long")
     edges = tied.repartition("key").sortWithinPartitions("key").mapInArrow(_tie_sorted, "a long, b long")
     blocks = graph.components(edges).select("node", F.col("component").alias("block"))
+    sets = common.stored(keyed.select("doc_id", *prints), "shingle-prints")
+    common.dropped(keyed)
     classes = sets.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     classes = common.stored(classes, "shingle-classes")
     members = common.stored(classes.select("node", "n_shingles").join(blocks, "node"), "block-nodes")
