@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +30,20 @@ LICENSES = [
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+#: Whole texts and headers (.header), by SPDX name.
+LICENSE_TEXTS = [(p.name.removesuffix(".txt").removesuffix(".header"), p.read_text()) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as files below source and language. A statement in the first line is a header, for its file alone; one
-    further down makes the document a licence file of its directory."""
+    """documents as files below source and language. A passage from the first line on is a header, for its file alone; one
+    further down, or a text that is a licence as a whole, makes the document a licence file of its directory."""
     docs = common.table(spark, sf_dir, "documents")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
     folder = F.when(F.pmod("doc_id", F.lit(10)) == 0, F.lit("")).otherwise(F.concat(F.pmod(F.floor(F.col("doc_id") / 10), F.lit(500)).cast("string"), F.lit("/")))
     path = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.coalesce("lang", F.lit("none")), F.lit("/"), F.coalesce(folder, F.lit("")), name)
-    templates = spark.createDataFrame(LICENSES, "license_id string, text string")
+    templates = spark.createDataFrame(LICENSES + LICENSE_TEXTS, "license_id string, text string")
     own = license_scan.matched(docs.select("doc_id", path.alias("path"), "text"), templates)
-    own = common.stored(own.withColumn("is_license_file", F.coalesce(F.col("line") > 0, F.lit(False))), "own-licences")
+    own = common.stored(own.withColumn("is_license_file", F.coalesce((F.col("line") > 0) | F.col("whole"), F.lit(False))), "own-licences")
     return license_scan.inherited(own).select("doc_id", "path", "license_id", "cosine", "inherited", "from_dir")
 
 

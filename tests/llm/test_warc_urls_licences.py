@@ -113,3 +113,34 @@ def test_cosine_by_hand():
     want = (a[0] * b[0] + a[1] * b[1]) / math.hypot(*a) / math.hypot(*b)
     assert w.best("Blue, red! BLUE") == ("A", pytest.approx(want))
     assert w.best("yellow") is None
+
+
+@pytest.mark.parametrize("n", [60, 2000])
+def test_wrapped_embedded_and_whole_licences(spark, n):
+    from ebbflow.llm import queries
+
+    texts = dict(queries.LICENSE_TEXTS)
+    header = next(t for name, t in queries.LICENSE_TEXTS if t.startswith("Licensed under the Apache"))
+    filler = [(f"f{i}", "the work is of a kind that you and the others use under this and that " + " ".join(f"w{(i * k) % 97}" for k in range(1, 40))) for i in range(n)]
+    rows = [
+        ("wrapped", "some w1 w2\nThis work is licensed under the GNU General\nPublic License, version 3.\nw3 w4 and the w5"),
+        ("embedded", "w9 w8 of the w7 and w6 Released under the MIT License. w5 w4 " + "w3 of the w2 " * 30),
+        ("whole", texts["GPL-3.0-only"].replace("Everyone", "Anyone")), ("short", "Copyright 2020 A. Body\n\n" + texts["MIT"]),
+        ("header", "Copyright 2020 A. Body\n" + header + "\n\n" + "w1 of w2\n" * 50), ("inside", "w1 w2 w3\n" * 40 + texts["BSD-3-Clause"] + "w4 w5\n" * 40),
+    ]
+    files = spark.createDataFrame(filler + rows, "path string, text string")
+    templates = spark.createDataFrame(queries.LICENSES + queries.LICENSE_TEXTS, "license_id string, text string")
+    got = {r.path: r for r in license_scan.matched(files, templates).where("license_id is not null").collect()}
+    want = {"wrapped": ("GPL-3.0-only", 1), "embedded": ("MIT", 0), "whole": ("GPL-3.0-only", 0), "short": ("MIT", 2), "header": ("Apache-2.0", 1), "inside": ("BSD-3-Clause", 40)}
+    assert {p: r.license_id for p, r in got.items()} == {p: w[0] for p, w in want.items()}
+    assert {p: r.line for p, r in got.items() if p in ("wrapped", "embedded", "inside")} == {"wrapped": 1, "embedded": 0, "inside": 40}
+    assert got["whole"].whole and not got["inside"].whole and all(r.cosine > 0.9 for r in got.values())
+
+
+def test_windows_by_hand():
+    rng, names = __import__("random").Random(1), ["red", "blue", "green", "a", "b"]
+    words = rng.choices(names, k=60)
+    w = license_scan.Weights([("T", "red blue green red")], 50, {"red": 9, "a": 40, "b": 3})
+    got = w.match(license_scan.terms(" ".join(words)), [], 0.1)
+    want = max(w.best(" ".join(words[i : i + 4]))[1] if w.best(" ".join(words[i : i + 4])) else 0 for i in range(57))
+    assert got[1] == pytest.approx(want) and w.best(" ".join(words[got[2] : got[3]]))[1] == pytest.approx(want)
