@@ -81,7 +81,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, common.table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, common.table(spark, sf_dir, "labels"), keep_text=False)
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

@@ -7,19 +7,22 @@ space). A document counts once for each of its expressions, so repeated lines we
 
 with counts n, their sums N over the class and numbers V of the model's expressions with a count: what is
 discounted from the class goes to the backoff counts, which both classes share, so an expression that is rare in a
-class is smoothed towards what all documents say. An expression stays in the model where its log ratio is RATIO or
-more either way and its toxic share differs from the share of all documents by GAIN nats of log-likelihood; others are
-left to the shared counts, which cancel. Significance alone would keep common words of a hardly uneven use, the more
-of them the larger the corpus. A pair is left out if a word of it is in the model, as that says the same. At each place the longest
-expression counts.
-
-A document's features are its length-normalised log-likelihood ratio and that of its most toxic window. A logistic
-curve of them, fitted on a bounded sample of labelled documents, gives the score.
+class is smoothed towards what all documents say. All expressions of both classes count; one of no labelled document has
+the limit of the log ratio for a backoff near 0.
+
+A document's features are the difference of both classes' log-likelihoods over all its expressions, by their number, and
+the gain, in nats, of that of its expressions whose counts speak most for the toxic class. A logistic curve of them,
+fitted on a bounded sample of labelled documents, gives the score. For the fit a document's own counts are taken off, as it
+would else know its own expressions.
+
+The commonest expressions, BROADCAST_ROWS of them, go to every task; the documents' others are joined by shuffle, without
+those that a bitmap shows to be of no labelled document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,10 @@ DISCOUNT, GAIN, RATIO, MIN_DOCS, WINDOW = 0.75, 10.0, 1.0, 4, 32
 FIT_ROWS = 50_000
 #: Tables of up to so many rows go to every task (16 bytes a row); larger ones are joined.
 BROADCAST_ROWS = 2_000_000
+#: Bits, a power of two, of the map of expressions that are joined; a fuller map only lets more through.
+MAP_BITS = 1 << 27
+#: A power of two: the join runs over so many parts of the expressions, one after another, as its shuffle files are large.
+PARTS = 2
 
 
 def _expressions(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +126,10 @@ def found(docs: DataFrame, keys: DataFrame, keep_text: bool = False) -> DataFram
 
 
 def model(docs: DataFrame) -> DataFrame:
-    """(key, ratio), stored: the log ratio of toxic to ordinary of each expression that tells; docs: text, toxic (0 or 1)."""
+    """(key, ratio), stored: the log ratio of toxic to ordinary of a short list of telling expressions; docs: text, toxic (0 or 1).
+
+    Not what score() uses, which counts all expressions: see class_counts().
+    """
     toxic = common.stored(_counted(docs.where("toxic = 1")), "toxic-counts")
     kept = toxic.where(F.col("n") >= MIN_DOCS)
     ordinary = found(docs.where("toxic = 0").select("text"), kept)
@@ -213,6 +223,171 @@ def _scored(batch: pa.RecordBatch, rest: list[str], n: list[int], lists: list[li
     return pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(n, pa.int64()), *values], [*rest, "n_words", "mean_ratio", "window_ratio"])
 
 
+def class_counts(docs: DataFrame) -> DataFrame:
+    """(key, n_t, n_o), stored: toxic and ordinary documents with each expression; docs: text, toxic (0 or 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts: tuple[list, list] = ([], [])
+            for text, toxic in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parts[toxic == 1].append(np.unique(np.concatenate(_expressions(text))).view(np.int64))
+            for k, own in enumerate(parts):
+                keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *own]), return_counts=True)
+                none = np.zeros(len(n), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n if k else none), pa.array(none if k else n)], ["key", "n_t", "n_o"])
+
+    got = docs.select(F.col("text").cast("string"), "toxic").mapInArrow(run, "key long, n_t long, n_o long")
+    return common.stored(got.groupBy("key").agg(F.sum("n_t").alias("n_t"), F.sum("n_o").alias("n_o")), "class-counts")
+
+
+class Classes:
+    """Sums of both classes' counts: N and V by class, and the classes' documents."""
+
+    def __init__(self, counts: DataFrame, docs: DataFrame):
+        kinds = [F.count(F.when(F.col(c) > 0, 1)) for c in ("n_t", "n_o")]
+        got = counts.agg(F.sum("n_t"), F.sum("n_o"), *kinds).first()
+        self.n_t, self.n_o, self.v_t, self.v_o = (float(x or 0) for x in got)
+        of = {r["toxic"]: r["n"] for r in docs.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        self.docs_t, self.docs_o = float(of.get(1, 0)), float(of.get(0, 0))
+
+    def ratio(self, n_t: np.ndarray, n_o: np.ndarray) -> np.ndarray:
+        """log P_t - log P_o."""
+        if not (self.n_t and self.n_o):
+            return np.zeros(len(n_t))
+        shared = (n_t + n_o) / (self.n_t + self.n_o)
+        unseen = shared == 0
+        p_t, p_o = (
+            np.where(unseen, 0.0, np.maximum(n - DISCOUNT, 0) / of) + DISCOUNT * v / of * np.where(unseen, 1.0, shared)
+            for n, of, v in ((n_t, self.n_t, self.v_t), (n_o, self.n_o, self.v_o))
+        )
+        return np.log(p_t) - np.log(p_o)
+
+    def gain(self, n_t: np.ndarray, n_o: np.ndarray) -> np.ndarray:
+        """What the expression's own toxic share gains in log-likelihood on that of all documents; 0 where it is lower."""
+        if not (self.docs_t and self.docs_o):
+            return np.zeros(len(n_t))
+        share, own = self.docs_t / (self.docs_t + self.docs_o), n_t / np.maximum(n_t + n_o, 1)
+        rest = np.where(n_o > 0, n_o * np.log(np.maximum(1 - own, 1e-300) / (1 - share)), 0.0)
+        return np.where(own > share, n_t * np.log(np.maximum(own, 1e-300) / share) + rest, 0.0)
+
+
+class Table:
+    """Counts by expression: the commonest in arrays for all tasks, the others as a table with a bitmap of them."""
+
+    def __init__(self, counts: DataFrame, classes: Classes):
+        self.classes, self.cold, bitmap = classes, None, None
+        both = F.col("n_t") + F.col("n_o")
+        hot = counts
+        if counts.count() > BROADCAST_ROWS:
+            least, total = None, 0
+            for r in sorted(counts.groupBy(both.alias("n")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r["n"]):  # a row a count
+                total += r["rows"]
+                if total > BROADCAST_ROWS:
+                    break
+                least = r["n"]
+            hot = counts.where(both >= least) if least else counts.limit(0)
+            self.cold = counts.where(both < least) if least else counts
+            bit = F.col("key").bitwiseAND(F.lit(MAP_BITS - 1))
+            words = self.cold.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(key & 63))")).alias("bits")).toArrow()
+            bitmap = np.zeros(max(1, MAP_BITS // 64), np.int64)
+            bitmap[words.column("word").to_numpy().astype(np.int64)] = words.column("bits").to_numpy().astype(np.int64)
+        got = hot.toArrow()
+        keys, n_t, n_o = (got.column(c).to_numpy().astype(np.int64) for c in ("key", "n_t", "n_o"))
+        order = np.argsort(keys)
+        self.sent = counts.sparkSession.sparkContext.broadcast((keys[order], n_t[order].astype(np.int32), n_o[order].astype(np.int32), bitmap))
+
+
+def _split(text: bytes | None, table: tuple) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, expressions, counts of those in the arrays, and the others that the bitmap lets through."""
+    keys, n_t, n_o, bitmap = table
+    words, pairs = _expressions(text)
+    own = np.unique(np.append(words, pairs)).view(np.int64)
+    hit = np.zeros(len(own), bool)
+    at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+    if len(keys):
+        hit = keys[at] == own
+    counts = np.zeros((2, len(own)))
+    counts[0, hit], counts[1, hit] = n_t[at[hit]], n_o[at[hit]]
+    cold = own[~hit]
+    if bitmap is not None:
+        bit = cold & (64 * len(bitmap) - 1)
+        cold = cold[(bitmap[bit >> 6] >> (bit & 63)) & 1 == 1]
+    else:
+        cold = cold[:0]
+    return len(words), len(own), counts[0], counts[1], cold
+
+
+def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False, leave_out: bool = False) -> DataFrame:
+    """docs, without text unless it is kept, with n_words, mean_ratio and top_gain.
+
+    leave_out: a document's own counts, by its column toxic, are taken off those of its expressions.
+    """
+    rest = [c for c in docs.columns if c != "text" or keep_text]
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema)
+    sent, classes, has_cold = table.sent, table.classes, table.cold is not None
+    text, own_class = F.col("text").cast("string"), F.col("toxic").cast("int") if leave_out else F.lit(None).cast("int")
+    row = F.xxhash64(text, own_class)
+    unseen = float(classes.ratio(np.zeros(1), np.zeros(1))[0])
+
+    def values(n_t: np.ndarray, n_o: np.ndarray, toxic: np.ndarray | int | None) -> tuple[np.ndarray, np.ndarray]:
+        n_t, n_o = (np.maximum(n - (toxic == c), 0) for n, c in ((n_t, 1), (n_o, 0)))
+        return classes.ratio(n_t, n_o), classes.gain(n_t, n_o)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            texts, marks = (batch.column(batch.num_columns - k) for k in (2, 1))
+            for t, toxic in zip(texts.cast(pa.binary()).to_pylist(), marks.to_pylist(), strict=True):
+                n_words, n, n_t, n_o, _ = _split(t, sent.value)
+                ratio, gain = values(n_t, n_o, toxic)
+                for column, x in zip(out, (n_words, n, float(ratio.sum()), float(gain.max(initial=0.0))), strict=True):
+                    column.append(x)
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *[pa.array(c, k) for c, k in zip(out, types, strict=True)]], [*rest, *["row_key"] * has_cold, "n_words", "n_kinds", "own_sum", "own_top"])
+
+    with_row = [row.alias("row_key")] if has_cold else []
+    mark = own_class.alias("class_of")
+    rows = docs.select(*rest, *with_row, text.alias("expressions_of"), mark)
+    rows = rows.mapInArrow(run, f"{kinds}{'row_key long, ' if has_cold else ''}n_words long, n_kinds long, own_sum double, own_top double")
+    total, top = F.col("own_sum"), F.col("own_top")
+    if has_cold:
+
+        def others(batches: Iterator[pa.RecordBatch], part: int, parts: int) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                names, found, marks = [], [], []
+                for name, t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    cold = _split(t, sent.value)[4]
+                    cold = cold[(cold >> 40) & (parts - 1) == part]
+                    names.append(np.full(len(cold), name, np.int64))
+                    found.append(cold)
+                    marks.append(np.full(len(cold), -1 if toxic is None else toxic, np.int8))
+                columns = [np.concatenate([np.empty(0, k), *x]) for k, x in ((np.int64, names), (np.int64, found), (np.int8, marks))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_key", "key", "class_of"])
+
+        def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n_t, n_o, marks = (batch.column(k).to_numpy().astype(float) for k in (1, 2, 3))
+                ratio, gain = values(n_t, n_o, marks)
+                # whole numbers, so that a sum does not depend on its order
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.rint((ratio - unseen) * 2**32).astype(np.int64)), pa.array(gain)], ["row_key", "more", "top"])
+
+        sums = None
+        for k in range(PARTS):
+            parts = docs.select(row.alias("row_key"), text.alias("expressions_of"), mark).mapInArrow(partial(others, part=k, parts=PARTS), "row_key long, key long, class_of byte")
+            cold = table.cold.where(F.shiftright("key", 40).bitwiseAND(F.lit(PARTS - 1)) == k)
+            parts = parts.repartition("key").distinct().join(cold, "key").select("row_key", "n_t", "n_o", "class_of")
+            own = parts.mapInArrow(rated, "row_key long, more long, top double").groupBy("row_key").agg(F.sum("more").alias("more"), F.max("top").alias("top"))
+            own = common.stored(own, "part-likelihoods")
+            sums = own if sums is None else sums.union(own)
+        sums = sums.groupBy("row_key").agg(F.sum("more").alias("more"), F.max("top").alias("top"))
+        copies = docs.select(row.alias("row_key")).groupBy("row_key").agg(F.count("*").alias("copies"))
+        sums = common.stored(sums.join(copies, "row_key"), "joined-likelihoods")
+        rows = common.look_up(rows, sums, ["row_key"], "copies", F.col("n_words"))
+        total = total + F.coalesce(F.col("more") / F.lit(float(2**32)), F.lit(0.0))
+        top = F.greatest(top, F.coalesce("top", F.lit(0.0)))
+    return rows.select(*[F.col(f"`{c}`") for c in rest], "n_words", (total / F.greatest("n_kinds", F.lit(1))).alias("mean_ratio"), top.alias("top_gain"))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights, the intercept first, by Newton's method; ridge on all but the intercept."""
     x = np.column_stack([np.ones(len(x)), x])
@@ -228,14 +403,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """The model and the logistic curve's weights, learned as score() says."""
+def trained(docs: DataFrame, labels: DataFrame) -> tuple[Table, np.ndarray]:
+    """The counts and the logistic curve's weights, learned as score() says."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     if labels.count() <= BROADCAST_ROWS:
         marks = F.broadcast(marks)
     known = docs.where(~held_out()).join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
-    fitted = model(known)
-    rated = features(known, fitted).select("doc_id", "toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
+    counts = class_counts(known)
+    fitted = Table(counts, Classes(counts, known))
+    rated = likelihoods(known, fitted, leave_out=True).select("doc_id", "toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
     rows = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("toxic", "x0", "x1").collect()
     return fitted, logistic(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
 
@@ -247,18 +423,18 @@ def held_out() -> Column:
 
 def _shaped() -> list[Column]:
     """Roots, as a ratio says more near 0."""
-    return [F.signum(c) * F.sqrt(F.abs(c)) for c in ("mean_ratio", "window_ratio")]
+    return [F.signum(c) * F.sqrt(F.abs(c)) for c in ("mean_ratio", "top_gain")]
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs (doc_id, text and any other columns) with n_words, mean_ratio, window_ratio and score, a row for each.
+def score(docs: DataFrame, labels: DataFrame, keep_text: bool = True) -> DataFrame:
+    """docs (doc_id, text and any other columns) with n_words, mean_ratio, top_gain and score, a row for each.
 
     Learns from labels (doc_id, toxic) of documents that aren't held out. Null labels are no labels; of several for a
     doc_id the largest counts. A null doc_id has no label. Null and empty texts have ratios of 0 and so the
-    score of a document without any telling expression. Without labels of both classes that is the smoothed
+    score of a document whose expressions say nothing. Without labels of both classes that is the smoothed
     share of toxic labels, for all.
     """
     fitted, w = trained(docs, labels)
     a, b = _shaped()
     z = F.lit(float(w[0])) + a * float(w[1]) + b * float(w[2])
-    return features(docs, fitted, keep_text=True).withColumn("score", 1 / (1 + F.exp(-z)))
+    return likelihoods(docs, fitted, keep_text).withColumn("score", 1 / (1 + F.exp(-z)))

@@ -89,3 +89,26 @@ def test_pipeline(spark, docs, empty, tmp_path):
         assert (now.count() > 0) == (table is docs)
     got = pipeline.run(spark, str(tmp_path))
     assert sorted(got.columns) == sorted(["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]) and got.count() > 0
+
+
+def test_all_expressions_count(spark, monkeypatch):
+    """Rare expressions of both classes count, by hand, whether sent to all tasks or joined."""
+    rows = [("bad word", 1), ("bad luck", 1), ("good word", 0), ("good day", 0), ("good", 0)]
+    docs = spark.createDataFrame(rows, "text string, toxic int")
+    counts = toxicity.class_counts(docs)
+    classes = toxicity.Classes(counts, docs)
+    assert (classes.n_t, classes.n_o, classes.v_t, classes.v_o) == (6, 7, 5, 5)
+
+    def ratio(t, o):
+        shared = (t + o) / 13
+        return np.log((max(t - 0.75, 0) + 0.75 * 5 * shared) / 6) - np.log((max(o - 0.75, 0) + 0.75 * 5 * shared) / 7)
+
+    want = (ratio(1, 0) + ratio(1, 1) + np.log(7 / 6)) / 3  # luck, word, and their pair that no document has
+    monkeypatch.setattr(toxicity, "MAP_BITS", 64)
+    for rows_most in (2_000_000, 2, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_ROWS", rows_most)
+        table = toxicity.Table(counts, classes)
+        got = toxicity.likelihoods(spark.createDataFrame([("luck word",), ("luck word",), (None,)], "text string"), table).collect()
+        assert sorted(r.mean_ratio for r in got) == pytest.approx(sorted([0.0, want, want]))
+        own = toxicity.likelihoods(docs.where("text = 'bad luck'"), table, leave_out=True).first()
+        assert own.mean_ratio == pytest.approx((ratio(1, 0) + 2 * np.log(7 / 6)) / 3)
