@@ -86,14 +86,20 @@ def resampled_paths(macro: DataFrame, names: list[str], n_paths: int, horizon: i
 
 
 def coefficient_fan(rows: DataFrame, horizon: int, n_boot: int, block: int = 6, seed: int = 0) -> DataFrame:
-    """Bands of B over refits on resampled months; the cohort stays. A month drawn k times weighs its rows k times."""
+    """Bands of B over refits of hazard and erosion on resampled months; the cohort stays.
+
+    A month drawn k times weighs its rows k times; increments are of the observed months, before they are drawn.
+    """
     alive = panel.alive(rows).withColumn("book", F.lit("book"))
     times = uncertainty.block_months(rows, n_boot, block, seed).groupBy("boot_id", "month_int").agg(F.count("*").alias("k"))
+    steps = paths_.increments(rows.drop("weight")).persist()
     curves = None
     for b in range(n_boot):
-        drawn = rows.join(F.broadcast(times.where(F.col("boot_id") == b).select("month_int", "k")), "month_int").withColumn("w", F.col("w") * F.col("k"))
+        own_times = F.broadcast(times.where(F.col("boot_id") == b).select("month_int", "k"))
+        drawn = rows.join(own_times, "month_int").withColumn("w", F.col("w") * F.col("k"))
         hazard = models.fit_hazard(drawn, HAZARD, 1e-3, 0.5)
-        own = runoff.roll(alive, hazard.raw, hazard.b0, {}, 0.0, horizon, ["book"]).select(F.lit(b).alias("path_id"), "h", "B")
+        erosion, b0 = models.fit_erosion(steps.join(own_times, "month_int").withColumn("weight", F.col("weight") * F.col("k")), EROSION)
+        own = runoff.roll(alive, hazard.raw, hazard.b0, erosion, b0, horizon, ["book"]).select(F.lit(b).alias("path_id"), "h", "B")
         curves = own if curves is None else curves.unionByName(own)
     return rates.bands(curves, [], [0.05, 0.5, 0.95])
 

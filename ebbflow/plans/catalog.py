@@ -772,7 +772,7 @@ def ml5_penalty_grid(spark, d):
 
     rows = V.model_rows(spark, d).persist()
     folds = validate.walk_forward(rows, 6, step=12)
-    return rounded(models.penalty_grid(rows, books.HAZARD, folds, [1e-4, 1e-2], [0.0, 1.0]), 4)
+    return rounded(models.penalty_grid(rows, books.HAZARD, folds, [1e-5 * 10 ** (4 * k / 7) for k in range(8)], [0.0, 0.25, 0.5, 0.75, 1.0]), 4)
 
 
 @query()
@@ -819,14 +819,14 @@ def va11_back_test(spark, d):
     return rounded(books.leaderboard(errors), 4)
 
 
-def _fan(spark, d):
+def _fan(spark, d, n_paths: int = 30):
     from ..operators import books
 
     rows = V.model_rows(spark, d).persist()
     hazard, erosion, b0 = books.fit_segment(rows)
     names = ["money_market", "cpi_yoy", "oil_brent"]
     months = rows.groupBy("month_int").agg(*[F.max(n).alias(n) for n in names])
-    return books.roll_paths(panel.alive(rows), books.resampled_paths(months, names, 30, 24), hazard, erosion, b0, 24)
+    return books.roll_paths(panel.alive(rows), books.resampled_paths(months, names, n_paths, 24), hazard, erosion, b0, 24)
 
 
 @query()
@@ -836,11 +836,11 @@ def ss1_scenario_fan(spark, d):
 
 @query()
 def ss1_wal_levels(spark, d):
-    return rounded(rates.wal_levels(_fan(spark, d), [0.01, 0.05, 0.5, 0.95, 0.99]), 4)
+    return rounded(rates.wal_levels(_fan(spark, d, 2000), [0.01, 0.05, 0.5, 0.95, 0.99]), 4)
 
 
 @query()
 def un7_coefficient_fan(spark, d):
     from ..operators import books
 
-    return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(), 24, 5), 4)
+    return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(), 120, 20), 4)

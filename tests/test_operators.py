@@ -290,3 +290,15 @@ def test_fan_of_constant_paths_is_the_roll(spark):
     assert len(fan) == 21 and all(r.B == pytest.approx(base[r.h]) for r in fan)
     up = paths.withColumn("money_market", F.lit(9.0))
     assert all(r.B < base[r.h] for r in books.roll_paths(df, up, hz, {"money_market": -0.01}, 0.0, 6).collect() if r.h)
+
+
+def test_coefficient_fan_rolls_with_refitted_erosion(spark, monkeypatch):
+    from ebbflow.operators import books
+    from ebbflow.plans import views
+
+    erosions = []
+    roll = books.runoff.roll
+    monkeypatch.setattr(books.runoff, "roll", lambda alive, coef, b0, erosion, *more: erosions.append(erosion) or roll(alive, coef, b0, erosion, *more))
+    got = books.coefficient_fan(views.model_rows(spark, "/root/testdata/sf0.001").persist(), 3, 2).collect()
+    assert len(got) == 4 and len(erosions) == 2 and erosions[0] != erosions[1]
+    assert all(set(e) == set(books.EROSION) for e in erosions)
