@@ -318,11 +318,12 @@ def _joined(rows: DataFrame, words: int, p: int, q: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def _large(members: DataFrame, texts: DataFrame, words: int, p: int, q: int, sets_most: int) -> DataFrame:
-    """Edges of blocks that are dealt out: members (node, block, n_shingles)."""
+def _large(members: DataFrame, texts: DataFrame, words: int, p: int, q: int, sets_most: int, tokens_most: int) -> DataFrame:
+    """Edges of blocks that are dealt out, a part by its sets or their tokens, whichever makes more: members (node, block, n_shingles)."""
+    pieces = F.greatest(F.ceil(F.count("*") / sets_most), F.ceil(F.sum("n_shingles") / tokens_most))
     band = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(q / p)))  # linked sets: same or next
     members = members.withColumn("band", band)
-    parts = members.groupBy("block", "band").agg(F.ceil(F.count("*") / sets_most).alias("parts"), F.min("node").alias("anchor"))
+    parts = members.groupBy("block", "band").agg(pieces.alias("parts"), F.min("node").alias("anchor"))
     parts = common.stored(parts, "block-parts")
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     dealt = common.stored(members.join(parts.select("block", "band", "parts"), ["block", "band"]).withColumn("part", part), "block-members")
@@ -336,8 +337,8 @@ def _large(members: DataFrame, texts: DataFrame, words: int, p: int, q: int, set
     label = F.coalesce("component", "node").alias("label")
     labelled = common.stored(dealt.join(found, "node", "left").select(*dealt.columns, label), "block-labels")
     main = labelled.groupBy("block", "label").count().groupBy("block").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
-    outside = labelled.join(main, "block").where("label <> main").select("node", "block", "band", "label")
-    chunks = outside.groupBy("block", "band").agg(F.ceil(F.count("*") / sets_most).alias("chunks")).withColumnRenamed("band", "own_band")
+    outside = labelled.join(main, "block").where("label <> main").select("node", "block", "band", "label", "n_shingles")
+    chunks = outside.groupBy("block", "band").agg(pieces.alias("chunks")).withColumnRenamed("band", "own_band")
     outside = outside.withColumnRenamed("band", "own_band").join(chunks, ["block", "own_band"])
     outside = outside.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("chunks")))
     near = F.explode(F.array(F.col("own_band") - 1, "own_band", F.col("own_band") + 1)).alias("band")
@@ -385,7 +386,7 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     if large.count():
         of_large = common.stored(members.join(large, "block"), "large-nodes")
         own = common.stored(of_large.select("node").distinct().join(texts, "node"), "large-texts")
-        found = found.union(graph.components(_large(of_large, own, words, p, q, block_sets)))
+        found = found.union(graph.components(_large(of_large, own, words, p, q, block_sets, block_tokens)))
     found = found.groupBy("node").agg(F.min("component").alias("component"))
     named = classes.join(found, "node", "left").select(*prints, "copies", F.coalesce("component", "node").alias("component_id"))
     out = common.look_up(sets.select("doc_id", *prints), named, prints, "copies", F.coalesce("doc_id", "print_a"))

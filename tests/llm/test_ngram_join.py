@@ -89,3 +89,19 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(30)] + [(100, 90), (None, 3), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in graph.components(edges).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 90, 90: 90}
+
+
+def test_long_near_copies_are_dealt_by_tokens(spark, monkeypatch):
+    words, rows = [f"w{i}" for i in range(300)], []
+    for k in range(40):
+        rows.append((k, " ".join([*words[: 7 * k], f"own{k}", *words[7 * k + 1 :]])))
+    docs, tasks, joined = spark.createDataFrame(rows, "doc_id long, text string"), [], ngram_join._joined
+
+    def spied(dealt, *more):
+        tasks.extend(r["count"] for r in dealt.groupBy("task").count().collect())
+        return joined(dealt, *more)
+
+    monkeypatch.setattr(ngram_join, "_joined", spied)
+    got = ngram_join.components(docs, 5, 80, 100, block_sets=512, block_tokens=2000).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 40
+    assert max(tasks) < 20
