@@ -1,28 +1,30 @@
 """Class-conditional Kneser-Ney models of toxic and ordinary documents.
 
-Expressions are words and pairs of neighbouring words (A-Z lower-cased, parted by ASCII punctuation and white
-space). A document counts once for each of its expressions, so repeated lines weigh no more. Of class c
-
-    P_c(e) = max(n_c(e) - D, 0) / N_c  +  D V_c / N_c * (n_t(e) + n_o(e)) / (N_t + N_o)
-
-with counts n, their sums N over the class and numbers V of the model's expressions with a count: what is
-discounted from the class goes to the backoff counts, which both classes share, so an expression that is rare in a
-class is smoothed towards what all documents say. All expressions of both classes count; one of no labelled document has
-the limit of the log ratio for a backoff near 0.
-
-A document's features are the difference of both classes' log-likelihoods over all its expressions, by their number, and
-the gain, in nats, of that of its expressions whose counts speak most for the toxic class. A logistic curve of them,
-fitted on a bounded sample of labelled documents, gives the score. For the fit a document's own counts are taken off, as it
-would else know its own expressions.
-
-The commonest expressions, BROADCAST_ROWS of them, go to every task; the documents' others are joined by shuffle, without
-those that a bitmap shows to be of no labelled document.
+Words are A-Z lower-cased and parted by ASCII punctuation and white space; a document is the set of its pairs (h, w) of
+neighbouring words, the first after a start mark, so repeated lines weigh no more. Class c has n_c(h, w) documents with a
+pair, n_c(h) their sum over w, and c_c(w) different words before w; C_c is its sum and c(w), C are those of both classes
+together. With the discounts D(1) = 1 and D(n) = 0.75 of larger counts, and M for what is discounted from a sum,
+
+    P_c(w | h) = max(n_c(h, w) - D, 0) / n_c(h)  +  M_c(h) / n_c(h) * P_c(w)
+    P_c(w)     = max(c_c(w) - D, 0) / C_c        +  M_c / C_c * c(w) / C
+
+so a pair backs off to its class's continuation counts and these to continuation counts that both classes share: what one
+document alone of a class says is smoothed away altogether. All pairs and words of both classes count. A history that a
+class hasn't seen has P_c(w); of a word of no class the ratio is the limit for c(w) near 0.
+
+The log ratio of a document's likelihoods is a sum over its pairs of u(w), the ratio of P_c(w), of l(h), the ratio of what
+is discounted, and, where a class has the pair twice or more, of log(1 + (n_c - D) / (M_c(h) P_c(w))). So the tables hold
+numbers by word and by pair, and words and pairs that no class has twice need no row. A document's features are that
+ratio by number of pairs, and the log odds of the one of its words and pairs whose counts surely speak most for the toxic
+class (two standard errors below the odds of its counts), as one insult in a long text does not show in a mean. A logistic curve of them, fitted on labelled documents that aren't counted, at most FIT_ROWS, gives the score.
+
+The commonest words and pairs, BROADCAST_ROWS of them, go to every task; the documents' others are joined by shuffle,
+without those that a bitmap shows to have no row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,407 +34,349 @@ from pyspark.sql import functions as F
 from . import common
 from .shingles import mixed, word_hashes
 
-DISCOUNT, GAIN, RATIO, MIN_DOCS, WINDOW = 0.75, 10.0, 1.0, 4, 32
-#: Labelled documents, by smallest hash of doc_id, that the logistic curve is fitted on: so many at most.
-FIT_ROWS = 50_000
-#: Tables of up to so many rows go to every task (16 bytes a row); larger ones are joined.
-BROADCAST_ROWS = 2_000_000
-#: Bits, a power of two, of the map of expressions that are joined; a fuller map only lets more through.
+#: Discounts of a count of one and of larger counts.
+DISCOUNT_ONE, DISCOUNT = 1.0, 0.75
+#: Share of the labelled documents that the logistic curve is fitted on and that aren't counted; at most so many.
+FIT_SHARE, FIT_ROWS = 0.2, 20_000
+#: Rows of the tables that go to every task at most, 20 bytes each.
+BROADCAST_ROWS = 4_000_000
+#: Bits, a power of two, of the map of rows that are joined; a fuller map only lets more through.
 MAP_BITS = 1 << 27
-#: A power of two: the join runs over so many parts of the expressions, one after another, as its shuffle files are large.
-PARTS = 2
-
-
-def _expressions(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    words = word_hashes(text or b"", plain=True)
-    return words, mixed(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + mixed(words[1:]))
+#: Bytes of labelled text whose pairs one task counts, on average, and pairs that a task adds up before sending them.
+BUCKET_BYTES, CHUNK_PAIRS = 8 << 20, 1 << 21
+#: Labels of up to so many documents go to every task.
+BROADCAST_LABELS = 2_000_000
+_SALTS = np.uint64(15)
 
+PARTS = "kind byte, a long, b long, x1 long, x2 long, x3 double, x4 double"
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(key, first, second, n): documents with each expression; of a word, first is the word and second null."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                parts = []
-                for text in batch.column(0).slice(at, 256).cast(pa.binary()).to_pylist():
-                    words, pairs = _expressions(text)
-                    own, where = np.unique(pairs, return_index=True)
-                    parts.append((np.unique(words), own, words[where], words[where + 1]))
-                one, two, first, second = (np.concatenate([p[k] for p in parts]).view(np.int64) for k in range(4))
-                second = pa.array(np.append(np.zeros(len(one), np.int64), second), mask=np.arange(len(one) + len(two)) < len(one))
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(one, two)), pa.array(np.append(one, first)), second], ["key", "first", "second"])
+def _pairs(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """(h, w) of each word of a text: the word before it, 0 at the start, and itself."""
+    words = word_hashes(text or b"", plain=True)
+    return np.append(np.zeros(1, np.uint64), words)[:-1] if len(words) else words, words
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "key long, first long, second long").groupBy("key").agg(
-        F.first("first").alias("first"), F.first("second").alias("second"), F.count("*").alias("n")
-    )
 
+def _keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mixed(h * np.uint64(0x9E3779B97F4A7C15) + mixed(w))
 
-def found(docs: DataFrame, keys: DataFrame, keep_text: bool = False) -> DataFrame:
-    """docs, without text unless it is kept, with n_words and places: (at, key) of the expressions in keys, in order.
 
-    keys: (key). Up to BROADCAST_ROWS of them are sent to all tasks; more are joined with the documents' expressions.
-    """
-    rest = [c for c in docs.columns if c != "text" or keep_text]
-    kinds = docs.select(*rest).schema
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    text = F.col("text").cast("string")
-    if keys.count() <= BROADCAST_ROWS:
-        known = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in keys.select("key").collect()], np.int64)))
+def _unique(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, histories and words of a document's different pairs."""
+    h, w = _pairs(text)
+    keys, at = np.unique(_keys(h, w), return_index=True)
+    return keys, h[at], w[at]
 
-        def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = known.value
-            for batch in batches:
-                sizes, at, key, counts = [], [], [], []
-                for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist():
-                    words, pairs = (x.view(np.int64) for x in _expressions(t))
-                    hits = []
-                    for x in (pairs, words):
-                        place = np.searchsorted(table, x)
-                        hits.append(np.flatnonzero(table[np.minimum(place, len(table) - 1)] == x) if len(table) else np.empty(0, np.int64))
-                    sizes.append(len(words))
-                    own = np.append(hits[0], hits[1])
-                    order = np.argsort(own, kind="stable")
-                    at.append(own[order])
-                    key.append(np.append(pairs[hits[0]], words[hits[1]])[order])
-                    counts.append(len(own))
-                ends = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-                flat = pa.StructArray.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *x])) for x in (at, key)], ["at", "key"])
-                out = [*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, flat)]
-                yield pa.RecordBatch.from_arrays(out, [*rest, "n_words", "places"])
-
-        types = f"{names + ', ' if names else ''}n_words long, places array<struct<at: long, key: long>>"
-        return docs.select(*rest, text.alias("expressions_of")).mapInArrow(look, types)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                words, pairs = (x.view(np.int64) for x in _expressions(t))
-                at = np.append(np.arange(len(pairs)), np.arange(len(words)))
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(at), pa.int64()), pa.array(at), pa.array(np.append(pairs, words))], ["row", "at", "key"])
 
-    numbered = docs.withColumn("row", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
-    parts = numbered.select("row", text.alias("text")).mapInArrow(spread, "row long, at long, key long").join(keys.select("key").distinct(), "key")
-    places = parts.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("at", "key"))).alias("own"))  # equal rows share theirs
+def discounted(n: np.ndarray) -> np.ndarray:
+    return np.where(n == 1, DISCOUNT_ONE, np.minimum(n, DISCOUNT))
 
-    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = [len(_expressions(t)[0]) for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64())], [*rest, "row", "n_words"])
 
-    rows = numbered.select(*rest, "row", text.alias("expressions_of")).mapInArrow(sized, f"{names + ', ' if names else ''}row long, n_words long")
-    empty = F.array().cast("array<struct<at: long, key: long>>")
-    return rows.join(places, "row", "left").select(*[F.col(f"`{c}`") for c in rest], "n_words", F.coalesce("own", empty).alias("places"))
+# --- counts ------------------------------------------------------------------------------------------------------
 
 
-def model(docs: DataFrame) -> DataFrame:
-    """(key, ratio), stored: the log ratio of toxic to ordinary of a short list of telling expressions; docs: text, toxic (0 or 1).
+def counted(docs: DataFrame) -> DataFrame:
+    """Counts of docs (text, toxic: 0 or 1), stored, in rows of three kinds.
 
-    Not what score() uses, which counts all expressions: see class_counts().
+    0: a pair (a, b) that a class has twice or more: toxic and ordinary documents with it. 1: part of a history a: sums of
+    both classes and what is discounted from them. 2: part of a word a: its histories in each class and in any.
+    Pairs meet by history and a few bits of the word, so a common history is counted in several tasks.
     """
-    toxic = common.stored(_counted(docs.where("toxic = 1")), "toxic-counts")
-    kept = toxic.where(F.col("n") >= MIN_DOCS)
-    ordinary = found(docs.where("toxic = 0").select("text"), kept)
-    once = F.array_distinct(F.transform("places", lambda p: p["key"]))
-    both = docs.groupBy("toxic").agg(F.count("*").alias("docs")).collect()
-    docs_of = {r["toxic"]: r["docs"] for r in both}
-    counts = ordinary.select(F.explode(once).alias("key")).groupBy("key").agg(F.count("*").alias("n_o"))
-    counts = kept.withColumnRenamed("n", "n_t").join(counts, "key", "left").na.fill(0, ["n_o"])
-    counts = common.stored(counts, "class-counts")
-    if not docs_of.get(1) or not docs_of.get(0):
-        return counts.select("key", F.lit(0.0).alias("ratio")).limit(0)
-    share = docs_of[1] / (docs_of[0] + docs_of[1])
-    own = F.col("n_t") / (F.col("n_t") + F.col("n_o"))
-    gain = F.col("n_t") * F.log(own / share) + F.when(F.col("n_o") > 0, F.col("n_o") * F.log((1 - own) / (1 - share))).otherwise(0.0)
-    types = counts.agg(F.count("*").alias("t"), F.count(F.when(F.col("n_o") > 0, 1)).alias("o"), F.sum("n_t").alias("nt")).first()
-    # places of a class in proportion to its documents: the ordinary counts are of the kept expressions only
-    n_t = float(max(1, types["nt"] or 0))
-    n_o = n_t * docs_of[0] / docs_of[1]
-    shared = (F.col("n_t") + F.col("n_o")) / (n_t + n_o)
-
-    def p(n: str, of: float, kinds: int):
-        return F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / of + max(DISCOUNT * max(1, kinds) / of, 1e-6) * shared
-
-    rated = counts.withColumn("ratio", F.log(p("n_t", n_t, types["t"]) / p("n_o", n_o, types["o"])))
-    telling = rated.where((gain >= GAIN) & (F.abs("ratio") >= RATIO))
-    words = telling.where("second is null").select(F.col("key").alias("word"))
-    pairs = telling.where("second is not null").join(words, F.col("first") == F.col("word"), "left_anti").join(words, F.col("second") == F.col("word"), "left_anti")
-    return common.stored(telling.where("second is null").union(pairs).select("key", "ratio"), "toxicity-model")
-
-
-def _features(places: np.ndarray, ratios: np.ndarray, n_words: int) -> tuple[float, float]:
-    """Log ratio a word, of the whole document and of the most toxic WINDOW words (all, if fewer)."""
-    if not len(places):
-        return 0.0, 0.0
-    sums = np.append(0.0, np.cumsum(ratios))
-    ends = np.searchsorted(places, places + WINDOW)
-    best = (sums[ends] - sums[np.arange(len(places))]).max()
-    return float(sums[-1] / n_words), float(best / min(WINDOW, n_words))
-
-
-def features(docs: DataFrame, fitted: DataFrame, keep_text: bool = False) -> DataFrame:
-    """docs, without text unless it is kept, with n_words, mean_ratio and window_ratio; fitted: from model()."""
-    rest = [c for c in docs.columns if c != "text" or keep_text]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
-    if fitted.count() <= BROADCAST_ROWS:
-        rows = sorted((r["key"], r["ratio"]) for r in fitted.collect())
-        table = docs.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, ratios = table.value
-            for batch in batches:
-                n, got = [], []
-                for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist():
-                    words, pairs = (x.view(np.int64) for x in _expressions(t))
-                    at = np.zeros(len(words))
-                    for x in (words, pairs):  # a pair goes before its first word
-                        place = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-                        hit = np.flatnonzero(keys[place] == x) if len(keys) else []
-                        at[hit] = ratios[place[hit]]
-                    held = np.flatnonzero(at)
-                    n.append(len(words))
-                    got.append(_features(held, at[held], max(1, len(words))))
-                values = [pa.array([g[k] for g in got], pa.float64()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64()), *values], [*rest, "n_words", "mean_ratio", "window_ratio"])
-
-        text = F.col("text").cast("string").alias("expressions_of")
-        return docs.select(*rest, text).mapInArrow(run, f"{kinds}, n_words long, mean_ratio double, window_ratio double")
-    marked = found(docs, fitted, keep_text)
-    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in rest], "n_words")
-    marked = common.stored(marked.withColumn("row", row), "marked")
-    parts = marked.select("row", F.explode("places").alias("p")).select("row", "p.at", "p.key").distinct().join(fitted, "key")
-    parts = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "ratio"))).alias("own"))
-    joined = marked.join(parts, "row", "left").select(*rest, "n_words", "own")
-
-    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col("text").cast("string"))), F.lit(0))).first()[0]
+    buckets = max(1, -(-size // BUCKET_BYTES))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def chunk() -> pa.RecordBatch:
+            h, w, toxic = (np.concatenate([x[k] for x in held]) for k in range(3))
+            held.clear()
+            bucket = (mixed(h ^ mixed(w & _SALTS)) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((w, h, bucket))
+            h, w, toxic, bucket = h[order], w[order], toxic[order], bucket[order]
+            fresh = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (w[1:] != w[:-1]))))
+            n_t = np.add.reduceat(toxic.astype(np.int64), fresh)
+            n_o = np.diff(np.append(fresh, len(h))) - n_t
+            h, w, bucket = h[fresh], w[fresh], bucket[fresh]
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            columns: list[list] = [[] for _ in range(6)]
+            for i, j in zip(cuts, [*cuts[1:], len(h)], strict=True):
+                heads = np.flatnonzero(np.concatenate(([True], h[i + 1 : j] != h[i : j - 1])))
+                runs = np.diff(np.append(heads, j - i)).astype("<u4")
+                parts = (h[i:j][heads].tobytes(), runs.tobytes(), w[i:j].tobytes(), n_t[i:j].astype("<u4").tobytes(), n_o[i:j].astype("<u4").tobytes())
+                for column, value in zip(columns, (int(bucket[i]), *parts), strict=True):
+                    column.append(value)
+            kinds = [pa.int32(), *[pa.binary()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "h", "runs", "w", "n_t", "n_o"])
+
+        n = 0
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                _, h, w = _unique(text)
+                held.append((h, w, np.full(len(h), toxic == 1)))
+                n += len(h)
+                if n >= CHUNK_PAIRS:
+                    yield chunk()
+                    n = 0
+        if n:
+            yield chunk()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+            h = np.concatenate([np.repeat(np.frombuffer(x[0], "<u8"), np.frombuffer(x[1], "<u4")) for x in held])
+            w = np.concatenate([np.frombuffer(x[2], "<u8") for x in held])
+            n_t, n_o = (np.concatenate([np.frombuffer(x[k], "<u4") for x in held]).astype(np.int64) for k in (3, 4))
+            order = np.lexsort((w, h))
+            h, w, n_t, n_o = h[order], w[order], n_t[order], n_o[order]
+            fresh = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (w[1:] != w[:-1]))))
+            h, w, n_t, n_o = h[fresh], w[fresh], np.add.reduceat(n_t, fresh), np.add.reduceat(n_o, fresh)
+            seen = (n_t >= 2) | (n_o >= 2)
+            yield rows(0, h[seen], w[seen], n_t[seen], n_o[seen], None, None)
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            yield rows(1, h[first], None, *(np.add.reduceat(x, first) for x in (n_t, n_o, discounted(n_t), discounted(n_o))))
+            order = np.argsort(w, kind="stable")
+            w, n_t, n_o = w[order], n_t[order], n_o[order]
+            first = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+            any_ = np.diff(np.append(first, len(w))).astype(float)
+            yield rows(2, w[first], None, *(np.add.reduceat((x > 0).astype(np.int64), first) for x in (n_t, n_o)), any_, None)
+
+        def rows(kind: int, a: np.ndarray, *columns: np.ndarray | None) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            made = [pa.nulls(len(a), k) if c is None else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, k) for c, k in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a.view(np.int64)), *made], ["kind", "a", "b", "x1", "x2", "x3", "x4"])
+
+        now, held = None, []
         for batch in batches:
-            lists = [[(p["at"], p["ratio"]) for p in x or []] for x in batch.column(batch.num_columns - 1).to_pylist()]
-            yield _scored(batch, rest, batch.column(batch.num_columns - 2).to_pylist(), lists)
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != now and held:
+                    yield from done(held)
+                    held = []
+                now = row[0]
+                held.append(row[1:])
+        if held:
+            yield from done(held)
 
-    return joined.mapInArrow(rated, f"{kinds}, n_words long, mean_ratio double, window_ratio double")
+    sent = docs.select(F.col("text").cast("string"), "toxic").mapInArrow(send, "bucket int, h binary, runs binary, w binary, n_t binary, n_o binary")
+    return common.stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add, PARTS), "pair-counts")
 
 
-def _scored(batch: pa.RecordBatch, rest: list[str], n: list[int], lists: list[list[tuple]]) -> pa.RecordBatch:
-    got = []
-    for size, own in zip(n, lists, strict=True):
-        longest: dict[int, float] = {}
-        for at, ratio in own:  # of two at one place only one can be in the model
-            longest[at] = ratio
-        got.append(_features(np.array(list(longest), np.int64), np.array(list(longest.values())), max(1, size)))
-    values = [pa.array([g[k] for g in got], pa.float64()) for k in (0, 1)]
-    return pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(n, pa.int64()), *values], [*rest, "n_words", "mean_ratio", "window_ratio"])
+def _sure(n_t: Column, n_o: Column, share: float) -> Column:
+    """Log odds of toxic to ordinary counts beyond those of all counts, less two standard errors; 0 where that is below 0."""
+    t, o = n_t + 0.5, n_o + 0.5
+    return F.greatest(F.log(t / o) - float(np.log(share / (1 - share))) - 2 * F.sqrt(1 / t + 1 / o), F.lit(0.0))
 
 
-def class_counts(docs: DataFrame) -> DataFrame:
-    """(key, n_t, n_o), stored: toxic and ordinary documents with each expression; docs: text, toxic (0 or 1)."""
+def _kept(n: Column) -> Column:
+    """What is left of a count after its discount."""
+    return F.when(n > 1, n - DISCOUNT).otherwise(0.0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def ratios(parts: DataFrame) -> tuple[DataFrame, float]:
+    """(key, n, a, b, odds), stored, and the ratio of a word without a row; parts: from counted().
+
+    odds are of a pair's documents, or those of the pairs that a word begins, against all of both classes.
+    Of a pair a is what it adds beyond its backoff and b is 0. Of a word a is l(h) and b is u(w) beyond that of a word
+    without a row. n: of a pair its documents, of a word its pairs.
+    """
+    heads = parts.where("kind = 1").groupBy("a").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in (1, 2, 3, 4)], F.count("*").alias("rows"))
+    tails = parts.where("kind = 2").groupBy("a").agg(F.sum("x1").alias("c_t"), F.sum("x2").alias("c_o"), F.sum("x3").alias("c"))
+    heads, tails = common.stored(heads, "histories"), common.stored(tails, "continuations")
+    taken = [F.sum(F.col(c) - _kept(F.col(c))) for c in ("c_t", "c_o")]
+    total = tails.agg(F.sum("c_t"), F.sum("c_o"), F.sum("c"), *taken).first()
+    types = "key long, n double, a double, b double, odds double"
+    if not (total[0] and total[1] and total[3] and total[4]):
+        return parts.sparkSession.createDataFrame([], types), 0.0
+    c_t, c_o, c, m_t, m_o = map(float, total)
+    p_t, p_o = (_kept(F.col(n)) / of + m / of * F.col("c") / c for n, of, m in (("c_t", c_t, m_t), ("c_o", c_o, m_o)))
+    base = float(np.log(m_t / c_t) - np.log(m_o / c_o))
+    left = [F.when(F.col(n) > 0, F.log(F.col(m) / F.col(n))).otherwise(0.0) for n, m in (("x1", "x3"), ("x2", "x4"))]
+    share = heads.agg((F.sum("x1") / F.sum(F.col("x1") + F.col("x2")))).first()[0]
+    odds = _sure(F.col("x1"), F.col("x2"), share)
+    h = heads.select(F.col("a").alias("key"), F.col("x1").cast("double").alias("n_h"), (left[0] - left[1]).alias("l"), odds.alias("odds"))
+    w = tails.select(F.col("a").alias("key"), F.col("c").alias("n_w"), (F.log(p_t) - F.log(p_o) - base).alias("u"))
+    zero = F.lit(0.0)
+    words = h.join(w, "key", "full").select(
+        "key", (F.coalesce("n_h", zero) + F.coalesce("n_w", zero)).alias("n"), F.coalesce("l", zero).alias("a"), F.coalesce("u", zero).alias("b"), F.coalesce("odds", zero).alias("odds")
+    ).where("abs(a) > 1e-12 or abs(b) > 1e-12")  # the others are as good as no row
+    pairs = parts.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("w"), F.col("x1").alias("n_t"), F.col("x2").alias("n_o"))
+    # the rows of a key are at most its count, so no hot history or word is one task's
+    of_h = heads.select(F.col("a").alias("h"), F.col("x3").alias("m_t"), F.col("x4").alias("m_o"), F.col("x1").cast("long").alias("n1"), F.col("x2").alias("n2"))
+    of_h = of_h.select("h", "m_t", "m_o", (F.col("n1") + F.col("n2")).alias("rows"))
+    of_w = tails.select(F.col("a").alias("w"), p_t.alias("p_t"), p_o.alias("p_o"), F.col("c").cast("long").alias("rows"))
+    found = common.look_up(common.look_up(pairs, of_h, ["h"], "rows", F.col("w")), of_w, ["w"], "rows", F.col("h"))
+    more = [F.log1p(F.when(F.col(n) > 1, _kept(F.col(n)) / (F.col(m) * F.col(p))).otherwise(0.0)) for n, m, p in (("n_t", "m_t", "p_t"), ("n_o", "m_o", "p_o"))]
+    rated = found.select("h", "w", (F.col("n_t") + F.col("n_o")).cast("double").alias("n"), (more[0] - more[1]).alias("a"), _sure(F.col("n_t"), F.col("n_o"), share).alias("odds"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts: tuple[list, list] = ([], [])
-            for text, toxic in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts[toxic == 1].append(np.unique(np.concatenate(_expressions(text))).view(np.int64))
-            for k, own in enumerate(parts):
-                keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *own]), return_counts=True)
-                none = np.zeros(len(n), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n if k else none), pa.array(none if k else n)], ["key", "n_t", "n_o"])
-
-    got = docs.select(F.col("text").cast("string"), "toxic").mapInArrow(run, "key long, n_t long, n_o long")
-    return common.stored(got.groupBy("key").agg(F.sum("n_t").alias("n_t"), F.sum("n_o").alias("n_o")), "class-counts")
-
-
-class Classes:
-    """Sums of both classes' counts: N and V by class, and the classes' documents."""
-
-    def __init__(self, counts: DataFrame, docs: DataFrame):
-        kinds = [F.count(F.when(F.col(c) > 0, 1)) for c in ("n_t", "n_o")]
-        got = counts.agg(F.sum("n_t"), F.sum("n_o"), *kinds).first()
-        self.n_t, self.n_o, self.v_t, self.v_o = (float(x or 0) for x in got)
-        of = {r["toxic"]: r["n"] for r in docs.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        self.docs_t, self.docs_o = float(of.get(1, 0)), float(of.get(0, 0))
-
-    def ratio(self, n_t: np.ndarray, n_o: np.ndarray) -> np.ndarray:
-        """log P_t - log P_o."""
-        if not (self.n_t and self.n_o):
-            return np.zeros(len(n_t))
-        shared = (n_t + n_o) / (self.n_t + self.n_o)
-        unseen = shared == 0
-        p_t, p_o = (
-            np.where(unseen, 0.0, np.maximum(n - DISCOUNT, 0) / of) + DISCOUNT * v / of * np.where(unseen, 1.0, shared)
-            for n, of, v in ((n_t, self.n_t, self.v_t), (n_o, self.n_o, self.v_o))
-        )
-        return np.log(p_t) - np.log(p_o)
-
-    def gain(self, n_t: np.ndarray, n_o: np.ndarray) -> np.ndarray:
-        """What the expression's own toxic share gains in log-likelihood on that of all documents; 0 where it is lower."""
-        if not (self.docs_t and self.docs_o):
-            return np.zeros(len(n_t))
-        share, own = self.docs_t / (self.docs_t + self.docs_o), n_t / np.maximum(n_t + n_o, 1)
-        rest = np.where(n_o > 0, n_o * np.log(np.maximum(1 - own, 1e-300) / (1 - share)), 0.0)
-        return np.where(own > share, n_t * np.log(np.maximum(own, 1e-300) / share) + rest, 0.0)
+            h, w = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(h, w).view(np.int64)), batch.column(2), batch.column(3), pa.array(np.zeros(len(h))), batch.column(4)], ["key", "n", "a", "b", "odds"])
+
+    return common.stored(words.union(rated.mapInArrow(named, types)), "toxicity-ratios"), base
 
 
 class Table:
-    """Counts by expression: the commonest in arrays for all tasks, the others as a table with a bitmap of them."""
+    """Ratios by word and pair: the commonest in arrays for all tasks, the others as a table with a bitmap of them."""
 
-    def __init__(self, counts: DataFrame, classes: Classes):
-        self.classes, self.cold, bitmap = classes, None, None
-        both = F.col("n_t") + F.col("n_o")
-        hot = counts
-        if counts.count() > BROADCAST_ROWS:
+    def __init__(self, rated: DataFrame, base: float):
+        self.base, self.cold, bitmap = base, None, None
+        hot = rated
+        if rated.count() > BROADCAST_ROWS:
+            level = F.floor(F.log2("n") * 8)
             least, total = None, 0
-            for r in sorted(counts.groupBy(both.alias("n")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r["n"]):  # a row a count
+            for r in sorted(rated.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r["level"]):  # some hundred levels
                 total += r["rows"]
                 if total > BROADCAST_ROWS:
                     break
-                least = r["n"]
-            hot = counts.where(both >= least) if least else counts.limit(0)
-            self.cold = counts.where(both < least) if least else counts
+                least = r["level"]
+            hot = rated.where(level >= least) if least is not None else rated.limit(0)
+            self.cold = rated.where(level < least) if least is not None else rated
             bit = F.col("key").bitwiseAND(F.lit(MAP_BITS - 1))
             words = self.cold.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(key & 63))")).alias("bits")).toArrow()
             bitmap = np.zeros(max(1, MAP_BITS // 64), np.int64)
             bitmap[words.column("word").to_numpy().astype(np.int64)] = words.column("bits").to_numpy().astype(np.int64)
-        got = hot.toArrow()
-        keys, n_t, n_o = (got.column(c).to_numpy().astype(np.int64) for c in ("key", "n_t", "n_o"))
+        got = hot.select("key", *[F.col(c).cast("float") for c in ("a", "b", "odds")]).toArrow()
+        keys = got.column("key").to_numpy().astype(np.int64)
         order = np.argsort(keys)
-        self.sent = counts.sparkSession.sparkContext.broadcast((keys[order], n_t[order].astype(np.int32), n_o[order].astype(np.int32), bitmap))
-
-
-def _split(text: bytes | None, table: tuple) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, expressions, counts of those in the arrays, and the others that the bitmap lets through."""
-    keys, n_t, n_o, bitmap = table
-    words, pairs = _expressions(text)
-    own = np.unique(np.append(words, pairs)).view(np.int64)
-    hit = np.zeros(len(own), bool)
-    at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+        numbers = [got.column(c).to_numpy().astype(np.float32)[order] for c in ("a", "b", "odds")]
+        self.sent = rated.sparkSession.sparkContext.broadcast((keys[order], *numbers, bitmap))
+
+
+def _split(text: bytes | None, table: tuple) -> tuple[int, int, float, float, tuple[np.ndarray, ...]]:
+    """Words, pairs, sum and greatest odds of what is in the arrays, and (keys, times as a, times as b) that the bitmap lets through."""
+    keys, a, b, odds, bitmap = table
+    own, h, w = _unique(text)
+    words, at = np.unique(np.append(h, w), return_inverse=True)
+    all_ = np.append(own, words).view(np.int64)
+    x = np.append(np.ones(len(own)), np.bincount(at[: len(h)], minlength=len(words)))
+    y = np.append(np.zeros(len(own)), np.bincount(at[len(h) :], minlength=len(words)))
+    hit, place = np.zeros(len(all_), bool), np.zeros(len(all_), np.int64)
     if len(keys):
-        hit = keys[at] == own
-    counts = np.zeros((2, len(own)))
-    counts[0, hit], counts[1, hit] = n_t[at[hit]], n_o[at[hit]]
-    cold = own[~hit]
-    if bitmap is not None:
-        bit = cold & (64 * len(bitmap) - 1)
+        place = np.minimum(np.searchsorted(keys, all_), len(keys) - 1)
+        hit = keys[place] == all_
+    p = place[hit]
+    total, top = float(x[hit] @ a[p].astype(float) + y[hit] @ b[p].astype(float)), float(odds[p].max(initial=0.0)) if len(p) else 0.0
+    cold = np.flatnonzero(~hit) if bitmap is not None else np.empty(0, np.int64)
+    if len(cold):
+        bit = all_[cold] & (64 * len(bitmap) - 1)
         cold = cold[(bitmap[bit >> 6] >> (bit & 63)) & 1 == 1]
-    else:
-        cold = cold[:0]
-    return len(words), len(own), counts[0], counts[1], cold
-
+    return len(w), len(own), total, top, (all_[cold], x[cold].astype(np.int32), y[cold].astype(np.int32))
 
-def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False, leave_out: bool = False) -> DataFrame:
-    """docs, without text unless it is kept, with n_words, mean_ratio and top_gain.
 
-    leave_out: a document's own counts, by its column toxic, are taken off those of its expressions.
-    """
-    rest = [c for c in docs.columns if c != "text" or keep_text]
-    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema)
-    sent, classes, has_cold = table.sent, table.classes, table.cold is not None
-    text, own_class = F.col("text").cast("string"), F.col("toxic").cast("int") if leave_out else F.lit(None).cast("int")
-    row = F.xxhash64(text, own_class)
-    unseen = float(classes.ratio(np.zeros(1), np.zeros(1))[0])
-
-    def values(n_t: np.ndarray, n_o: np.ndarray, toxic: np.ndarray | int | None) -> tuple[np.ndarray, np.ndarray]:
-        n_t, n_o = (np.maximum(n - (toxic == c), 0) for n, c in ((n_t, 1), (n_o, 0)))
-        return classes.ratio(n_t, n_o), classes.gain(n_t, n_o)
+def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataFrame:
+    """docs, without text unless it is kept, with n_pairs, mean_ratio and top_odds."""
+    rest = [c for c in docs.columns if c not in ("n_pairs", "mean_ratio", "top_odds") and (c != "text" or keep_text)]
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*[F.col(f"`{c}`") for c in rest]).schema)
+    sent, has_cold = table.sent, table.cold is not None
+    text = F.col("text").cast("string")
+    row = [F.xxhash64(text).alias("row_key")] if has_cold else []  # equal texts share theirs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            texts, marks = (batch.column(batch.num_columns - k) for k in (2, 1))
-            for t, toxic in zip(texts.cast(pa.binary()).to_pylist(), marks.to_pylist(), strict=True):
-                n_words, n, n_t, n_o, _ = _split(t, sent.value)
-                ratio, gain = values(n_t, n_o, toxic)
-                for column, x in zip(out, (n_words, n, float(ratio.sum()), float(gain.max(initial=0.0))), strict=True):
-                    column.append(x)
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *[pa.array(c, k) for c, k in zip(out, types, strict=True)]], [*rest, *["row_key"] * has_cold, "n_words", "n_kinds", "own_sum", "own_top"])
-
-    with_row = [row.alias("row_key")] if has_cold else []
-    mark = own_class.alias("class_of")
-    rows = docs.select(*rest, *with_row, text.alias("expressions_of"), mark)
-    rows = rows.mapInArrow(run, f"{kinds}{'row_key long, ' if has_cold else ''}n_words long, n_kinds long, own_sum double, own_top double")
+            got = [_split(t, known)[1:4] for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
+            columns = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*rest, *["row_key"] * has_cold, "n_pairs", "own_sum", "own_top"])
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in rest], *row, text.alias("pairs_of"))
+    rows = rows.mapInArrow(run, f"{kinds}{'row_key long, ' if has_cold else ''}n_pairs long, own_sum double, own_top double")
     total, top = F.col("own_sum"), F.col("own_top")
     if has_cold:
 
-        def others(batches: Iterator[pa.RecordBatch], part: int, parts: int) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                names, found, marks = [], [], []
-                for name, t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    cold = _split(t, sent.value)[4]
-                    cold = cold[(cold >> 40) & (parts - 1) == part]
-                    names.append(np.full(len(cold), name, np.int64))
-                    found.append(cold)
-                    marks.append(np.full(len(cold), -1 if toxic is None else toxic, np.int8))
-                columns = [np.concatenate([np.empty(0, k), *x]) for k, x in ((np.int64, names), (np.int64, found), (np.int8, marks))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_key", "key", "class_of"])
-
-        def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = sent.value
             for batch in batches:
-                n_t, n_o, marks = (batch.column(k).to_numpy().astype(float) for k in (1, 2, 3))
-                ratio, gain = values(n_t, n_o, marks)
-                # whole numbers, so that a sum does not depend on its order
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.rint((ratio - unseen) * 2**32).astype(np.int64)), pa.array(gain)], ["row_key", "more", "top"])
-
-        sums = None
-        for k in range(PARTS):
-            parts = docs.select(row.alias("row_key"), text.alias("expressions_of"), mark).mapInArrow(partial(others, part=k, parts=PARTS), "row_key long, key long, class_of byte")
-            cold = table.cold.where(F.shiftright("key", 40).bitwiseAND(F.lit(PARTS - 1)) == k)
-            parts = parts.repartition("key").distinct().join(cold, "key").select("row_key", "n_t", "n_o", "class_of")
-            own = parts.mapInArrow(rated, "row_key long, more long, top double").groupBy("row_key").agg(F.sum("more").alias("more"), F.max("top").alias("top"))
-            own = common.stored(own, "part-likelihoods")
-            sums = own if sums is None else sums.union(own)
-        sums = sums.groupBy("row_key").agg(F.sum("more").alias("more"), F.max("top").alias("top"))
-        copies = docs.select(row.alias("row_key")).groupBy("row_key").agg(F.count("*").alias("copies"))
-        sums = common.stored(sums.join(copies, "row_key"), "joined-likelihoods")
-        rows = common.look_up(rows, sums, ["row_key"], "copies", F.col("n_words"))
+                names, found = [], []
+                for name, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                    own = _split(t, known)[4]
+                    names.append(np.full(len(own[0]), name, np.int64))
+                    found.append(own)
+                columns = [np.concatenate([np.empty(0, np.int64), *names])] + [np.concatenate([np.empty(0, k), *[f[i] for f in found]]) for i, k in enumerate((np.int64, np.int32, np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["row_key", "key", "x", "y"])
+
+        texts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).groupBy("row_key").agg(F.count("*").alias("copies"))
+        # a text that stands in many rows is looked up once in each task that holds it, and once again by distinct()
+        parts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).mapInArrow(others, "row_key long, key long, x int, y int")
+        parts = parts.repartition("key").distinct().join(table.cold, "key")
+        # whole numbers, so that a sum does not depend on its order
+        exact = F.round((F.col("x") * F.col("a") + F.col("y") * F.col("b")) * F.lit(float(2**32))).cast("long")
+        sums = parts.groupBy("row_key").agg(F.sum(exact).alias("more"), F.max("odds").alias("top"))
+        sums = common.stored(sums.join(texts, "row_key"), "joined-likelihoods")
+        rows = common.look_up(rows, sums, ["row_key"], "copies", F.col("n_pairs"))
         total = total + F.coalesce(F.col("more") / F.lit(float(2**32)), F.lit(0.0))
         top = F.greatest(top, F.coalesce("top", F.lit(0.0)))
-    return rows.select(*[F.col(f"`{c}`") for c in rest], "n_words", (total / F.greatest("n_kinds", F.lit(1))).alias("mean_ratio"), top.alias("top_gain"))
+    mean = F.when(F.col("n_pairs") > 0, total / F.col("n_pairs") + F.lit(table.base)).otherwise(0.0)
+    return rows.select(*[F.col(f"`{c}`") for c in rest], "n_pairs", mean.alias("mean_ratio"), top.alias("top_odds"))
+
 
+# --- scores ------------------------------------------------------------------------------------------------------
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights, the intercept first, by Newton's method; ridge on all but the intercept."""
-    x = np.column_stack([np.ones(len(x)), x])
-    w, keep = np.zeros(x.shape[1]), np.diag([0.0] + [ridge] * (x.shape[1] - 1))
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Weights, the intercept first, by Newton's method with halved steps; ridge on standardised columns, not on the intercept."""
+    mean, size = (x.mean(0), x.std(0)) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
+    size = np.where(size > 1e-9, size, 1.0)
+    z = np.column_stack([np.ones(len(x)), (x - mean) / size])
+    w, keep = np.zeros(z.shape[1]), np.diag([1e-6] + [ridge] * (z.shape[1] - 1))
     prior = (y.sum() + 0.5) / (len(y) + 1)
     w[0] = np.log(prior / (1 - prior))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + keep + 1e-6 * np.eye(len(w)), x.T @ (y - p) - keep @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, z @ w).sum() - y @ (z @ w) + w @ keep @ w / 2)
+
+    for _ in range(100 if len(x) else 0):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + keep, z.T @ (y - p) - keep @ w)
+        now, share = loss(w), 1.0
+        while share > 1e-6 and loss(w + share * step) > now:
+            share /= 2
+        w = w + share * step
+        if np.abs(share * step).max() < 1e-9:
             break
+    w[1:] /= size
+    w[0] -= w[1:] @ mean
     return w
 
 
-def trained(docs: DataFrame, labels: DataFrame) -> tuple[Table, np.ndarray]:
-    """The counts and the logistic curve's weights, learned as score() says."""
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, toxic) of labelled documents that aren't held out: those to count and those to fit the curve on."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    if labels.count() <= BROADCAST_ROWS:
+    marks = marks.where(~held_out("label_id"))
+    n = marks.count()
+    if n <= BROADCAST_LABELS:
         marks = F.broadcast(marks)
-    known = docs.where(~held_out()).join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
-    counts = class_counts(known)
-    fitted = Table(counts, Classes(counts, known))
-    rated = likelihoods(known, fitted, leave_out=True).select("doc_id", "toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
-    rows = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("toxic", "x0", "x1").collect()
-    return fitted, logistic(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
+    known = docs.join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    share = min(FIT_SHARE, FIT_ROWS / max(1, n))
+    fitted = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    return known.where(~fitted), known.where(fitted)
+
+
+def trained(docs: DataFrame, labels: DataFrame) -> tuple[Table, np.ndarray]:
+    """The ratios and the logistic curve's weights, learned as score() says."""
+    known, held = labelled(docs, labels)
+    table = Table(*ratios(counted(known)))
+    rated = likelihoods(held, table).select("toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
+    rows = rated.collect()  # about FIT_ROWS of three numbers
+    return table, logistic(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
 
 
-def held_out() -> Column:
+def held_out(name: str = "doc_id") -> Column:
     """crc32(doc_id as text) mod 3 is 1; not for a null doc_id."""
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def _shaped() -> list[Column]:
-    """Roots, as a ratio says more near 0."""
-    return [F.signum(c) * F.sqrt(F.abs(c)) for c in ("mean_ratio", "top_gain")]
+    """The root of the ratio, as it says more near 0, and the odds."""
+    return [F.signum("mean_ratio") * F.sqrt(F.abs("mean_ratio")), F.col("top_odds")]
 
 
 def score(docs: DataFrame, labels: DataFrame, keep_text: bool = True) -> DataFrame:
-    """docs (doc_id, text and any other columns) with n_words, mean_ratio, top_gain and score, a row for each.
+    """docs (doc_id, text and any other columns) with n_pairs, mean_ratio, top_odds and score, a row for each.
 
     Learns from labels (doc_id, toxic) of documents that aren't held out. Null labels are no labels; of several for a
     doc_id the largest counts. A null doc_id has no label. Null and empty texts have ratios of 0 and so the
-    score of a document whose expressions say nothing. Without labels of both classes that is the smoothed
-    share of toxic labels, for all.
+    score of a document whose words say nothing. Without labels of both classes that is the smoothed
+    share of toxic labels among those the curve is fitted on, for all. Columns of the new names are replaced.
     """
     fitted, w = trained(docs, labels)
     a, b = _shaped()

@@ -1,7 +1,9 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
-import numpy as np
 import pytest
 
 from ebbflow.llm import toxicity
@@ -48,20 +50,70 @@ def test_held_out_labels_are_not_read(spark, corpus):
 
 def test_joined_tables_agree(corpus, monkeypatch):
     docs, labels = corpus
-    want = sorted(((r.doc_id, round(r.score, 9)) for r in toxicity.score(docs, labels).collect()), key=repr)
+    want = sorted(((r.doc_id, round(r.score, 4)) for r in toxicity.score(docs, labels).collect()), key=repr)
     monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
-    assert sorted(((r.doc_id, round(r.score, 9)) for r in toxicity.score(docs, labels).collect()), key=repr) == want
-
-
-def test_ratio_by_hand(spark):
-    rows = [("bad word", 1)] * 40 + [("good word", 0)] * 60 + [("bad", 0)]
-    got = {r.key: r.ratio for r in toxicity.model(spark.createDataFrame(rows, "text string, toxic int")).collect()}
-    key = int(toxicity._expressions(b"bad")[0].view(np.int64)[0])
-    # toxic documents hold bad, word and their pair, 40 times each
-    n_t, n_o = 120.0, 120.0 * 61 / 40
-    shared = 41 / (n_t + n_o)
-    want = np.log(((40 - 0.75) / n_t + 0.75 * 3 / n_t * shared) / ((1 - 0.75) / n_o + 0.75 * 2 / n_o * shared))
-    assert got[key] == pytest.approx(want)
+    assert sorted(((r.doc_id, round(r.score, 4)) for r in toxicity.score(docs, labels).collect()), key=repr) == want
+
+
+def _words(text):
+    return re.findall(r"[a-z0-9]+", text.lower()) if text else []
+
+
+class Plain:
+    """The models as formulas over dictionaries, a class at a time."""
+
+    def __init__(self, rows):
+        self.n, self.before = ({0: Counter(), 1: Counter()} for _ in range(2))
+        for text, toxic in rows:
+            words = _words(text)
+            self.n[toxic].update(set(zip(["", *words], words)))
+        self.any = Counter(w for _, w in set(self.n[0]) | set(self.n[1]))
+        for c in (0, 1):
+            self.before[c].update(w for _, w in self.n[c])
+
+    @staticmethod
+    def cut(n):
+        return 1.0 if n == 1 else min(n, 0.75)
+
+    def word(self, c, w):
+        counts = self.before[c]
+        total = sum(counts.values())
+        left = sum(map(self.cut, counts.values()))
+        shared = self.any[w] / sum(self.any.values()) if w in self.any else 1e-12
+        return (counts[w] - self.cut(counts[w])) / total + left / total * shared
+
+    def pair(self, c, h, w):
+        own = {x: n for (g, x), n in self.n[c].items() if g == h}
+        if not own:
+            return self.word(c, w)
+        total, n = sum(own.values()), own.get(w, 0)
+        return (n - self.cut(n)) / total + sum(map(self.cut, own.values())) / total * self.word(c, w)
+
+    def mean_ratio(self, text):
+        words = _words(text)
+        pairs = set(zip(["", *words], words))
+        toxic, ordinary = (sum(math.log(self.pair(c, h, w)) for h, w in pairs) for c in (1, 0))
+        return (toxic - ordinary) / len(pairs) if pairs else 0.0
+
+
+@pytest.mark.parametrize("rows_most", [4_000_000, 20, 0])
+def test_likelihoods_by_brute_force(spark, monkeypatch, rows_most):
+    """All pairs and words of both classes, rare ones too, whether sent to all tasks or joined, dealt out or not."""
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(25)]
+    rows = [(" ".join(rng.choices(vocabulary, k=rng.randint(1, 12))) + rng.choice(["", " vile", ", Vile v3!"]) * (i % 4 == 0), int(i % 4 == 0)) for i in range(60)]
+    rows += [(None, 1), ("", 0), ("v1 " * 40, 0), rows[0], rows[0]]
+    plain = Plain(rows)
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", rows_most)
+    monkeypatch.setattr(toxicity, "MAP_BITS", 64)
+    monkeypatch.setattr(toxicity, "BUCKET_BYTES", 300)
+    monkeypatch.setattr(toxicity, "CHUNK_PAIRS", 50)
+    table = toxicity.Table(*toxicity.ratios(toxicity.counted(spark.createDataFrame(rows, "text string, toxic int"))))
+    asked = [t for t, _ in rows] + ["vile new words", "vile", "v1", "unknown", "v3 vile v3 vile"]
+    got = toxicity.likelihoods(spark.createDataFrame([(t, k) for k, t in enumerate(asked)], "text string, k int"), table).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        assert r.mean_ratio == pytest.approx(plain.mean_ratio(asked[r.k]), abs=2e-6)
 
 
 def test_without_labels(corpus):
@@ -89,26 +141,3 @@ def test_pipeline(spark, docs, empty, tmp_path):
         assert (now.count() > 0) == (table is docs)
     got = pipeline.run(spark, str(tmp_path))
     assert sorted(got.columns) == sorted(["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]) and got.count() > 0
-
-
-def test_all_expressions_count(spark, monkeypatch):
-    """Rare expressions of both classes count, by hand, whether sent to all tasks or joined."""
-    rows = [("bad word", 1), ("bad luck", 1), ("good word", 0), ("good day", 0), ("good", 0)]
-    docs = spark.createDataFrame(rows, "text string, toxic int")
-    counts = toxicity.class_counts(docs)
-    classes = toxicity.Classes(counts, docs)
-    assert (classes.n_t, classes.n_o, classes.v_t, classes.v_o) == (6, 7, 5, 5)
-
-    def ratio(t, o):
-        shared = (t + o) / 13
-        return np.log((max(t - 0.75, 0) + 0.75 * 5 * shared) / 6) - np.log((max(o - 0.75, 0) + 0.75 * 5 * shared) / 7)
-
-    want = (ratio(1, 0) + ratio(1, 1) + np.log(7 / 6)) / 3  # luck, word, and their pair that no document has
-    monkeypatch.setattr(toxicity, "MAP_BITS", 64)
-    for rows_most in (2_000_000, 2, 0):
-        monkeypatch.setattr(toxicity, "BROADCAST_ROWS", rows_most)
-        table = toxicity.Table(counts, classes)
-        got = toxicity.likelihoods(spark.createDataFrame([("luck word",), ("luck word",), (None,)], "text string"), table).collect()
-        assert sorted(r.mean_ratio for r in got) == pytest.approx(sorted([0.0, want, want]))
-        own = toxicity.likelihoods(docs.where("text = 'bad luck'"), table, leave_out=True).first()
-        assert own.mean_ratio == pytest.approx((ratio(1, 0) + 2 * np.log(7 / 6)) / 3)
