@@ -359,8 +359,8 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
 
     Sets: distinct `words`-word shingles of the A-Z lower-cased text; a shorter text is one shingle. Null, empty
-    and white texts have no shingles, link with nothing and are their own component. Rows of one doc_id are one
-    document for components. A row without doc_id has the component of documents with an equal set, else null,
+    and white texts have no shingles, link with nothing and are their own component. Rows of one doc_id, whatever their
+    texts, are one document: all links of each row are its. A row without doc_id has the component of documents with an equal set, else null,
     and links nothing else. No rows give no rows.
     """
     common.settings(docs.sparkSession)
@@ -387,18 +387,33 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
         of_large = common.stored(members.join(large, "block"), "large-nodes")
         own = common.stored(of_large.select("node").distinct().join(texts, "node"), "large-texts")
         found = found.union(graph.components(_large(of_large, own, words, p, q, block_sets, block_tokens)))
+    # rows of one doc_id with different texts are one document, so their classes belong together
+    of_id = sets.where("doc_id is not null").groupBy("doc_id").agg(F.countDistinct(*prints).alias("texts"))
+    several = common.stored(of_id.where("texts > 1").select("doc_id"), "several-texts")
+    if several.count():
+        tied = sets.join(several, "doc_id").join(classes, prints).select("doc_id", "node").distinct()
+        least = tied.groupBy("doc_id").agg(F.min("node").alias("least"))
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = graph.components(links.union(tied.join(least, "doc_id").select(F.col("node").alias("a"), F.col("least").alias("b"))))
     found = found.groupBy("node").agg(F.min("component").alias("component"))
     named = classes.join(found, "node", "left").select(*prints, "copies", F.coalesce("component", "node").alias("component_id"))
     out = common.look_up(sets.select("doc_id", *prints), named, prints, "copies", F.coalesce("doc_id", "print_a"))
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if several.count():  # a row of one of them without shingles has no class
+        out = common.stored(out, "components")
+        whole = out.join(several, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("whole"), F.count("*").alias("rows"))
+        out = common.look_up(out, whole, ["doc_id"], "rows", F.monotonically_increasing_id()).select("doc_id", "n_shingles", F.coalesce("whole", "component_id").alias("component_id"))
+    return out
 
 
 def deduplicated(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100) -> DataFrame:
-    """docs with one document of each component: that of the smallest doc_id, and one row of it.
+    """docs with one document of each component: that of the smallest doc_id, with all its rows of different texts.
 
-    Documents without shingles all stay. Rows without doc_id stay.
+    Of rows equal in doc_id and text one stays. Documents without shingles and rows without doc_id all stay.
     """
-    found = components(docs, words, p, q)
+    text = F.col("text").cast("string")
+    docs = docs.withColumn("text_hash", F.xxhash64(text)).withColumn("text_size", F.octet_length(text))
+    found = components(docs.select("doc_id", "text"), words, p, q)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash", "text_size"])
+    return named.unionByName(docs.where("doc_id is null")).drop("text_hash", "text_size")

@@ -105,3 +105,17 @@ def test_long_near_copies_are_dealt_by_tokens(spark, monkeypatch):
     got = ngram_join.components(docs, 5, 80, 100, block_sets=512, block_tokens=2000).collect()
     assert {r.component_id for r in got} == {0} and len(got) == 40
     assert max(tasks) < 20
+
+
+def test_rows_of_one_document_tie_their_texts(spark):
+    """As the same doc_id stands with two texts, or with one and none, its links are those of all its rows."""
+    a, b, c = "a b c d e f g h", "q r s t u v w x y", "one two three four five six"
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (12, c), (12, None), (12, ""), (20, "other words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in ngram_join.components(docs, 3, 90, 100).collect()}
+    assert got == brute(rows, 3, 90, 100) | {(12, 0, 9)}
+    assert {(r[0], r[2]) for r in got} == {(3, 3), (5, 3), (7, 3), (9, 9), (12, 9), (20, 20)}
+    kept = ngram_join.deduplicated(docs).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 9, 20]
+    both = spark.createDataFrame([(5, a), (5, b), (5, b), (7, b)], "doc_id long, text string")
+    assert sorted(r.text for r in ngram_join.deduplicated(both, 3, 90, 100).collect()) == [a, b]
