@@ -53,11 +53,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, sources, pieces = mixing.mix(common.table(spark, sf_dir, "documents"))
+    rows, _, pieces = mixing.mix(common.table(spark, sf_dir, "documents"))
     taken = pieces.groupBy("source_no", "start").agg(F.sum("length").alias("taken"))
-    numbered = rows.join(F.broadcast(sources.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")))
     with_words = F.when(F.col("size") > 0, F.col("start"))  # others have no place of their own
-    joined = numbered.withColumn("start", with_words).join(taken, ["source_no", "start"], "left")
+    joined = rows.withColumn("start", with_words).join(taken, ["source_no", "start"], "left")
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 

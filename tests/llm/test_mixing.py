@@ -1,3 +1,4 @@
+import math
 import re
 
 import numpy as np
@@ -6,13 +7,47 @@ import pytest
 from ebbflow.llm import mixing
 
 
-def test_targets():
-    assert mixing.targets([100, 100, 100], [5, 2, 1]) == pytest.approx([187.5, 75, 37.5])
-    assert mixing.targets([10, 1000, 0], [5, 2, 1]) == pytest.approx([30, 980, 0])
-    assert mixing.targets([], []) == []
-    sizes = [7, 900, 3, 44, 0, 5000]
-    got = mixing.targets(sizes, [5, 2, 1, 5, 2, 1])
-    assert sum(got) == pytest.approx(sum(sizes)) and all(t <= 3 * s + 1e-9 for t, s in zip(got, sizes))
+def targets(sizes, weights, most=3.0):
+    """Round by round: sources over their bound are set to it, what they leave is shared anew."""
+    out, open_, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while open_:
+        total = sum(weights[i] for i in open_)
+        full = [i for i in open_ if left * weights[i] / total > most * sizes[i]]
+        for i in full or open_:
+            out[i] = most * sizes[i] if full else left * weights[i] / total
+        if not full:
+            break
+        left -= sum(out[i] for i in full)
+        open_ -= set(full)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [[100, 100, 100], [10, 1000, 0], [], [0, 0], [7, 900, 3, 44, 0, 5000], [1, 1, 1, 10_000, 1, 1, 2, 5, 1], [5]])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame([(f"s{i:03}", n) for i, n in enumerate(sizes)], "source string, size long")
+    got = [r.target for r in mixing.plan(rows, 8).orderBy("source_no").collect()]
+    assert got == pytest.approx(targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))]))
+
+
+def test_sources_stand_by_code_point(spark):
+    names = ["b", "a", None, "", "ä", "\U0001f600", "\uffee", "B", "ab"]
+    rows = spark.createDataFrame([(n, 10) for n in names], "source string, size long")
+    got = [r.source for r in mixing.plan(rows).orderBy("source_no").collect()]
+    assert got == [*sorted(n for n in names if n is not None), None]
+
+
+def test_drawn_is_a_fair_choice():
+    counts, seen = np.array([3, 0, 5, 2]), {}
+    for k in range(4000):
+        got = mixing.drawn(counts, 4, np.random.default_rng(k))
+        assert got.sum() == 4 and (got >= 0).all() and (got <= counts).all()
+        seen[tuple(got)] = seen.get(tuple(got), 0) + 1
+    for got, n in seen.items():
+        want = np.prod([math.comb(int(c), int(g)) for c, g in zip(counts, got)]) / math.comb(10, 4)
+        assert abs(n / 4000 - want) < 0.04
+    big = np.array([10**13, 5, 3 * 10**12])
+    got = mixing.drawn(big, 6 * 10**12, np.random.default_rng(1))
+    assert got.sum() == 6 * 10**12 and (got <= big).all() and 0 < abs(got[0] / 10**13 - 6 / 13) < 1e-5
 
 
 def test_permutation():
@@ -47,22 +82,39 @@ def test_mix(docs):
         taken[r[0]] = r[1]
     for r in by.values():
         assert abs(taken.get(r.source_no, 0) - r.target) <= max(24, 0.02 * r.target)
-    most = pieces.groupBy("source_no", "start").sum("length").join(rows.where("size > 0").join(sources, "source").select("source_no", "start", "size"), ["source_no", "start"]).collect()
+    most = pieces.groupBy("source_no", "start").sum("length").join(rows.where("size > 0").select("source_no", "start", "size"), ["source_no", "start"]).collect()
     assert all(r[2] <= 3 * r[3] for r in most)
     again = mixing.mix(docs, block=8, shard_blocks=32)[2]
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, pieces.collect()), key=repr)
 
 
-def test_mixed_documents(docs, empty):
+def test_a_hot_source_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", 4)
+    docs = spark.createDataFrame([(i % 50, f"w{i} x", "s" if i % 3 else None) for i in range(150)], "doc_id long, text string, source string")
+    rows = mixing.sized(docs).collect()
+    for source in ("s", None):
+        own = sorted((r.start, r.size) for r in rows if r.source == source)
+        assert [a for a, _ in own] == [2 * k for k in range(len(own))]
+
+
+def test_mixed_documents(spark, docs, empty):
     got = mixing.mixed_documents(docs, block=8)
     assert got.columns == docs.columns
     whole = {}
-    for r in docs.where("doc_id is not null").collect():
+    for r in docs.collect():
         whole.setdefault(r.doc_id, words(r.text))
     for r in got.collect():
         own = words(r.text)
         assert own and set(own) <= set(whole[r.doc_id]) and r.n_chars == len(r.text)
     assert mixing.mixed_documents(empty).count() == 0
+    # rows of one doc_id get words of their own, equal ones come out once; rows without doc_id take part
+    rows = [(1, "a b c d", "s", 1), (1, "q r", "s", 1), (1, "q r", "s", 1), (None, "m n", "s", 1), (None, "o", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = mixing.mixed_documents(docs, block=1).collect()
+    pieces = mixing.mix(docs, block=1)[2].groupBy("doc_id", "text_hash", "size").sum("length").collect()
+    assert sum(len(words(r.text)) for r in got) == sum(r[3] for r in pieces) and len(got) == len(pieces)
+    for r in got:
+        assert any(set(words(r.text)) <= set(words(t)) for d, t, *_ in rows if d == r.doc_id)
 
 
 def test_taken_text():
