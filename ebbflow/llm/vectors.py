@@ -19,7 +19,7 @@ def cleaned(rows: DataFrame, of_id: str, of_vector: str, zero: bool, map_: Calla
     """(row, id, size, data), stored: data is the vector's float64 bytes, row a number of its own.
 
     Without rows whose id or vector is null or that hold null or non-finite components; zero: zero vectors stay.
-    map_ is applied to the components.
+    map_ is applied to the components; where one becomes infinite the row is left out too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,7 +35,11 @@ def cleaned(rows: DataFrame, of_id: str, of_vector: str, zero: bool, map_: Calla
                 x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if not np.isfinite(x).all() or not (zero or x.any()):
                     continue
-                x = map_(x) if map_ else x
+                if map_:
+                    with np.errstate(over="ignore"):
+                        x = map_(x)
+                    if not np.isfinite(x).all():
+                        continue
                 for column, value in zip(out, (n, name, len(x), x.astype("<f8").tobytes()), strict=True):
                     column.append(value)
             types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -54,12 +58,12 @@ def matrix(data: list[bytes], size: int) -> np.ndarray:
 
 
 class Top:
-    """The k best (key, id) of each query: smallest keys, then smallest ids."""
+    """The k best (key, id) of each query: smallest keys, then smallest ids. kind: of the keys, float64 or int64."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, kind: type = np.float64):
         self.k, self.n = k, n
-        self.query, self.key, self.id = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
-        self.worst = np.full(n, np.inf)
+        self.query, self.key, self.id = np.empty(0, np.int64), np.empty(0, kind), np.empty(0, np.int64)
+        self.worst = np.full(n, np.inf if kind is np.float64 else np.iinfo(np.int64).max, kind)
 
     def add(self, query: np.ndarray, key: np.ndarray, ids: np.ndarray) -> None:
         query, key, ids = np.append(self.query, query), np.append(self.key, key), np.append(self.id, ids)
@@ -102,8 +106,6 @@ def search(rows: DataFrame, queries: DataFrame, k: int, make: Callable, kind: st
         def result():
             top = state.top
             scores = -top.key if descending else top.key
-            if kind == "long":  # the last float64 below 2^63
-                scores = np.clip(scores, -(2.0**63), 9223372036854774784.0).astype(np.int64)
             columns = [state.rows[top.query], state.ids[top.query], top.id, scores]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_row", "query_id", "id", "score"])
 

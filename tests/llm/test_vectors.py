@@ -1,3 +1,5 @@
+import pathlib
+
 import numpy as np
 import pytest
 
@@ -83,8 +85,51 @@ def test_probing_finds_the_whole_radius():
 
 
 def test_large_numbers(spark):
-    df = spark.createDataFrame([(0, [2.0**40, 1.0]), (20, [2.0**12, 3.0]), (21, [-(2.0**30), 0.0])], "vec_id long, embedding array<double>")
+    big = [[2.0**40, 1.0], [2.0**12, 3.0], [-(2.0**30), 0.0], [2.0**16 + 1 / 64, 2.0**14 + 3 / 64], [1e307, 1.0], [2.0**15 + 5 / 64, -1 / 64]]
+    names = [0, 20, 21, 40, 41, 42]
+    df = spark.createDataFrame(list(zip(names, big)), "vec_id long, embedding array<double>")
     rows = vectors.cleaned(df, "vec_id", "embedding", True, lambda v: np.floor(64 * v))
+    assert rows.count() == 5  # 64 times 1e307 is beyond double
     got = {(r.query_id, r.id): r.score for r in cover_tree.search(rows, rows.where("id % 20 = 0"), 5).collect()}
-    assert got[(0, 20)] == 9223372036854774784  # the product is above 2^63
-    assert got[(20, 21)] == -(1 << 18) * (1 << 36)
+    whole, most = {n: [int(64 * v) for v in x] for n, x in zip(names, big) if n != 41}, (1 << 63) - 1
+    for (q, n), score in got.items():
+        assert score == max(-most, min(most, sum(a * b for a, b in zip(whole[q], whole[n]))))
+    assert got[(0, 20)] == most and len(got) == 3 * 4
+    # sums beyond 2^53 that float64 would round
+    df = spark.createDataFrame([(0, [2.0**21, 1 / 64]), (1, [2.0**20, 1 / 64]), (2, [2.0**20, 2 / 64])], "vec_id long, embedding array<double>")
+    rows = vectors.cleaned(df, "vec_id", "embedding", True, lambda v: np.floor(64 * v))
+    assert [(r.id, r.score) for r in sorted(cover_tree.search(rows, rows.where("id = 0"), 5).collect(), key=lambda r: r.rank)] == [(2, (1 << 53) + 2), (1, (1 << 53) + 1)]
+
+
+def test_dual_tree_compares_a_share_of_clusters():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 16)) * 300
+    x = np.round((centres[:, None] + rng.normal(size=(40, 200, 16))).reshape(-1, 16))
+    ids = np.arange(len(x))
+    own = rng.permutation(ids)[:200]
+    dual = cover_tree.DualTree(own, own, x[own], 5)
+    dual.block(ids, ids, x)
+    assert dual.compared < 0.3 * dual.pairs
+    for k in range(0, 200, 17):
+        score = x @ x[own[k]]
+        order = [i for i in np.lexsort((ids, -score)) if i != own[k]][:5]
+        at = np.flatnonzero(dual.top.query == k)
+        assert dual.top.id[at].tolist() == order
+
+
+@pytest.mark.skipif(not pathlib.Path("/root/testdata/sf0.01/embeddings.parquet").exists(), reason="without the tables")
+def test_recall_on_the_table(spark):
+    from ebbflow.llm import queries
+
+    got = queries.op5_nearest(spark, "/root/testdata/sf0.01").collect()
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
+    held = [(r.vec_id, r.embedding) for r in table if r.embedding and all(v is not None and np.isfinite(v) for v in r.embedding) and any(r.embedding)]
+    ids, x = np.array([h[0] for h in held]), np.array([h[1] for h in held], float)
+    hits = asked = 0
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[np.flatnonzero(ids == q)[0]]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        own = [r.vec_id for r in got if r.query_id == q]
+        hits += len(set(own) & set(ids[np.lexsort((ids, d))[:10]].tolist()))
+        asked += 10
+    assert asked and hits / asked >= 0.9
