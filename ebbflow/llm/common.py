@@ -28,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master alone, one of this machine."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='ebbflow-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

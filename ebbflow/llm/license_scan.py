@@ -14,8 +14,6 @@ from . import common
 from .shingles import word_hashes
 
 THRESHOLD = 0.75
-#: Templates, as the driver holds them: so many at most.
-MAX_TEMPLATES = 10_000
 
 
 def terms(text: str | bytes) -> np.ndarray:
@@ -163,13 +161,11 @@ def matched(files: DataFrame, templates: DataFrame, threshold: float = THRESHOLD
     the passage begins, n_lines the number of all lines; whole: the passage is of several lines and all words of the text.
     Without a passage at or above threshold, and for null or empty texts, license_id, cosine, line and whole are null.
 
-    Document counts of all terms come from all files. Only files whose terms cover enough of a template are scored; the driver
+    The templates are a parameter, whole in the driver and each task. Document counts of all terms come from all files. Only files whose terms cover enough of a template are scored; the driver
     and each task hold the counts of their distinct terms, 16 bytes each.
     """
     spark = files.sparkSession
-    known = [(r[0], r[1]) for r in templates.where("license_id is not null and text is not null").select("license_id", "text").limit(MAX_TEMPLATES + 1).collect()]
-    if len(known) > MAX_TEMPLATES:
-        raise ValueError(f"over {MAX_TEMPLATES} templates")
+    known = [(r[0], r[1]) for r in templates.where("license_id is not null and text is not null").select("license_id", "text").collect()]
     counts = counted(files)
     n = counts.where("key is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     vocabulary = np.unique(np.concatenate([np.empty(0, np.int64), *[terms(text) for _, text in known]]))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 #: Rule tables of up to so many rows are broadcast, about 100 bytes each; larger ones are shuffled.
 BROADCAST_RULES = 200_000
-#: Different numbers of labels in rule hosts, and of characters in rule paths, that a rule table may have.
-MAX_SHAPES = 4096
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -37,36 +37,33 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     No rule: rule null, verdict `default`. A null URL or one without :// has an empty host and path, which
     only a rule of an empty host fits. Rules with a null part fit nothing. Rows of pages stay as they are.
 
-    Each different URL becomes its expressions: suffixes of the host of as many labels, and prefixes of the
-    path of as many characters, as some rule has. They meet the rules on 32 bits of SHA-256; then the whole
-    digest must agree.
+    Each different URL becomes its expressions: suffixes of the host and prefixes of the path, of as many labels and
+    characters as some rule has together. They meet the rules on 32 bits of SHA-256; then the whole digest must agree.
+    A URL of many pages is judged once, and its verdict does not meet them in one task.
     """
     rules = rules.where("host is not null and path is not null and verdict is not null")
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block > allow
-    shape = rules.agg(
-        F.collect_set(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths"), F.count("*").alias("n")
-    ).first()
-    if max(len(shape["labels"]), len(shape["lengths"])) > MAX_SHAPES:
-        raise ValueError("rules of too many different lengths")
+    n = rules.count()
+    near = F.broadcast if n <= BROADCAST_RULES else (lambda df: df)
+    shapes = rules.groupBy(F.size(F.split("host", r"\.")).alias("labels")).agg(F.collect_set(F.length("path")).alias("lengths"))
     rules = rules.select(
         _prefix(_digest(F.col("host"), F.col("path"))).alias("prefix"), _digest(F.col("host"), F.col("path")).alias("rule_digest"),
         F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), F.concat("host", "path").alias("rule"), "verdict").alias("best"),
     )
     host, path = host_and_path(F.col("page_url"))
-    urls = pages.select(F.col(url).alias("page_url")).distinct().select("page_url", host.alias("h"), path.alias("p"))
-    labels, lengths = (F.array(*map(F.lit, sorted(shape[k]))).cast("array<int>") for k in ("labels", "lengths"))
-    parts = urls.withColumn("parts", F.split("h", r"\."))
-    suffix = F.transform(F.filter(labels, lambda n: n <= F.size("parts")), lambda n: F.array_join(F.slice("parts", F.size("parts") - n + 1, n), "."))
-    start = F.transform(F.filter(lengths, lambda n: n <= F.length("p")), lambda n: F.substr("p", F.lit(1), n))
-    made = parts.select("page_url", "p", F.explode(suffix).alias("host_part"), start.alias("starts"))
-    made = made.select("page_url", "host_part", F.explode("starts").alias("path_part"))
+    urls = pages.select(F.col(f"`{url}`").alias("page_url")).groupBy("page_url").agg(F.count("*").alias("copies"))
+    urls = urls.select("page_url", "copies", host.alias("h"), path.alias("p")).withColumn("parts", F.split("h", r"\."))
+    suffix = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda n: F.struct(n.alias("labels"), F.array_join(F.slice("parts", F.size("parts") - n + 1, n), ".").alias("host_part")))
+    start = F.transform(F.filter("lengths", lambda n: n <= F.length("p")), lambda n: F.substr("p", F.lit(1), n))
+    made = urls.select("page_url", "copies", "p", F.explode(suffix).alias("s")).select("page_url", "copies", "p", "s.*")
+    made = made.join(near(shapes), "labels").select("page_url", "copies", "host_part", F.explode(start).alias("path_part"))
     made = made.withColumn("digest", _digest(F.col("host_part"), F.col("path_part"))).withColumn("prefix", _prefix(F.col("digest")))
-    near = F.broadcast(rules) if shape["n"] <= BROADCAST_RULES else rules
-    best = made.join(near, "prefix").where("digest = rule_digest").groupBy("page_url").agg(F.max("best").alias("best"))
+    best = made.join(near(rules), "prefix").where("digest = rule_digest").groupBy("page_url").agg(F.max("best").alias("judged_best"), F.max("copies").alias("copies"))
+    best = common.stored(best, "judged-urls")
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     own_host, own_path = host_and_path(F.col(f"`{url}`"))
-    best = best.withColumnRenamed("page_url", "judged_url").withColumnRenamed("best", "judged_best")
-    return pages.join(best, pages[url] == best["judged_url"], "left").select(
+    found = common.look_up(pages.withColumn("page_url", F.col(f"`{url}`")), best, ["page_url"], "copies", F.monotonically_increasing_id())
+    return found.select(
         *kept, own_host.alias("host"), own_path.alias("path"), F.col("judged_best.rule").alias("rule"),
         F.coalesce("judged_best.verdict", F.lit(default)).alias("verdict"),
     )

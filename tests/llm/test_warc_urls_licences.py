@@ -88,6 +88,16 @@ def test_shuffled_rules_agree(spark, pages, monkeypatch):
     assert sorted(map(repr, url_filter.judge(pages, rules).collect())) == want
 
 
+def test_many_shapes_and_one_common_url(spark):
+    hosts = [".".join(["h"] * n) for n in range(1, 30)]
+    rules = spark.createDataFrame([(h, "/" * k, "block" if k % 2 else "allow") for h in hosts for k in (1, 2, 40)], "host string, path string, verdict string")
+    rows = [(i, "s://" + "h." * 20 + "h///x", "a", "b") for i in range(300)] + [(300, "x://y.h/", "a", "b"), (301, "x://y", "a", "b"), (302, "x://h.h/", "a", None)]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, copies string, lengths string"), rules)
+    assert got.columns == ["page_id", "url", "copies", "lengths", "host", "path", "rule", "verdict"]
+    out = {r.page_id: (r.rule, r.verdict) for r in got.collect()}
+    assert {out[i] for i in range(300)} == {("h." * 20 + "h//", "allow")} and out[300] == ("h/", "block") and out[301] == (None, "allow") and out[302] == ("h.h/", "block")
+
+
 TEMPLATES = [("MIT", "Released under the MIT License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("None", None)]
 
 
