@@ -30,23 +30,21 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAP
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, n = tokens.encoder(tokenizer).encode, TaskContext.get().partitionId() << 32
+        coder, n = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            out: list[list] = [[] for _ in range(6)]
-            for at in range(0, len(ids), 64):
-                some = encode(batch.column(1).slice(at, 64).cast(pa.binary()).to_pylist())
-                for doc, x in zip(ids[at : at + 64], some, strict=True):
-                    x = np.append(x.astype("<u4"), np.uint32(end_id))
-                    for k, start in enumerate(range(0, len(x), capacity)):
-                        part = x[start : start + capacity]
-                        for column, value in zip(out, (doc, k, start, len(part), zlib.crc32(part.tobytes()), n), strict=True):
-                            column.append(value)
-                        n += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int32() if k == 1 else pa.int64()) for k, c in enumerate(out)],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "spread"],
-            )
+            ids, ends = tokens.ended(*coder.batch(batch.column(1)), end_id)
+            wide, sizes = memoryview(ids.astype("<u4")).cast("B"), np.diff(ends)
+            counts = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), counts)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            start = piece * capacity
+            length = np.minimum(sizes[row] - start, capacity)
+            first = 4 * (ends[row] + start)
+            crc = [zlib.crc32(wide[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
+            spread = n + np.arange(len(row))
+            n += len(row)
+            values = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, length)), pa.array(crc, pa.int64()), pa.array(spread)]
+            yield pa.RecordBatch.from_arrays(values, ["doc_id", "piece", "start", "length", "ids_crc32", "spread"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 

@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A worker keeps the ids of so many words at most; about 200 bytes each.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
+#: Words of Latin-1 letters, whose lower case and composed form are no question, and ASCII punctuation after them.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*%&$#()\[\]\"/-]*)")
 
 
 class WordEncoder:
-    """Ids of a text, word by word.
+    """Ids of texts, word by word.
 
-    For tokenizers whose pre-tokenizer drops white space no token spans two words, so a text's ids are
-    its words' ids one after another; each different word is encoded once. Where the tokenizer does not
-    drop white space, whole texts are encoded.
+    For tokenizers whose pre-tokenizer drops white space no token spans two words, so a text's ids are its words' ids one
+    after another. A batch's different words are found by Arrow; each is encoded once and kept for later batches. Where
+    the tokenizer lower-cases and parts letters from punctuation, which is tried out at the start, words of plain letters
+    go to its model without the normaliser, whose cost is most of encoding a word. Where it does not drop white space,
+    whole texts are encoded.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -30,41 +38,94 @@ class WordEncoder:
             for a, b in (("an", "other"), ("é", "́x"), ("1", "2."), ("'", "s"))
             for gap in (" ", "\n", " \t ")
         )
-        self.cache: dict[bytes, bytes] = {}
+        self.simple = Tokenizer.from_file(path)
+        self.simple.normalizer = normalizers.Sequence([])
+        self.simple.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        tried = ("another", "Été", "ÑANDÚ", "aßÿ", "weiß", "QUEUE")
+        self.parts = self.by_word and all(
+            self._ids([w + p])[0] == np.frombuffer(self._letters([w.lower()])[0], self.dtype).tolist() + (self._ids([p])[0] if p else [])
+            for w in tried
+            for p in ("", ".", "?!", "***", "-", '",')
+        )
+        self.words: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """Ids of each text (UTF-8; null: empty) as little-endian unsigned integers."""
-        if not self.by_word:
-            return [np.array(x, self.dtype) for x in self._ids([(t or b"").decode() for t in texts])]
-        out = []
-        for text in texts:
-            words = (text or b"").split()
-            known = self.cache
-            new = set(words).difference(known)
-            if new:
-                new = list(new)
-                made = zip(new, self._ids([w.decode() for w in new]), strict=True)
-                made = {w: np.array(x, self.dtype).tobytes() for w, x in made}
-                if len(known) + len(made) <= CACHED_WORDS:
-                    known.update(made)
-                else:
-                    known = _Both(made, known)
-            out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), self.dtype))
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-cased words of letters."""
+        if not words:
+            return []
+        found = self.simple.encode(" ".join(words), add_special_tokens=False)
+        ids, of = np.array(found.ids, self.dtype), np.array(found.word_ids, np.int64)
+        data, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(words) + 1)) * self.dtype.itemsize).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _made(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words that aren't kept yet."""
+        out: dict[bytes, bytes] = {}
+        whole, parted, stems = [], [], {}
+        for word in words:
+            m = _SIMPLE.fullmatch(word.decode()) if self.parts else None
+            if m:
+                stem, mark = m[1].lower(), m[2]
+                parted.append((word, stem, mark))
+                if stem not in self.letters:
+                    stems[stem] = b""
+                if mark not in self.letters:
+                    self.letters[mark] = np.array(self._ids([mark])[0], self.dtype).tobytes() if mark else b""
+            else:
+                whole.append(word)
+        new = list(stems)
+        stems.update(zip(new, self._letters(new), strict=True))
+        known = self.letters
+        for word, stem, mark in parted:
+            out[word] = (stems.get(stem) or known[stem]) + known[mark]
+        if len(known) + len(stems) <= CACHED_WORDS:
+            known.update(stems)
+        for word, ids in zip(whole, self._ids([w.decode() for w in whole]), strict=True):
+            out[word] = np.array(ids, self.dtype).tobytes()
         return out
 
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of UTF-8 texts: text i has ids[ends[i] : ends[i + 1]], little-endian unsigned; a null text has none."""
+        if not self.by_word:
+            made = [np.array(x, self.dtype) for x in self._ids([t or "" for t in texts.cast(pa.string()).to_pylist()])]
+            return np.concatenate([np.empty(0, self.dtype), *made]), np.cumsum([0, *map(len, made)])
+        lists = pc.ascii_split_whitespace(texts.cast(pa.string()))
+        coded = lists.flatten().dictionary_encode()
+        distinct, known = coded.dictionary.cast(pa.binary()).to_pylist(), self.words
+        gc.disable()  # none of what follows is cyclic, and the collector would walk all kept words time and again
+        made = self._made([w for w in distinct if w not in known])
+        gc.enable()
+        values = [known[w] if w in known else made[w] for w in distinct]
+        if len(known) + len(made) <= CACHED_WORDS:
+            known.update(made)
+        table = np.frombuffer(b"".join(values), self.dtype)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        n = sizes[at]
+        last = np.append(0, np.cumsum(n))
+        ids = table[np.repeat(starts[at] - last[:-1], n) + np.arange(last[-1])]
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        return ids, last[np.append(0, np.cumsum(counts, dtype=np.int64))]
 
-class _Both(dict):
-    """Words of one text beside the full cache."""
-
-    def __init__(self, own: dict, rest: dict):
-        super().__init__(own)
-        self.rest = rest
-
-    def __missing__(self, word: bytes) -> bytes:
-        return self.rest[word]
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text (UTF-8; null: empty)."""
+        ids, ends = self.batch(pa.array(texts, pa.binary()))
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def ended(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends) with end_id after each text's ids."""
+    new = ends + np.arange(len(ends))
+    out = np.full(len(ids) + len(ends) - 1, end_id, ids.dtype)
+    keep = np.ones(len(out), bool)
+    keep[new[1:] - 1] = False
+    out[keep] = ids
+    return out, new
 
 
 @lru_cache(4)
