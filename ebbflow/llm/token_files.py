@@ -1,10 +1,11 @@
 """Token ids in Arrow IPC files of fixed-size-list batches, in document order.
 
 A shard is two files. `N.arrow`: batches of columns `ids` (fixed-size list of unsigned integers) and `mask`
-(fixed-size list of booleans, false on the padding after the last id); every batch but the last has
+(fixed-size list of bytes, 1 for an id and 0 on the padding after the last one); every batch but the last has
 `batch_rows` sequences, so sequence i is row i % batch_rows of batch i // batch_rows. `N.index.arrow`:
 doc_id, start and n_tokens of each document of the shard, start within it. Ids have two bytes where the
-vocabulary fits, else four. Nothing is compressed, so a mapped file gives sequences without a copy.
+vocabulary fits, else four. Nothing is compressed, so a mapped file gives
+sequences and their masks without a copy.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ from pyspark.sql import functions as F
 from . import common, tokens
 
 SEQUENCE, BATCH_ROWS = 2048, 64
+#: Bytes of text of a shard, on average, and documents of an index batch.
+SHARD_BYTES, INDEX_ROWS = 16 << 20, 1 << 16
 MANIFEST = "shard int, path string, n_docs long, n_tokens long"
+INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 DOCS = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
 
@@ -37,20 +41,25 @@ class ShardWriter:
         self.files, self.path = _open(uri)
         self.length, self.rows, self.dtype = length, batch_rows, dtype
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))], {"batch_rows": str(batch_rows)})
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length))], {"batch_rows": str(batch_rows)})
         import uuid
 
         self.part = f"{self.path}.{uuid.uuid4().hex}.part"
         self.sink = self.files.open_output_stream(self.part)
         self.out = pa.ipc.new_file(self.sink, self.schema)
+        self.index_sink = self.files.open_output_stream(f"{self.part}.index")
+        self.index = pa.ipc.new_file(self.index_sink, INDEX)
         self.held: list[np.ndarray] = []
-        self.n_held = self.n = 0
-        self.docs: list[tuple] = []
+        self.n_held = self.n = self.n_docs = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, self.n, len(ids)))
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Documents whose ids stand one after another: document i has ids[ends[i] : ends[i + 1]]."""
+        for at in range(0, len(doc_ids), INDEX_ROWS):
+            own = ends[at : at + INDEX_ROWS + 1]
+            self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids[at : at + INDEX_ROWS], pa.array(self.n + own[:-1]), pa.array(np.diff(own))], schema=INDEX))
         self.held.append(ids)
         self.n += len(ids)
+        self.n_docs += len(doc_ids)
         self.n_held += len(ids)
         size = self.length * self.rows
         if self.n_held >= size:
@@ -61,7 +70,7 @@ class ShardWriter:
             self.n_held = len(self.held[0])
 
     def _write(self, flat: np.ndarray, real: int) -> None:
-        mask = pa.array(np.arange(len(flat)) < real)
+        mask = pa.array((np.arange(len(flat)) < real).astype(np.uint8))
         lists = [pa.FixedSizeListArray.from_arrays(x, self.length) for x in (pa.array(flat), mask)]
         self.out.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
@@ -71,10 +80,8 @@ class ShardWriter:
             self._write(np.append(flat, np.zeros(-len(flat) % self.length, self.dtype)), len(flat))
         self.out.close()
         self.sink.close()
-        ids, starts, counts = zip(*self.docs, strict=True) if self.docs else ((), (), ())
-        index = pa.table({"doc_id": pa.array(ids, pa.int64()), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(counts, pa.int64())})
-        with self.files.open_output_stream(f"{self.part}.index") as sink, pa.ipc.new_file(sink, index.schema) as out:
-            out.write_table(index, 1 << 16)
+        self.index.close()
+        self.index_sink.close()
         self.files.move(f"{self.part}.index", self.path.removesuffix(".arrow") + ".index.arrow")
         self.files.move(self.part, self.path)
 
@@ -97,10 +104,10 @@ class Shard:
         return self._batch.column(0).flatten().to_numpy()
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence i, the ids as a view of the file."""
+        """Ids and mask of sequence i, views of the file."""
         row = i % self.rows
-        ids = self._ids(i // self.rows)[row * self.length : (row + 1) * self.length]
-        return ids, self._batch.column(1).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
+        own = slice(row * self.length, (row + 1) * self.length)
+        return self._ids(i // self.rows)[own], self._batch.column(1).flatten().to_numpy()[own]
 
     def ids(self, start: int, n: int) -> np.ndarray:
         """n ids from a place in the shard."""
@@ -127,7 +134,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, length:
 
     Returns the manifest (shard, path, n_docs, n_tokens), stored; shards in order of number are the whole
     stream. Null texts are empty and have their end id alone. Null doc_ids come first; rows of one doc_id go
-    by text, nulls first. An empty table gives no shard. A task that runs again replaces its files with equal ones.
+    by a hash of the text and text, so many of them spread over shards. An empty table gives no shard. A task that runs again replaces its files with equal ones.
     """
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,22 +142,19 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, length:
 
         coder, shard, out = tokens.encoder(tokenizer), TaskContext.get().partitionId(), None
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for at in range(0, len(ids), 64):
-                out = out or ShardWriter(path := f"{folder}/{shard:06d}.arrow", coder.dtype, length, batch_rows)
-                some = coder.encode(batch.column(1).slice(at, 64).cast(pa.binary()).to_pylist())
-                for doc, x in zip(ids[at : at + 64], some, strict=True):
-                    out.add(doc, np.append(x, coder.dtype.type(end_id)))
+            out = out or ShardWriter(path := f"{folder}/{shard:06d}.arrow", coder.dtype, length, batch_rows)
+            out.add(batch.column(0), *tokens.ended(*coder.batch(batch.column(1)), end_id))
         if out:
             out.close()
-            values = ([shard], [path], [len(out.docs)], [out.n])
+            values = ([shard], [path], [out.n_docs], [out.n])
             types = (pa.int32(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], ["shard", "path", "n_docs", "n_tokens"])
 
     files, path = _open(folder)
     files.create_dir(path, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ordered = rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return common.stored(ordered.mapInArrow(save, MANIFEST), "token-manifest")
 
 
