@@ -42,18 +42,30 @@ def path(panel: DataFrame) -> DataFrame:
     )
 
 
-def cross_rank(panel: DataFrame) -> DataFrame:
+#: Rows of a month's part, about, and parts of a month at most.
+RANK_ROWS, RANK_PARTS = 100_000, 512
+
+
+def cross_rank(panel: DataFrame, rank_rows: int = RANK_ROWS) -> DataFrame:
     """xs_rank_bal: an account's rank by balance in its month, 0 to 1, ties by account_id; 0.5 if it is alone.
 
-    A month's ranks are from sorted parts: balances are dealt out in ranges, ranked within each, and the sizes of
-    the parts below are added. So no task takes a whole month.
+    A month's balances are dealt out in ranges, ranked within each, and the sizes of the parts below are added, so no
+    task takes a whole month. The ranges' bounds are computed once, and a row's part depends on them and its balance
+    alone: a stage that runs again deals it out alike.
     """
-    rows = panel.repartitionByRange("month_int", "log_balance", "account_id").withColumn("part", F.spark_partition_id())
-    sizes = rows.groupBy("month_int", "part").count()
+    shares = [k / RANK_PARTS for k in range(1, RANK_PARTS)]
+    found = panel.groupBy("month_int").agg(F.count("*").alias("n"), F.percentile_approx("log_balance", shares, 4 * RANK_PARTS).alias("at"))
+    bounds = []
+    for r in found.collect():  # a row a month
+        parts = min(RANK_PARTS, -(-r["n"] // rank_rows))
+        bounds.append((r["month_int"], r["n"], [r["at"][k * RANK_PARTS // parts - 1] for k in range(1, parts)] if r["at"] else []))
+    table = panel.sparkSession.createDataFrame(bounds, "month_int int, n long, bounds array<double>")
+    rows = panel.join(F.broadcast(table), "month_int").withColumn("part", F.size(F.filter("bounds", lambda b: b < F.col("log_balance"))))
+    sizes = rows.groupBy("month_int", "part").agg(F.count("*").alias("size"))
     below = Window.partitionBy("month_int").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("month_int", "part", F.coalesce(F.sum("count").over(below), F.lit(0)).alias("below"), F.sum("count").over(Window.partitionBy("month_int")).alias("n"))
-    own = F.row_number().over(Window.partitionBy("part", "month_int").orderBy("log_balance", "account_id"))
-    ranked = rows.withColumn("r", own).join(F.broadcast(sizes), ["month_int", "part"])  # a row for each part and month in it
+    sizes = sizes.select("month_int", "part", F.coalesce(F.sum("size").over(below), F.lit(0)).alias("below"))
+    own = F.row_number().over(Window.partitionBy("month_int", "part").orderBy("log_balance", "account_id"))
+    ranked = rows.withColumn("r", own).join(F.broadcast(sizes), ["month_int", "part"])  # a row for each part and month
     rank = F.when(F.col("n") > 1, (F.col("below") + F.col("r") - 1) / (F.col("n") - 1)).otherwise(0.5)
     return ranked.select(*panel.columns, rank.alias("xs_rank_bal"))
 
