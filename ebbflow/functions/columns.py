@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
 
-#: Segment and the keywords of which its label holds one, in order of precedence.
+#: Segments in order of precedence; a label belongs to the first of whose groups it holds every keyword.
 SEGMENTS = [
-    ("epargne", ["EPARGNE", "LIVRET"]),
-    ("decouverts", ["DECOUVERT", "DEBITEUR"]),
-    ("hb_engagement", ["ENGAGEMENT", "HORS BILAN"]),
-    ("vue_dinars", ["DINAR"]),
-    ("vue_devises", ["DEVISE"]),
-    ("vue_other", ["VUE"]),
-    ("garantie", ["GARANTIE"]),
+    ("epargne", [["EPARGNE"], ["LIVRET"]]),
+    ("decouverts", [["DECOUVERT"], ["DEBITEUR"], ["VUE", "DEBIT"]]),
+    ("hb_engagement", [["ENGAGEMENT"], ["FINANCEMENT"]]),
+    ("vue_dinars", [["VUE", "DINAR"]]),
+    ("vue_devises", [["VUE", "DEVISE"], ["VUE", "BU"]]),
+    ("vue_other", [["VUE"]]),
+    ("garantie", [["GARANTIE"]]),
 ]
 
 #: French month names without accents.
@@ -76,24 +76,43 @@ def path_month(path: Column) -> Column:
 
 def segment_of(label: Column) -> Column:
     label, out = plain_upper(label), F
-    for name, words in SEGMENTS:
+    for name, groups in SEGMENTS:
         hit = F.lit(False)
-        for w in words:
-            hit = hit | label.contains(w)
+        for words in groups:
+            own = F.lit(True)
+            for w in words:
+                own = own & label.contains(w)
+            hit = hit | own
         out = out.when(hit, name)
     return out.otherwise("other")
 
 
+#: Fixed values of the tabular calendar: days from its first day to 1970-01-01, days of 30 years.
+ISLAMIC_EPOCH, ISLAMIC_CYCLE = 492148, 10631
+
+
 def islamic(day: Column) -> tuple[Column, Column, Column]:
-    """Year, month and day of a date in the tabular Islamic calendar (civil epoch), by integer arithmetic."""
-    n = F.unix_date(day) + 2440588 - 1948440 + 10632  # days since an epoch 30 cycles are counted from
-    div = lambda a, b: F.floor(a / b).cast("long")
-    k = div(n - 1, 10631)
-    r = n - 10631 * k + 354
-    j = div(10985 - r, 5316) * div(50 * r, 17719) + div(r, 5670) * div(43 * r, 15238)
-    r = r - div(30 - j, 15) * div(17719 * j, 50) - div(j, 16) * div(15238 * j, 43) + 29
-    month = div(24 * r, 709)
-    return (30 * k + j - 30).cast("int"), month.cast("int"), (r - div(709 * month, 24)).cast("int")
+    """Year, month and day of a date in the tabular Islamic calendar (civil epoch): 11 of 30 years have a leap day.
+
+    Year y begins 354 (y - 1) + floor((3 + 11 y) / 30) days after the epoch, its month m 29 (m - 1) + floor((6 m - 1) / 11)
+    days later.
+    """
+    n = F.unix_date(day).cast("long") + ISLAMIC_EPOCH
+    whole = lambda a, b: F.floor(a / b).cast("long")
+    year = whole(30 * n + 10646, ISLAMIC_CYCLE)
+    n = n - 354 * (year - 1) - whole(3 + 11 * year, 30)
+    month = whole(11 * n + 330, 325)
+    return year.cast("int"), month.cast("int"), (n - 29 * (month - 1) - whole(6 * month - 1, 11) + 1).cast("int")
+
+
+def draw(n: Column | int, *key: Column) -> Column:
+    """Uniform on 0..n-1, by integer arithmetic that any engine can repeat."""
+    mixed = F.lit(0).cast("long")
+    for k in key:
+        mixed = (mixed * 1103515245 + k.cast("long") * 12345 + 1013904223) % 2147483647
+    mixed = (mixed * 48271) % 2147483647
+    mixed = (mixed * 48271) % 2147483647
+    return mixed % n
 
 
 def sigmoid(z: Column) -> Column:

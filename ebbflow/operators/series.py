@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # --- fractional differences and unit roots ---------------------------------------------------------------------
 
 #: 5 % critical values of the Dickey-Fuller statistic without constant, with one, with a trend.
-ADF_CRITICAL = {"nc": -1.941, "c": -2.861, "ct": -3.410}
+ADF_CRITICAL = {"nc": -1.941, "c": -2.861, "ct": -3.411}
 
 
 def difference_weights(d: float, tolerance: float = 1e-4, most: int = 400) -> list[float]:

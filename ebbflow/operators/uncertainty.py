@@ -1,4 +1,4 @@
-"""Resampling by blocks of months or by accounts, and intervals. Draws are hashes of seed, draw and slot: reruns agree."""
+"""Resampling by blocks of months or by accounts, and intervals. Draws are arithmetic on seed, draw and slot: reruns agree."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 
-def _draw(n: Column | int, *key: Column) -> Column:
-    """Uniform on 0..n-1, by integer arithmetic that any engine can repeat."""
-    mixed = F.lit(0).cast("long")
-    for k in key:
-        mixed = (mixed * 1103515245 + k.cast("long") * 12345 + 1013904223) % 2147483647
-    mixed = (mixed * 48271) % 2147483647
-    mixed = (mixed * 48271) % 2147483647
-    return mixed % n
-
-
 def block_months(months: DataFrame, n_boot: int, block: int, seed: int = 0) -> DataFrame:
     """(boot_id, slot, month_int) of moving-block resamples as long as the months: a block of neighbours from each start."""
     w = Window.orderBy("month_int")
@@ -26,7 +16,7 @@ def block_months(months: DataFrame, n_boot: int, block: int, seed: int = 0) -> D
     boots = months.sparkSession.range(n_boot).select(F.col("id").alias("boot_id"))
     slots = boots.crossJoin(F.broadcast(size)).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     b = F.least(F.lit(block).cast("long"), F.col("n"))
-    start = _draw(F.col("n") - b + 1, F.lit(seed), F.col("boot_id"), F.floor(F.col("slot") / b))
+    start = C.draw(F.col("n") - b + 1, F.lit(seed), F.col("boot_id"), F.floor(F.col("slot") / b))
     slots = slots.select("boot_id", "slot", (start + F.col("slot") % b).alias("k"))
     return slots.join(F.broadcast(rows), "k").select("boot_id", "slot", "month_int")  # a row a month
 
@@ -38,8 +28,8 @@ def stationary_months(months: DataFrame, n_boot: int, mean_block: int, seed: int
     size = rows.agg(F.count("*").alias("n")).where("n > 0")
     boots = months.sparkSession.range(n_boot).select(F.col("id").alias("boot_id"))
     slots = boots.crossJoin(F.broadcast(size)).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    fresh = (F.col("slot") == 0) | (_draw(mean_block, F.lit(seed + 1), F.col("boot_id"), F.col("slot")) == 0)
-    start = F.when(fresh, _draw(F.col("n"), F.lit(seed), F.col("boot_id"), F.col("slot")) - F.col("slot"))
+    fresh = (F.col("slot") == 0) | (C.draw(mean_block, F.lit(seed + 1), F.col("boot_id"), F.col("slot")) == 0)
+    start = F.when(fresh, C.draw(F.col("n"), F.lit(seed), F.col("boot_id"), F.col("slot")) - F.col("slot"))
     past = Window.partitionBy("boot_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     k = F.pmod(F.last(start, ignorenulls=True).over(past) + F.col("slot"), F.col("n"))
     return slots.select("boot_id", "slot", k.alias("k")).join(F.broadcast(rows), "k").select("boot_id", "slot", "month_int")
@@ -52,18 +42,20 @@ def monthly_bootstrap(rows: DataFrame, value: str, resampled: DataFrame) -> Data
 
 
 def cluster_bootstrap(rows: DataFrame, value: str, n_boot: int, seed: int = 0) -> DataFrame:
-    """Mean of value over accounts drawn as often as there are accounts, with replacement, an account with all its rows."""
-    sums = rows.groupBy("account_id").agg(F.sum(value).alias("s"), F.count(value).alias("n"))
-    # an account's number of draws is near Poisson(1): by the inverse of its distribution at a hash of the account
-    u = F.pmod(F.xxhash64(F.lit(seed), "boot_id", "account_id"), F.lit(1 << 52)) / float(1 << 52)
-    cuts, p, total = [], 0.36787944117144233, 0.0
-    for k in range(1, 12):
-        total += p
-        cuts.append(total)
-        p /= k
-    weight = sum(((u >= c).cast("int") for c in cuts[1:]), (u >= cuts[0]).cast("int"))
-    drawn = sums.withColumn("boot_id", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1)))).withColumn("k", weight)
-    return drawn.groupBy("boot_id").agg((F.sum(F.col("k") * F.col("s")) / F.sum(F.col("k") * F.col("n"))).alias("stat"))
+    """Mean of value over accounts drawn as often as there are accounts, with replacement, an account with all its rows.
+
+    Accounts are numbered by a hash of their id and the id, from sums over parts of the hash; slot k of draw b holds the
+    account of a number drawn from b and k. Draws are counted by account before they meet the accounts' sums.
+    """
+    sums = rows.groupBy("account_id").agg(F.sum(value).alias("s"), F.count(value).alias("n")).withColumn("part", F.substring(F.md5(F.col("account_id").cast("string")), 1, 3))
+    sizes = sums.groupBy("part").agg(F.count("*").alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("below"), F.sum("size").over(Window.partitionBy()).alias("total"))  # 4096 rows at most
+    k = F.col("below") + F.row_number().over(Window.partitionBy("part").orderBy("account_id")) - 1
+    numbered = sums.join(F.broadcast(sizes), "part").select(k.alias("k"), "total", "s", "n")
+    drawn = numbered.withColumn("boot_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_boot - 1).cast("long"))))
+    drawn = drawn.groupBy("boot_id", C.draw(F.col("total"), F.lit(seed), F.col("boot_id"), F.col("k")).alias("k")).agg(F.count("*").alias("times"))
+    return drawn.join(numbered, "k").groupBy("boot_id").agg((F.sum(F.col("times") * F.col("s")) / F.sum(F.col("times") * F.col("n"))).alias("stat"))
 
 
 def percentile_interval(stats: DataFrame, alpha: float = 0.1) -> DataFrame:

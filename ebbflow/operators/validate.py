@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
+
 
 def label_split(months: DataFrame, val: int, test: int) -> DataFrame:
     """Distinct months with train, val or test: the last `test` and the `val` before them."""
@@ -77,13 +79,14 @@ def calibration_error(table: DataFrame, by: list[str]) -> DataFrame:
 
 
 def pit(rows: DataFrame, u: Column) -> DataFrame:
-    """Randomized probability integral transform of Bernoulli outcomes; u: uniform in [0, 1), best a hash of the row's key."""
+    """Randomized probability integral transform of Bernoulli outcomes; u: uniform in [0, 1), best uniform() of the row's keys."""
     p = F.least(F.greatest("p", F.lit(1e-9)), F.lit(1 - 1e-9))
     return rows.withColumn("pit", F.when(F.col("y") == 0, u * (1 - p)).otherwise(1 - p + u * p))
 
 
-def hash_uniform(*keys: Column) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(1 << 52)) / float(1 << 52)
+def uniform(*keys: Column) -> Column:
+    """Uniform in [0, 1) by whole-number keys."""
+    return C.draw(2147483647, *keys) / 2147483647.0
 
 
 def ks_uniform(rows: DataFrame, by: list[str], value: str, key: str) -> DataFrame:
@@ -135,3 +138,10 @@ def band(curves: DataFrame, q: float) -> DataFrame:
     """B plus and minus q a month, within 0 and 1."""
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
     return curves.withColumn("low", clip(F.col("B") - q * F.col("h"))).withColumn("high", clip(F.col("B") + q * F.col("h")))
+
+
+def holdout_record(rows: DataFrame, by: list[str], key: str, u: Column) -> DataFrame:
+    """Scores of rows (p, y, w, key) in one record by group: skill(), ece of calibration_error() and pit_ks of ks_uniform()."""
+    ece = calibration_error(reliability(rows, by, key), by)
+    ks = ks_uniform(pit(rows, u), by, "pit", key).select(*by, F.col("ks").alias("pit_ks"))
+    return skill(rows, by).join(ece, by).join(ks, by)
