@@ -114,3 +114,14 @@ def realized(panel: DataFrame, cutoff: int, horizon: int) -> DataFrame:
     grid = base.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(horizon))))
     share = F.coalesce("kept", F.lit(0.0)) / F.when(F.col("total") != 0, F.col("total")).otherwise(1e-9)
     return grid.join(sums, ["segment", "h"], "left").select("segment", "h", share.alias("realized"))
+
+
+def truth_checks(panel: DataFrame, truth: DataFrame, macro_column: str) -> DataFrame:
+    """One row: events of truth (account_id, month) found at or before their month, rows after an event, negative seasoning, months filled."""
+    ends = panel.groupBy("account_id").agg(F.min(F.when(F.col("event") == 1, F.col("month_int"))).alias("event_month"), F.max("month_int").alias("last_month"))
+    found = truth.join(ends, "account_id", "left").agg(
+        F.count("*").alias("n_truth"), F.count(F.when(F.col("event_month") <= F.col("month"), 1)).alias("n_found"),
+        F.count(F.when(F.col("last_month") > F.col("event_month"), 1)).alias("after_event"),
+    )
+    rows = panel.agg(F.count(F.when(F.col("seasoning") < 0, 1)).alias("negative_seasoning"), F.count(macro_column).alias("filled"), F.count("*").alias("n_rows"))
+    return found.crossJoin(rows)

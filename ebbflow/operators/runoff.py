@@ -106,3 +106,22 @@ def transitions(states: DataFrame) -> DataFrame:
     w = Window.partitionBy("series_id").orderBy("month_int")
     moves = states.withColumn("to", F.lead("state").over(w)).where("to is not null").groupBy("series_id", F.col("state").alias("from"), "to").count()
     return moves.select("series_id", "from", "to", "count", (F.col("count") / F.sum("count").over(Window.partitionBy("series_id", "from"))).alias("share"))
+
+
+def scenario_set(alive: DataFrame, months: DataFrame, hazard: dict[str, float], hazard_b0: float, erosion: dict[str, float], erosion_b0: float, horizon: int, by: list[str]) -> DataFrame:
+    """Curves of four scenarios: base, rates 2 points up and down, and a start at the mean rate of the regime with the highest.
+
+    months: (state, money_market), a row a month.
+    """
+    rolled = lambda rows, bump: roll(rows, hazard, hazard_b0, erosion, erosion_b0, horizon, by, rate_bump=bump)
+    adverse = months.groupBy("state").agg(F.avg("money_market").alias("rate")).agg(F.max("rate").alias("money_market"))
+    start = alive.drop("money_market").crossJoin(F.broadcast(adverse))  # one row
+    out = [rolled(rows, bump).withColumn("scenario", F.lit(name)) for name, rows, bump in (("base", alive, 0.0), ("up_200bp", alive, 2.0), ("down_200bp", alive, -2.0), ("adverse_start", start, 0.0))]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def attach_posterior(rows: DataFrame, posterior: DataFrame) -> DataFrame:
+    """rows with the regime probabilities of posterior (month_int, p_1, p_2, ...), 0 where a month has none."""
+    names = [c for c in posterior.columns if c != "month_int"]
+    both = rows.join(F.broadcast(posterior), "month_int", "left")  # a row a month
+    return both.select(*rows.columns, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in names])

@@ -141,16 +141,27 @@ def jn3_as_of(spark, d):
 
 
 @query(
-    """WITH e AS (SELECT r_regionkey AS row_no, 23940 + r_regionkey * 5 AS s, 23940 + r_regionkey * 5 + 7 AS e, r_name AS state FROM region), m AS (SELECT row_no, state, unnest(generate_series(s, e)) AS month_int FROM e)
-    SELECT CAST(month_int AS INT) AS month_int, arg_max(state, row_no) AS regime_state, CAST(max(row_no) AS INT) AS severity FROM m GROUP BY month_int"""
+    """WITH e AS (SELECT o_orderkey AS row_no, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS s, max(year(l_shipdate) * 12 + month(l_shipdate) - 1) AS e, o_orderpriority AS state
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL), m AS (SELECT row_no, state, unnest(generate_series(s, e)) AS month_int FROM e WHERE s <= e)
+    SELECT CAST(month_int AS INT) AS month_int, arg_max(state, row_no) AS regime_state, CAST(substr(arg_max(state, row_no), 1, 1) AS INT) AS severity FROM m GROUP BY month_int"""
 )
 def jn5_event_months(spark, d):
-    k = F.col("r_regionkey")
-    events = V.table(spark, d, "region").select(k.alias("row_no"), (23940 + k * 5).alias("start"), (23940 + k * 5 + 7).alias("end"), F.col("r_name").alias("state"), k.alias("severity"))
-    return macro.event_months(events).select("month_int", "regime_state", "severity")
+    """Orders as intervals from order to last shipment, their priority as state and severity."""
+    items = V.table(spark, d, "lineitem").groupBy("l_orderkey").agg(C.month_of(F.max("l_shipdate")).alias("end"))
+    events = V.table(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("o_orderkey").alias("row_no"), C.month_of(F.col("o_orderdate")).alias("start"), "end", F.col("o_orderpriority").alias("state"), F.substring("o_orderpriority", 1, 1).cast("int").alias("severity")
+    )
+    return macro.event_months(events.where("start <= end")).select("month_int", "regime_state", "severity")
 
 
-@query()
+@query(
+    f"""WITH n AS (SELECT CAST(day AS DATE) AS day, date_diff('day', DATE '1970-01-01', CAST(day AS DATE)) + {C.ISLAMIC_EPOCH} AS n FROM (SELECT unnest(generate_series(DATE '1992-01-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS day)),
+    y AS (SELECT *, (30 * n + 10646) // {C.ISLAMIC_CYCLE} AS hy FROM n), p AS (SELECT *, n - 354 * (hy - 1) - (3 + 11 * hy) // 30 AS p FROM y), m AS (SELECT *, (11 * p + 330) // 325 AS hm FROM p),
+    x AS (SELECT year(day) * 12 + month(day) - 1 AS month_int, hm, p - 29 * (hm - 1) - (6 * hm - 1) // 11 + 1 AS hd, month(day) AS mo FROM m),
+    c AS (SELECT month_int, round(avg(CAST(hm = 9 AS INT)), 4) AS ramadan_frac, CAST(sum(CAST(hm = 9 AS INT)) AS BIGINT) AS ramadan_days, max(CAST(hm = 10 AND hd = 1 AS INT)) AS eid_fitr,
+        max(CAST(hm = 12 AND hd = 10 AS INT)) AS eid_adha, max(CAST(mo IN (7, 8) AS INT)) AS is_summer_vacation FROM x GROUP BY 1)
+    SELECT CAST(o.month_int AS INT) AS month_int, ramadan_frac, ramadan_days, eid_fitr, eid_adha, is_summer_vacation FROM (SELECT DISTINCT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS month_int FROM orders) o LEFT JOIN c ON o.month_int = c.month_int"""
+)
 def ag12_seasonal_calendar(spark, d):
     """Months of the orders with their share of Ramadan."""
     months = V.table(spark, d, "orders").select(C.month_of(F.col("o_orderdate")).alias("month_int")).distinct()
@@ -298,7 +309,19 @@ def ro2_book_roll(spark, d):
     return rounded(runoff.roll(alive, V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 24, ["segment"]))
 
 
-@query()
+def _rolled(scenarios: str, alive: str) -> str:
+    """SQL of the roll for scenarios (scenario, bump, start): alive is where model_rows are taken, start replaces the rate if it isn't null."""
+    return f"""alive AS (SELECT r.*, CASE WHEN w = 0 THEN 1 ELSE w END AS wt FROM model_rows r {alive}), sc AS ({scenarios}),
+    steps AS (SELECT a.*, scenario, coalesce(start, money_market) + bump AS rate, unnest(generate_series(1, 24)) AS h FROM alive a CROSS JOIN sc),
+    hz AS (SELECT *, 1 / (1 + exp(-(-1.5 - 0.01 * (seasoning + h) - 0.3 * log_balance + 0.1 * rate))) AS p, -0.002 - 0.001 * rate + 0.0001 * (seasoning + h) AS e FROM steps),
+    tracks AS (SELECT account_id, segment, scenario, wt, h, exp(sum(ln(1 - p)) OVER o) AS a, exp(sum(ln(1 - p)) OVER o) * exp(sum(e) OVER o) AS b FROM hz WINDOW o AS (PARTITION BY account_id, segment, scenario ORDER BY h)),
+    rolled AS (SELECT segment, scenario, CAST(h AS INT) AS h, sum(wt * a) / sum(wt) AS A, sum(wt * b) / sum(wt) AS B FROM tracks GROUP BY 1, 2, 3 UNION ALL SELECT DISTINCT segment, scenario, 0, 1.0, 1.0 FROM alive CROSS JOIN sc)"""
+
+
+_LAST = "JOIN (SELECT segment AS sg, max(month_int) AS m FROM model_rows GROUP BY 1) ON segment = sg AND month_int = m WHERE event = 0"
+
+
+@query(f"WITH {V.MODEL}, {_rolled("VALUES ('base', 0.0, NULL::DOUBLE), ('up_200bp', 2.0, NULL)", _LAST).replace('sc AS (', 'sc(scenario, bump, start) AS (')} SELECT segment, h, scenario, round(A, 6) AS A, round(B, 6) AS B, round(CASE WHEN A > 1e-12 THEN B / A ELSE 1 END, 6) AS r FROM rolled")
 def ro11_rate_bump(spark, d):
     """Base and +2 points of money market, side by side."""
     alive = panel.alive(V.model_rows(spark, d), ["segment"])
@@ -341,19 +364,50 @@ def _compared(spark, d):
     rows = V.account_panel(spark, d)
     real = panel.realized(rows, V.CUTOFF, V.HORIZON)
     past = rows.where(F.col("month_int") <= V.CUTOFF)
-    conv = runoff.convention(features.core_volatile(past), V.HORIZON).select("segment", "h", "B").withColumn("model", F.lit("convention"))
-    const = runoff.constant_hazard(past, V.HORIZON).withColumn("model", F.lit("constant"))
-    return runoff.errors(conv.unionByName(const), real, ["segment"])
-
+    curves = {"convention": runoff.convention(features.core_volatile(past), V.HORIZON), "constant": runoff.constant_hazard(past, V.HORIZON)}
+    from ..operators import models
 
-@query()
+    model_rows = V.model_rows(spark, d)
+    book = models.book_months(model_rows.where(F.col("month_int") <= V.CUTOFF))
+    states = book.groupBy("segment").agg(F.max_by("logbal", "month_int").alias("lb0"), F.avg("logbal").alias("eq")).withColumn("phi", F.lit(-0.1))
+    curves["reverting"] = runoff.reverting(states, V.HORIZON)
+    curves["hazard"] = runoff.roll(model_rows.where(f"month_int = {V.CUTOFF} and event = 0"), V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, V.HORIZON, ["segment"])
+    both = None
+    for name, curve in curves.items():
+        curve = curve.select("segment", "h", "B").withColumn("model", F.lit(name))
+        both = curve if both is None else both.unionByName(curve)
+    return runoff.errors(both, real, ["segment"])
+
+
+_ERRORS = f"""WITH {V.CURVES}, {V.PIT}, model_rows AS (
+    SELECT p.*, t.money_market, t.cpi_yoy, t.oil_brent, t.usd_dzd, p.balance_kda AS w FROM panel p JOIN pit t ON p.month_int = t.month_int
+    WHERE t.cpi_yoy IS NOT NULL AND t.money_market IS NOT NULL AND t.oil_brent IS NOT NULL
+), {_rolled("VALUES ('base', 0.0, NULL::DOUBLE)", f"WHERE month_int = {V.CUTOFF} AND event = 0").replace('sc AS (', 'sc(scenario, bump, start) AS (')},
+past AS (SELECT * FROM panel WHERE month_int <= {V.CUTOFF}), c AS (SELECT *, min(balance_kda) OVER (PARTITION BY account_id ORDER BY month_int ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS lo, row_number() OVER (PARTITION BY account_id ORDER BY month_int DESC) AS back FROM past),
+split AS (SELECT segment, sum(least(greatest(lo, 0), greatest(balance_kda, 0))) AS c, sum(balance_kda - least(greatest(lo, 0), greatest(balance_kda, 0))) AS v FROM c WHERE back = 1 GROUP BY 1),
+grid AS (SELECT unnest(generate_series(0, {V.HORIZON})) AS h), book AS (SELECT segment, month_int, ln(greatest(sum(balance_kda), 1e-9)) AS lb FROM model_rows WHERE month_int <= {V.CUTOFF} GROUP BY 1, 2),
+preds AS (
+    SELECT segment, h, 'convention' AS model, CASE WHEN c + v > 0 THEN (c * greatest(1 - h / 60, 0) + v * greatest(1 - h / 3, 0)) / (c + v) ELSE CAST(h = 0 AS INT) END AS B FROM split CROSS JOIN grid
+    UNION ALL SELECT segment, h, 'constant', pow(1 - rate, h) FROM (SELECT segment, avg(event) AS rate FROM past GROUP BY 1) CROSS JOIN grid
+    UNION ALL SELECT segment, h, 'reverting', exp((lb0 - eq) * (pow(0.9, h) - 1)) FROM (SELECT segment, arg_max(lb, month_int) AS lb0, avg(lb) AS eq FROM book GROUP BY 1) CROSS JOIN grid
+    UNION ALL SELECT segment, h, 'hazard', B FROM rolled
+), errors AS (SELECT p.segment, model, avg(abs(p.B - r.B)) AS mae FROM preds p JOIN curves r ON p.segment = r.segment AND p.h = r.h GROUP BY 1, 2)"""
+
+
+@query(_ERRORS + " SELECT segment, model, round(mae, 6) AS mae FROM errors")
 def ro9_model_errors(spark, d):
     return rounded(_compared(spark, d))
 
 
-@query()
+_RANKS = {"convention": 0, "constant": 1, "reverting": 2, "hazard": 3}
+
+
+@query(
+    _ERRORS + f""", ranked AS (SELECT *, min(mae) OVER (PARTITION BY segment) AS best, rank FROM errors JOIN (VALUES {", ".join(f"('{m}', {r})" for m, r in _RANKS.items())}) k(name, rank) ON model = name)
+    SELECT segment, arg_min(model, mae) AS winner, arg_min(model, rank) FILTER (WHERE mae <= best * 1.05) AS chosen FROM ranked GROUP BY 1"""
+)
 def ro10_model_choice(spark, d):
-    return runoff.pick(_compared(spark, d), ["segment"], {"convention": 0, "constant": 1})
+    return runoff.pick(_compared(spark, d), ["segment"], _RANKS)
 
 
 @query(
@@ -425,13 +479,13 @@ def _book(spark, d):
     return c.groupBy("h").agg((F.sum(F.col("b0") * F.col("B")) / F.sum("b0")).alias("B"))
 
 
-def _stressed(spark, d):
+def _stressed(spark, d, elasticity: float = 0.6):
     """Twenty paths of observed oil prices, from months three apart, over the book's curve."""
     months = V.macro_long(spark, d).where("series = 'oil_brent'")
     rows = months.select((F.row_number().over(Window.orderBy("month_int")) - 1).alias("k"), F.col("value").alias("oil"), F.count("*").over(Window.partitionBy()).alias("n"))  # a row a month
     grid = spark.range(20).select(F.col("id").alias("path_id"), F.explode(F.sequence(F.lit(1), F.lit(V.HORIZON))).alias("h"))
     paths = grid.join(F.broadcast(rows), F.col("k") == (F.col("path_id") * 3 + F.col("h")) % F.col("n"))
-    return rates.flight(_book(spark, d), rates.stress_index(paths, 36_000.0).select("path_id", "h", "stress"), 0.6)
+    return rates.flight(_book(spark, d), rates.stress_index(paths, 36_000.0).select("path_id", "h", "stress"), elasticity)
 
 
 @query(_STRESS + " SELECT h, round(quantile_cont(B, 0.05), 6) AS p5, round(quantile_cont(B, 0.5), 6) AS p50, round(quantile_cont(B, 0.95), 6) AS p95 FROM out GROUP BY h")
@@ -513,15 +567,29 @@ def va9_auc(spark, d):
     return rounded(validate.auc(V.scored(spark, d), ["segment"]))
 
 
-@query()
+def draw_sql(n: str, *keys: str) -> str:
+    """SQL of columns.draw()."""
+    out = "CAST(0 AS BIGINT)"
+    for k in keys:
+        out = f"(({out} * 1103515245 + CAST({k} AS BIGINT) * 12345 + 1013904223) % 2147483647)"
+    return f"(((({out} * 48271) % 2147483647) * 48271) % 2147483647 % ({n}))"
+
+
+_PIT = f"""WITH {V.SCORED}, u AS (SELECT *, {draw_sql("2147483647", "0", "account_id", "month_int")} / 2147483647.0 AS u, greatest(1e-9, least(1 - 1e-9, p)) AS q FROM scored),
+pits AS (SELECT *, CASE WHEN y = 0 THEN u * (1 - q) ELSE 1 - q + u * q END AS pit FROM u)"""
+_KS = """ks AS (SELECT segment, max(greatest(abs(r / n - pit), abs(pit - (r - 1) / n))) AS ks, max(n) AS n FROM (SELECT segment, pit, row_number() OVER (PARTITION BY segment ORDER BY pit, key) AS r, count(*) OVER (PARTITION BY segment) AS n FROM pits) GROUP BY 1)"""
+
+
+@query(_PIT + " SELECT segment, CAST(least(floor(pit * 10), 9) AS INT) AS bin, count(*) AS n FROM pits GROUP BY 1, 2")
 def va7_pit_counts(spark, d):
-    rows = validate.pit(V.scored(spark, d), validate.hash_uniform(F.lit(0), F.col("key")))
+    rows = validate.pit(V.scored(spark, d), validate.uniform(F.lit(0), F.col("account_id"), F.col("month_int")))
     return rows.groupBy("segment", F.least(F.floor(F.col("pit") * 10), F.lit(9)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query(_PIT + ", " + _KS + """, x AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * ks AS x FROM ks)
+    SELECT segment, round(ks, 6) AS ks, n, round(greatest(0, least(1, 2 * list_sum([pow(-1, k - 1) * exp(-2 * pow(k * x, 2)) FOR k IN generate_series(1, 100)]))), 6) AS p_value FROM x""")
 def va8_pit_ks(spark, d):
-    rows = validate.pit(V.scored(spark, d), validate.hash_uniform(F.lit(0), F.col("key")))
+    rows = validate.pit(V.scored(spark, d), validate.uniform(F.lit(0), F.col("account_id"), F.col("month_int")))
     return rounded(validate.ks_uniform(rows, ["segment"], "pit", "key"))
 
 
@@ -644,24 +712,38 @@ def wn22_realized_variance(spark, d):
 # --- uncertainty -----------------------------------------------------------------------------------------------
 
 
-@query()
+_MONTHS = f"""WITH {V.PANEL}, m AS (SELECT month_int, row_number() OVER (ORDER BY month_int) - 1 AS k FROM (SELECT DISTINCT month_int FROM panel)), sz AS (SELECT count(*) AS n FROM m),
+slots AS (SELECT boot_id, n, unnest(generate_series(0, n - 1)) AS slot FROM (SELECT unnest(generate_series(0, 49)) AS boot_id) CROSS JOIN sz), sums AS (SELECT k, sum(event) AS s, count(event) AS c FROM panel JOIN m USING (month_int) GROUP BY 1)"""
+_BLOCKS = _MONTHS + f""", taken AS (SELECT boot_id, {draw_sql("n - least(6, n) + 1", "0", "boot_id", "slot // least(6, n)")} + slot % least(6, n) AS k FROM slots),
+stats AS (SELECT boot_id, sum(s) / sum(c) AS stat FROM taken JOIN sums USING (k) GROUP BY 1)"""
+
+
+@query(_BLOCKS + " SELECT boot_id, round(stat, 6) AS stat FROM stats")
 def un1_block_bootstrap(spark, d):
     rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
     return rounded(uncertainty.monthly_bootstrap(rows, "e", uncertainty.block_months(rows, 50, 6)))
 
 
-@query()
+@query(
+    _MONTHS + f""", f AS (SELECT *, CASE WHEN slot = 0 OR {draw_sql("6", "1", "boot_id", "slot")} = 0 THEN {draw_sql("n", "0", "boot_id", "slot")} - slot END AS start FROM slots),
+    taken AS (SELECT boot_id, ((last_value(start IGNORE NULLS) OVER (PARTITION BY boot_id ORDER BY slot ROWS UNBOUNDED PRECEDING) + slot) % n + n) % n AS k FROM f)
+    SELECT boot_id, round(sum(s) / sum(c), 6) AS stat FROM taken JOIN sums USING (k) GROUP BY 1"""
+)
 def un3_stationary_bootstrap(spark, d):
     rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
     return rounded(uncertainty.monthly_bootstrap(rows, "e", uncertainty.stationary_months(rows, 50, 6)))
 
 
-@query()
+@query(
+    f"""WITH {V.PANEL}, acc AS (SELECT account_id, sum(event) AS s, count(event) AS n, row_number() OVER (ORDER BY substr(md5(account_id), 1, 3), account_id) - 1 AS k FROM panel GROUP BY 1),
+    d AS (SELECT boot_id, {draw_sql("t", "0", "boot_id", "k")} AS at FROM acc CROSS JOIN (SELECT count(*) AS t FROM acc) CROSS JOIN (SELECT unnest(generate_series(0, 49)) AS boot_id))
+    SELECT boot_id, round(sum(s) / sum(n), 6) AS stat FROM d JOIN acc ON d.at = acc.k GROUP BY 1"""
+)
 def un2_cluster_bootstrap(spark, d):
     return rounded(uncertainty.cluster_bootstrap(V.account_panel(spark, d).withColumn("e", F.col("event").cast("double")), "e", 50))
 
 
-@query()
+@query(_BLOCKS + " SELECT round(quantile_cont(stat, 0.05), 6) AS low, round(quantile_cont(stat, 0.5), 6) AS mid, round(quantile_cont(stat, 0.95), 6) AS high FROM stats")
 def un4_percentile_interval(spark, d):
     rows = V.account_panel(spark, d).withColumn("e", F.col("event").cast("double"))
     return rounded(uncertainty.percentile_interval(uncertainty.monthly_bootstrap(rows, "e", uncertainty.block_months(rows, 50, 6))))
@@ -683,10 +765,15 @@ def un6_hac_mean(spark, d):
     return rounded(uncertainty.hac_mean(V.series(spark, d)), 4)
 
 
-@query()
+@query(
+    _STRESS + """, f3 AS (SELECT path_id, h, exp(sum(ln(1 - least(1, 0.3 * stress))) OVER (PARTITION BY path_id ORDER BY h)) AS kept FROM paths), out3 AS (SELECT path_id, c.h, B * coalesce(kept, 1) AS B FROM (SELECT DISTINCT path_id FROM paths) CROSS JOIN c LEFT JOIN f3 USING (path_id, h)),
+    a AS (SELECT h, quantile_cont(B, 0.05) AS low, quantile_cont(B, 0.5) AS mid, quantile_cont(B, 0.95) AS high FROM out GROUP BY h), b AS (SELECT h, quantile_cont(B, 0.05) AS low, quantile_cont(B, 0.5) AS mid, quantile_cont(B, 0.95) AS high FROM out3 GROUP BY h)
+    SELECT a.h, round(a.mid, 6) AS mid, round(greatest(0, least(1, a.mid - sqrt((a.mid - a.low) ** 2 + (b.mid - b.low) ** 2))), 6) AS low, round(greatest(0, least(1, a.mid + sqrt((a.high - a.mid) ** 2 + (b.high - b.mid) ** 2))), 6) AS high FROM a JOIN b ON a.h = b.h"""
+)
 def un8_quadrature(spark, d):
-    fan = rates.bands(_stressed(spark, d), [], [0.05, 0.5, 0.95]).toDF("h", "low", "mid", "high")
-    return rounded(uncertainty.quadrature(fan, fan))
+    """The fans of two elasticities as one."""
+    fans = [rates.bands(_stressed(spark, d, e), [], [0.05, 0.5, 0.95]).toDF("h", "low", "mid", "high") for e in (0.6, 0.3)]
+    return rounded(uncertainty.quadrature(*fans))
 
 
 # --- profiles and payloads -------------------------------------------------------------------------------------
@@ -722,17 +809,24 @@ def cln1_plain_text(spark, d):
     return V.table(spark, d, "documents").select("doc_id", (C.plain_upper(F.col("text")) == F.col("text")).alias("is_plain"), F.length(C.header_key(F.col("text"))).alias("key_length"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_mktsegment LIKE '%BUILD%' THEN 'hit' ELSE 'other' END AS hit FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_mktsegment LIKE '%BUILD%' AND c_custkey % 3 <> 1 THEN 'hit' ELSE 'other' END AS hit FROM customer")
 def flt2_scope(spark, d):
-    rows = V.table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("rubrique"), F.lit("Ressources").alias("ressources"))
+    """Customers' segments as labels; every third is an asset, every third says nothing of it."""
+    kind = F.when(F.col("c_custkey") % 3 == 0, "Ressources").when(F.col("c_custkey") % 3 == 1, " R\u00e9mplois")
+    rows = V.table(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("rubrique"), kind.alias("ressources"))
     inside = panel.in_scope(rows, ["BUILD"]).select("c_custkey", F.lit("hit").alias("hit"))
     return rows.select("c_custkey").join(inside, "c_custkey", "left").select("c_custkey", F.coalesce("hit", F.lit("other")).alias("hit"))
 
 
-@query("SELECT page_id, count(*) AS links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"/([^\"]*)\"', 1)) AS l FROM pages) GROUP BY page_id")
-def src14_page_matches(spark, d):
-    """The extraction that quotes() uses, over all pages' links."""
-    return V.table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), 1)).alias("l")).groupBy("page_id").agg(F.count("*").alias("links"))
+@query("SELECT event_id, CAST(ts AS DATE) AS day, round(value + 0.5, 6) AS parallel, round(value / 2 + 1, 6) AS official, CASE WHEN event_id % 4 = 0 THEN round(value + 2, 6) END AS usd FROM events WHERE value > -0.5 AND event_id % 9 <> 0")
+def src14_quotes(spark, d):
+    """Events as quotes within page text, and read back; some pages hold none."""
+    v, day = F.col("value"), F.date_format("ts", "yyyy-MM-dd")
+    cell = lambda name, c: F.concat(F.lit(f',"{name}":'), c.cast("string"))
+    extra = F.when(F.col("event_id") % 4 == 0, F.concat(cell("usdBuyRate", v + 1), cell("usdSellRate", v + 3))).otherwise("")
+    quote = F.concat(F.lit('<script>x = [{"date":"'), day, F.lit('"'), cell("buyRate", v), cell("sellRate", v + 1), cell("officialBuyRate", v / 2), cell("officialSellRate", v / 2 + 2), extra, F.lit("}]</script>"))
+    pages = V.table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 9 == 0, F.lit("<p>{}</p>")).otherwise(quote).alias("html"))
+    return rounded(payloads.quotes(pages).select("event_id", "day", "parallel", "official", "usd"))
 
 
 @query("SELECT event_id, round(CAST(json_extract(props, '$.k') AS DOUBLE), 6) AS value FROM events WHERE json_extract(props, '$.k') IS NOT NULL")
@@ -844,3 +938,148 @@ def un7_coefficient_fan(spark, d):
     from ..operators import books
 
     return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(), 120, 20), 4)
+
+
+# --- text cells, read-backs and checks -------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 OR o_orderkey % 11 = 0 THEN NULL ELSE round(o_totalprice, 2) END AS value FROM orders")
+def cln3_numbers(spark, d):
+    """Prices as cells with commas and spaces, some blank or a dash."""
+    cell = F.when(F.col("o_orderkey") % 10 == 0, F.lit(" - ")).when(F.col("o_orderkey") % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(" "), F.format_number("o_totalprice", 2)))
+    return V.table(spark, d, "orders").select("o_orderkey", F.round(C.number(cell), 2).alias("value"))
+
+
+def _openings(spark, d):
+    k, day = F.col("o_orderkey") % 5, F.col("o_orderdate")
+    cell = F.when(k == 0, F.date_format(day, "M/d/yyyy")).when(k == 1, F.date_format(day, "d.M.yyyy")).when(k == 2, F.date_format(day, " MM-dd-yy")).when(k == 3, F.lit("unknown"))
+    return V.table(spark, d, "orders").select("o_orderkey", cell.alias("cell"))
+
+
+_OPENED = """opened AS (SELECT o_orderkey, o_orderkey % 5 AS k, CAST(CASE o_orderkey % 5 WHEN 0 THEN year(o_orderdate) * 12 + month(o_orderdate) - 1 WHEN 2 THEN year(o_orderdate) * 12 + month(o_orderdate) - 1
+    WHEN 1 THEN year(o_orderdate) * 12 + CASE WHEN day(o_orderdate) > 12 THEN month(o_orderdate) ELSE day(o_orderdate) END - 1 END AS INT) AS month_int FROM orders)"""
+
+
+@query(f"WITH {_OPENED} SELECT o_orderkey, month_int FROM opened")
+def cln4_opening_months(spark, d):
+    return _openings(spark, d).select("o_orderkey", C.opening_month(F.col("cell")).alias("month_int"))
+
+
+@query(f"WITH {_OPENED} SELECT count(month_int) AS parsed, count(*) FILTER (WHERE k = 3) AS unparsed, CAST(min(month_int // 12) AS INT) AS first_year, CAST(max(month_int // 12) AS INT) AS last_year FROM opened")
+def ag8_opening_dates(spark, d):
+    return dumps.opening_dates(_openings(spark, d), "cell")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(year(o_orderdate) * 12 + month(o_orderdate) - 1 AS INT) END AS month_int FROM orders")
+def cln6_path_months(spark, d):
+    """Months out of names of files and folders."""
+    k, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    name = F.array(*map(F.lit, C.FRENCH_MONTHS))[F.month(day) - 1]
+    path = F.when(k == 1, F.concat(F.lit("/a/06-EFM/EFM "), F.date_format(day, "MM yyyy"), F.lit(".csv"))).when(k == 2, F.concat(F.lit("/a/Analyses_Resultats "), F.date_format(day, "yyyy/MM"), F.lit("-"), F.initcap(name), F.lit("/x.csv"))).otherwise("/a/b.csv")
+    file = F.concat(F.lit("DAV_"), F.date_format(day, "MMyyyy"), F.lit(".txt"))
+    return V.table(spark, d, "orders").select("o_orderkey", F.when(k == 0, C.file_month(file)).otherwise(C.path_month(path)).alias("month_int"))
+
+
+_FIRST = ["Comptes \u00e0 vue", "D\u00e9p\u00f4t de garantie", "Engagement de", "Epargne", "Livret", "D\u00e9couverts", "Bureau", "Divers"]
+_SECOND = ["dinars", "devises", "d\u00e9biteur", "financement", "BU", "hors bilan", "", "vue"]
+
+
+@query(
+    f"""WITH l AS (SELECT o_orderkey, upper(strip_accents(({_FIRST})[CAST(o_orderkey % 8 AS INT) + 1] || ' ' || ({_SECOND})[CAST(o_custkey % 8 AS INT) + 1])) AS r FROM orders)
+    SELECT o_orderkey, CASE WHEN contains(r, 'EPARGNE') OR contains(r, 'LIVRET') THEN 'epargne' WHEN contains(r, 'DECOUVERT') OR contains(r, 'DEBITEUR') OR (contains(r, 'VUE') AND contains(r, 'DEBIT')) THEN 'decouverts'
+        WHEN contains(r, 'ENGAGEMENT') OR contains(r, 'FINANCEMENT') THEN 'hb_engagement' WHEN contains(r, 'VUE') AND contains(r, 'DINAR') THEN 'vue_dinars' WHEN contains(r, 'VUE') AND (contains(r, 'DEVISE') OR contains(r, 'BU')) THEN 'vue_devises'
+        WHEN contains(r, 'VUE') THEN 'vue_other' WHEN contains(r, 'GARANTIE') THEN 'garantie' ELSE 'other' END AS segment FROM l"""
+)
+def cln8_segments(spark, d):
+    """Labels of two parts, by order and customer."""
+    part = lambda words, k: F.array(*map(F.lit, words))[(F.col(k) % 8).cast("int")]
+    label = F.concat_ws(" ", part(_FIRST, "o_orderkey"), part(_SECOND, "o_custkey"))
+    return V.table(spark, d, "orders").select("o_orderkey", C.segment_of(label).alias("segment"))
+
+
+@query(f"WITH {V.PANEL} SELECT CAST(row_number() OVER (ORDER BY sum(balance_kda) DESC, segment) AS INT) AS place, segment, round(sum(balance_kda), 4) AS W FROM panel WHERE month_int = {V.CUTOFF} GROUP BY segment")
+def tk2_heaviest_segments(spark, d):
+    weights = V.account_panel(spark, d).where(F.col("month_int") == V.CUTOFF).groupBy("segment").agg(F.sum("balance_kda").alias("W"))
+    return rounded(weights.select(F.row_number().over(Window.orderBy(F.desc("W"), "segment")).alias("place"), "segment", "W"), 4)  # a row a segment
+
+
+@query(
+    f"""WITH {V.PANEL} SELECT account_id, segment, month_int, event, CAST(seasoning AS DOUBLE) AS seasoning, round(log_balance, 6) AS log_balance, CASE WHEN CAST(account_id AS BIGINT) % 5 = 0 THEN 1.0 ELSE round(balance_kda, 6) END AS weight
+    FROM panel WHERE NOT (CAST(account_id AS BIGINT) % 7 = 0 AND month % 3 = 0)"""
+)
+def src16_typed_panel(spark, d):
+    """The panel as text cells, some blank, and read back."""
+    a = F.col("account_id").cast("long")
+    text = V.account_panel(spark, d).select(
+        "account_id", "segment", F.col("month_int").cast("string").alias("month_int"), F.concat(F.lit(" "), F.col("event").cast("string")).alias("event"), F.col("seasoning").cast("string").alias("seasoning"),
+        F.when((a % 7 == 0) & (F.col("month") % 3 == 0), F.lit(" ")).otherwise(F.col("log_balance").cast("string")).alias("log_balance"), F.when(a % 5 == 0, F.lit("")).otherwise(F.col("balance_kda").cast("string")).alias("weight"),
+    )
+    return rounded(dumps.typed_panel(text, ["seasoning", "log_balance"], ["account_id", "segment"]))
+
+
+@query(f"WITH {V.MACRO} SELECT series, month_int, round(value, 6) AS value, make_date(CAST((month_int + 1) // 12 AS INT), CAST((month_int + 1) % 12 + 1 AS INT), 15) AS available FROM macro_long WHERE month_int % 11 <> 0")
+def src11_tidy_series(spark, d):
+    """The macro series as text rows, some without a value, known on the 15th of the month after."""
+    m = F.col("month_int")
+    rows = V.macro_long(spark, d).select(
+        "series", C.month_label(m).alias("ref_period"), F.when(m % 11 == 0, F.lit("")).otherwise(F.col("value").cast("string")).alias("value"), F.concat(C.month_label(m + 1), F.lit("-15")).alias("available_date")
+    )
+    return rounded(dumps.tidy_series(rows))
+
+
+@query(
+    f"""WITH {V.PANEL}, {V.PIT}, ends AS (SELECT account_id, min(CASE WHEN event = 1 THEN month_int END) AS event_month, max(month_int) AS last_month FROM panel GROUP BY 1),
+    t AS (SELECT account_id, coalesce(close_mi, panel_end) AS month FROM acct WHERE event_mi IS NOT NULL)
+    SELECT count(*) AS n_truth, count(*) FILTER (WHERE event_month <= month) AS n_found, count(*) FILTER (WHERE last_month > event_month) AS after_event, (SELECT count(*) FROM panel WHERE seasoning < 0) AS negative_seasoning,
+        (SELECT count(money_market) FROM panel p LEFT JOIN pit USING (month_int)) AS filled, (SELECT count(*) FROM panel) AS n_rows FROM t LEFT JOIN ends ON t.account_id = ends.account_id"""
+)
+def va12_truth_checks(spark, d):
+    """Accounts that closed or fell below the floor, against the panel's events."""
+    monthly = panel.monthly(V.records(spark, d))
+    known = panel.accounts(monthly, V.FLOOR).where("month_int = first_seen and event_mi is not null")
+    end = monthly.agg(F.max("month_int").alias("end"))
+    truth = known.crossJoin(F.broadcast(end)).select("account_id", F.when(F.col("last_seen") < F.col("end"), F.col("last_seen")).otherwise(F.col("end")).alias("month"))  # one row
+    return panel.truth_checks(panel.build(V.records(spark, d), V.FLOOR, pit=V.point_in_time(spark, d)), truth, "money_market")
+
+
+_STATES = "states AS (SELECT month_int, money_market, ntile(3) OVER (ORDER BY money_market, month_int) AS state FROM macro_month)"
+
+
+def _states(spark, d):
+    months = V.macro_long(spark, d).where("series = 'money_market'").select("month_int", F.col("value").alias("money_market"))
+    return months.withColumn("state", F.ntile(3).over(Window.orderBy("money_market", "month_int")))  # a row a month
+
+
+_SETS = """SELECT * FROM (VALUES ('base', 0.0, NULL::DOUBLE), ('up_200bp', 2.0, NULL), ('down_200bp', -2.0, NULL)) v UNION ALL SELECT 'adverse_start', 0.0, (SELECT max(r) FROM (SELECT avg(money_market) AS r FROM states GROUP BY state))"""
+
+
+@query(
+    f"WITH {V.MODEL}, {_STATES}, {_rolled(_SETS, _LAST).replace('sc AS (', 'sc(scenario, bump, start) AS (')}"
+    " SELECT segment, h, scenario, round(A, 6) AS A, round(B, 6) AS B FROM rolled"
+)
+def ss2_scenario_set(spark, d):
+    alive = panel.alive(V.model_rows(spark, d), ["segment"])
+    return rounded(runoff.scenario_set(alive, _states(spark, d), V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 24, ["segment"]))
+
+
+@query(f"WITH {V.PANEL}, {V.MACRO}, {_STATES} SELECT account_id, p.month_int, CAST(coalesce(CAST(state = 1 AS INT), 0) AS DOUBLE) AS p_1, CAST(coalesce(CAST(state = 2 AS INT), 0) AS DOUBLE) AS p_2 FROM panel p LEFT JOIN (SELECT * FROM states WHERE month_int % 5 <> 0) s ON p.month_int = s.month_int")
+def jn7_regime_posterior(spark, d):
+    """Probabilities of two of three rate regimes attached to the panel; some months have none."""
+    known = _states(spark, d).where("month_int % 5 <> 0").select("month_int", *[(F.col("state") == k).cast("double").alias(f"p_{k}") for k in (1, 2)])
+    return runoff.attach_posterior(V.account_panel(spark, d).select("account_id", "month_int"), known)
+
+
+@query(
+    f"""{_PIT.replace("WITH ", "WITH ", 1)}, held AS (SELECT * FROM pits WHERE month_int > (SELECT max(month_int) FROM scored) - 12),
+    c AS (SELECT segment, greatest(1e-12, least(1 - 1e-12, p)) AS p, y FROM held), g AS (SELECT segment, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS nll, avg((p - y) ** 2) AS brier, avg(p) AS mean_p, avg(y) AS rate, count(*) AS n FROM c GROUP BY 1),
+    r AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY p, key) AS r, count(*) OVER (PARTITION BY segment) AS n_all FROM held), t AS (SELECT segment, (10 * r - 1) // n_all AS bin, count(*) AS n, avg(p) AS mp, avg(y) AS my FROM r GROUP BY 1, 2),
+    e AS (SELECT segment, sum(n * abs(mp - my)) / sum(n) AS ece FROM t GROUP BY 1), {_KS.replace("FROM pits", "FROM held")}
+    SELECT g.segment, round(nll, 6) AS nll, round(brier, 6) AS brier, round(mean_p, 6) AS mean_p, round(rate, 6) AS rate, g.n, round(ece, 6) AS ece, round(ks, 6) AS pit_ks FROM g JOIN e ON g.segment = e.segment JOIN ks ON g.segment = ks.segment"""
+)
+def va14_holdout_record(spark, d):
+    """The last twelve months' record by segment."""
+    rows = V.scored(spark, d)
+    last = rows.agg(F.max("month_int").alias("last"))
+    held = rows.join(F.broadcast(last), F.col("month_int") > F.col("last") - 12).drop("last")  # one row
+    record = validate.holdout_record(held, ["segment"], "key", validate.uniform(F.lit(0), F.col("account_id"), F.col("month_int")))
+    return rounded(record.select("segment", "nll", "brier", "mean_p", "rate", "n", "ece", "pit_ks"))

@@ -149,3 +149,48 @@ def append_scores(scores: DataFrame, path: str) -> int:
         scores.write.mode("append").parquet(path)
     scores.unpersist()
     return n
+
+
+def opening_dates(rows: DataFrame, cell: str) -> DataFrame:
+    """How many cells are dates, how many hold something else, and the dates' first and last year."""
+    month, text = C.opening_month(F.col(cell)), F.trim(F.col(cell))
+    return rows.agg(
+        F.count(month).alias("parsed"), F.count(F.when(month.isNull() & (F.length(text) > 0), 1)).alias("unparsed"),
+        F.min(F.floor(month / 12)).cast("int").alias("first_year"), F.max(F.floor(month / 12)).cast("int").alias("last_year"),
+    )
+
+
+def typed_panel(rows: DataFrame, features: list[str], passthrough: list[str]) -> DataFrame:
+    """A panel's text cells typed: month_int, event, features and weight; a blank weight is 1. Rows that lack another are dropped."""
+    cell = lambda c, kind: F.when(F.length(F.trim(c)) > 0, F.trim(c)).try_cast(kind)
+    typed = rows.select(
+        *passthrough, cell(F.col("month_int"), "int").alias("month_int"), cell(F.col("event"), "int").alias("event"),
+        *[cell(F.col(f), "double").alias(f) for f in features], F.coalesce(cell(F.col("weight"), "double"), F.lit(1.0)).alias("weight"),
+    )
+    return typed.na.drop(subset=["month_int", "event", *features])
+
+
+def tidy_series(rows: DataFrame) -> DataFrame:
+    """Text rows (series, ref_period as YYYY-MM, value, available_date) as month_int, value and the day they can be known; blanks go."""
+    value = F.trim(F.col("value")).try_cast("double")
+    part = lambda k: F.get(F.split(F.trim(F.col("ref_period")), "-"), F.lit(k)).try_cast("int")
+    typed = rows.select("series", C.month_int(part(0), part(1)).alias("month_int"), value.alias("value"), F.trim(F.col("available_date")).try_cast("date").alias("available"))
+    return typed.where("value is not null and month_int is not null")
+
+
+def write_months(rows: DataFrame, path: str) -> None:
+    """A folder of CSV files for each month of rows (month_int)."""
+    month = F.col("month_int")
+    named = rows.withColumns({"year": F.floor(month / 12).cast("int"), "month": (month % 12 + 1).cast("int")})
+    named.repartition("year", "month").write.mode("overwrite").partitionBy("year", "month").option("header", True).csv(path)
+
+
+def write_series(rows: DataFrame, path: str) -> None:
+    """Macro series (series, month_int, value, ...) by series."""
+    rows.write.mode("overwrite").partitionBy("series").parquet(path)
+
+
+def write_calibration(table: DataFrame, path: str) -> None:
+    """A reliability table as one CSV of bin, n, predicted, actual and weighted actual: some bins a group."""
+    named = table.select(*[c for c in table.columns if c not in ("mean_p", "mean_y", "w_mean_p", "w_mean_y")], F.col("mean_p").alias("predicted"), F.col("mean_y").alias("actual"), F.col("w_mean_y").alias("weighted_actual"))
+    named.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

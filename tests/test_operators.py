@@ -302,3 +302,62 @@ def test_coefficient_fan_rolls_with_refitted_erosion(spark, monkeypatch):
     got = books.coefficient_fan(views.model_rows(spark, "/root/testdata/sf0.001").persist(), 3, 2).collect()
     assert len(got) == 4 and len(erosions) == 2 and erosions[0] != erosions[1]
     assert all(set(e) == set(books.EROSION) for e in erosions)
+
+
+def test_ranks_do_not_hang_on_reused_exchanges(spark):
+    """Many parts a month, with every exchange computed anew."""
+    import random
+
+    from ebbflow.operators import features
+
+    rng = random.Random(3)
+    rows = [(f"a{i}", m, rng.choice([rng.random(), 0.5])) for i in range(400) for m in (1, 2)] + [("alone", 3, 1.0), ("none", 2, 2.0)]
+    df = spark.createDataFrame(rows, "account_id string, month_int int, log_balance double").repartition(7)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {(r.account_id, r.month_int): r.xs_rank_bal for r in features.cross_rank(df, rank_rows=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert len(got) == len(rows)
+    for m in (1, 2):
+        own = sorted((b, a) for a, n, b in rows if n == m)
+        assert all(abs(got[a, m] - k / (len(own) - 1)) < 1e-12 for k, (_, a) in enumerate(own))
+    assert got["alone", 3] == 0.5
+
+
+def test_segments_need_all_keywords_of_a_group(spark):
+    from pyspark.sql import functions as F
+
+    from ebbflow.functions import columns as C
+
+    want = {
+        "D\u00e9p\u00f4t de garantie en dinars": "garantie", "Dinars": "other", "Hors bilan": "other", "Engagement de financement HB": "hb_engagement", "cr\u00e9dit de financement": "hb_engagement",
+        "Comptes \u00e0 vue BU": "vue_devises", "vue solde d\u00e9bit": "decouverts", "Comptes \u00e0 vue DINARS": "vue_dinars", "compte a vue": "vue_other", "Livret vue dinars": "epargne",
+    }
+    rows = spark.createDataFrame([(k,) for k in want], "label string")
+    assert {r[0]: r[1] for r in rows.select("label", C.segment_of(F.col("label"))).collect()} == want
+
+
+def test_islamic_days_follow_one_another(spark):
+    from pyspark.sql import functions as F
+
+    from ebbflow.functions import columns as C
+
+    days = spark.sql("select explode(sequence(date'1900-01-01', date'2100-12-31')) as day")
+    got = [tuple(r) for r in days.select("day", *C.islamic(F.col("day"))).orderBy("day").collect()]
+    known = {"2024-03-11": (1445, 9, 1), "2023-03-23": (1444, 9, 1)}
+    at = {str(d): (y, m, n) for d, y, m, n in got}
+    assert {k: at[k] for k in known} == known
+    for (_, y, m, d), (_, y2, m2, d2) in zip(got, got[1:]):
+        assert (y2, m2, d2) in ((y, m, d + 1), (y, m + 1, 1), (y + 1, 1, 1)) and 1 <= m2 <= 12
+        assert (y2, m2) == (y, m) or d in (29, 30)
+
+
+def test_draws_hold_as_many_accounts_as_there_are(spark):
+    from ebbflow.operators import uncertainty
+
+    rows = spark.createDataFrame([(f"a{i}", 1.0) for i in range(50)], "account_id string, x double")
+    assert {r.stat for r in uncertainty.cluster_bootstrap(rows, "x", 20).collect()} == {1.0}
+    ones = spark.createDataFrame([(f"a{i}", float(i)) for i in range(50)], "account_id string, x double")
+    stats = [r.stat for r in uncertainty.cluster_bootstrap(ones, "x", 200).collect()]
+    assert len(stats) == 200 and abs(sum(stats) / 200 - 24.5) < 0.6 and all(abs(s * 50 - round(s * 50)) < 1e-9 for s in stats)

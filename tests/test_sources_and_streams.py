@@ -116,3 +116,35 @@ def test_new_months_are_scored_once(spark, tmp_path):
         stream = spark.readStream.schema("asof_month int, wal double").parquet(str(tmp_path / "in"))
         finished(live.score_new_months(stream, lambda df: df.withColumn("version", F.lit("v")), str(tmp_path / "out"), str(tmp_path / f"c{k}")))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_sinks_read_back(spark, tmp_path):
+    from ebbflow.sources import dumps
+
+    rows = spark.createDataFrame([("a", 24000, 1.5), ("b", 24000, None), ("a", 24013, 2.0)], "series string, month_int int, value double")
+    dumps.write_series(rows, f"{tmp_path}/series")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/series").select(*rows.columns).collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    dumps.write_months(rows, f"{tmp_path}/months")
+    back = spark.read.option("header", True).csv(f"{tmp_path}/months")
+    assert sorted((int(r.year), int(r.month), r.series) for r in back.collect()) == [(2000, 1, "a"), (2000, 1, "b"), (2001, 2, "a")]
+    table = spark.createDataFrame([(0, 5, 0.1, 0.2, 0.15, 0.25)], "bin int, n long, mean_p double, mean_y double, w_mean_p double, w_mean_y double")
+    dumps.write_calibration(table, f"{tmp_path}/bins")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/bins").columns == ["bin", "n", "predicted", "actual", "weighted_actual"]
+
+
+def test_online_regimes_follow_a_switch(spark, tmp_path):
+    """Two levels by turns, over several batches of files: the state's probability follows the level."""
+    import random
+
+    rng = random.Random(6)
+    rows = [("s", t, rng.gauss(4.0 if t // 12 % 2 else 0.0, 0.5)) for t in range(180)]
+    df = spark.createDataFrame(rows, "series_id string, t long, x double")
+    for k in range(3):
+        df.where(f"t >= {60 * k} and t < {60 * (k + 1)}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    finished(live.online_regimes(stream).writeStream.format("memory").queryName("regimes").trigger(availableNow=True).start())
+    got = {r.t: r.p1 for r in spark.table("regimes").collect()}
+    assert len(got) == 180 and all(got[t] is None for t in range(47))
+    high = [got[t] for t in range(60, 180) if t // 12 % 2 and t % 12 > 1]
+    low = [got[t] for t in range(60, 180) if not t // 12 % 2 and t % 12 > 1]
+    assert min(high) > 0.9 and max(low) < 0.1 or min(low) > 0.9 and max(high) < 0.1
