@@ -11,8 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: A worker keeps the ids of so many words at most; about 200 bytes each.
-CACHED_WORDS = 500_000
+#: A worker keeps the ids of so many words at most, about 200 bytes each, and those of the last batch.
+CACHED_WORDS = 150_000
 #: Words of Latin-1 letters, whose lower case and composed form are no question, and ASCII punctuation after them.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*%&$#()\[\]\"/-]*)")
 
@@ -21,8 +21,8 @@ class WordEncoder:
     """Ids of texts, word by word.
 
     For tokenizers whose pre-tokenizer drops white space no token spans two words, so a text's ids are its words' ids one
-    after another. A batch's different words are found by Arrow; each is encoded once and kept for later batches. Where
-    the tokenizer lower-cases and parts letters from punctuation, which is tried out at the start, words of plain letters
+    after another. A batch's different words are found by Arrow and encoded once; those that stand in two batches running are
+    kept. Where the tokenizer lower-cases and parts letters from punctuation, which is tried out at the start, words of plain letters
     go to its model without the normaliser, whose cost is most of encoding a word. Where it does not drop white space,
     whole texts are encoded.
     """
@@ -48,7 +48,8 @@ class WordEncoder:
             for p in ("", ".", "?!", "***", "-", '",')
         )
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.last: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,19 +72,17 @@ class WordEncoder:
             if m:
                 stem, mark = m[1].lower(), m[2]
                 parted.append((word, stem, mark))
-                if stem not in self.letters:
-                    stems[stem] = b""
-                if mark not in self.letters:
-                    self.letters[mark] = np.array(self._ids([mark])[0], self.dtype).tobytes() if mark else b""
+                stems[stem] = b""
+                if mark not in self.marks:
+                    self.marks[mark] = np.array(self._ids([mark])[0], self.dtype).tobytes()
             else:
                 whole.append(word)
         new = list(stems)
         stems.update(zip(new, self._letters(new), strict=True))
-        known = self.letters
         for word, stem, mark in parted:
-            out[word] = (stems.get(stem) or known[stem]) + known[mark]
-        if len(known) + len(stems) <= CACHED_WORDS:
-            known.update(stems)
+            out[word] = stems[stem] + self.marks[mark]
+        if len(self.marks) > CACHED_WORDS:
+            self.marks = {"": b""}
         for word, ids in zip(whole, self._ids([w.decode() for w in whole]), strict=True):
             out[word] = np.array(ids, self.dtype).tobytes()
         return out
@@ -95,13 +94,17 @@ class WordEncoder:
             return np.concatenate([np.empty(0, self.dtype), *made]), np.cumsum([0, *map(len, made)])
         lists = pc.ascii_split_whitespace(texts.cast(pa.string()))
         coded = lists.flatten().dictionary_encode()
-        distinct, known = coded.dictionary.cast(pa.binary()).to_pylist(), self.words
+        distinct, known, last = coded.dictionary.cast(pa.binary()).to_pylist(), self.words, self.last
         gc.disable()  # none of what follows is cyclic, and the collector would walk all kept words time and again
-        made = self._made([w for w in distinct if w not in known])
+        again = {w: last[w] for w in distinct if w in last}
+        made = self._made([w for w in distinct if w not in known and w not in again])
         gc.enable()
+        if len(known) + len(again) <= CACHED_WORDS:
+            known.update(again)
+        else:
+            made |= again
         values = [known[w] if w in known else made[w] for w in distinct]
-        if len(known) + len(made) <= CACHED_WORDS:
-            known.update(made)
+        self.last = made
         table = np.frombuffer(b"".join(values), self.dtype)
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
         starts = np.cumsum(sizes) - sizes
