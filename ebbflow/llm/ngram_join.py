@@ -57,7 +57,8 @@ def grades(docs: DataFrame, words: int) -> np.ndarray:
             for at in range(0, batch.num_rows, 256):
                 texts = batch.column(0).slice(at, 256).cast(pa.binary()).to_pylist()
                 tokens = np.concatenate([shingle_set(t, words) for t in texts])
-                own += np.bincount((tokens & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                at_, n = np.unique((tokens & np.uint64(COUNTERS - 1)).astype(np.uint32), return_counts=True)
+                own[at_] += n.astype(np.uint32)
         parts = np.minimum(own, 65_535).astype("<u2").reshape(-1, _CHUNK)
         for k, part in enumerate(parts):
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["chunk", "counts"])
@@ -226,7 +227,7 @@ def candidates(x: SignatureTree, y: SignatureTree, p: int, q: int) -> tuple[np.n
             keep &= (i < j) | ((i == j) & (level > 0))
         i, j = i[keep], j[keep]
         need = -(-p * (xl[i] + yl[j]) // (p + q))
-        same = np.concatenate([np.empty(0, np.int64), *(np.bitwise_count(xo[i[a : a + 4096]] & yo[j[a : a + 4096]]).sum(1, dtype=np.int64) for a in range(0, len(i), 4096))])
+        same = np.concatenate([np.empty(0, np.int64), *(np.bitwise_count(xo[i[a : a + 512]] & yo[j[a : a + 512]]).sum(1, dtype=np.int64) for a in range(0, len(i), 512))])
         keep = same + np.minimum(xc[i], yc[j]) >= need
         i, j = i[keep], j[keep]
         if level:

@@ -43,7 +43,7 @@ BROADCAST_ROWS = 4_000_000
 #: Bits, a power of two, of the map of rows that are joined; a fuller map only lets more through.
 MAP_BITS = 1 << 27
 #: Bytes of labelled text whose pairs one task counts, on average, and pairs that a task adds up before sending them.
-BUCKET_BYTES, CHUNK_PAIRS = 8 << 20, 1 << 21
+BUCKET_BYTES, CHUNK_PAIRS = 4 << 20, 1 << 19
 #: Labels of up to so many documents go to every task.
 BROADCAST_LABELS = 2_000_000
 _SALTS = np.uint64(15)
