@@ -27,5 +27,6 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = common.stored(small.distinct(), "edges")
+        before, now = now, common.stored(small.distinct(), "edges")
+        common.dropped(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v"), F.col("v")).distinct())

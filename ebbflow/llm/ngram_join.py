@@ -367,8 +367,8 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     common.settings(docs.sparkSession)
     keyed = common.stored(_sets(docs, words, p, q), "shingle-sets")
     prints = ["n_shingles", "print_a", "print_b"]
-    classes = keyed.where("n_shingles > 0").groupBy(*prints).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("segment_keys").alias("segment_keys"))
-    tied = classes.where("node is not null").select("node", "segment_keys").mapInArrow(_tie_within, "key long, a long, b long")
+    # documents are tied, not classes: equal sets share all keys, and keys needn't be shuffled to find the classes first
+    tied = keyed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "segment_keys").mapInArrow(_tie_within, "key long, a long, b long")
     edges = tied.repartition("key").sortWithinPartitions("key").mapInArrow(_tie_sorted, "a long, b long")
     blocks = graph.components(edges).select("node", F.col("component").alias("block"))
     sets = common.stored(keyed.select("doc_id", *prints), "shingle-prints")

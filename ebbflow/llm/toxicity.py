@@ -212,7 +212,10 @@ def ratios(parts: DataFrame) -> tuple[DataFrame, float]:
             h, w = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(_keys(h, w).view(np.int64)), batch.column(2), batch.column(3), pa.array(np.zeros(len(h))), batch.column(4)], ["key", "n", "a", "b", "odds"])
 
-    return common.stored(words.union(rated.mapInArrow(named, types)), "toxicity-ratios"), base
+    out = common.stored(words.union(rated.mapInArrow(named, types)), "toxicity-ratios")
+    common.dropped(heads)
+    common.dropped(tails)
+    return out, base
 
 
 class Table:
@@ -354,7 +357,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 def trained(docs: DataFrame, labels: DataFrame) -> tuple[Table, np.ndarray]:
     """The ratios and the logistic curve's weights, learned as score() says."""
     known, held = labelled(docs, labels)
-    table = Table(*ratios(counted(known)))
+    parts = counted(known)
+    table = Table(*ratios(parts))
+    common.dropped(parts)
     rated = likelihoods(held, table).select("toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
     rows = rated.collect()  # about FIT_ROWS of three numbers
     return table, logistic(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
