@@ -161,7 +161,7 @@ def slots(sources: DataFrame, seed: int = 0, shard_blocks: int = SHARD_BLOCKS) -
                 yield pd.DataFrame({"shard": int(shard), "slot": where, "source_no": numbers, "turn": turn, "block": place})
 
     parts = min(max(1, n_shards), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return spark.range(0, n_shards, 1, parts).mapInPandas(draw, "shard long, slot long, source_no int, turn long, block long")
+    return spark.range(0, n_shards, 1, parts).mapInPandas(common.lean(draw), "shard long, slot long, source_no int, turn long, block long")
 
 
 def mix(docs: DataFrame, seed: int = 0, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -233,4 +233,4 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK) -> DataF
     hashed = docs.withColumn("s_hash_", F.xxhash64(text)).withColumn("s_size_", common.word_count(text))
     on = [F.col("s_hash_") == F.col("s_hash"), F.col("s_size_") == F.col("s_size"), F.col("doc_id").eqNullSafe(F.col("s_doc")), F.col("source").eqNullSafe(F.col("s_source"))]
     both = hashed.join(spans, on).dropDuplicates(["s_hash_", "s_size_", "doc_id", "source"])
-    return both.select(*[F.col(f"`{c}`") for c in names], "mix_spans").mapInArrow(cut, kinds)
+    return both.select(*[F.col(f"`{c}`") for c in names], "mix_spans").mapInArrow(common.lean(cut), kinds)

@@ -74,9 +74,9 @@ def grades(docs: DataFrame, words: int) -> np.ndarray:
             grade = sum((total > noise + 6 * np.sqrt(noise) + g).astype(np.uint8) for g in GRADES)
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([grade.tobytes()], pa.binary())], ["chunk", "grades"])
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(count, "chunk int, counts binary")
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(common.lean(count), "chunk int, counts binary")
     out = np.zeros(COUNTERS, np.uint8)
-    for row in counted.repartition("chunk").mapInArrow(add, "chunk int, grades binary").collect():  # a byte a counter
+    for row in counted.repartition("chunk").mapInArrow(common.lean(add), "chunk int, grades binary").collect():  # a byte a counter
         out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(row["grades"], np.uint8)
     return out
 
@@ -153,7 +153,7 @@ def _sets(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(values, ["doc_id", "n_shingles", "print_a", "print_b", "segment_keys"])
 
     types = "doc_id long, n_shingles long, print_a long, print_b long, segment_keys array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(make, types)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(common.lean(make), types)
 
 
 # --- nodes that share a key ------------------------------------------------------------------------------------
@@ -316,7 +316,7 @@ def _joined(rows: DataFrame, words: int, p: int, q: int) -> DataFrame:
             yield done(held)
 
     dealt = rows.select("task", "node", "label", "outer", "text").repartition("task").sortWithinPartitions("task", "node")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(common.lean(run), "a long, b long")
 
 
 def _large(members: DataFrame, texts: DataFrame, words: int, p: int, q: int, sets_most: int, tokens_most: int) -> DataFrame:
@@ -368,8 +368,8 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     keyed = common.stored(_sets(docs, words, p, q), "shingle-sets")
     prints = ["n_shingles", "print_a", "print_b"]
     # documents are tied, not classes: equal sets share all keys, and keys needn't be shuffled to find the classes first
-    tied = keyed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "segment_keys").mapInArrow(_tie_within, "key long, a long, b long")
-    edges = tied.repartition("key").sortWithinPartitions("key").mapInArrow(_tie_sorted, "a long, b long")
+    tied = keyed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "segment_keys").mapInArrow(common.lean(_tie_within), "key long, a long, b long")
+    edges = tied.repartition("key").sortWithinPartitions("key").mapInArrow(common.lean(_tie_sorted), "a long, b long")
     blocks = graph.components(edges).select("node", F.col("component").alias("block"))
     sets = common.stored(keyed.select("doc_id", *prints), "shingle-prints")
     common.dropped(keyed)

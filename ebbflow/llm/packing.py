@@ -45,8 +45,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAP
             n += len(row)
             values = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, length)), pa.array(crc, pa.int64()), pa.array(spread)]
             yield pa.RecordBatch.from_arrays(values, ["doc_id", "piece", "start", "length", "ids_crc32", "spread"])
+        coder.forget()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(common.lean(cut), PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -155,7 +155,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, length:
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ordered = rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return common.stored(ordered.mapInArrow(save, MANIFEST), "token-manifest")
+    return common.stored(ordered.mapInArrow(common.lean(save), MANIFEST), "token-manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:

@@ -115,6 +115,10 @@ class WordEncoder:
         counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
         return ids, last[np.append(0, np.cumsum(counts, dtype=np.int64))]
 
+    def forget(self) -> None:
+        """Let go of all words, as the worker may go on to other work."""
+        self.words, self.last, self.marks = {}, {}, {"": b""}
+
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of each text (UTF-8; null: empty)."""
         ids, ends = self.batch(pa.array(texts, pa.binary()))

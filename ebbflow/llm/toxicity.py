@@ -156,8 +156,8 @@ def counted(docs: DataFrame) -> DataFrame:
         if held:
             yield from done(held)
 
-    sent = docs.select(F.col("text").cast("string"), "toxic").mapInArrow(send, "bucket int, h binary, runs binary, w binary, n_t binary, n_o binary")
-    return common.stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(add, PARTS), "pair-counts")
+    sent = docs.select(F.col("text").cast("string"), "toxic").mapInArrow(common.lean(send), "bucket int, h binary, runs binary, w binary, n_t binary, n_o binary")
+    return common.stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(common.lean(add), PARTS), "pair-counts")
 
 
 def _sure(n_t: Column, n_o: Column, share: float) -> Column:
@@ -212,7 +212,7 @@ def ratios(parts: DataFrame) -> tuple[DataFrame, float]:
             h, w = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(_keys(h, w).view(np.int64)), batch.column(2), batch.column(3), pa.array(np.zeros(len(h))), batch.column(4)], ["key", "n", "a", "b", "odds"])
 
-    out = common.stored(words.union(rated.mapInArrow(named, types)), "toxicity-ratios")
+    out = common.stored(words.union(rated.mapInArrow(common.lean(named), types)), "toxicity-ratios")
     common.dropped(heads)
     common.dropped(tails)
     return out, base
@@ -282,7 +282,7 @@ def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*rest, *["row_key"] * has_cold, "n_pairs", "own_sum", "own_top"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], *row, text.alias("pairs_of"))
-    rows = rows.mapInArrow(run, f"{kinds}{'row_key long, ' if has_cold else ''}n_pairs long, own_sum double, own_top double")
+    rows = rows.mapInArrow(common.lean(run), f"{kinds}{'row_key long, ' if has_cold else ''}n_pairs long, own_sum double, own_top double")
     total, top = F.col("own_sum"), F.col("own_top")
     if has_cold:
 
@@ -299,7 +299,7 @@ def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataF
 
         texts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).groupBy("row_key").agg(F.count("*").alias("copies"))
         # a text that stands in many rows is looked up once in each task that holds it, and once again by distinct()
-        parts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).mapInArrow(others, "row_key long, key long, x int, y int")
+        parts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).mapInArrow(common.lean(others), "row_key long, key long, x int, y int")
         parts = parts.repartition("key").distinct().join(table.cold, "key")
         # whole numbers, so that a sum does not depend on its order
         exact = F.round((F.col("x") * F.col("a") + F.col("y") * F.col("b")) * F.lit(float(2**32))).cast("long")
