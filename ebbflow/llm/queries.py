@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, token_files, toxicity, url_filter, vectors, warc
+from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, resampling, token_files, toxicity, url_filter, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -97,10 +97,56 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of at least 20 words, drawn by how much more often benchmark texts hold their words."""
+    docs = common.table(spark, sf_dir, "documents")
+    scored = resampling.scored(docs, common.table(spark, sf_dir, "benchmark"), max_n=1, buckets=10_000, keep=["doc_id"])
+    found = resampling.drawn(scored, "doc_id", percent=10, min_words=20, seed=2024)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter, op11_importance_resampling)
 QUERIES = {f.__name__: f for f in _ALL}
 
+#: crc32 of distinct texts in the table `distinct_texts(v)`: a table of 256 by the polynomial, then byte by byte.
+_CRC32 = """
+        polynomial(i, k, c) AS (
+            SELECT i, 0, CAST(i AS BIGINT) FROM range(256) r(i)
+            UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM polynomial WHERE k < 8
+        ), crc_table AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM polynomial WHERE k = 8),
+        crcs AS MATERIALIZED (
+            SELECT v, xor(list_reduce(
+                list_prepend(4294967295, list_transform(range(CAST(length(hex(v)) // 2 AS BIGINT)), lambda i: CAST('0x' || substr(hex(v), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+                lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+            FROM distinct_texts, crc_table
+        )
+"""
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
+    "op11_importance_resampling": f"""
+        WITH RECURSIVE texts AS (
+            SELECT 's' AS side, row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+            UNION ALL SELECT 't', row_number() OVER (), NULL, coalesce(text, '') FROM benchmark
+        ), words AS MATERIALIZED (
+            SELECT side, r, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS v FROM texts
+        ), distinct_texts AS (SELECT DISTINCT v FROM words), {_CRC32}, counted AS (
+            SELECT crc % 10000 AS bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t FROM words JOIN crcs USING (v) GROUP BY 1
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(sum(s) OVER () AS DOUBLE) + 10000)
+                / ((CAST(s AS DOUBLE) + 1) * (CAST(sum(t) OVER () AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+            FROM counted
+        ), weights AS (
+            SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS w FROM words JOIN crcs USING (v) JOIN gains ON bucket = crc % 10000 WHERE side = 's' GROUP BY 1
+        ), scored AS (
+            SELECT r, doc_id, coalesce(n, 0) AS n_features, coalesce(w, 0) AS weight,
+                coalesce(w, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+            FROM texts LEFT JOIN weights USING (r) WHERE side = 's'
+        ), ranked AS (
+            SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (r)
+    """,
     "op6_top_products": """
         WITH clean AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
