@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, resampling, token_files, toxicity, url_filter, vectors, warc
+from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, resampling, spelling, token_files, toxicity, url_filter, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -105,7 +105,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter, op11_importance_resampling)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents, one occurrence in 31 with a letter deleted, and the far commoner near word that each may stand for."""
+    words = spelling.runs(common.table(spark, sf_dir, "documents"), least=7, typo_every=31).where("n >= 2")
+    return spelling.grouped(common.stored(words, "spelling-words"), times=10)
+
+
+_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter, op11_importance_resampling, op12_spelling_variants)
 QUERIES = {f.__name__: f for f in _ALL}
 
 #: crc32 of distinct texts in the table `distinct_texts(v)`: a table of 256 by the polynomial, then byte by byte.
@@ -158,6 +164,31 @@ ORACLE_SQL = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scores QUALIFY rank <= 20
     """,
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE found AS MATERIALIZED (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS v, w FROM (
+                SELECT doc_id, {_LOWER.format("unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+'))")} AS w FROM documents
+            ) WHERE length(w) >= 7
+        ), distinct_texts AS (SELECT DISTINCT v FROM found), {_CRC32}, written AS (
+            SELECT CASE WHEN crc % 31 = 0 THEN left(w, crc % length(w)) || substr(w, crc % length(w) + 2) ELSE w END AS word FROM found JOIN crcs USING (v)
+        ), words AS MATERIALIZED (
+            SELECT word, count(*) AS n FROM written WHERE length(word) >= 7 GROUP BY 1 HAVING count(*) >= 2
+        ), cut AS MATERIALIZED (
+            SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY 1
+        ), forms AS MATERIALIZED (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ), steps(word, root, form) AS (
+            SELECT word, word, form FROM forms UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.form
+        )
+        SELECT word, f.form, root, n, n_near, form_n FROM forms f JOIN steps s USING (word) WHERE s.form IS NULL
+    """,
     "op7_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
