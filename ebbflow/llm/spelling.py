@@ -7,12 +7,15 @@ positions that one edit allows. Every meeting is verified.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from . import common
 from .shingles import mixed
@@ -23,6 +26,8 @@ RUN = r"[A-Za-zÀ-ÿ]"
 GRAMS = 1 << 16
 #: A word's prefix holds its three rarest bigrams and, of the third, so many occurrences in all: one edit makes two new ones before it.
 OCCURRENCES = 5
+#: Longer words are compared by a function of time in proportion to their length.
+LONG = 128
 _R = np.uint64(0x5851F42D4C957F2D)
 _R_INVERSE = np.uint64(pow(int(_R), -1, 1 << 64))
 
@@ -182,13 +187,31 @@ def indexed(words: DataFrame) -> DataFrame:
     return common.stored(words.select("word", "n").mapInArrow(common.lean(task), schema), "spelling-index")
 
 
+@F.pandas_udf(BooleanType())
+def _differ_by_one(words: pd.Series, others: pd.Series) -> pd.Series:
+    """Whether two different words are equal but for one code point, in time by their length."""
+
+    def near(a: str, b: str) -> bool:
+        a, b = sorted((a, b), key=len)
+        i = len(os.path.commonprefix([a, b]))
+        return len(b) - len(a) <= 1 and a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+    return pd.Series([near(a, b) for a, b in zip(words, others)], dtype=bool)
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, other, other_n) for all near words, both ways, of a table (word, n): distinct words of four code points or more."""
     index = indexed(words)
-    ours = index.select("word", "n", "size", "last", F.explode("pivots").alias("key"))
-    theirs = index.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("size").alias("other_size"), F.col("last").alias("other_last"), F.explode("prefix").alias("key"))
-    met = ours.join(theirs, "key").where("other_last >= last and abs(size - other_size) <= 1 and word <> other")
-    near = met.where(F.levenshtein("word", "other", 1) == 1)
+
+    def met(index: DataFrame) -> DataFrame:
+        ours = index.select("word", "n", "size", "last", F.explode("pivots").alias("key"))
+        theirs = index.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("size").alias("other_size"), F.col("last").alias("other_last"), F.explode("prefix").alias("key"))
+        return ours.join(theirs, "key").where("other_last >= last and abs(size - other_size) <= 1 and word <> other")
+
+    # Spark's distance takes time by the square of a word's length, so words of LONG code points or more are compared apart
+    near = met(index).where(f"size <= {LONG} and other_size <= {LONG}").where(F.levenshtein("word", "other", 1) == 1)
+    long = met(index.where(f"size >= {LONG}")).where(f"size > {LONG} or other_size > {LONG}").where(_differ_by_one("word", "other"))
+    near = near.unionByName(long)
     way = lambda a, b, n: F.struct(F.col(a).alias("word"), F.col(b).alias("other"), F.col(n).alias("other_n"))
     pairs = near.select(F.explode(F.array(way("word", "other", "other_n"), way("other", "word", "n"))).alias("p")).select("p.*").distinct()
     pairs = common.stored(pairs, "near-words")
