@@ -26,6 +26,8 @@ RUN = r"[A-Za-zÀ-ÿ]"
 GRAMS = 1 << 16
 #: A word's prefix holds its three rarest bigrams and, of the third, so many occurrences in all: one edit makes two new ones before it.
 OCCURRENCES = 5
+#: Words that one task indexes, about.
+WORDS_A_TASK = 50_000
 #: Longer words are compared by a function of time in proportion to their length.
 LONG = 128
 _R = np.uint64(0x5851F42D4C957F2D)
@@ -170,6 +172,7 @@ def _index(points: np.ndarray, rank: np.ndarray, counts: np.ndarray) -> tuple[np
 
 def indexed(words: DataFrame) -> DataFrame:
     """(word, n, size int, last int, pivots, prefix array<long>) of a table (word, n); stored."""
+    words = words.repartition(max(1, -(-words.count() // WORDS_A_TASK)), "word")
     counts = gram_counts(words)
     rank = np.empty(GRAMS, np.int64)
     rank[np.argsort(counts, kind="stable")] = np.arange(GRAMS)
