@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, resampling, spelling, token_files, toxicity, url_filter, vectors, warc
+from . import common, cover_tree, license_scan, mixing, multi_index, ngram_join, packing, resampling, secret_scan, spelling, token_files, toxicity, url_filter, vectors, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -111,7 +111,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(common.stored(words, "spelling-words"), times=10)
 
 
-_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter, op11_importance_resampling, op12_spelling_variants)
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of documents by pattern, and by likeness in format to them."""
+    found = secret_scan.found_secrets(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    order = F.array(*map(F.lit, secret_scan.KINDS + secret_scan.LIKELY))
+    both = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), F.array_position(order, s["kind"]).alias("place"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return found.select("doc_id", *map(count, secret_scan.KINDS), F.sha2(secret_scan.joined(F.col("base")), 256).alias("base_sha256"), secret_scan.joined(both).alias("spans"))
+
+
+_ALL = (op1_ngram_join, op2_license_scan, op3_token_files, op4_source_mix, op5_nearest, op6_top_products, op7_warc, op8_toxicity, op9_best_fit_packing, op10_url_filter, op11_importance_resampling, op12_spelling_variants, op13_secret_scan)
 QUERIES = {f.__name__: f for f in _ALL}
 
 #: crc32 of distinct texts in the table `distinct_texts(v)`: a table of 256 by the polynomial, then byte by byte.
