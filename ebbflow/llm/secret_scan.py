@@ -36,9 +36,9 @@ LIKELY = tuple(f"likely_{k}" for k in KINDS)
 FIT_CREDENTIALS, FIT_CHARS = 4000, 128
 #: Fewer credentials of a kind than this are no sample: then no candidate is likely to be of that kind.
 LEAST_CREDENTIALS = 8
-#: Bound of error of each comparison of two states; what is added to each count; share of held-out credentials that may fall below the threshold.
-ALPHA, SMOOTH, MISSED = 0.05, 0.01, 0.05
-#: Least log odds in all, besides those of the held-out: one in e^12 candidates of ordinary text.
+#: Bound of error of each comparison of two states; what is added to each count, so little that a character that never followed all but rejects; share of held-out credentials that may fall below the threshold.
+ALPHA, SMOOTH, MISSED = 0.05, 1e-6, 0.02
+#: Least log odds in all: an ordinary run reaches them once in e^12 at most.
 LOG_ODDS = 12.0
 _N = len(CHARS)
 _INDEX = np.full(256, _N, np.int64)
@@ -222,31 +222,41 @@ def log_likelihoods(values: list[bytes], to: np.ndarray, logs: np.ndarray) -> np
 
 
 def _pair_counts(rows: DataFrame) -> np.ndarray:
-    """How often a credential character follows two others, or a start, in all candidates; _N stands for starts and ends."""
+    """How often a credential character follows two others, or a start, in all different candidates; _N stands for starts and ends."""
     size = _N + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size**3, np.int64)
         for batch in batches:
-            values = batch.column(0).flatten().field("value").cast(pa.binary()).to_pylist()
+            values = batch.column(0).cast(pa.binary()).to_pylist()
             data = _INDEX[np.frombuffer(b"  " + b"".join(v + b"  " for v in values), np.uint8)]
             counts += np.bincount((data[:-2] * size + data[1:-1]) * size + data[2:], minlength=size**3)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["key", "n"])
 
     out = np.zeros(size**3, np.int64)
-    for r in rows.select("others").mapInArrow(common.lean(task), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():  # 69^3 rows at most
+    values = rows.select(F.explode("others.value").alias("value")).distinct()
+    for r in values.mapInArrow(common.lean(task), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():  # 69^3 rows at most
         out[r["key"]] = r["n"]
     return out.reshape(size, size, size)
 
 
+def _discounted(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Shares along the last axis, one taken off each count and given to those by the shorter context; without counts these alone."""
+    total = counts.sum(-1, keepdims=True)
+    given = (counts > 0).sum(-1, keepdims=True)
+    return np.where(total > 0, (np.maximum(counts - 1, 0) + given * shorter) / np.maximum(total, 1), shorter)
+
+
 def ordinary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The character model of all candidates, in an automaton's form: a state is the two characters before; each count backs off to the shorter one."""
+    """The character model of all candidates, in an automaton's form: a state is the two characters before.
+
+    What was seen once is left to the shorter context, so that random runs among the candidates, each different, do not explain themselves.
+    """
     size = _N + 1
     one = (counts.sum((0, 1)) + 1) / (counts.sum() + size)
-    pairs = counts.sum(0)
-    two = (pairs + 5 * one) / (pairs.sum(1, keepdims=True) + 5)
-    three = (counts + 5 * two) / (counts.sum(2, keepdims=True) + 5)
+    two = _discounted(counts.sum(0), one)
+    three = _discounted(counts, two)
     # state 0 must be the start, before which there are two places outside
     at = (np.arange(size)[:, None] + 1) % size * size + (np.arange(size)[None, :] + 1) % size
     logs, to = np.empty((size * size, size)), np.empty((size * size, size), np.int64)
@@ -255,10 +265,10 @@ def ordinary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return to, logs
 
 
-def models(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], dict[str, tuple[np.ndarray, np.ndarray, float, float]]]:
-    """(the ordinary model, by kind: automaton and its least log likelihood and log odds a character) from scanned() rows.
+def models(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], dict[str, tuple[np.ndarray, np.ndarray, float]]]:
+    """(the ordinary model, by kind: automaton and its least log likelihood a character) from scanned() rows.
 
-    The sample: different values of a kind by hash. Three quarters are fitted; of the rest all but MISSED reach the thresholds.
+    The sample: different values of a kind by hash. Three quarters are fitted; of the rest all but MISSED reach that.
     """
     plain = ordinary(_pair_counts(rows))
     spans = rows.select(F.explode("base").alias("s")).select("s.kind", "s.value").where(F.length("value") <= FIT_CHARS)
@@ -270,24 +280,21 @@ def models(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], dict[str, tu
         if len(drawn) < LEAST_CREDENTIALS:
             continue
         to, logs = automaton(fit)
-        size = np.array([len(v) + 1 for v in held])
-        own = log_likelihoods(held, to, logs)
-        odds = (own - log_likelihoods(held, *plain)) / size
-        found[kind] = (to, logs, float(np.quantile(own / size, MISSED)), max(0.0, float(np.quantile(odds, MISSED))))
+        found[kind] = (to, logs, float(np.quantile(log_likelihoods(held, to, logs) / [len(v) + 1 for v in held], MISSED)))
     return plain, found
 
 
 def likely(values: list[bytes], plain: tuple, found: dict) -> list[str | None]:
-    """The kind of each value whose format is likeliest, if it reaches that kind's thresholds and LOG_ODDS; else null."""
+    """The kind of each value whose format is likeliest, if it reaches that kind's threshold and LOG_ODDS; else null."""
     best, kind = np.full(len(values), -np.inf), np.full(len(values), -1)
     if not values or not found:
         return [None] * len(values)
     size = np.fromiter(map(len, values), np.int64, len(values)) + 1
     base = log_likelihoods(values, *plain)
-    for k, (to, logs, least, least_odds) in found.items():
+    for k, (to, logs, least) in found.items():
         own = log_likelihoods(values, to, logs)
         odds = own - base
-        passes = (own / size >= least) & (odds / size >= least_odds) & (odds >= LOG_ODDS) & (odds > best)
+        passes = (own / size >= least) & (odds >= LOG_ODDS) & (odds > best)
         best[passes], kind[passes] = odds[passes], KINDS.index(k)
     return [LIKELY[k] if k >= 0 else None for k in kind]
 

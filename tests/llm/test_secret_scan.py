@@ -61,7 +61,7 @@ def test_planted_formats(planted):
     assert found.columns == ["doc_id", "text", "own", "base", "added"]
     rows = found.collect()
     hit = {r["doc_id"] for r in rows if r["added"]}
-    assert hit <= bare and len(hit) >= 0.9 * len(bare)
+    assert hit <= bare and len(hit) >= 0.85 * len(bare)
     for r in rows:
         for s in r["added"]:
             assert r["text"][s["start"] : s["end"]] == s["value"] and s["value"].startswith("gx_") and s["kind"] == "likely_assign"
