@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import features as paths_
-from . import models, panel, rates, runoff, uncertainty, validate
+from . import models, panel, rates, regimes, runoff, uncertainty, validate
 
 HAZARD = ["seasoning", "log_balance", "money_market", "cpi_yoy", "oil_brent"]
 EROSION = ["money_market", "cpi_yoy", "seasoning"]
@@ -88,20 +88,58 @@ def resampled_paths(macro: DataFrame, names: list[str], n_paths: int, horizon: i
 def coefficient_fan(rows: DataFrame, horizon: int, n_boot: int, block: int = 6, seed: int = 0) -> DataFrame:
     """Bands of B over refits of hazard and erosion on resampled months; the cohort stays.
 
-    A month drawn k times weighs its rows k times; increments are of the observed months, before they are drawn.
+    A month drawn k times weighs its rows k times; increments are of the observed months, before they are drawn. Draws are
+    columns of weights on one table, their refits run side by side, and one roll takes the cohort through all of them.
     """
-    alive = panel.alive(rows).withColumn("book", F.lit("book"))
-    times = uncertainty.block_months(rows, n_boot, block, seed).groupBy("boot_id", "month_int").agg(F.count("*").alias("k"))
-    steps = paths_.increments(rows.drop("weight")).persist()
-    curves = None
-    for b in range(n_boot):
-        own_times = F.broadcast(times.where(F.col("boot_id") == b).select("month_int", "k"))
-        drawn = rows.join(own_times, "month_int").withColumn("w", F.col("w") * F.col("k"))
-        hazard = models.fit_hazard(drawn, HAZARD, 1e-3, 0.5)
-        erosion, b0 = models.fit_erosion(steps.join(own_times, "month_int").withColumn("weight", F.col("weight") * F.col("k")), EROSION)
-        own = runoff.roll(alive, hazard.raw, hazard.b0, erosion, b0, horizon, ["book"]).select(F.lit(b).alias("path_id"), "h", "B")
-        curves = own if curves is None else curves.unionByName(own)
-    return rates.bands(curves, [], [0.05, 0.5, 0.95])
+    spark = rows.sparkSession
+    alive = panel.alive(rows)
+    drawn = uncertainty.block_months(rows, n_boot, block, seed).groupBy("boot_id", "month_int").agg(F.count("*").alias("k"))
+    times = drawn.groupBy("month_int").agg(F.map_from_entries(F.collect_list(F.struct("boot_id", "k"))).alias("times")).persist()  # a row a month
+    weighed = rows.drop("times").join(F.broadcast(times), "month_int").select("event", "w", "times", *HAZARD).persist()
+    steps = paths_.increments(rows.drop("weight")).join(F.broadcast(times), "month_int").select("d_logbal", "weight", "times", *EROSION).persist()
+
+    def refit(b: int) -> dict[str, float]:
+        k = F.coalesce(F.element_at("times", F.lit(b)), F.lit(0))
+        hazard = models.fit_hazard(weighed.where(k > 0).withColumn("w", F.col("w") * k), HAZARD, 1e-3, 0.5)
+        erosion, b0 = models.fit_erosion(steps.where(k > 0).withColumn("weight", F.col("weight") * k), EROSION)
+        return {"path_id": b, **{f"h_{c}": v for c, v in hazard.raw.items()}, "h_": hazard.b0, **{f"e_{c}": v for c, v in erosion.items()}, "e_": b0}
+
+    fits = models.concurrently(spark, [lambda b=b: refit(b) for b in range(n_boot)])
+    for kept in (times, weighed, steps):
+        kept.unpersist()
+    columns = ["path_id", *[f"h_{c}" for c in HAZARD], "h_", *[f"e_{c}" for c in EROSION], "e_"]
+    draws = spark.createDataFrame([tuple(f[c] for c in columns) for f in fits], ", ".join(f"`{c}` {'int' if c == 'path_id' else 'double'}" for c in columns))
+    fanned = alive.crossJoin(F.broadcast(draws))  # with a row a draw
+    curves = runoff.roll(fanned, {c: F.col(f"h_{c}") for c in HAZARD}, F.col("h_"), {c: F.col(f"e_{c}") for c in EROSION}, F.col("e_"), horizon, ["path_id"])
+    return rates.bands(curves.select("path_id", "h", "B"), [], [0.05, 0.5, 0.95])
+
+
+def fitted_errors(rows: DataFrame, rates_: DataFrame, origin: int, horizon: int) -> DataFrame:
+    """(segment, model, mae): each model's curve, fitted on the months up to the origin alone, against what followed.
+
+    rows: the panel with macro columns and w; rates_ (month_int, x): the series whose tertiles are the chain's regimes. Segments too short for error
+    correction have no row of it.
+    """
+    past = rows.where(F.col("month_int") <= origin)
+    cohort = past.where((F.col("month_int") == origin) & (F.col("event") == 0))
+    fits = models.concurrently(rows.sparkSession, [
+        lambda: models.fit_hazard(past, HAZARD, 1e-3, 0.5), lambda: models.fit_hazard(past, ["seasoning"], 1e-6, 0.0), lambda: models.fit_erosion(paths_.increments(past.drop("weight")), EROSION),
+    ])
+    hazard, tenure, (erosion, b0) = fits
+    states = regimes.by_bounds(rates_, regimes.tertile_bounds(rates_, origin))
+    curves = {
+        "convention": runoff.convention(paths_.core_volatile(past), horizon),
+        "constant": runoff.constant_hazard(past, horizon),
+        "tenure": runoff.roll(cohort, tenure.raw, tenure.b0, {}, 0.0, horizon, ["segment"]),
+        "regime_chain": regimes.chain_survival(past, states, origin, horizon, ["segment"]),
+        "error_correction": runoff.reverting(models.error_correction(models.book_months(past)), horizon),
+        "hazard": runoff.roll(cohort, hazard.raw, hazard.b0, erosion, b0, horizon, ["segment"]),
+    }
+    both = None
+    for name, curve in curves.items():
+        curve = curve.select("segment", "h", "B", F.lit(name).alias("model"))
+        both = curve if both is None else both.unionByName(curve)
+    return runoff.errors(both, panel.realized(rows, origin, horizon), ["segment"])
 
 
 def back_test(rows: DataFrame, origins: list[int], horizon: int) -> DataFrame:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
+from typing import TypeVar
+
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import validate
 
+T = TypeVar("T")
+#: Fits that run side by side.
+FITS = 8
+#: Rows of a task of a fit, at least.
+FIT_ROWS = 50_000
+#: How closely the fits of a grid are run, of which only scores are compared.
+GRID_TOL = 1e-7
+
 
 def scaler(rows: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Unweighted means and population deviations, 1 for a constant feature; one pass."""
@@ -32,22 +46,52 @@ class Hazard:
         return C.sigmoid(sum((F.col(f) * b for f, b in self.raw.items()), F.lit(self.b0)))
 
 
+class Prepared:
+    """Rows standardised, assembled into vectors and kept once, for any number of fits of event on features; at exit they are let go."""
+
+    def __init__(self, rows: DataFrame, features: list[str], weight: str = "w", label: str = "event"):
+        self.features = features
+        self.mean, self.sd = scaler(rows, features)
+        scaled = rows.select(F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), *[((F.col(f) - float(m)) / float(s)).alias(f) for f, m, s in zip(features, self.mean, self.sd, strict=True)])
+        self.kept = VectorAssembler(inputCols=features, outputCol="x").transform(scaled).select("label", "weight", "x").persist()
+        size = self.kept.agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
+        if not size["n"]:
+            self.kept.unpersist()
+            raise ValueError("no rows to fit on")
+        self.n, self.w = size["n"], size["w"]
+        self.data = self.kept.coalesce(-(-self.n // FIT_ROWS))
+
+    def fit(self, lam: float, alpha: float, tol: float = 1e-9, rounds: int = 200) -> Hazard:
+        """Weighted elastic-net logistic regression: (1/n) sum w nll + lam (alpha |b|_1 + (1 - alpha)/2 |b|^2).
+
+        Spark divides by the sum of weights where this objective divides by n, so its penalty is lam n / sum w. The intercept isn't penalised.
+        """
+        learner = LogisticRegression(featuresCol="x", weightCol="weight", standardization=False, regParam=lam * self.n / self.w, elasticNetParam=alpha, maxIter=rounds, tol=tol)
+        model = learner.fit(self.data)
+        return Hazard(self.features, self.mean, self.sd, model.coefficients.toArray(), model.intercept)
+
+    def __enter__(self) -> Prepared:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.kept.unpersist()
+
+
 def fit_hazard(rows: DataFrame, features: list[str], lam: float, alpha: float, weight: str = "w", label: str = "event") -> Hazard:
-    """Weighted elastic-net logistic regression of event: (1/n) sum w nll + lam (alpha |b|_1 + (1 - alpha)/2 |b|^2).
+    """One fit of Prepared rows."""
+    with Prepared(rows, features, weight, label) as data:
+        return data.fit(lam, alpha)
 
-    Spark divides by the sum of weights where this objective divides by n, so its penalty is lam n / sum w. Features are
-    standardised first, the intercept isn't penalised.
-    """
-    mean, sd = scaler(rows, features)
-    scaled = rows.select(F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), *[((F.col(f) - float(m)) / float(s)).alias(f) for f, m, s in zip(features, mean, sd, strict=True)])
-    data = VectorAssembler(inputCols=features, outputCol="x").transform(scaled).select("label", "weight", "x").persist()
-    size = data.agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
-    if not size["n"]:
-        raise ValueError("no rows to fit on")
-    learner = LogisticRegression(featuresCol="x", weightCol="weight", standardization=False, regParam=lam * size["n"] / size["w"], elasticNetParam=alpha, maxIter=200, tol=1e-9)
-    model = learner.fit(data)
-    data.unpersist()
-    return Hazard(features, mean, sd, model.coefficients.toArray(), model.intercept)
+
+def concurrently(spark: SparkSession, tasks: list[Callable[[], T]], width: int = FITS) -> list[T]:
+    """Results of tasks that run Spark jobs of their own, up to `width` at once, each in its own scheduler pool; the first error is raised."""
+
+    def run(k: int) -> T:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fits-{k % width}")
+        return tasks[k]()
+
+    with ThreadPoolExecutor(width) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(run), range(len(tasks))))
 
 
 def fit_erosion(rows: DataFrame, features: list[str], target: str = "d_logbal", weight: str = "weight", ridge: float = 1e-5, delta: float = 1.345, rounds: int = 10) -> tuple[dict[str, float], float]:
@@ -72,20 +116,32 @@ def fit_erosion(rows: DataFrame, features: list[str], target: str = "d_logbal",
 
 
 def penalty_grid(rows: DataFrame, features: list[str], folds: DataFrame, lams: list[float], alphas: list[float]) -> DataFrame:
-    """Mean NLL, Brier and their standard errors over walk-forward folds for each (lam, alpha). Rows: with w, event, month_int."""
-    out = []
-    for fold in sorted(r[0] for r in folds.select("fold").distinct().collect()):  # a few folds
-        months = F.broadcast(folds.where(F.col("fold") == fold).select("month_int", "role"))
-        part = rows.join(months, "month_int").persist()
-        for lam in lams:
-            for alpha in alphas:
-                model = fit_hazard(part.where("role = 'train'"), features, lam, alpha)
-                got = part.where("role = 'test'").agg(validate.nll(model.p(), F.col("event")).alias("nll"), validate.brier(model.p(), F.col("event")).alias("brier")).first()
-                out.append((float(lam), float(alpha), int(fold), got["nll"], got["brier"]))
-        part.unpersist()
-    scores = rows.sparkSession.createDataFrame(out, "lam double, alpha double, fold int, nll double, brier double")
+    """Mean NLL, Brier and their standard errors over walk-forward folds for each (lam, alpha). Rows: with w, event, month_int.
+
+    A fold's training rows are prepared once for all its fits; fits run side by side; all models of a fold are scored in one
+    pass over its test rows. Fits are run until they can be ranked (GRID_TOL), not to the last digit.
+    """
+    spark = rows.sparkSession
+    cells = [(float(lam), float(alpha)) for lam in lams for alpha in alphas]
+    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a few folds
+    months = {k: F.broadcast(folds.where(F.col("fold") == k).select("month_int", "role")) for k in numbers}  # a row a month
+    part = lambda k, role: rows.join(months[k].where(F.col("role") == role), "month_int")
+    with ExitStack() as kept:
+        data = concurrently(spark, [lambda k=k: Prepared(part(k, "train"), features) for k in numbers])
+        for each in data:
+            kept.enter_context(each)
+        fits = concurrently(spark, [lambda d=d, c=c: d.fit(*c, tol=GRID_TOL, rounds=100) for d in data for c in cells])
+    models = {k: fits[i * len(cells) : (i + 1) * len(cells)] for i, k in enumerate(numbers)}
+
+    def scores(k: int) -> list[tuple]:
+        ps = part(k, "test").select("event", *[m.p().alias(f"p{i}") for i, m in enumerate(models[k])])
+        got = ps.agg(*[f(F.col(f"p{i}"), F.col("event")) for i in range(len(cells)) for f in (validate.nll, validate.brier)]).first()
+        return [(*c, int(k), got[2 * i], got[2 * i + 1]) for i, c in enumerate(cells)]
+
+    out = [row for each in concurrently(spark, [lambda k=k: scores(k) for k in numbers]) for row in each]
+    scored = spark.createDataFrame(out, "lam double, alpha double, fold int, nll double, brier double")
     n = F.sqrt(F.count("*"))
-    return scores.groupBy("lam", "alpha").agg(F.avg("nll").alias("nll"), (F.stddev_pop("nll") / n).alias("nll_se"), F.avg("brier").alias("brier"), (F.stddev_pop("brier") / n).alias("brier_se"))
+    return scored.groupBy("lam", "alpha").agg(F.avg("nll").alias("nll"), (F.stddev_pop("nll") / n).alias("nll_se"), F.avg("brier").alias("brier"), (F.stddev_pop("brier") / n).alias("brier_se"))
 
 
 def one_se(grid: DataFrame) -> DataFrame:
@@ -94,6 +150,53 @@ def one_se(grid: DataFrame) -> DataFrame:
     return grid.crossJoin(F.broadcast(best)).where("nll <= limit").agg(F.max(F.struct("lam", "alpha")).alias("x")).select("x.lam", "x.alpha")
 
 
+#: Families of features from plain to rich come first where they score alike.
+FAMILY_SLACK, MODEL_SLACK = 0.01, 0.05
+
+
+def family_choice(scores: DataFrame, slack: float = FAMILY_SLACK) -> DataFrame:
+    """The one row of (family, n_features, nll) with the fewest features among those within `slack` of the least NLL; then by name."""
+    best = scores.agg(F.min("nll").alias("best"))
+    near = scores.crossJoin(F.broadcast(best)).where(F.col("nll") <= F.col("best") + slack * F.abs("best"))  # with one row
+    return near.agg(F.min(F.struct("n_features", "family", "nll")).alias("x")).select("x.family", "x.n_features", "x.nll")
+
+
+def nested_evaluation(rows: DataFrame, families: dict[str, list[str]], val_months: int, test_months: int, lams: list[float], alphas: list[float], horizon: int = 6, step: int = 12) -> DataFrame:
+    """(stage, family, n_features, lam, alpha, chosen, nll, brier, n): a validation row for each family, and one test row.
+
+    rows: with w, event, month_int and all features. Months are cut into training, validation and test, the last ones.
+    The penalty is the one-standard-error choice over walk-forward folds of the training months, for the first family; each family is fitted on
+    them and scored on the validation months; the plainest within FAMILY_SLACK of the best is chosen. It is refitted on
+    training and validation together, and only then one job reads the test months. Too few months raise ValueError.
+    """
+    spark = rows.sparkSession
+    months = sorted(r[0] for r in rows.select("month_int").distinct().collect())  # a few hundred
+    if len(months) < val_months + test_months + 2:
+        raise ValueError("too few months to hold any out")
+    cut2, cut1 = months[-test_months - 1], months[-test_months - val_months - 1]
+    month = F.col("month_int")
+    seen = rows.where(month <= cut2).persist()
+    train, val = seen.where(month <= cut1), seen.where(month > cut1)
+    first = next(iter(families.values()))
+    choice = one_se(penalty_grid(train, first, validate.walk_forward(train, horizon, step=step), lams, alphas)).first()
+    if choice is None:
+        raise ValueError("too few months to train on")
+    lam, alpha = choice["lam"], choice["alpha"]
+    fits = concurrently(spark, [lambda f=f: fit_hazard(train, f, lam, alpha) for f in families.values()])
+    y = F.col("event")
+    ps = val.select("event", *[m.p().alias(f"p{i}") for i, m in enumerate(fits)])  # all families in one pass
+    got = ps.agg(F.count("*").alias("n"), *[f(F.col(f"p{i}"), y).alias(f"{f.__name__}{i}") for i in range(len(fits)) for f in (validate.nll, validate.brier)]).first()
+    types = "stage string, family string, n_features int, lam double, alpha double, nll double, brier double, n long"
+    scored = spark.createDataFrame([("validation", name, len(f), lam, alpha, got[f"nll{i}"], got[f"brier{i}"], got["n"]) for i, (name, f) in enumerate(families.items())], types)
+    chosen = family_choice(scored).first()["family"]
+    final = fit_hazard(seen, families[chosen], lam, alpha)
+    test = rows.where(month > cut2).agg(validate.nll(final.p(), y).alias("nll"), validate.brier(final.p(), y).alias("brier"), F.count("*").alias("n"))
+    test = test.select(F.lit("test").alias("stage"), F.lit(chosen).alias("family"), F.lit(len(families[chosen])).alias("n_features"), F.lit(lam).alias("lam"), F.lit(alpha).alias("alpha"), "nll", "brier", "n")
+    seen.unpersist()
+    both = scored.unionByName(test)
+    return both.withColumn("chosen", F.col("family") == chosen)
+
+
 def gate(train: DataFrame, val: DataFrame, base: list[str], extra: list[str], gain: float = 0.995) -> bool:
     """Whether the extra features lower the validation NLL below `gain` of the base's."""
     nlls = [val.agg(validate.nll(fit_hazard(train, f, 0.01, 0.5).p(), F.col("event"))).first()[0] for f in (base, base + extra)]

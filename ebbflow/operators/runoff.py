@@ -27,19 +27,22 @@ def attribution(curves: DataFrame) -> DataFrame:
     return curves.withColumn("r", F.when(F.col("A") > 1e-12, F.col("B") / F.col("A")).otherwise(1.0))
 
 
-def roll(alive: DataFrame, hazard: dict[str, float], hazard_b0: float, erosion: dict[str, float], erosion_b0: float, horizon: int, by: list[str], weight: str = "balance_kda", rate_bump: float = 0.0) -> DataFrame:
+def roll(alive: DataFrame, hazard: dict[str, float | Column], hazard_b0: float | Column, erosion: dict[str, float | Column], erosion_b0: float | Column, horizon: int, by: list[str], weight: str = "balance_kda", rate_bump: float = 0.0, ahead: dict[str, list[float]] | None = None) -> DataFrame:
     """Balance-weighted survival A and balance B of a book at h = 0..horizon, by group.
 
     Each account's seasoning grows by a month a step and its other features hold; its hazard is the logistic of the
     coefficients, its log retention grows by the erosion's linear form. The steps of an account are folded within its row,
-    so only group totals are shuffled: a row for each group, horizon and task. A weight of 0 or null counts as 1.
+    so only group totals are shuffled: a row for each group, horizon and task. A weight of 0 or null counts as 1. Coefficients
+    may be columns of alive. ahead: values of features that are known for the months to come, the first for h = 1, from the start again
+    after the last.
     """
-    def linear(coef: dict[str, float], b0: float, h: Column) -> Column:
-        out = F.lit(float(b0))
+    def linear(coef: dict[str, float | Column], b0: float | Column, h: Column) -> Column:
+        out = F.lit(b0).cast("double")
         for name, b in coef.items():
-            x = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+            known = (ahead or {}).get(name)
+            x = F.get(F.array(*map(F.lit, known)), F.pmod(h - 1, F.lit(len(known)))) if known else F.coalesce(F.col(name).cast("double"), F.lit(0.0))
             x = x + h if name == "seasoning" else x + rate_bump if name == "money_market" else x
-            out = out + x * float(b)
+            out = out + x * F.lit(b)
         return out
 
     w = F.when(F.coalesce(F.col(weight), F.lit(0.0)) == 0, 1.0).otherwise(F.col(weight))

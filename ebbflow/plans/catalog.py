@@ -872,7 +872,8 @@ def ml5_penalty_grid(spark, d):
 
     rows = V.model_rows(spark, d).persist()
     folds = validate.walk_forward(rows, 6, step=12)
-    return rounded(models.penalty_grid(rows, books.HAZARD, folds, [1e-5 * 10 ** (4 * k / 7) for k in range(8)], [0.0, 0.25, 0.5, 0.75, 1.0]), 4)
+    grid = models.penalty_grid(rows, books.HAZARD, folds, [1e-5 * 10 ** (4 * k / 7) for k in range(8)], [0.0, 0.25, 0.5, 0.75, 1.0])
+    return grid.select(F.round("lam", 9).alias("lam"), "alpha", *[F.round(c, 4).alias(c) for c in ("nll", "nll_se", "brier", "brier_se")])
 
 
 @query()
@@ -1068,11 +1069,125 @@ def ss2_scenario_set(spark, d):
     return rounded(runoff.scenario_set(alive, _states(spark, d), V.HAZARD, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 24, ["segment"]))
 
 
-@query(f"WITH {V.PANEL}, {V.MACRO}, {_STATES} SELECT account_id, p.month_int, CAST(coalesce(CAST(state = 1 AS INT), 0) AS DOUBLE) AS p_1, CAST(coalesce(CAST(state = 2 AS INT), 0) AS DOUBLE) AS p_2 FROM panel p LEFT JOIN (SELECT * FROM states WHERE month_int % 5 <> 0) s ON p.month_int = s.month_int")
+# --- frozen regimes, the chain of regimes, known months ahead --------------------------------------------------
+
+
+def _rates(spark, d):
+    return V.macro_long(spark, d).where("series = 'money_market'").select("month_int", F.col("value").alias("x"))
+
+
+_BOUNDS = f"""rates AS (SELECT month_int, money_market AS x FROM macro_month), v AS (SELECT list_sort(list(x)) AS v FROM rates WHERE month_int <= {V.CUTOFF}),
+cuts AS (SELECT v[len(v) // 3 + 1] AS low, v[2 * len(v) // 3 + 1] AS high FROM v), states AS (SELECT month_int, x, CASE WHEN x < low THEN 0 WHEN x >= high THEN 2 ELSE 1 END AS state FROM rates CROSS JOIN cuts),
+past AS (SELECT * FROM states WHERE month_int <= {V.CUTOFF}), led AS (SELECT state, lead(state) OVER (ORDER BY month_int) AS nxt FROM past)"""
+_FILTER = f"""{_BOUNDS}, sc AS (SELECT avg(x) AS c, stddev_pop(x) AS s FROM past), prm AS (SELECT state, avg((x - c) / s) AS m, greatest(var_pop((x - c) / s), 1e-4) AS v FROM past CROSS JOIN sc GROUP BY 1),
+mv AS (SELECT a.i, b.j, (count(l.state) + 1) / (sum(count(l.state)) OVER (PARTITION BY a.i) + 3) AS p FROM range(3) a(i) CROSS JOIN range(3) b(j) LEFT JOIN led l ON l.state = a.i AND l.nxt = b.j GROUP BY 1, 2),
+dens AS (SELECT row_number() OVER (PARTITION BY state ORDER BY month_int) AS i, month_int, state, exp(-0.5 * (ln(2 * pi() * v) + ((x - c) / s - m) ** 2 / v)) AS b FROM rates CROSS JOIN sc CROSS JOIN prm),
+wide AS (SELECT i, month_int, max(b) FILTER (state = 0) AS b0, max(b) FILTER (state = 1) AS b1, max(b) FILTER (state = 2) AS b2 FROM dens GROUP BY 1, 2),
+mw AS (SELECT {", ".join(f"max(p) FILTER (i = {i} AND j = {j}) AS a{i}{j}" for i in range(3) for j in range(3))} FROM mv),
+filt(i, month_int, p0, p1, p2) AS (
+    SELECT i, month_int, b0 / (b0 + b1 + b2), b1 / (b0 + b1 + b2), b2 / (b0 + b1 + b2) FROM wide WHERE i = 1
+    UNION ALL SELECT i, month_int, q0 / (q0 + q1 + q2), q1 / (q0 + q1 + q2), q2 / (q0 + q1 + q2) FROM (
+        SELECT w.i, w.month_int, {", ".join(f"(p0 * a0{j} + p1 * a1{j} + p2 * a2{j}) * b{j} AS q{j}" for j in range(3))} FROM filt f JOIN wide w ON w.i = f.i + 1 CROSS JOIN mw)
+)"""
+
+
+def _posterior(spark, d):
+    from ..operators import regimes
+
+    rates = _rates(spark, d)
+    return regimes.posterior_columns(regimes.filtered(rates, ["x"], regimes.tertile_parameters(rates, V.CUTOFF)), 3)
+
+
+@query(f"WITH RECURSIVE {V.MACRO}, {_FILTER} SELECT month_int, round(p0, 6) AS regime_p0, round(p1, 6) AS regime_p1 FROM filt")
+def ts10_causal_filter(spark, d):
+    """Each month's regime probabilities by the months up to it, of parameters frozen at the cutoff."""
+    return rounded(_posterior(spark, d))
+
+
+@query(f"WITH RECURSIVE {V.PANEL}, {V.MACRO}, {_FILTER} SELECT account_id, p.month_int, round(coalesce(p0, 0), 6) AS regime_p0, round(coalesce(p1, 0), 6) AS regime_p1 FROM panel p LEFT JOIN filt f ON f.month_int = p.month_int + 3")
 def jn7_regime_posterior(spark, d):
-    """Probabilities of two of three rate regimes attached to the panel; some months have none."""
-    known = _states(spark, d).where("month_int % 5 <> 0").select("month_int", *[(F.col("state") == k).cast("double").alias(f"p_{k}") for k in (1, 2)])
-    return runoff.attach_posterior(V.account_panel(spark, d).select("account_id", "month_int"), known)
+    """The filter's probabilities attached to the panel, three months late; the last months have none."""
+    late = _posterior(spark, d).withColumn("month_int", F.col("month_int") - 3)
+    return rounded(runoff.attach_posterior(V.account_panel(spark, d).select("account_id", "month_int"), late))
+
+
+@query()
+def jn7_regime_hazard(spark, d):
+    """Coefficients of a hazard whose features hold the filtered posterior of a model frozen at the cutoff, fitted on the months up to it."""
+    from ..operators import books, models, regimes
+
+    rates = _rates(spark, d)
+    frozen = regimes.fitted_parameters(rates, ["x"], V.CUTOFF)
+    names = [f"regime_p{j}" for j in range(max(0, frozen.count() - 1))]
+    rows = runoff.attach_posterior(V.model_rows(spark, d), regimes.posterior_columns(regimes.filtered(rates, ["x"], frozen), len(names) + 1))
+    m = models.fit_hazard(rows.where(F.col("month_int") <= V.CUTOFF), books.HAZARD + names, 1e-3, 0.5)
+    return rounded(spark.createDataFrame([*m.raw.items(), ("intercept", m.b0)], "feature string, coefficient double"))
+
+
+_CHAIN = f"""WITH RECURSIVE {V.PANEL}, {V.MACRO}, {_BOUNDS}, mv AS (SELECT i, j, CASE WHEN sum(n) OVER (PARTITION BY i) > 0 THEN n / sum(n) OVER (PARTITION BY i) ELSE 0 END AS p FROM (
+    SELECT a.i, b.j, count(l.state) AS n FROM range(3) a(i) CROSS JOIN range(3) b(j) LEFT JOIN led l ON l.state = a.i AND l.nxt = b.j GROUP BY 1, 2)),
+hz AS (SELECT segment, {", ".join(f"-ln(greatest(1 - coalesce(avg(event) FILTER (state = {k}), 0), 1e-9)) AS r{k}" for k in range(3))} FROM panel p JOIN past s ON s.month_int = p.month_int GROUP BY 1),
+g AS (SELECT segment, {", ".join(f"((SELECT p FROM mv WHERE i = {i} AND j = {j}) - {f'1 - r{i}' if i == j else '0'}) / 16 AS g{i}{j}" for i in range(3) for j in range(3))} FROM hz),
+ser(segment, q, n, u0, u1, u2, v0, v1, v2) AS (
+    SELECT segment, 0, 12, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE FROM g
+    UNION ALL SELECT segment, q, n, u0 + t0, u1 + t1, u2 + t2, t0, t1, t2 FROM (
+        SELECT s.segment, CASE WHEN n = 12 THEN q + 1 ELSE q END AS q, CASE WHEN n = 12 THEN 1 ELSE n + 1 END AS n, u0, u1, u2,
+            {", ".join(f"(g{i}0 * CASE WHEN n = 12 THEN u0 ELSE v0 END + g{i}1 * CASE WHEN n = 12 THEN u1 ELSE v1 END + g{i}2 * CASE WHEN n = 12 THEN u2 ELSE v2 END) / CASE WHEN n = 12 THEN 1 ELSE n + 1 END AS t{i}" for i in range(3))}
+        FROM ser s JOIN g ON g.segment = s.segment WHERE q < {16 * V.HORIZON} OR n < 12)
+)"""
+
+
+@query(_CHAIN + f" SELECT segment, CAST(q // 16 AS INT) AS h, round(CASE state WHEN 0 THEN u0 WHEN 1 THEN u1 ELSE u2 END, 6) AS B FROM ser JOIN past ON month_int = {V.CUTOFF} WHERE n = 12 AND q % 16 = 0")
+def ro14_regime_chain(spark, d):
+    from ..operators import regimes
+
+    rates = _rates(spark, d)
+    states = regimes.by_bounds(rates, regimes.tertile_bounds(rates, V.CUTOFF))
+    return rounded(regimes.chain_survival(V.account_panel(spark, d), states, V.CUTOFF, V.HORIZON, ["segment"]))
+
+
+@query()
+def ml8_nested_evaluation(spark, d):
+    """Levels, levels with the regime posterior, and with path features, chosen on a year of months and scored once on the last year."""
+    from ..operators import books, models, regimes
+
+    rates = _rates(spark, d)
+    rows = features.path(V.model_rows(spark, d))
+    cut = rows.agg(F.max("month_int")).first()[0] - 24
+    frozen = regimes.fitted_parameters(rates, ["x"], cut)
+    names = [f"regime_p{j}" for j in range(max(0, frozen.count() - 1))]
+    rows = runoff.attach_posterior(rows, regimes.posterior_columns(regimes.filtered(rates, ["x"], frozen), len(names) + 1)).persist()
+    more = ["bal_drawdown", "decline_streak", "bal_vol6"]
+    families = {"base": books.HAZARD, "base+regime": books.HAZARD + names, "base+path": books.HAZARD + more, "base+regime+path": books.HAZARD + names + more}
+    return rounded(models.nested_evaluation(rows, families, 12, 12, [1e-4, 1e-3, 1e-2, 1e-1], [0.0, 0.5, 1.0]), 4)
+
+
+@query()
+def ro9_fitted_errors(spark, d):
+    """Error of each model's curve by segment, all of them fitted on the months up to a year after the cutoff: what was kept straight-line, a constant
+    hazard, one by tenure alone, the chain of regimes, error correction, and the whole hazard with its erosion."""
+    from ..operators import books
+
+    return rounded(books.fitted_errors(V.model_rows(spark, d).persist(), _rates(spark, d), V.CUTOFF + 12, 6))
+
+
+_DAYS = f"""n AS (SELECT CAST(day AS DATE) AS day, date_diff('day', DATE '1970-01-01', CAST(day AS DATE)) + {C.ISLAMIC_EPOCH} AS n FROM (SELECT unnest(generate_series(DATE '1997-02-01', DATE '1998-01-31', INTERVAL 1 DAY)) AS day)),
+y AS (SELECT *, (30 * n + 10646) // {C.ISLAMIC_CYCLE} AS hy FROM n), hd AS (SELECT *, n - 354 * (hy - 1) - (3 + 11 * hy) // 30 AS hp FROM y),
+cal AS (SELECT year(day) * 12 + month(day) - 1 - {V.CUTOFF} AS h, round(avg(CAST((11 * hp + 330) // 325 = 9 AS INT)), 4) AS ram FROM hd GROUP BY 1)"""
+
+
+@query(
+    f"""WITH {V.MODEL}, {_DAYS}, alive AS (SELECT *, CASE WHEN w = 0 THEN 1 ELSE w END AS wt FROM model_rows WHERE month_int = {V.CUTOFF} AND event = 0),
+    hz AS (SELECT segment, account_id, wt, h, 1 / (1 + exp(-(-1.5 - 0.01 * (seasoning + h) - 0.3 * log_balance + 0.1 * money_market + 0.8 * ram))) AS p, -0.002 - 0.001 * money_market + 0.0001 * (seasoning + h) AS e FROM alive CROSS JOIN cal),
+    paths AS (SELECT segment, wt, h, exp(sum(ln(1 - p)) OVER o) AS a, exp(sum(ln(1 - p)) OVER o) * exp(sum(e) OVER o) AS b FROM hz WINDOW o AS (PARTITION BY account_id ORDER BY h))
+    SELECT segment, CAST(h AS INT) AS h, round(sum(wt * a) / sum(wt), 6) AS A, round(sum(wt * b) / sum(wt), 6) AS B FROM paths GROUP BY 1, 2 UNION ALL SELECT DISTINCT segment, 0, 1.0, 1.0 FROM alive"""
+)
+def ro3_known_months(spark, d):
+    """The roll over the twelve months after the cutoff, whose shares of Ramadan the calendar knows."""
+    months = macro.seasonal(spark, 1997, 1998).where(F.col("month_int").between(V.CUTOFF + 1, V.CUTOFF + 12)).orderBy("month_int")
+    ahead = [float(r["ramadan_frac"]) for r in months.select("ramadan_frac").collect()]  # twelve months
+    alive = V.model_rows(spark, d).where(f"month_int = {V.CUTOFF} and event = 0")
+    return rounded(runoff.roll(alive, {**V.HAZARD, "ramadan_frac": 0.8}, V.HAZARD_B0, V.EROSION, V.EROSION_B0, 12, ["segment"], ahead={"ramadan_frac": ahead}))
 
 
 @query(

@@ -10,19 +10,20 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
-#: Field and the words that its header cell holds, all of them, without accents.
+#: Field and the words that its header cell holds, all of them, without accents. The first unused cell wins, so order counts.
 FIELDS = [
-    ("ressources", ["RESSOURCES"]),
-    ("business_line", ["BUSINESS", "LINE"]),
-    ("seg_niveau2", ["SEGMENTATION", "NIVEAU"]),
-    ("code_seg", ["CODE", "SEGMENTATION"]),
     ("client_id", ["IDENTIF", "NATIONAL"]),
+    ("periode", ["PERIODE"]),
+    ("ressources", ["RESSOURCE"]),
+    ("business_line", ["BUSINESS"]),
+    ("seg2", ["SEGMENTATION", "NIVEAU"]),
+    ("seg_commercial", ["SEGMENTATION", "COMMERCIAL"]),
     ("type_compte", ["TYPE", "COMPTE"]),
     ("rubrique", ["RUBRIQUE"]),
-    ("date_ouverture", ["DATE", "OUVERTURE"]),
-    ("ctrvl_kda", ["CTRVL", "KDA"]),
+    ("date_ouverture", ["OUVERTURE"]),
+    ("ctrvl_kda", ["CTRVL"]),
     ("solde", ["SOLDE"]),
-    ("currency", ["CURRENCY"]),
+    ("currency", ["DEVISE"]),
 ]
 HEADER = ["IDENTIF", "NATIONAL"]
 CELLS = "file string, encoding string, delimiter string, missing array<string>, row_no long, " + ", ".join(f"`{f}` string" for f, _ in FIELDS)

@@ -9,6 +9,7 @@ from ebbflow.operators import panel, series
 from ebbflow.sources import dumps, payloads
 from ebbflow.streaming import live
 
+#: The two layouts of the files.
 HEADER_A = ["Ressources-Remplois", "PERIODE", "Business Line", "Segmentation niveau 2", "CODE SEGMENTATION COMMERCIAL", "IDENTIF. NATIONAL -B35T", "CODE TYPE COMPTE -B35M", "Rubriques", "DATE OUVERTURE COMPTE -B35M", "CTRVL KDA", "SOLDE REPORTING FRENCH / DEV CPTE"]
 HEADER_B = ["Ressources-Remplois", "PERIODE", "Business Line", "CODE TYPE COMPTE -B35M", "IDENTIF. NATIONAL -B35T", "Rubriques", "DATE OUVERTURE COMPTE -B35M", "CTRVL KDA", "SOLDE REPORTING FRENCH / DEV CPTE"]
 
@@ -34,7 +35,7 @@ def test_dumps_of_any_layout(spark, folder):
     cells = dumps.read_dumps(spark, str(folder))
     kinds = {r.file.rsplit("/", 1)[1]: (r.encoding, r.delimiter, r.missing) for r in cells.collect()}
     assert {k: v[:2] for k, v in kinds.items()} == {"DAV_072019.txt": ("cp1252", "\t"), "DAV_082019.txt": ("utf-8-sig", ";"), "DAV_092019.text": ("utf-16", "\t"), "DAV_102019.txt": ("utf-8", "\t")}
-    assert kinds["DAV_082019.txt"][2] == ["seg_niveau2", "code_seg", "currency"]
+    assert kinds["DAV_082019.txt"][2] == ["seg2", "seg_commercial", "currency"]
     got = panel.in_scope(dumps.records(cells))
     assert sorted((r.client_id, r.month_int, r.segment, r.ctrvl_kda) for r in got.collect()) == sorted((c, 2019 * 12 + m, s, v) for m in (6, 7, 8, 9) for c, s, v in (("C1", "vue_dinars", 1234.5), ("C2", "epargne", 10.0)))
     assert panel.in_scope(dumps.records(cells), ["epargne"]).count() == 4
@@ -148,3 +149,17 @@ def test_online_regimes_follow_a_switch(spark, tmp_path):
     high = [got[t] for t in range(60, 180) if t // 12 % 2 and t % 12 > 1]
     low = [got[t] for t in range(60, 180) if not t // 12 % 2 and t % 12 > 1]
     assert min(high) > 0.9 and max(low) < 0.1 or min(low) > 0.9 and max(high) < 0.1
+
+
+@pytest.mark.parametrize("field, cell", [
+    ("client_id", "Identif. National -B35T"), ("periode", "Période"), ("ressources", "Ressource"), ("business_line", "BUSINESS"), ("seg2", "Segmentation niveau 2"),
+    ("seg_commercial", "Segmentation commerciale"), ("type_compte", "CODE TYPE COMPTE"), ("rubrique", "Rubriques"), ("date_ouverture", "Ouverture"), ("ctrvl_kda", "ctrvl"),
+    ("solde", "SOLDE REPORTING"), ("currency", "Devise"),
+])
+def test_each_header_word(field, cell):
+    assert dumps.resolve(["x", cell]) == {field: 1}
+
+
+def test_short_headers_are_found():
+    header = ["IDENTIF. NATIONAL", "PERIODE", "RESSOURCE", "BUSINESS", "SEGMENTATION COMMERCIALE", "OUVERTURE", "CTRVL", "DEVISE"]
+    assert sorted(dumps.resolve(header).values()) == list(range(8))
