@@ -81,6 +81,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def prefix(columns: list[str], name: str) -> str:
+    """A prefix for helper columns that begins none of the columns, whose names are the caller's."""
+    while any(c.lower().startswith(name) for c in columns):
+        name = f"_{name}"
+    return name
+
+
 def look_up(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str, spread: Column) -> DataFrame:
     """rows left join keyed, where a few keys may hold much of rows.
 
@@ -91,18 +98,20 @@ def look_up(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str, spre
     total = keyed.agg(F.coalesce(F.sum(count), F.lit(0)).alias("n"))
     limit = max(1000, (total.first()["n"] or 0) // 500)
     values = [c for c in keyed.columns if c not in (*keys, count)]
+    hot_, cold_ = prefix(rows.columns, "hot_"), prefix(rows.columns, "cold_")
+    hot_values, cold_values, lane, cold_lane = f"{hot_}values", f"{cold_}values", f"{hot_}lane", f"{cold_}lane"
     hot = keyed.where(F.col(count) > limit).select(
-        *[F.col(k).alias(f"hot_{k}") for k in keys], F.struct(*values).alias("hot_values")
+        *[F.col(k).alias(f"{hot_}key_{k}") for k in keys], F.struct(*values).alias(hot_values)
     )
     cold = keyed.where(F.col(count) <= limit).select(
-        *[F.col(k).alias(f"cold_{k}") for k in keys], F.lit(0).cast("long").alias("cold_lane"), F.struct(*values).alias("cold_values")
+        *[F.col(k).alias(f"{cold_}key_{k}") for k in keys], F.lit(0).cast("long").alias(cold_lane), F.struct(*values).alias(cold_values)
     )
-    on = [F.col(k) == F.col(f"hot_{k}") for k in keys]
+    on = [F.col(k) == F.col(f"{hot_}key_{k}") for k in keys]
     first = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "lane", F.when(F.col("hot_values").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(spread), F.lit(1 << 40))).cast("long")
+        lane, F.when(F.col(hot_values).isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(spread), F.lit(1 << 40))).cast("long")
     )
-    on = [F.col(k) == F.col(f"cold_{k}") for k in keys] + [F.col("lane") == F.col("cold_lane")]
+    on = [F.col(k) == F.col(f"{cold_}key_{k}") for k in keys] + [F.col(lane) == F.col(cold_lane)]
     both = first.join(cold, on, "left")
-    found = F.coalesce(F.col("hot_values"), F.col("cold_values"))
+    found = F.coalesce(F.col(hot_values), F.col(cold_values))
     return both.select(*[F.col(f"`{c}`") for c in rows.columns], *[found[v].alias(v) for v in values])
 

@@ -227,13 +227,15 @@ def inherited(files: DataFrame) -> DataFrame:
     nearest = steps.join(licensed, "from_dir").groupBy("dir").agg(
         F.max("files_in").alias("files_in"), F.max_by(F.struct("given.license_id", "given.cosine", "from_dir"), "depth").alias("got")
     )
-    nearest = common.stored(nearest, "licensed-directories")
-    own_dir = F.when(F.col("license_id").isNull(), directory(F.col("path"))).alias("dir")
-    rows = common.look_up(files.select("*", own_dir), nearest, ["dir"], "files_in", F.col("path"))
-    rest = [F.col(f"`{c}`") for c in files.columns if c not in ("license_id", "cosine")]
+    helper = common.prefix(files.columns, "licensed_")
+    key, got = f"{helper}dir", f"{helper}got"
+    nearest = common.stored(nearest.select(F.col("dir").alias(key), "files_in", F.col("got").alias(got)), "licensed-directories")
+    own_dir = F.when(F.col("license_id").isNull(), directory(F.col("path"))).alias(key)
+    rows = common.look_up(files.select("*", own_dir), nearest, [key], "files_in", F.col("path"))
+    rest = [F.col(f"`{c}`") for c in files.columns if c not in ("license_id", "cosine", "from_dir", "inherited")]
     return rows.select(
-        *rest, F.coalesce("license_id", "got.license_id").alias("license_id"), F.coalesce("cosine", "got.cosine").alias("cosine"),
-        F.col("got.from_dir").alias("from_dir"), (F.col("license_id").isNull() & F.col("got").isNotNull()).alias("inherited"),
+        *rest, F.coalesce("license_id", F.col(got)["license_id"]).alias("license_id"), F.coalesce("cosine", F.col(got)["cosine"]).alias("cosine"),
+        F.col(got)["from_dir"].alias("from_dir"), (F.col("license_id").isNull() & F.col(got).isNotNull()).alias("inherited"),
     )
 
 

@@ -14,6 +14,8 @@ from . import common
 
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3.0
 BLOCK, SHARD_BLOCKS = 64, 4096
+#: Characters of mixed text that a task holds before it hands them on.
+CUT_CHARS = 4 << 20
 #: Documents of a source's bucket, on average: a window runs over each.
 BUCKET_DOCS = 1000
 
@@ -212,25 +214,35 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block: int = BLOCK) -> DataF
     rows, _, pieces = mix(docs, seed, block)
     keys = ["source_no", "doc_id", "text_hash", "size"]
     # spans of one document; copies of one row follow each other by start
-    spans = pieces.groupBy(*keys).agg(F.collect_list(F.struct("start", "turn", "from", "length")).alias("mix_spans"))
+    helper = common.prefix(names, "mix_")
+    doc, source, hashed, size, own_spans = (f"{helper}{c}" for c in ("doc", "source", "hash", "size", "spans"))
+    spans = pieces.groupBy(*keys).agg(F.collect_list(F.struct("start", "turn", "from", "length")).alias(own_spans))
     of = rows.select("source", "source_no").distinct()
     spans = spans.join(of, "source_no").select(
-        F.col("doc_id").alias("s_doc"), F.col("source").alias("s_source"), F.col("text_hash").alias("s_hash"), F.col("size").alias("s_size"), "mix_spans"
+        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("text_hash").alias(hashed), F.col("size").alias(size), own_spans
     )
 
     def cut(batches: Iterator) -> Iterator:
+        """A document at a time; what is made goes out by CUT_CHARS of text."""
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            lists = [[((s["turn"], s["start"]), s["from"], s["length"]) for s in x] for x in batch.column("mix_spans").to_pylist()]
-            new = [taken_text(t or "", x) for t, x in zip(texts, lists, strict=True)]
-            made = {"text": pa.array(new, pa.string()), "n_chars": pa.array([len(t) for t in new], pa.int64())}
-            yield pa.RecordBatch.from_arrays([made.get(c, batch.column(c)) for c in names], names)
+            texts, lists = batch.column("text"), batch.column(own_spans)
+            ends = lists.offsets.to_numpy()
+            fields = [lists.values.field(c).to_numpy() for c in ("turn", "start", "from", "length")]
+            first, made, held = 0, [], 0
+            for i in range(batch.num_rows):
+                turn, start, at, length = (f[ends[i] : ends[i + 1]].tolist() for f in fields)
+                made.append(taken_text(texts[i].as_py() or "", [((t, s), a, n) for t, s, a, n in zip(turn, start, at, length)]))
+                held += len(made[-1])
+                if held >= CUT_CHARS or i + 1 == batch.num_rows:
+                    new = {"text": pa.array(made, pa.string()), "n_chars": pa.array([len(t) for t in made], pa.int64())}
+                    yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c)[first : i + 1] for c in names], names)
+                    first, made, held = i + 1, [], 0
 
     kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else 'long' if f.name == 'n_chars' else f.dataType.simpleString()}" for f in docs.schema)
     text = F.col("text").cast("string")
-    hashed = docs.withColumn("s_hash_", F.xxhash64(text)).withColumn("s_size_", common.word_count(text))
-    on = [F.col("s_hash_") == F.col("s_hash"), F.col("s_size_") == F.col("s_size"), F.col("doc_id").eqNullSafe(F.col("s_doc")), F.col("source").eqNullSafe(F.col("s_source"))]
-    both = hashed.join(spans, on).dropDuplicates(["s_hash_", "s_size_", "doc_id", "source"])
-    return both.select(*[F.col(f"`{c}`") for c in names], "mix_spans").mapInArrow(common.lean(cut), kinds)
+    both = docs.withColumn(f"{helper}own_hash", F.xxhash64(text)).withColumn(f"{helper}own_size", common.word_count(text))
+    on = [F.col(f"{helper}own_hash") == F.col(hashed), F.col(f"{helper}own_size") == F.col(size), F.col("doc_id").eqNullSafe(F.col(doc)), F.col("source").eqNullSafe(F.col(source))]
+    both = both.join(spans, on).dropDuplicates([f"{helper}own_hash", f"{helper}own_size", "doc_id", "source"])
+    return both.select(*[F.col(f"`{c}`") for c in names], own_spans).mapInArrow(common.lean(cut), kinds)

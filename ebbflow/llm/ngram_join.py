@@ -413,8 +413,9 @@ def deduplicated(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100) ->
     Of rows equal in doc_id and text one stays. Documents without shingles and rows without doc_id all stay.
     """
     text = F.col("text").cast("string")
-    docs = docs.withColumn("text_hash", F.xxhash64(text)).withColumn("text_size", F.octet_length(text))
+    helper = common.prefix(docs.columns, "text_")
+    docs = docs.withColumn(f"{helper}hash", F.xxhash64(text)).withColumn(f"{helper}size", F.octet_length(text))
     found = components(docs.select("doc_id", "text"), words, p, q)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash", "text_size"])
-    return named.unionByName(docs.where("doc_id is null")).drop("text_hash", "text_size")
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", f"{helper}hash", f"{helper}size"])
+    return named.unionByName(docs.where("doc_id is null")).drop(f"{helper}hash", f"{helper}size")

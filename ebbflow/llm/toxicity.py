@@ -348,7 +348,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = marks.count()
     if n <= BROADCAST_LABELS:
         marks = F.broadcast(marks)
-    known = docs.join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    known = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     share = min(FIT_SHARE, FIT_ROWS / max(1, n))
     fitted = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     return known.where(~fitted), known.where(fitted)

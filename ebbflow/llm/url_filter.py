@@ -58,12 +58,14 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     made = urls.select("page_url", "copies", "p", F.explode(suffix).alias("s")).select("page_url", "copies", "p", "s.*")
     made = made.join(near(shapes), "labels").select("page_url", "copies", "host_part", F.explode(start).alias("path_part"))
     made = made.withColumn("digest", _digest(F.col("host_part"), F.col("path_part"))).withColumn("prefix", _prefix(F.col("digest")))
-    best = made.join(near(rules), "prefix").where("digest = rule_digest").groupBy("page_url").agg(F.max("best").alias("judged_best"), F.max("copies").alias("copies"))
+    helper = common.prefix(pages.columns, "judged_")
+    key, found_best = f"{helper}url", f"{helper}best"
+    best = made.join(near(rules), "prefix").where("digest = rule_digest").groupBy(F.col("page_url").alias(key)).agg(F.max("best").alias(found_best), F.max("copies").alias("copies"))
     best = common.stored(best, "judged-urls")
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     own_host, own_path = host_and_path(F.col(f"`{url}`"))
-    found = common.look_up(pages.withColumn("page_url", F.col(f"`{url}`")), best, ["page_url"], "copies", F.monotonically_increasing_id())
+    found = common.look_up(pages.withColumn(key, F.col(f"`{url}`")), best, [key], "copies", F.monotonically_increasing_id())
     return found.select(
-        *kept, own_host.alias("host"), own_path.alias("path"), F.col("judged_best.rule").alias("rule"),
-        F.coalesce("judged_best.verdict", F.lit(default)).alias("verdict"),
+        *kept, own_host.alias("host"), own_path.alias("path"), F.col(found_best)["rule"].alias("rule"),
+        F.coalesce(F.col(found_best)["verdict"], F.lit(default)).alias("verdict"),
     )
