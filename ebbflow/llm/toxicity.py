@@ -6,17 +6,17 @@ pair, n_c(h) their sum over w, and c_c(w) different words before w; C_c is its s
 together. With the discounts D(1) = 1 and D(n) = 0.75 of larger counts, and M for what is discounted from a sum,
 
     P_c(w | h) = max(n_c(h, w) - D, 0) / n_c(h)  +  M_c(h) / n_c(h) * P_c(w)
-    P_c(w)     = max(c_c(w) - D, 0) / C_c        +  M_c / C_c * c(w) / C
+    P_c(w)     = max(c_c(w) - E, 0) / C_c        +  M_c / C_c * c(w) / C,   E(n) = min(n, 4)
 
-so a pair backs off to its class's continuation counts and these to continuation counts that both classes share: what one
-document alone of a class says is smoothed away altogether. All pairs and words of both classes count. A history that a
+so a pair backs off to its class's continuation counts and these to continuation counts that both classes share. A pair of
+one document of a class and a word behind up to four different ones have the shared backoff alone. All pairs and words of both classes count. A history that a
 class hasn't seen has P_c(w); of a word of no class the ratio is the limit for c(w) near 0.
 
 The log ratio of a document's likelihoods is a sum over its pairs of u(w), the ratio of P_c(w), of l(h), the ratio of what
 is discounted, and, where a class has the pair twice or more, of log(1 + (n_c - D) / (M_c(h) P_c(w))). So the tables hold
-numbers by word and by pair, and words and pairs that no class has twice need no row. A document's features are that
-ratio by number of pairs, and the log odds of the one of its words and pairs whose counts surely speak most for the toxic
-class (two standard errors below the odds of its counts), as one insult in a long text does not show in a mean. A logistic curve of them, fitted on labelled documents that aren't counted, at most FIT_ROWS, gives the score.
+numbers by word and by pair, and words and pairs that no class has twice need no row. A document's features are both
+models' log ratio normalised by its length, and the largest such ratio of a stretch of one word, log(P_t(w) / P_o(w)), as one
+insult in a long text does not show in a mean. A logistic curve of them that never falls, fitted on labelled documents that aren't counted, at most FIT_ROWS, gives the score.
 
 The commonest words and pairs, BROADCAST_ROWS of them, go to every task; the documents' others are joined by shuffle,
 without those that a bitmap shows to have no row.
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from . import common
 from .shingles import mixed, word_hashes
 
-#: Discounts of a count of one and of larger counts.
-DISCOUNT_ONE, DISCOUNT = 1.0, 0.75
+#: Discounts of a pair's count of one and of larger counts, and of a word's continuation counts: all of them up to this.
+DISCOUNT_ONE, DISCOUNT, WORD_DISCOUNT = 1.0, 0.75, 4
 #: Share of the labelled documents that the logistic curve is fitted on and that aren't counted; at most so many.
 FIT_SHARE, FIT_ROWS = 0.2, 20_000
 #: Rows of the tables that go to every task at most, 20 bytes each.
@@ -160,43 +160,38 @@ def counted(docs: DataFrame) -> DataFrame:
     return common.stored(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(common.lean(add), PARTS), "pair-counts")
 
 
-def _sure(n_t: Column, n_o: Column, share: float) -> Column:
-    """Log odds of toxic to ordinary counts beyond those of all counts, less two standard errors; 0 where that is below 0."""
-    t, o = n_t + 0.5, n_o + 0.5
-    return F.greatest(F.log(t / o) - float(np.log(share / (1 - share))) - 2 * F.sqrt(1 / t + 1 / o), F.lit(0.0))
-
-
 def _kept(n: Column) -> Column:
-    """What is left of a count after its discount."""
+    """What is left of a pair's count after its discount."""
     return F.when(n > 1, n - DISCOUNT).otherwise(0.0)
 
 
+def _word_kept(n: Column) -> Column:
+    return F.greatest(n - WORD_DISCOUNT, F.lit(0)).cast("double")
+
+
 def ratios(parts: DataFrame) -> tuple[DataFrame, float]:
-    """(key, n, a, b, odds), stored, and the ratio of a word without a row; parts: from counted().
+    """(key, n, a, b), stored, and the ratio of a word without a row; parts: from counted().
 
-    odds are of a pair's documents, or those of the pairs that a word begins, against all of both classes.
     Of a pair a is what it adds beyond its backoff and b is 0. Of a word a is l(h) and b is u(w) beyond that of a word
     without a row. n: of a pair its documents, of a word its pairs.
     """
     heads = parts.where("kind = 1").groupBy("a").agg(*[F.sum(f"x{k}").alias(f"x{k}") for k in (1, 2, 3, 4)], F.count("*").alias("rows"))
     tails = parts.where("kind = 2").groupBy("a").agg(F.sum("x1").alias("c_t"), F.sum("x2").alias("c_o"), F.sum("x3").alias("c"))
     heads, tails = common.stored(heads, "histories"), common.stored(tails, "continuations")
-    taken = [F.sum(F.col(c) - _kept(F.col(c))) for c in ("c_t", "c_o")]
+    taken = [F.sum(F.col(c) - _word_kept(F.col(c))) for c in ("c_t", "c_o")]
     total = tails.agg(F.sum("c_t"), F.sum("c_o"), F.sum("c"), *taken).first()
-    types = "key long, n double, a double, b double, odds double"
+    types = "key long, n double, a float, b float"
     if not (total[0] and total[1] and total[3] and total[4]):
         return parts.sparkSession.createDataFrame([], types), 0.0
     c_t, c_o, c, m_t, m_o = map(float, total)
-    p_t, p_o = (_kept(F.col(n)) / of + m / of * F.col("c") / c for n, of, m in (("c_t", c_t, m_t), ("c_o", c_o, m_o)))
+    p_t, p_o = (_word_kept(F.col(n)) / of + m / of * F.col("c") / c for n, of, m in (("c_t", c_t, m_t), ("c_o", c_o, m_o)))
     base = float(np.log(m_t / c_t) - np.log(m_o / c_o))
     left = [F.when(F.col(n) > 0, F.log(F.col(m) / F.col(n))).otherwise(0.0) for n, m in (("x1", "x3"), ("x2", "x4"))]
-    share = heads.agg((F.sum("x1") / F.sum(F.col("x1") + F.col("x2")))).first()[0]
-    odds = _sure(F.col("x1"), F.col("x2"), share)
-    h = heads.select(F.col("a").alias("key"), F.col("x1").cast("double").alias("n_h"), (left[0] - left[1]).alias("l"), odds.alias("odds"))
+    h = heads.select(F.col("a").alias("key"), F.col("x1").cast("double").alias("n_h"), (left[0] - left[1]).alias("l"))
     w = tails.select(F.col("a").alias("key"), F.col("c").alias("n_w"), (F.log(p_t) - F.log(p_o) - base).alias("u"))
     zero = F.lit(0.0)
     words = h.join(w, "key", "full").select(
-        "key", (F.coalesce("n_h", zero) + F.coalesce("n_w", zero)).alias("n"), F.coalesce("l", zero).alias("a"), F.coalesce("u", zero).alias("b"), F.coalesce("odds", zero).alias("odds")
+        "key", (F.coalesce("n_h", zero) + F.coalesce("n_w", zero)).alias("n"), F.coalesce("l", zero).cast("float").alias("a"), F.coalesce("u", zero).cast("float").alias("b")
     ).where("abs(a) > 1e-12 or abs(b) > 1e-12")  # the others are as good as no row
     pairs = parts.where("kind = 0").select(F.col("a").alias("h"), F.col("b").alias("w"), F.col("x1").alias("n_t"), F.col("x2").alias("n_o"))
     # the rows of a key are at most its count, so no hot history or word is one task's
@@ -205,12 +200,12 @@ def ratios(parts: DataFrame) -> tuple[DataFrame, float]:
     of_w = tails.select(F.col("a").alias("w"), p_t.alias("p_t"), p_o.alias("p_o"), F.col("c").cast("long").alias("rows"))
     found = common.look_up(common.look_up(pairs, of_h, ["h"], "rows", F.col("w")), of_w, ["w"], "rows", F.col("h"))
     more = [F.log1p(F.when(F.col(n) > 1, _kept(F.col(n)) / (F.col(m) * F.col(p))).otherwise(0.0)) for n, m, p in (("n_t", "m_t", "p_t"), ("n_o", "m_o", "p_o"))]
-    rated = found.select("h", "w", (F.col("n_t") + F.col("n_o")).cast("double").alias("n"), (more[0] - more[1]).alias("a"), _sure(F.col("n_t"), F.col("n_o"), share).alias("odds"))
+    rated = found.select("h", "w", (F.col("n_t") + F.col("n_o")).cast("double").alias("n"), (more[0] - more[1]).cast("float").alias("a"))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, w = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(_keys(h, w).view(np.int64)), batch.column(2), batch.column(3), pa.array(np.zeros(len(h))), batch.column(4)], ["key", "n", "a", "b", "odds"])
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(h, w).view(np.int64)), batch.column(2), batch.column(3), pa.array(np.zeros(len(h), np.float32))], ["key", "n", "a", "b"])
 
     out = common.stored(words.union(rated.mapInArrow(common.lean(named), types)), "toxicity-ratios")
     common.dropped(heads)
@@ -238,16 +233,20 @@ class Table:
             words = self.cold.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(key & 63))")).alias("bits")).toArrow()
             bitmap = np.zeros(max(1, MAP_BITS // 64), np.int64)
             bitmap[words.column("word").to_numpy().astype(np.int64)] = words.column("bits").to_numpy().astype(np.int64)
-        got = hot.select("key", *[F.col(c).cast("float") for c in ("a", "b", "odds")]).toArrow()
+        got = hot.select("key", "a", "b").toArrow()
         keys = got.column("key").to_numpy().astype(np.int64)
         order = np.argsort(keys)
-        numbers = [got.column(c).to_numpy().astype(np.float32)[order] for c in ("a", "b", "odds")]
+        numbers = [got.column(c).to_numpy().astype(np.float32)[order] for c in ("a", "b")]
         self.sent = rated.sparkSession.sparkContext.broadcast((keys[order], *numbers, bitmap))
 
 
-def _split(text: bytes | None, table: tuple) -> tuple[int, int, float, float, tuple[np.ndarray, ...]]:
-    """Words, pairs, sum and greatest odds of what is in the arrays, and (keys, times as a, times as b) that the bitmap lets through."""
-    keys, a, b, odds, bitmap = table
+#: Sums are of whole numbers of these parts, so they depend neither on their order nor on where a row is looked up.
+PARTS_OF_ONE = float(2**32)
+
+
+def _split(text: bytes | None, table: tuple) -> tuple[int, int, int, float, tuple[np.ndarray, ...]]:
+    """Words, pairs, sum in PARTS_OF_ONE and greatest b of what is in the arrays, and (keys, times as a, times as b) that the bitmap lets through."""
+    keys, a, b, bitmap = table
     own, h, w = _unique(text)
     words, at = np.unique(np.append(h, w), return_inverse=True)
     all_ = np.append(own, words).view(np.int64)
@@ -258,7 +257,8 @@ def _split(text: bytes | None, table: tuple) -> tuple[int, int, float, float, tu
         place = np.minimum(np.searchsorted(keys, all_), len(keys) - 1)
         hit = keys[place] == all_
     p = place[hit]
-    total, top = float(x[hit] @ a[p].astype(float) + y[hit] @ b[p].astype(float)), float(odds[p].max(initial=0.0)) if len(p) else 0.0
+    total = int(np.floor((x[hit] * a[p].astype(float) + y[hit] * b[p].astype(float)) * PARTS_OF_ONE + 0.5).astype(np.int64).sum())
+    top = float(b[p][y[hit] > 0].max(initial=0.0))
     cold = np.flatnonzero(~hit) if bitmap is not None else np.empty(0, np.int64)
     if len(cold):
         bit = all_[cold] & (64 * len(bitmap) - 1)
@@ -267,8 +267,8 @@ def _split(text: bytes | None, table: tuple) -> tuple[int, int, float, float, tu
 
 
 def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataFrame:
-    """docs, without text unless it is kept, with n_pairs, mean_ratio and top_odds."""
-    rest = [c for c in docs.columns if c not in ("n_pairs", "mean_ratio", "top_odds") and (c != "text" or keep_text)]
+    """docs, without text unless it is kept, with n_pairs, mean_ratio and top_ratio; the latter is at least that of a word without a row, and 0."""
+    rest = [c for c in docs.columns if c not in ("n_pairs", "mean_ratio", "top_ratio") and (c != "text" or keep_text)]
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*[F.col(f"`{c}`") for c in rest]).schema)
     sent, has_cold = table.sent, table.cold is not None
     text = F.col("text").cast("string")
@@ -278,11 +278,11 @@ def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataF
         known = sent.value
         for batch in batches:
             got = [_split(t, known)[1:4] for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
-            columns = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.float64()))]
+            columns = [pa.array([g[k] for g in got], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*rest, *["row_key"] * has_cold, "n_pairs", "own_sum", "own_top"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], *row, text.alias("pairs_of"))
-    rows = rows.mapInArrow(common.lean(run), f"{kinds}{'row_key long, ' if has_cold else ''}n_pairs long, own_sum double, own_top double")
+    rows = rows.mapInArrow(common.lean(run), f"{kinds}{'row_key long, ' if has_cold else ''}n_pairs long, own_sum long, own_top double")
     total, top = F.col("own_sum"), F.col("own_top")
     if has_cold:
 
@@ -301,15 +301,17 @@ def likelihoods(docs: DataFrame, table: Table, keep_text: bool = False) -> DataF
         # a text that stands in many rows is looked up once in each task that holds it, and once again by distinct()
         parts = docs.select(F.xxhash64(text).alias("row_key"), text.alias("pairs_of")).mapInArrow(common.lean(others), "row_key long, key long, x int, y int")
         parts = parts.repartition("key").distinct().join(table.cold, "key")
-        # whole numbers, so that a sum does not depend on its order
-        exact = F.round((F.col("x") * F.col("a") + F.col("y") * F.col("b")) * F.lit(float(2**32))).cast("long")
-        sums = parts.groupBy("row_key").agg(F.sum(exact).alias("more"), F.max("odds").alias("top"))
+        a, b = F.col("a").cast("double"), F.col("b").cast("double")
+        exact = F.floor((F.col("x") * a + F.col("y") * b) * F.lit(PARTS_OF_ONE) + 0.5)
+        sums = parts.groupBy("row_key").agg(F.sum(exact).alias("more"), F.max(F.when(F.col("y") > 0, b)).alias("top"))
         sums = common.stored(sums.join(texts, "row_key"), "joined-likelihoods")
         rows = common.look_up(rows, sums, ["row_key"], "copies", F.col("n_pairs"))
-        total = total + F.coalesce(F.col("more") / F.lit(float(2**32)), F.lit(0.0))
+        total = total + F.coalesce("more", F.lit(0))
         top = F.greatest(top, F.coalesce("top", F.lit(0.0)))
-    mean = F.when(F.col("n_pairs") > 0, total / F.col("n_pairs") + F.lit(table.base)).otherwise(0.0)
-    return rows.select(*[F.col(f"`{c}`") for c in rest], "n_pairs", mean.alias("mean_ratio"), top.alias("top_odds"))
+    some = F.col("n_pairs") > 0
+    mean = F.when(some, total / F.lit(PARTS_OF_ONE) / F.col("n_pairs") + F.lit(table.base)).otherwise(0.0)
+    top = F.when(some, F.greatest(top + F.lit(table.base), F.lit(0.0))).otherwise(0.0)
+    return rows.select(*[F.col(f"`{c}`") for c in rest], "n_pairs", mean.alias("mean_ratio"), top.alias("top_ratio"))
 
 
 # --- scores ------------------------------------------------------------------------------------------------------
@@ -341,6 +343,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
+def rising(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """logistic() without the columns that would lower the score: what speaks for the toxic class never does."""
+    kept = np.arange(x.shape[1])
+    while True:
+        w = logistic(x[:, kept], y)
+        if not len(kept) or w[1:].min() >= 0:
+            return np.concatenate([w[:1], np.bincount(kept, w[1:], x.shape[1])])
+        kept = np.delete(kept, w[1:].argmin())
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text, toxic) of labelled documents that aren't held out: those to count and those to fit the curve on."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -362,7 +374,7 @@ def trained(docs: DataFrame, labels: DataFrame) -> tuple[Table, np.ndarray]:
     common.dropped(parts)
     rated = likelihoods(held, table).select("toxic", *[c.alias(f"x{k}") for k, c in enumerate(_shaped())])
     rows = rated.collect()  # about FIT_ROWS of three numbers
-    return table, logistic(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
+    return table, rising(np.array([r[1:] for r in rows], float).reshape(-1, 2), np.array([r[0] for r in rows], float))
 
 
 def held_out(name: str = "doc_id") -> Column:
@@ -371,12 +383,12 @@ def held_out(name: str = "doc_id") -> Column:
 
 
 def _shaped() -> list[Column]:
-    """The root of the ratio, as it says more near 0, and the odds."""
-    return [F.signum("mean_ratio") * F.sqrt(F.abs("mean_ratio")), F.col("top_odds")]
+    """The root of the mean ratio, as it says more near 0, and the largest."""
+    return [F.signum("mean_ratio") * F.sqrt(F.abs("mean_ratio")), F.col("top_ratio")]
 
 
 def score(docs: DataFrame, labels: DataFrame, keep_text: bool = True) -> DataFrame:
-    """docs (doc_id, text and any other columns) with n_pairs, mean_ratio, top_odds and score, a row for each.
+    """docs (doc_id, text and any other columns) with n_pairs, mean_ratio, top_ratio and score, a row for each.
 
     Learns from labels (doc_id, toxic) of documents that aren't held out. Null labels are no labels; of several for a
     doc_id the largest counts. A null doc_id has no label. Null and empty texts have ratios of 0 and so the

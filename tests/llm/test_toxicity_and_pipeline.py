@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ebbflow.llm import toxicity
@@ -50,9 +51,10 @@ def test_held_out_labels_are_not_read(spark, corpus):
 
 def test_joined_tables_agree(corpus, monkeypatch):
     docs, labels = corpus
-    want = sorted(((r.doc_id, round(r.score, 4)) for r in toxicity.score(docs, labels).collect()), key=repr)
-    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", 0)
-    assert sorted(((r.doc_id, round(r.score, 4)) for r in toxicity.score(docs, labels).collect()), key=repr) == want
+    want = sorted(((r.doc_id, r.mean_ratio, r.top_ratio, r.score) for r in toxicity.score(docs, labels).collect()), key=repr)
+    for most in (20, 0):
+        monkeypatch.setattr(toxicity, "BROADCAST_ROWS", most)
+        assert sorted(((r.doc_id, r.mean_ratio, r.top_ratio, r.score) for r in toxicity.score(docs, labels).collect()), key=repr) == want
 
 
 def _words(text):
@@ -78,9 +80,9 @@ class Plain:
     def word(self, c, w):
         counts = self.before[c]
         total = sum(counts.values())
-        left = sum(map(self.cut, counts.values()))
+        left = sum(min(n, 4) for n in counts.values())
         shared = self.any[w] / sum(self.any.values()) if w in self.any else 1e-12
-        return (counts[w] - self.cut(counts[w])) / total + left / total * shared
+        return max(counts[w] - 4, 0) / total + left / total * shared
 
     def pair(self, c, h, w):
         own = {x: n for (g, x), n in self.n[c].items() if g == h}
@@ -95,6 +97,10 @@ class Plain:
         toxic, ordinary = (sum(math.log(self.pair(c, h, w)) for h, w in pairs) for c in (1, 0))
         return (toxic - ordinary) / len(pairs) if pairs else 0.0
 
+    def top_ratio(self, text):
+        words = _words(text)
+        return max(0.0, *[math.log(self.word(1, w) / self.word(0, w)) for w in [*words, "without a row"]]) if words else 0.0
+
 
 @pytest.mark.parametrize("rows_most", [4_000_000, 20, 0])
 def test_likelihoods_by_brute_force(spark, monkeypatch, rows_most):
@@ -114,6 +120,33 @@ def test_likelihoods_by_brute_force(spark, monkeypatch, rows_most):
     assert len(got) == len(asked)
     for r in got:
         assert r.mean_ratio == pytest.approx(plain.mean_ratio(asked[r.k]), abs=2e-6)
+        assert r.top_ratio == pytest.approx(plain.top_ratio(asked[r.k]), abs=2e-6)
+
+
+def test_scores_by_brute_force(corpus):
+    """The curve of both ratios, fitted on the rows that aren't counted."""
+    docs, labels = corpus
+    known, fitted = toxicity.labelled(docs, labels)
+    plain = Plain([(r.text, r.toxic) for r in known.collect()])
+
+    def features(text):
+        mean = plain.mean_ratio(text)
+        return [math.copysign(math.sqrt(abs(mean)), mean), plain.top_ratio(text)]
+
+    rows = fitted.collect()
+    w = toxicity.rising(np.array([features(r.text) for r in rows]), np.array([r.toxic for r in rows], float))
+    assert w[1:].min() >= 0
+    for r in toxicity.score(docs, labels).collect():
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(w[0] + w[1:] @ features(r.text)))), abs=1e-3)
+
+
+def test_the_curve_never_falls():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    y = (x[:, 0] - x[:, 1] > 0).astype(float)
+    w = toxicity.rising(x, y)
+    assert w[1] > 0 and w[2] == 0
+    assert (toxicity.rising(-x[:, :1], y)[1:] == 0).all()
 
 
 def test_without_labels(corpus):
