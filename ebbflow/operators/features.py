@@ -96,16 +96,33 @@ def core_volatile(panel: DataFrame, window: int = 12, quantile: float | None = N
     return last.select("account_id", "segment", "month_int", core.alias("core"), (F.col("balance_kda") - core).alias("volatile"))
 
 
-def signature(panel: DataFrame, channels: list[str], window: int = 12) -> DataFrame:
-    """sig: the signature to depth 2 of the trailing path of time and channels with lead and lag, as an array.
+def chen(path: np.ndarray, depth: int) -> np.ndarray:
+    """Signatures to a depth of many paths (path, point, channel), level by level, each in order of its indices.
+
+    A straight step dx has dx^d / d! at level d, and a path followed by a step has the sum of products of levels that add
+    up to d. That sum is nested from the left, so a level costs one product a level below it and step.
+    """
+    n, _, k = path.shape
+    levels = [np.zeros((n, k**d)) for d in range(1, depth + 1)]
+    for dx in np.moveaxis(np.diff(path, axis=1), 1, 0):
+        for d in range(depth, 0, -1):  # a level needs those below it as they were
+            part = dx / d
+            for j in range(1, d):
+                part = ((part + levels[j - 1])[:, :, None] * (dx / (d - j))[:, None]).reshape(n, -1)
+            levels[d - 1] += part
+    return np.concatenate(levels, axis=1)
+
+
+def signature(panel: DataFrame, channels: list[str], window: int = 12, depth: int = 2) -> DataFrame:
+    """sig: the signature to a depth of the trailing path of time and channels with lead and lag, as an array.
 
     With x the path's points, time first, each point is (time, channels, channels of the point before). Level 1 is
-    x_T - x_0; level 2 (i, j) is the sum over steps of (x_i before - x_i first) dx_j + dx_i dx_j / 2. Time runs from
-    0 to 1 over the window. A single point has zeros.
+    x_T - x_0; level 2 (i, j) is the sum over steps of (x_i before - x_i first) dx_j + dx_i dx_j / 2; deeper levels
+    are those of chen(). A column sig is replaced. Time runs from 0 to 1 over the window. A single point has zeros.
     """
     w = _past().rowsBetween(1 - window, Window.currentRow)
     points = F.collect_list(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in channels])).over(w)
-    k, names = len(channels), panel.columns
+    k, names = len(channels), [c for c in panel.columns if c != "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,11 +136,10 @@ def signature(panel: DataFrame, channels: list[str], window: int = 12) -> DataFr
             before = flat[first[:, None] + np.maximum(at - 1, 0)]
             clock = np.maximum(at, 0) / np.maximum(n - 1, 1)[:, None]
             path = np.concatenate([clock[:, :, None], x, before], axis=2)
-            step, back = np.diff(path, axis=1), path[:, :-1] - path[:, :1]
-            area = np.einsum("nti,ntj->nij", back, step) + np.einsum("nti,ntj->nij", step, step) / 2
-            sig = np.concatenate([path[:, -1] - path[:, 0], area.reshape(len(n), -1)], axis=1)
+            sig = chen(path, depth)
             ends = pa.array(np.arange(len(n) + 1, dtype=np.int32) * sig.shape[1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(sig.ravel()))], [*names, "sig"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in panel.schema)
-    return panel.select(*names, points.alias("pts")).mapInArrow(run, f"{kinds}, sig array<double>")
+    kept = panel.select(*[F.col(f"`{c}`") for c in names])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return panel.select(*[F.col(f"`{c}`") for c in names], points.alias("sig")).mapInArrow(run, f"{kinds}, sig array<double>")

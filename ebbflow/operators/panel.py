@@ -35,11 +35,17 @@ def monthly(records: DataFrame) -> DataFrame:
     )
 
 
-def accounts(months: DataFrame, floor: float = 0.0) -> DataFrame:
-    """Per account-month row: the account's first_seen, last_seen, open_mi, end_mi, event_mi, event_kind, left_truncated, bad_open."""
+def accounts(months: DataFrame, floor: float = 0.0, bounds: tuple[int, int] | None = None) -> DataFrame:
+    """Per account-month row: the account's first_seen, last_seen, open_mi, end_mi, event_mi, event_kind, left_truncated, bad_open.
+
+    bounds: the panel's first and last month, if months are only some of its accounts.
+    """
     own = Window.partitionBy("account_id")
-    bounds = months.agg(F.min("month_int").alias("panel_start"), F.max("month_int").alias("panel_end"))
-    rows = months.crossJoin(F.broadcast(bounds))  # one row
+    if bounds is None:
+        ends = months.agg(F.min("month_int").alias("panel_start"), F.max("month_int").alias("panel_end"))
+        rows = months.crossJoin(F.broadcast(ends))  # one row
+    else:
+        rows = months.withColumns({"panel_start": F.lit(bounds[0]), "panel_end": F.lit(bounds[1])})
     rows = rows.withColumns({
         "first_seen": F.min("month_int").over(own), "last_seen": F.max("month_int").over(own),
         "known_open": F.min("open_month").over(own), "segment": F.min_by("segment", "month_int").over(own),
@@ -58,21 +64,28 @@ def accounts(months: DataFrame, floor: float = 0.0) -> DataFrame:
 def build(records: DataFrame, floor: float = 0.0, carry_gaps: bool = True, pit: DataFrame | None = None) -> DataFrame:
     """The panel: every month from first seen to the event or last seen, gaps carried forward, no row after the event.
 
-    Each row reaches to the month before the account's next one, so gaps fill without a join. pit: macro columns by
-    month_int, broadcast (a row a month); a month that it lacks has nulls.
+    pit: macro columns by month_int, broadcast (a row a month); a month that it lacks has nulls.
+    """
+    rows = from_months(monthly(records), floor, carry_gaps)
+    return rows if pit is None else rows.join(F.broadcast(pit), "month_int", "left")
+
+
+def from_months(months: DataFrame, floor: float = 0.0, carry_gaps: bool = True, bounds: tuple[int, int] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The panel of monthly() rows, with the columns of accounts() in keep.
+
+    Each row reaches to the month before the account's next one, so gaps fill without a join.
     """
     own = Window.partitionBy("account_id").orderBy("month_int")
-    rows = accounts(monthly(records), floor).withColumn("next", F.lead("month_int").over(own)).where("month_int <= end_mi")
+    rows = accounts(months, floor, bounds).withColumn("next", F.lead("month_int").over(own)).where("month_int <= end_mi")
     if carry_gaps:
         until = F.least(F.coalesce(F.col("next") - 1, F.col("end_mi")), F.col("end_mi"))
         rows = rows.withColumn("month_int", F.explode(F.sequence("month_int", until)))
     month = F.col("month_int")
-    rows = rows.select(
+    return rows.select(
         "account_id", "month_int", F.floor(month / 12).cast("int").alias("year"), (month % 12 + 1).alias("month"),
         F.coalesce((month == F.col("event_mi")).cast("int"), F.lit(0)).alias("event"), (month - F.col("open_mi")).alias("seasoning"),
-        F.log1p(F.greatest("balance_kda", F.lit(0.0))).alias("log_balance"), "balance_kda", (month % 12 + 1).alias("cal_month"), "segment",
+        F.log1p(F.greatest("balance_kda", F.lit(0.0))).alias("log_balance"), "balance_kda", (month % 12 + 1).alias("cal_month"), "segment", *keep,
     )
-    return rows if pit is None else rows.join(F.broadcast(pit), "month_int", "left")
 
 
 def summary(records: DataFrame, floor: float = 0.0) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import features, macro, panel, rates, runoff, series, uncertainty, validate
 from ..sources import dumps, payloads
+from ..streaming import rolling
 from . import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +71,26 @@ def wn1_panel(spark, d):
     return rounded(V.account_panel(spark, d).drop("cal_month"))
 
 
+def _shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir; where that is unset, on a local master alone, one of this machine."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
+        at = f"file://{tempfile.mkdtemp(prefix='ebbflow-')}"
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query(ORACLE_SQL["wn1_panel"])
+def str1_incremental_panel(spark, d):
+    """The records in three batches: the early months without those of some accounts, the later ones, then those accounts' early months."""
+    rows, store = V.records(spark, d), _shared_path(spark, "rolling")
+    early, late = F.col("month_int") < V.CUTOFF, F.pmod(F.xxhash64("account_id"), F.lit(50)) == 0
+    for k, batch in enumerate((early & ~late, ~early, early & late)):
+        rolling.merge(rows.where(batch), store, k, V.FLOOR)
+    return rounded(rolling.current(spark, store).drop("cal_month"))
+
+
 @query(f"WITH {V.PANEL} SELECT p.account_id, p.month_int, p.event FROM panel p JOIN monthly m ON p.account_id = m.account_id AND p.month_int = m.month_int")
 def wn1_panel_without_gaps(spark, d):
     return panel.build(V.records(spark, d), V.FLOOR, carry_gaps=False).select("account_id", "month_int", "event")
@@ -275,6 +298,12 @@ def wn18_signature(spark, d):
     return features.signature(rows, ["log_balance", "money_market"]).select("account_id", "month_int", F.transform("sig", lambda x: F.round(x, 6)).alias("sig"))
 
 
+@query()
+def wn19_deep_signature(spark, d):
+    rows = V.account_panel(spark, d).select("account_id", "month_int", "log_balance")
+    return features.signature(rows, ["log_balance"], depth=3).select("account_id", "month_int", F.transform("sig", lambda x: F.round(x, 6)).alias("sig"))
+
+
 # --- curves ----------------------------------------------------------------------------------------------------
 
 _HAZARDS = f"{V.CURVES}, hz AS (SELECT segment, h, CASE WHEN lag(B) OVER (PARTITION BY segment ORDER BY h) > 0 THEN 1 - B / lag(B) OVER (PARTITION BY segment ORDER BY h) ELSE 0 END AS hazard FROM curves)"
