@@ -52,11 +52,13 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     )
     host, path = host_and_path(F.col("page_url"))
     urls = pages.select(F.col(f"`{url}`").alias("page_url")).groupBy("page_url").agg(F.count("*").alias("copies"))
-    urls = urls.select("page_url", "copies", host.alias("h"), path.alias("p")).withColumn("parts", F.split("h", r"\."))
-    suffix = F.transform(F.sequence(F.lit(1), F.size("parts")), lambda n: F.struct(n.alias("labels"), F.array_join(F.slice("parts", F.size("parts") - n + 1, n), ".").alias("host_part")))
+    urls = urls.select("page_url", "copies", host.alias("h"), path.alias("p"))
+    # only suffixes of as many labels as a rule's host has are made, so a host of very many labels costs no more than its length
+    counts = [r["labels"] for r in shapes.select("labels").collect()]  # at most as many as the longest rule's host has labels
+    labels = F.array_intersect(F.sequence(F.lit(1), F.size(F.split("h", r"\."))), F.array(*map(F.lit, sorted(counts))).cast("array<int>"))
     start = F.transform(F.filter("lengths", lambda n: n <= F.length("p")), lambda n: F.substr("p", F.lit(1), n))
-    made = urls.select("page_url", "copies", "p", F.explode(suffix).alias("s")).select("page_url", "copies", "p", "s.*")
-    made = made.join(near(shapes), "labels").select("page_url", "copies", "host_part", F.explode(start).alias("path_part"))
+    made = urls.select("page_url", "copies", "h", "p", F.explode(labels).alias("labels")).join(near(shapes), "labels")
+    made = made.select("page_url", "copies", F.expr("substring_index(h, '.', -labels)").alias("host_part"), F.explode(start).alias("path_part"))
     made = made.withColumn("digest", _digest(F.col("host_part"), F.col("path_part"))).withColumn("prefix", _prefix(F.col("digest")))
     helper = common.prefix(pages.columns, "judged_")
     key, found_best = f"{helper}url", f"{helper}best"

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import math
+import time
 from collections import Counter
 
 import pytest
@@ -154,3 +155,14 @@ def test_windows_by_hand():
     got = w.match(license_scan.terms(" ".join(words)), [], 0.1)
     want = max(w.best(" ".join(words[i : i + 4]))[1] if w.best(" ".join(words[i : i + 4])) else 0 for i in range(57))
     assert got[1] == pytest.approx(want) and w.best(" ".join(words[got[2] : got[3]]))[1] == pytest.approx(want)
+
+
+def test_hosts_of_very_many_labels(spark):
+    """Suffixes are made for the rules' label counts alone, so a long host takes a moment."""
+    rules = spark.createDataFrame([("a.b", "", "block"), ("b", "", "allow"), ("x.a.b", "/q", "allow")], "host string, path string, verdict string")
+    hosts = ["y." * 100_000 + "a.b", "x." * 50_000 + "a.b/q", "." * 20_000 + "b", "a.b.c", ""]
+    pages = spark.createDataFrame([(k, f"http://{h}") for k, h in enumerate(hosts)], "page_id int, url string")
+    began = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules, default="block").collect()}
+    assert got == {0: ("a.b", "block"), 1: ("x.a.b/q", "allow"), 2: ("b", "allow"), 3: (None, "block"), 4: (None, "block")}
+    assert time.time() - began < 60
