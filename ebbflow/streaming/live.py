@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators import series
 from ..sources import dumps
@@ -20,55 +22,128 @@ def tumbling_bars(ticks: DataFrame, window: str, late: str) -> DataFrame:
     ).select("key", F.col("window.start").alias("start"), "o", "hi", "lo", "c", "n")
 
 
-def _stateful(make: Callable, out: str, values: Callable) -> Callable:
-    """A function for applyInPandasWithState: a pickled object per series, fed in order of t."""
-    import pickle
+def keep_typed_state(spark: SparkSession) -> None:
+    """State in typed columns needs the RocksDB store; call this before such a query starts. It is a setting of the session."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = pickle.loads(state.get[0]) if state.exists else {"warm": [], "model": None}
-        rows = pd.concat(list(frames)).sort_values("t", ignore_index=True)
-        got = [values(held, make, x) for x in rows["x"]]
-        state.update((pickle.dumps(held),))
-        yield pd.DataFrame({"series_id": key[0], "t": rows["t"], out: got})
 
-    return step
+class _Detector(StatefulProcessor):
+    """Feeds a series, in order of t, to a detector of operators.series whose fields are typed state.
 
+    `warm` lists the first values of a series, until there are enough to make its detector; `model` holds the detector's fields after
+    that. A series that has had no rows for idle_ms starts anew.
+    """
+
+    def __init__(self, fields: str, out: str, warmup: int, idle_ms: int | None):
+        self.fields, self.out, self.warmup, self.idle_ms = fields, out, warmup, idle_ms
+
+    def make(self, warm: list[float]):
+        """A detector of the first values, and what it says of the last of them."""
+        raise NotImplementedError
+
+    def load(self, fields: tuple):
+        raise NotImplementedError
+
+    def save(self, model) -> tuple:
+        raise NotImplementedError
+
+    def add(self, model, x: float):
+        raise NotImplementedError
+
+    def init(self, handle) -> None:
+        self.warm = handle.getListState("warm", "x double", self.idle_ms)
+        self.model = handle.getValueState("model", self.fields, self.idle_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values("t", ignore_index=True)
+        model = self.load(self.model.get()) if self.model.exists() else None
+        warm = [] if model else [v for (v,) in self.warm.get()]
+        held, got = len(warm), []
+        for x in frame["x"]:
+            if model:
+                got.append(self.add(model, float(x)))
+                continue
+            warm.append(float(x))
+            value = None
+            if len(warm) >= self.warmup:
+                model, value = self.make(warm)
+            got.append(value)
+        if model:
+            self.model.update(self.save(model))
+            self.warm.clear()
+        else:
+            self.warm.appendList([(v,) for v in warm[held:]])
+        yield pd.DataFrame({"series_id": key[0], "t": frame["t"], self.out: got})
+
+    def close(self) -> None:
+        pass
+
+
+class _Breaks(_Detector):
+    FIELDS = ("mean", "sd", "up", "down", "since", "last")
+
+    def make(self, warm):
+        model = series.Cusum(warm)
+        return model, [self.add(model, v) for v in warm][-1]
+
+    def load(self, fields):
+        model = series.Cusum([0.0])
+        vars(model).update(zip(self.FIELDS, fields, strict=True), last=list(fields[-1]))
+        return model
+
+    def save(self, model):
+        return (*[float(getattr(model, f)) for f in self.FIELDS[:4]], int(model.since), [float(v) for v in model.last])
 
-def online_cusum(stream: DataFrame, warmup: int = 24) -> DataFrame:
-    """changepoint of stream (series_id, t, x), from the sums and the last values of each series.
+    def add(self, model, x):
+        return int(model.add(x))
+
+
+class _Regimes(_Detector):
+    #: Field and its shape for two states of one feature.
+    FIELDS = {"mean": (2, 1), "var": (2, 1), "move": (2, 2), "now": (2,), "n": (2,), "sum": (2, 1), "squares": (2, 1), "moves": (2, 2)}
+
+    def make(self, warm):
+        model = series.AdaptiveRegimes(np.array(warm)[:, None])
+        return model, [self.add(model, v) for v in warm][-1]
+
+    def load(self, fields):
+        model = object.__new__(series.AdaptiveRegimes)
+        vars(model).update(keep=fields[0], least=fields[1])
+        vars(model).update({f: np.array(v, float).reshape(shape) for (f, shape), v in zip(self.FIELDS.items(), fields[2:], strict=True)})
+        return model
+
+    def save(self, model):
+        return (float(model.keep), float(model.least), *[np.ravel(getattr(model, f)).tolist() for f in self.FIELDS])
+
+    def add(self, model, x):
+        return float(model.add(np.array([x]))[1])
+
+
+def _detect(stream: DataFrame, detector: _Detector, kind: str) -> DataFrame:
+    mode = "none" if detector.idle_ms is None else "processingTime"
+    return stream.groupBy("series_id").transformWithStateInPandas(detector, f"series_id string, t long, {detector.out} {kind}", "append", mode)
+
+
+def online_cusum(stream: DataFrame, warmup: int = 24, idle_ms: int | None = None) -> DataFrame:
+    """changepoint of stream (series_id, t, x), from the sums and the last values of each series; 0 before its warm-up has passed.
 
     Like cusum() on a series of four warm-ups or more, but that a stream has no breaks before its warm-up has
-    passed: its first rows are then taken up at once. Rows of a series must come in order of t over the batches.
+    passed: its first rows are then taken up at once. Rows of a series must come in order of t over the batches. State is typed
+    (keep_typed_state()), and a query that goes on from a checkpoint gives what one that never stopped would. With idle_ms a series without rows
+    for so long is forgotten; such a query goes by the clock, so it takes a trigger that goes on, not availableNow.
     """
+    fields = "mean double, sd double, up double, down double, since long, last array<double>"
+    got = _detect(stream, _Breaks(fields, "changepoint", warmup, idle_ms), "int")
+    return got.select("series_id", "t", F.coalesce("changepoint", F.lit(0)).alias("changepoint"))
 
-    def add(held: dict, make: Callable, x: float) -> int:
-        if held["model"] is None:
-            held["warm"].append(x)
-            if len(held["warm"]) < warmup:
-                return 0
-            held["model"] = make(held["warm"])
-            return int([held["model"].add(v) for v in held["warm"]][-1])
-        return int(held["model"].add(x))
-
-    step = _stateful(lambda warm: series.Cusum(warm), "changepoint", add)
-    return stream.groupBy("series_id").applyInPandasWithState(step, "series_id string, t long, changepoint int", "held binary", "append", "NoTimeout")
-
-
-def online_regimes(stream: DataFrame, warmup: int = 48) -> DataFrame:
-    """p1, the second regime's probability, of stream (series_id, t, x), null before the warm-up has passed."""
-    import numpy as np
-
-    def add(held: dict, make: Callable, x: float) -> float | None:
-        if held["model"] is None:
-            held["warm"].append(x)
-            if len(held["warm"]) < warmup:
-                return None
-            held["model"] = make(np.array(held["warm"])[:, None])
-            return float([held["model"].add(np.array([v])) for v in held["warm"]][-1][1])
-        return float(held["model"].add(np.array([x]))[1])
-
-    step = _stateful(lambda warm: series.AdaptiveRegimes(warm), "p1", add)
-    return stream.groupBy("series_id").applyInPandasWithState(step, "series_id string, t long, p1 double", "held binary", "append", "NoTimeout")
+
+def online_regimes(stream: DataFrame, warmup: int = 48, idle_ms: int | None = None) -> DataFrame:
+    """p1, the second regime's probability, of stream (series_id, t, x), null before the warm-up has passed.
+
+    State holds the discounted sums as typed columns; checkpoints and idle_ms are as in online_cusum().
+    """
+    fields = "keep double, least double, " + ", ".join(f"`{f}` array<double>" for f in _Regimes.FIELDS)
+    return _detect(stream, _Regimes(fields, "p1", warmup, idle_ms), "double")
 
 
 def score_new_months(stream: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):

@@ -100,6 +100,7 @@ def test_online_alarm_equals_batch(spark, tmp_path):
         df.where(f"t div 40 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         time.sleep(1.1)
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    live.keep_typed_state(spark)
     finished(live.online_cusum(stream).writeStream.format("memory").queryName("alarms").trigger(availableNow=True).start())
     got = {r.t for r in spark.table("alarms").where("changepoint = 1").collect()}
     assert got == {r.t for r in series.cusum(df).where("changepoint = 1").collect()} and got
@@ -143,6 +144,7 @@ def test_online_regimes_follow_a_switch(spark, tmp_path):
     for k in range(3):
         df.where(f"t >= {60 * k} and t < {60 * (k + 1)}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    live.keep_typed_state(spark)
     finished(live.online_regimes(stream).writeStream.format("memory").queryName("regimes").trigger(availableNow=True).start())
     got = {r.t: r.p1 for r in spark.table("regimes").collect()}
     assert len(got) == 180 and all(got[t] is None for t in range(47))
@@ -151,6 +153,24 @@ def test_online_regimes_follow_a_switch(spark, tmp_path):
     assert min(high) > 0.9 and max(low) < 0.1 or min(low) > 0.9 and max(high) < 0.1
 
 
+def test_a_stopped_stream_goes_on_bit_for_bit(spark, tmp_path):
+    """A query that stops after each file gives the numbers of the batch fold, of long series and of one that stays below its warm-up."""
+    rng = np.random.default_rng(8)
+    live.keep_typed_state(spark)
+    rows = [(s, t, float(rng.normal(3.0 * (t // 20 % 2), 1.0))) for s, n in (("a", 120), ("b", 118), ("c", 10)) for t in range(n)]
+    df = spark.createDataFrame(rows, "series_id string, t long, x double")
+    for k in range(3):
+        df.where(f"t div 40 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for name, online in (("breaks", live.online_cusum), ("regimes", live.online_regimes)):
+            stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+            finished(online(stream).writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}-state")).trigger(availableNow=True).start())
+    got = {(r.series_id, r.t): r.p1 for r in spark.read.parquet(str(tmp_path / "regimes")).collect()}
+    want = {(r.series_id, r.t): r.p1 for r in series.adaptive(df).collect()}
+    assert len(got) == len(rows) and all(v == (want[k] if k[1] >= 47 else None) for k, v in got.items())
+    breaks = {(r.series_id, r.t) for r in spark.read.parquet(str(tmp_path / "breaks")).where("changepoint = 1").collect()}
+    assert breaks == {(r.series_id, r.t) for r in series.cusum(df).where("changepoint = 1 and t >= 23 and series_id != 'c'").collect()} and breaks
+
+
 @pytest.mark.parametrize("field, cell", [
     ("client_id", "Identif. National -B35T"), ("periode", "Période"), ("ressources", "Ressource"), ("business_line", "BUSINESS"), ("seg2", "Segmentation niveau 2"),
     ("seg_commercial", "Segmentation commerciale"), ("type_compte", "CODE TYPE COMPTE"), ("rubrique", "Rubriques"), ("date_ouverture", "Ouverture"), ("ctrvl_kda", "ctrvl"),
