@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import features, macro, panel, rates, runoff, series, uncertainty, validate
 from ..sources import dumps, payloads
-from ..streaming import rolling
+from ..streaming import live, rolling
 from . import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -652,6 +652,34 @@ def ts1_cusum(spark, d):
     return rounded(series.cusum(V.user_series(spark, d)))
 
 
+def _streamed(spark, d, online):
+    """online() over the users' series as a stream of two files, early and late rows, each a query that goes on from the other's checkpoint."""
+    at, provider = _shared_path(spark, "stream"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    live.keep_typed_state(spark)
+    try:
+        rows = V.user_series(spark, d).persist()
+        middle = rows.agg(F.percentile_approx("t", 0.5)).first()[0]  # one number
+        for late in (False, True):
+            rows.where((F.col("t") > F.lit(middle)) == late).write.mode("append").parquet(f"{at}/in")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{at}/in")
+            online(stream).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
+        rows.unpersist()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.parquet(f"{at}/out")
+
+
+@query()
+def str3_online_breaks(spark, d):
+    return _streamed(spark, d, live.online_cusum)
+
+
+@query()
+def str4_online_regimes(spark, d):
+    return rounded(_streamed(spark, d, live.online_regimes))
+
+
 @query()
 def ts2_alarm(spark, d):
     return series.alarm(series.cusum(V.user_series(spark, d)))
