@@ -977,6 +977,37 @@ def va11_back_test(spark, d):
     return rounded(books.leaderboard(errors), 4)
 
 
+def _score(spark, d):
+    from ..operators import scoring
+
+    asof = V.CUTOFF + 24
+    rows, months = V.model_rows(spark, d).where(F.col("month_int") <= asof), _rates(spark, d).where(F.col("month_int") <= asof)
+    return scoring.score(rows.persist(), months.persist(), 12, 24)
+
+
+@query()
+def ro12_score_record(spark, d):
+    """The record of a run two years after the cutoff, appended twice to a table of runs: the second time nothing is new."""
+    at, run = _shared_path(spark, "scores"), _score(spark, d)[3]
+    for _ in range(2):
+        dumps.append_scores(run, at)
+    return rounded(spark.read.schema(run.schema).parquet(at).drop("regime_posterior", "version"), 3)
+
+
+@query()
+def ro13_scored_book(spark, d):
+    """Curves of each segment by the model chosen for it, and of the book, with the segment's evaluation."""
+    evaluation, _, scored, _ = _score(spark, d)
+    return rounded(scored.join(F.broadcast(evaluation.drop("n")), "segment", "left").drop("version"), 3)
+
+
+@query()
+def va11_coverage(spark, d):
+    from ..operators import scoring
+
+    return rounded(scoring.back_test(V.model_rows(spark, d).persist(), [V.CUTOFF, V.CUTOFF + 6, V.CUTOFF + 12], 12), 4)
+
+
 def _fan(spark, d, n_paths: int = 30):
     from ..operators import books
 
