@@ -16,19 +16,31 @@ RANKS = {"convention": 0, "error_correction": 1, "hazard": 2}
 MODEL_ROW = "segment string, model string, version string, trained_through int, parameters map<string, double>"
 
 
-def evaluate(rows: DataFrame, months: DataFrame, holdout: int, horizon: int, alpha: float = 0.1) -> DataFrame:
+def evaluate(rows: DataFrame, holdout: int, horizon: int, alpha: float = 0.1) -> DataFrame:
     """A row a segment: the model that scores it, and how the hazard did on the last `holdout` months, which no fit has read.
 
-    rows: the panel with macro columns and w; months (month_int, x): the series of the regimes. (segment, winner, chosen, mae of the chosen,
+    rows: the panel with macro columns and w. (segment, winner, chosen, mae of the chosen,
     then of a hazard of all segments nll, brier, ece, pit_ks and q, the conformal quantile of |event - p|, n). Chosen is the simplest model within 5 % of the
     least error over `horizon` months. A segment without curves to compare is scored by the hazard.
     """
     last = rows.agg(F.max("month_int")).first()[0]
     cut = (last or 0) - holdout
-    errors = books.fitted_errors(rows, months, cut, horizon).where(F.col("model").isin(*RANKS)).persist()
+    past = rows.where(F.col("month_int") <= cut)
+    fits = models.concurrently(rows.sparkSession, [lambda: models.fit_hazard(past, books.HAZARD, 1e-3, 0.5), lambda: models.fit_erosion(_steps(past), books.EROSION)])
+    hazard, (erosion, b0) = fits
+    cohort = past.where((F.col("month_int") == cut) & (F.col("event") == 0))
+    tried = {
+        "convention": runoff.convention(paths_.core_volatile(past), horizon),
+        "error_correction": runoff.reverting(models.error_correction(models.book_months(past)), horizon),
+        "hazard": runoff.roll(cohort, hazard.raw, hazard.b0, erosion, b0, horizon, ["segment"]),
+    }
+    both = None
+    for name, curve in tried.items():
+        curve = curve.select("segment", "h", "B", F.lit(name).alias("model"))
+        both = curve if both is None else both.unionByName(curve)
+    errors = runoff.errors(both, panel.realized(rows, cut, horizon), ["segment"]).persist()  # a row a segment and model
     choice = runoff.pick(errors, ["segment"], RANKS).select("segment", "winner", "chosen")
     mae = errors.select("segment", F.col("model").alias("chosen"), "mae")
-    hazard = models.fit_hazard(rows.where(F.col("month_int") <= cut), books.HAZARD, 1e-3, 0.5)
     key = F.concat_ws("|", "account_id", F.col("month_int").cast("string"))
     held = rows.where(F.col("month_int") > cut).select("segment", key.alias("key"), hazard.p().alias("p"), F.col("event").alias("y"), "w")
     u = (F.pmod(F.xxhash64("key"), F.lit(1_000_003)) + 0.5) / 1_000_003
@@ -89,13 +101,13 @@ def curves(rows: DataFrame, model: DataFrame, horizon: int, bump: float = 2.0) -
     weight = alive.groupBy("segment").agg(F.sum("balance_kda").alias("W"), F.count("*").alias("n_alive"))
     of = lambda kind: F.broadcast(model.where(F.col("model") == kind).select("segment", "parameters"))
     at = lambda name: F.coalesce(F.element_at("parameters", F.lit(name)), F.lit(0.0))
-    parts = []
+    lines = runoff.convention(paths_.core_volatile(rows.join(of("convention").select("segment"), "segment")), horizon)
+    parts = [lines.select("segment", "h", F.col("B").alias("A"), "B", F.explode(F.array(F.lit("base"), F.lit("up"))).alias("scenario"))]
     for scenario, up in (("base", 0.0), ("up", bump)):
         hazard, erosion = {c: at(f"h_{c}") for c in books.HAZARD}, {c: at(f"e_{c}") for c in books.EROSION}
         rolled = runoff.roll(alive.join(of("hazard"), "segment"), hazard, at("h_"), erosion, at("e_"), horizon, ["segment"], rate_bump=up)
         moved = runoff.reverting(of("error_correction").select("segment", at("lb0").alias("lb0"), (at("eq") + up * at("rate_elasticity")).alias("eq"), at("phi").alias("phi")), horizon)
-        lines = runoff.convention(paths_.core_volatile(rows).join(of("convention"), "segment"), horizon)
-        for part in (rolled, moved.withColumn("A", F.col("B")), lines.withColumn("A", F.col("B"))):
+        for part in (rolled, moved.withColumn("A", F.col("B"))):
             parts.append(part.select("segment", "h", "A", "B", F.lit(scenario).alias("scenario")))
     both = parts[0]
     for part in parts[1:]:
@@ -132,7 +144,7 @@ def record(scored: DataFrame, evaluation: DataFrame, posterior: DataFrame, break
 def score(rows: DataFrame, months: DataFrame, holdout: int, horizon: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(evaluation, model table, curves with the book's, record) of a panel's last month; months (month_int, x): the series of regimes and breaks."""
     asof = rows.agg(F.max("month_int")).first()[0]
-    evaluation = evaluate(rows, months, holdout, min(horizon, holdout)).persist()
+    evaluation = evaluate(rows, holdout, min(horizon, holdout)).persist()
     model = deployed(rows, evaluation)
     scored = book_curves(curves(rows, model, horizon))
     posterior = regimes.filtered(months, ["x"], regimes.fitted_parameters(months, ["x"], asof - holdout))
