@@ -379,7 +379,8 @@ def components(docs: DataFrame, words: int = 5, p: int = 80, q: int = 100, block
     sizes = members.groupBy("block").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("tokens"))
     large = sizes.where((F.col("sets") > block_sets) | (F.col("tokens") > block_tokens)).select("block")
     large = common.stored(large, "large-blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string")).where("node is not null")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
+    texts = common.thinned(texts, members, "node")  # most documents are in no block
     small = members.join(large, "block", "left_anti")
     rows = small.join(texts, "node").select(F.col("block").alias("task"), "node", F.col("node").alias("label"), F.lit(False).alias("outer"), "text")
     found = common.stored(_joined(rows, words, p, q), "links")

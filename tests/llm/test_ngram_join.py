@@ -1,9 +1,10 @@
+import random
 import re
 
 import numpy as np
 import pytest
 
-from ebbflow.llm import graph, ngram_join
+from ebbflow.llm import common, graph, ngram_join
 from ebbflow.llm.shingles import shingle_set
 
 
@@ -119,3 +120,35 @@ def test_rows_of_one_document_tie_their_texts(spark):
     assert sorted(r.doc_id for r in kept) == [3, 9, 20]
     both = spark.createDataFrame([(5, a), (5, b), (5, b), (7, b)], "doc_id long, text string")
     assert sorted(r.text for r in ngram_join.deduplicated(both, 3, 90, 100).collect()) == [a, b]
+
+
+def test_thinned_loses_no_row_that_joins(spark, monkeypatch):
+    monkeypatch.setattr(common, "KEY_BITS", 1 << 17)
+    rows = spark.range(-20_000, 20_000).withColumnRenamed("id", "node").union(spark.sql("SELECT CAST(NULL AS LONG)"))
+    keyed = rows.where("node % 50 = 7 or node is null")
+    got = {r.node for r in common.thinned(rows, keyed, "node").collect()}
+    assert {r.node for r in keyed.where("node is not null").collect()} <= got and len(got) < 1500 and None not in got
+
+
+def test_texts_of_no_block_are_not_shuffled(spark):
+    """With tables too large to broadcast, what is shuffled stays far below the texts, as few of them are in a block."""
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=250)) for _ in range(80))) for i in range(400)]
+    rows.append((1000, rows[5][1] + " more"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    quantiles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def written():
+        stages = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, quantiles, None))
+        return {s.stageId(): s.shuffleWriteBytes() for s in stages}
+
+    docs = common.stored(docs, "shuffle-test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = written()
+        got = {r.doc_id: r.component_id for r in ngram_join.components(docs, 3, 90, 100).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {i: i for i in range(400)} | {1000: 5}
+    assert sum(n for k, n in written().items() if k not in before) < sum(len(t) for _, t in rows) / 2
