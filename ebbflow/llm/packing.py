@@ -31,16 +31,16 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAP
         from pyspark import TaskContext
 
         coder, n = tokens.encoder(tokenizer), TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in (part for whole in batches for part in tokens.slices(whole, 1)):
             ids, ends = tokens.ended(*coder.batch(batch.column(1)), end_id)
-            wide, sizes = memoryview(ids.astype("<u4")).cast("B"), np.diff(ends)
+            sizes = np.diff(ends)
             counts = -(-sizes // capacity)
             row = np.repeat(np.arange(len(sizes)), counts)
             piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             start = piece * capacity
             length = np.minimum(sizes[row] - start, capacity)
-            first = 4 * (ends[row] + start)
-            crc = [zlib.crc32(wide[a:b]) for a, b in zip(first.tolist(), (first + 4 * length).tolist(), strict=True)]
+            first = ends[row] + start
+            crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
             spread = n + np.arange(len(row))
             n += len(row)
             values = [batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, length)), pa.array(crc, pa.int64()), pa.array(spread)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow.compute as pc
 
 #: A worker keeps the ids of so many words at most, about 200 bytes each, and those of the last batch.
 CACHED_WORDS = 150_000
+#: Words that go to the tokenizer at once, as what it returns takes a hundred times their memory; texts whose ids are put in their places at once.
+AT_ONCE, STEP = 4096, 64
 #: Words of Latin-1 letters, whose lower case and composed form are no question, and ASCII punctuation after them.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*%&$#()\[\]\"/-]*)")
 
@@ -56,8 +59,6 @@ class WordEncoder:
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of lower-cased words of letters."""
-        if not words:
-            return []
         found = self.simple.encode(" ".join(words), add_special_tokens=False)
         ids, of = np.array(found.ids, self.dtype), np.array(found.word_ids, np.int64)
         data, ends = ids.tobytes(), (np.searchsorted(of, np.arange(len(words) + 1)) * self.dtype.itemsize).tolist()
@@ -78,13 +79,15 @@ class WordEncoder:
             else:
                 whole.append(word)
         new = list(stems)
-        stems.update(zip(new, self._letters(new), strict=True))
+        for some in (new[a : a + AT_ONCE] for a in range(0, len(new), AT_ONCE)):
+            stems.update(zip(some, self._letters(some), strict=True))
         for word, stem, mark in parted:
             out[word] = stems[stem] + self.marks[mark]
         if len(self.marks) > CACHED_WORDS:
             self.marks = {"": b""}
-        for word, ids in zip(whole, self._ids([w.decode() for w in whole]), strict=True):
-            out[word] = np.array(ids, self.dtype).tobytes()
+        for some in (whole[a : a + AT_ONCE] for a in range(0, len(whole), AT_ONCE)):
+            for word, ids in zip(some, self._ids([w.decode() for w in some]), strict=True):
+                out[word] = np.array(ids, self.dtype).tobytes()
         return out
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,11 +112,16 @@ class WordEncoder:
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
         starts = np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
-        n = sizes[at]
-        last = np.append(0, np.cumsum(n))
-        ids = table[np.repeat(starts[at] - last[:-1], n) + np.arange(last[-1])]
-        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-        return ids, last[np.append(0, np.cumsum(counts, dtype=np.int64))]
+        borders = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), dtype=np.int64))
+        parts, ends = [], np.zeros(len(borders), np.int64)
+        for a in range(0, len(texts), STEP):  # the places of ids take several times the memory of the ids
+            own = borders[a : a + STEP + 1]
+            words = at[own[0] : own[-1]]
+            n = sizes[words]
+            last = np.append(0, np.cumsum(n))
+            parts.append(table[np.repeat(starts[words] - last[:-1], n) + np.arange(last[-1])])
+            ends[a + 1 : a + STEP + 1] = ends[a] + last[own[1:] - own[0]]
+        return np.concatenate([np.empty(0, self.dtype), *parts]), ends
 
     def forget(self) -> None:
         """Let go of all words, as the worker may go on to other work."""
@@ -125,6 +133,16 @@ class WordEncoder:
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose texts in that column take about `most` bytes; a larger text is a part of its own."""
+    place = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(place, place[at] + most, "right")) - 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def ended(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ends) with end_id after each text's ids."""
     new = ends + np.arange(len(ends))

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,6 +31,27 @@ def test_full_cache_still_encodes(monkeypatch, plain):
         assert own.encode([text.encode()])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_many_words_reach_the_tokenizer_in_parts(monkeypatch, plain):
+    """What the tokenizer returns for all words of a batch at once took most of a worker's memory."""
+    own, seen = tokens.WordEncoder(queries.TOKENIZER), []
+    ids, letters = own._ids, own._letters
+    monkeypatch.setattr(own, "_ids", lambda some: seen.append(len(some)) or ids(some))
+    monkeypatch.setattr(own, "_letters", lambda some: seen.append(len(some)) or letters(some))
+    texts = [" ".join(f"w{i}x word{chr(97 + i % 26) * (i % 7)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}q" for i in range(k, k + 100)) for k in range(0, 15_000, 100)]
+    got = own.encode([t.encode() for t in texts])
+    assert max(seen) <= 4096 < sum(seen)
+    assert [x.tolist() for x in got] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_slices_are_bounded_by_bytes_and_lose_no_row():
+    rows = [None, "", "a" * 5000, "b", *["c" * 700] * 20, None, "é" * 900, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows)], ["doc_id", "text"])
+    parts = list(tokens.slices(batch.slice(1), 1, 2000))
+    assert [r for part in parts for r in part.column(1).to_pylist()] == rows[1:]
+    assert all(part.num_rows and (part.num_rows == 1 or sum(len((r or "").encode()) for r in part.column(1).to_pylist()) <= 2000) for part in parts)
+    assert len(parts) > 8 and list(tokens.slices(batch.slice(0, 0), 1)) == []
+
+
 def test_token_files(spark, docs, plain):
     folder = common.new_path(spark, "token-test")
     manifest = token_files.write(docs, queries.TOKENIZER, folder, 2, length=16, batch_rows=4)
