@@ -1,11 +1,16 @@
-"""Time-series operators, many series at a time: one task holds one series of a few hundred points."""
+"""Time-series operators, many series at a time: one task holds one series of a few hundred points, or some thousand of them side by side."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from itertools import chain
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # --- fractional differences and unit roots ---------------------------------------------------------------------
 
@@ -224,60 +229,171 @@ def icss_causal(series: DataFrame, history: int = 36, robust: bool = False) -> D
 # --- regimes ---------------------------------------------------------------------------------------------------
 
 
+#: Points of series that are taken up at once, about, and how much shorter a series may be than the longest one beside it.
+POINTS, SHORTER = 1 << 18, 0.75
+
+
+def _by_series(rows: DataFrame, features: list[str], run: Callable[[np.ndarray, np.ndarray], dict[str, tuple]], least: int, types: str) -> DataFrame:
+    """(series_id, t, features and what run() gives) of all series of `least` points or more, many series at a time.
+
+    run takes x (feature, point, series) padded with zeros, longest series first, and the lengths; it gives arrays (point, series) by
+    name, or arrays (point, place, series) with the lengths of lists. Rows are dealt out by series and sorted, so a task holds the series of about POINTS points, or one longer series.
+    """
+    names = StructType.fromDDL(types).names
+
+    def some(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = np.diff(starts)
+        order = np.argsort(-n, kind="stable")
+        order = order[n[order] >= least]
+        x = np.stack([table[f].to_numpy().astype(float) for f in features])
+        while len(order):
+            longest = n[order[0]]
+            m = max(1, min(int((n[order] >= SHORTER * longest).sum()), POINTS // longest))
+            part, order = order[:m], order[m:]
+            inside = np.arange(longest)[:, None] < n[part]
+            at = np.where(inside, starts[part] + np.arange(longest)[:, None], 0)
+            got = run(np.where(inside, x[:, at], 0.0), n[part])
+            out = table.take(pa.array(at.T[inside.T]))
+            for name, values in got.items():
+                if isinstance(values, tuple):  # lists, and their lengths by series
+                    values, size = values
+                    flat, size = np.moveaxis(values, 2, 0)[inside.T], np.repeat(size, n[part])
+                    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                    column = pa.ListArray.from_arrays(ends, flat[np.arange(flat.shape[1]) < size[:, None]])
+                else:
+                    column = pa.array(values.T[inside.T])
+                out = out.append_column(name, column)
+            yield from out.select(names).combine_chunks().to_batches()
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, most = [], 0, POINTS
+        for batch in chain(batches, [None]):
+            if batch is not None and batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if not held or (batch is not None and size < most):
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            code = table["series_id"].combine_chunks().dictionary_encode("encode").indices.to_numpy()
+            starts = np.concatenate(([0], np.flatnonzero(np.diff(code)) + 1, [len(code)]))
+            if batch is not None:  # the last series may go on
+                starts = starts[:-1]
+            yield from some(table, starts) if len(starts) > 1 else ()
+            held = table.slice(starts[-1]).to_batches()
+            size = len(code) - int(starts[-1])
+            most = max(POINTS, 2 * size)
+
+    dealt = rows.select("series_id", "t", *features).repartition("series_id").sortWithinPartitions("series_id", "t")
+    return dealt.mapInArrow(task, types)
+
+
+def _total(x: np.ndarray) -> np.ndarray:
+    """Sum over points, one after another, so that a series has the same sum beside any others."""
+    out = np.zeros(x[0].shape)
+    for row in x:
+        out += row
+    return out
+
+
 def _log_density(x: np.ndarray, mean: np.ndarray, var: np.ndarray) -> np.ndarray:
-    return -0.5 * (np.log(2 * np.pi * var)[None] + (x[:, None] - mean[None]) ** 2 / var[None]).sum(2)
+    """x (feature, ..., series) under mean and var (feature, state, series): (..., state, series)."""
+    return sum((-0.5 * (np.log(2 * np.pi * v) + (xf[..., None, :] - m) ** 2 / v) for xf, m, v in zip(x, mean, var)), 0.0)
 
 
-class Regimes:
-    """Gaussian hidden Markov model of standardised rows, fitted by EM from means at quantiles of the first column."""
-
-    def __init__(self, x: np.ndarray, k: int, rounds: int = 60, least: float = 1e-4):
-        self.centre, scale = x.mean(0), x.std(0)
-        self.scale = np.where(scale > 0, scale, 1.0)
-        z = (x - self.centre) / self.scale
-        order = np.argsort(z[:, 0], kind="stable")
-        self.mean = np.array([z[part].mean(0) for part in np.array_split(order, k)])
-        self.var = np.tile(np.maximum(z.var(0), least), (k, 1))
-        self.move, self.start = np.full((k, k), 1 / k), np.full(k, 1 / k)
+class ManyRegimes:
+    """Gaussian hidden Markov models of standardised series, fitted by EM from means at quantiles of the first feature.
+
+    Many series side by side: x (feature, point, series) with n points each. All arrays end with the series, and no number of a series depends on
+    those beside it.
+    """
+
+    def __init__(self, x: np.ndarray, n: np.ndarray, k: int, rounds: int = 60, least: float = 1e-4):
+        self.n, live, shortest = n, np.arange(x.shape[1])[:, None] < n, n.min()
+        self.centre = np.stack([_total(np.where(live, v, 0.0)) for v in x]) / n
+        spread = np.stack([_total(np.where(live, (v - c) ** 2, 0.0)) for v, c in zip(x, self.centre)]) / n
+        self.scale = np.where(spread > 0, np.sqrt(spread), 1.0)
+        z = np.where(live, self._standard(x), 0.0)
+        rank = np.empty(z.shape[1:], int)
+        np.put_along_axis(rank, np.argsort(np.where(live, z[0], np.inf), axis=0, kind="stable"), np.arange(len(rank))[:, None], axis=0)
+        size, more = n // k, n % k
+        part = np.where(rank < more * (size + 1), rank // (size + 1), (rank - more) // np.maximum(size, 1))
+        own = ((part[:, None] == np.arange(k)[:, None]) & live[:, None]).astype(float)
+        self._moments(z, own, least)
+        flat = np.maximum(np.stack([_total(v * v) for v in z]) / n, least)
+        self.var = np.repeat(flat[:, None], k, axis=1)
+        self.move, self.start = np.full((k, k, len(n)), 1 / k), np.full((k, len(n)), 1 / k)
         for _ in range(rounds):
             b = _log_density(z, self.mean, self.var)
             b = np.exp(b - b.max(1, keepdims=True))
             forward, norm = self._forward(b)
-            back = np.ones_like(b)
-            for t in range(len(z) - 2, -1, -1):
-                back[t] = self.move @ (b[t + 1] * back[t + 1]) / norm[t + 1]
-            own = forward * back
-            own /= own.sum(1, keepdims=True)
-            pairs = forward[:-1, :, None] * self.move[None] * (b[1:] * back[1:])[:, None]
-            pairs /= np.maximum(pairs.sum((1, 2), keepdims=True), 1e-300)
-            self.start = own[0]
-            self.move = pairs.sum(0) / np.maximum(own[:-1].sum(0), 1e-300)[:, None]
-            weight = np.maximum(own.sum(0), 1e-300)[:, None]
-            self.mean = own.T @ z / weight
-            self.var = np.maximum(np.stack([own[:, j] @ (z - self.mean[j]) ** 2 for j in range(k)]) / weight, least)
+            own, back = np.empty_like(b), np.ones_like(b[0])
+            pairs, left = np.zeros_like(self.move), np.zeros_like(back)
+            for t in range(len(b) - 1, -1, -1):
+                later = t < len(b) - 1
+                if later:
+                    moved = self.move * (b[t + 1] * back)
+                    joint = forward[t][:, None] * moved
+                    joint /= np.maximum(joint.sum(0).sum(0), 1e-300)
+                    back = moved.sum(1)
+                    back /= norm[t + 1]
+                    if t + 1 >= shortest:
+                        joint[..., ~live[t + 1]], back[:, ~live[t + 1]] = 0.0, 1.0
+                    pairs += joint
+                own[t] = forward[t] * back
+                own[t] /= own[t].sum(0)
+                if t >= shortest:
+                    own[t][:, ~live[t]] = 0.0
+                if later:
+                    left += own[t] if t + 1 < shortest else np.where(live[t + 1], own[t], 0.0)
+            self.start, self.move = own[0], pairs / np.maximum(left, 1e-300)[:, None]
+            self._moments(z, own, least)
+
+    def _standard(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.centre[:, None]) / self.scale[:, None]
+
+    def _moments(self, z: np.ndarray, own: np.ndarray, least: float) -> None:
+        weight = np.maximum(_total(own), 1e-300)
+        self.mean = np.stack([_total(own * v[:, None]) for v in z]) / weight
+        self.var = np.maximum(np.stack([_total(own * (v[:, None] - m) ** 2) for v, m in zip(z, self.mean)]) / weight, least)
 
     def _forward(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        out, norm = np.empty_like(b), np.empty(len(b))
+        out, norm = np.empty_like(b), np.empty((len(b), b.shape[2]))
         for t in range(len(b)):
-            a = (self.start if t == 0 else out[t - 1] @ self.move) * b[t]
-            norm[t] = max(a.sum(), 1e-300)
+            a = (self.start if t == 0 else (out[t - 1][:, None] * self.move).sum(0)) * b[t]
+            norm[t] = np.maximum(a.sum(0), 1e-300)
             out[t] = a / norm[t]
         return out, norm
 
-    def filtered(self, x: np.ndarray) -> tuple[np.ndarray, float]:
-        """State probabilities given the past and the row itself, and the log likelihood."""
-        lp = _log_density((x - self.centre) / self.scale, self.mean, self.var)
+    def filtered(self, x: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """State probabilities (point, state, series) given the past and the point itself, and the log likelihoods; n: the points of each, if not as many as were fitted."""
+        lp = _log_density(self._standard(x), self.mean, self.var)
         top = lp.max(1)
         out, norm = self._forward(np.exp(lp - top[:, None]))
-        return out, float((np.log(norm) + top).sum())
+        live = np.arange(x.shape[1])[:, None] < (self.n if n is None else n)
+        return out, _total(np.where(live, np.log(norm) + top, 0.0))
+
+    def bic(self, likelihood: np.ndarray) -> np.ndarray:
+        features, k = self.mean.shape[:2]
+        return -2 * likelihood + (2 * k * features + k * (k - 1) + k - 1) * np.log(self.n)
+
+
+class Regimes:
+    """The model of one series of rows (point, feature)."""
+
+    def __init__(self, x: np.ndarray, k: int):
+        self.many = m = ManyRegimes(x.T[:, :, None], np.array([len(x)]), k)
+        self.centre, self.scale, self.start, self.move = (a[..., 0] for a in (m.centre, m.scale, m.start, m.move))
+        self.mean, self.var = m.mean[..., 0].T, m.var[..., 0].T
+
+    def filtered(self, x: np.ndarray) -> tuple[np.ndarray, float]:
+        """State probabilities given the past and the row itself, and the log likelihood."""
+        p, likelihood = self.many.filtered(x.T[:, :, None], np.array([len(x)]))
+        return p[..., 0], float(likelihood[0])
 
 
 def best_regimes(x: np.ndarray, ks: tuple[int, ...] = (2, 3)) -> tuple[Regimes, float]:
     """The number of states with the least BIC."""
-    def bic(m: Regimes, k: int) -> float:
-        return -2 * m.filtered(x)[1] + (2 * k * x.shape[1] + k * (k - 1) + k - 1) * np.log(len(x))
-
-    return min(((m := Regimes(x, k), bic(m, k)) for k in ks), key=lambda p: p[1])
+    return min(((m := Regimes(x, k), float(m.many.bic(np.array([m.filtered(x)[1]]))[0])) for k in ks), key=lambda p: p[1])
 
 
 def regimes(series: DataFrame, features: list[str], least: int = 24) -> DataFrame:
@@ -286,16 +402,18 @@ def regimes(series: DataFrame, features: list[str], least: int = 24) -> DataFram
     Frozen parameters are fitted on the whole series; the filter looks back only. Shorter series have no rows.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t", ignore_index=True)
-        if len(pdf) < least:
-            return pdf.iloc[:0][["series_id", "t"]].assign(n_states=0, state=0, posterior=None)
-        x = pdf[features].to_numpy(float)
-        model, _ = best_regimes(x)
-        p, _ = model.filtered(x)
-        return pdf[["series_id", "t"]].assign(n_states=p.shape[1], state=p.argmax(1), posterior=list(p))
+    def run(x: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+        both, bics = [], []
+        for k in (2, 3):
+            m = ManyRegimes(x, n, k)
+            p, likelihood = m.filtered(x)
+            both.append(np.pad(p, ((0, 0), (0, 3 - k), (0, 0))))
+            bics.append(m.bic(likelihood))
+        more = bics[1] < bics[0]
+        p, k = np.where(more, both[1], both[0]), np.where(more, 3, 2)
+        return {"n_states": np.broadcast_to(k.astype(np.int32), x.shape[1:]), "state": p.argmax(1).astype(np.int32), "posterior": (p, k)}
 
-    return series.groupBy("series_id").applyInPandas(run, "series_id string, t long, n_states int, state int, posterior array<double>")
+    return _by_series(series, features, run, least, "series_id string, t long, " + ", ".join(f"`{f}` double" for f in features) + ", n_states int, state int, posterior array<double>")
 
 
 def label_regimes(means: DataFrame) -> DataFrame:
@@ -306,44 +424,50 @@ def label_regimes(means: DataFrame) -> DataFrame:
 
 
 class AdaptiveRegimes:
-    """Regimes whose moves and moments follow discounted sums, an observation at a time."""
+    """Regimes whose moves and moments follow discounted sums, an observation at a time; many series side by side.
+
+    warm (feature, point, series): the first points of each. Arrays end with the series.
+    """
+
+    #: What goes on from point to point.
+    FIELDS = ("mean", "var", "move", "now", "n", "sum", "squares", "moves")
 
     def __init__(self, warm: np.ndarray, k: int = 2, keep: float = 0.97, prior: float = 20.0, least: float = 1e-4):
-        first = Regimes(warm, k)
+        first = ManyRegimes(warm, np.full(warm.shape[2], warm.shape[1]), k)
         self.keep, self.least = keep, least
-        self.mean, self.var = first.centre + first.mean * first.scale, first.var * first.scale**2
+        self.mean, self.var = first.centre[:, None] + first.mean * first.scale[:, None], first.var * first.scale[:, None] ** 2
         self.move, self.now = first.move, first.filtered(warm)[0][-1]
-        self.n = np.full(k, prior)
+        self.n = np.full(self.now.shape, prior)
         self.sum, self.squares = prior * self.mean, prior * (self.var + self.mean**2)
         self.moves = prior * self.move
 
     def add(self, x: np.ndarray) -> np.ndarray:
-        lp = _log_density(x[None], self.mean, self.var)[0]
-        joint = self.now[:, None] * self.move * np.exp(lp - lp.max())[None]
-        joint /= max(joint.sum(), 1e-300)
-        self.now = joint.sum(0)
-        self.moves = self.keep * self.moves + joint
-        self.move = self.moves / np.maximum(self.moves.sum(1, keepdims=True), 1e-300)
-        self.n = self.keep * self.n + self.now
-        self.sum = self.keep * self.sum + self.now[:, None] * x[None]
-        self.squares = self.keep * self.squares + self.now[:, None] * (x * x)[None]
-        self.mean = self.sum / self.n[:, None]
-        self.var = np.maximum(self.squares / self.n[:, None] - self.mean**2, self.least)
-        return self.now
+        """State probabilities (state, series) after another point of each of the first series, as many as x (feature, series) has."""
+        at = {f: getattr(self, f)[..., : x.shape[1]] for f in self.FIELDS}
+        lp = _log_density(x, at["mean"], at["var"])
+        joint = at["now"][:, None] * at["move"] * np.exp(lp - lp.max(0))
+        joint /= np.maximum(joint.sum(0).sum(0), 1e-300)
+        now = joint.sum(0)
+        moves, n = self.keep * at["moves"] + joint, self.keep * at["n"] + now
+        total, squares = self.keep * at["sum"] + now * x[:, None], self.keep * at["squares"] + now * (x * x)[:, None]
+        mean = total / n
+        new = {"mean": mean, "var": np.maximum(squares / n - mean**2, self.least), "move": moves / np.maximum(moves.sum(1), 1e-300)[:, None], "now": now, "n": n, "sum": total, "squares": squares, "moves": moves}
+        for f, v in new.items():
+            at[f][...] = v
+        return now
 
 
 def adaptive(series: DataFrame, warmup: int = 48) -> DataFrame:
     """Posterior of the second state of two at each point of series (series_id, t, x); series up to the warm-up have no rows."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t", ignore_index=True)
-        x = pdf[["x"]].to_numpy(float)
-        if len(x) <= warmup:
-            return pdf.iloc[:0][["series_id", "t"]].assign(p1=0.0)
-        model = AdaptiveRegimes(x[:warmup])
-        return pdf[["series_id", "t"]].assign(p1=[float(model.add(row)[1]) for row in x])
+    def run(x: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+        model, p1 = AdaptiveRegimes(x[:, :warmup]), np.zeros(x.shape[1:])
+        for t, row in enumerate(x[0]):
+            m = int((n > t).sum())  # the longest come first
+            p1[t, :m] = model.add(row[None, :m])[1]
+        return {"p1": p1}
 
-    return series.groupBy("series_id").applyInPandas(run, "series_id string, t long, p1 double")
+    return _by_series(series, ["x"], run, warmup + 1, "series_id string, t long, p1 double")
 
 
 # --- ranges ----------------------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@ import datetime
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,6 +241,71 @@ def test_regimes_find_two_states(spark):
     assert np.mean([(r.p1 > 0.5) == bool(k) for r, k in zip(online[60:], truth[60:])]) > 0.9
 
 
+def _one_by_one(x, k, rounds=60, least=1e-4):
+    """Filtered probabilities of one series by a plain EM, a point at a time."""
+    z = (x - x.mean()) / x.std()
+    parts = np.array_split(np.sort(z), k)
+    mean, var = np.array([p.mean() for p in parts]), np.full(k, max(z.var(), least))
+    move, start = np.full((k, k), 1 / k), np.full(k, 1 / k)
+    for r in range(rounds + 1):
+        b = np.exp(-0.5 * (np.log(2 * np.pi * var) + (z[:, None] - mean) ** 2 / var))
+        ahead, norm = [], []
+        for t in range(len(z)):
+            a = (start if t == 0 else ahead[-1] @ move) * b[t]
+            norm.append(a.sum())
+            ahead.append(a / a.sum())
+        if r == rounds:
+            return np.array(ahead)
+        back = [np.ones(k)]
+        for t in range(len(z) - 2, -1, -1):
+            back.insert(0, move @ (b[t + 1] * back[0]) / norm[t + 1])
+        own = np.array(ahead) * np.array(back)
+        pairs = sum((p := np.outer(ahead[t], b[t + 1] * back[t + 1]) * move) / p.sum() for t in range(len(z) - 1))
+        start, move = own[0], pairs / own[:-1].sum(0)[:, None]
+        mean = own.T @ z / own.sum(0)
+        var = np.maximum((own * (z[:, None] - mean) ** 2).sum(0) / own.sum(0), least)
+
+
+def test_series_side_by_side_equal_series_alone():
+    rng = np.random.default_rng(12)
+    n = np.array([90, 81, 64, 30])
+    x = np.zeros((1, 90, 4))
+    for j, m in enumerate(n):
+        x[0, :m, j] = rng.normal(size=m) + 4 * (np.arange(m) // 15 % 2)
+    for k in (2, 3):
+        p, _ = series.ManyRegimes(x, n, k).filtered(x)
+        for j, m in enumerate(n):
+            assert np.allclose(p[:m, :, j], _one_by_one(x[0, :m, j], k), atol=1e-6)
+            alone, _ = series.Regimes(x[0, :m, j : j + 1], k).filtered(x[0, :m, j : j + 1])
+            assert (alone == p[:m, :, j]).all()  # bit for bit, whatever lies beside it
+
+
+def _lengths(spark, lengths):
+    rng = np.random.default_rng(13)
+    rows = [(f"s{k}", t, float(v)) for k, m in enumerate(lengths) for t, v in enumerate(rng.exponential(size=m))]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=["series_id", "t", "x"]))
+
+
+def test_series_that_end_anywhere_are_whole(spark, monkeypatch):
+    """Parts end within a series, and one series is longer than a part."""
+    monkeypatch.setattr(series, "POINTS", 150)
+    lengths = [20, 24, 30, 400, 70, 49, 48, 90]
+    df = _lengths(spark, lengths).persist()
+    got = series.regimes(df, ["x"]).join(df.withColumnRenamed("x", "own"), ["series_id", "t"]).collect()
+    assert sorted((r.series_id, r.t) for r in got) == sorted((f"s{k}", t) for k, m in enumerate(lengths) if m >= 24 for t in range(m))
+    assert all(r.x == r.own and len(r.posterior) == r.n_states and abs(sum(r.posterior) - 1) < 1e-9 and r.state == int(np.argmax(r.posterior)) for r in got)
+    assert series.adaptive(df).count() == sum(m for m in lengths if m > 48)
+
+
+def test_many_series_are_fitted_in_time(spark):
+    """They took a quarter of a second of a core each."""
+    import time
+
+    began = time.time()
+    assert series.regimes(_lengths(spark, [60] * 1200), ["x"]).count() == 72_000
+    assert time.time() - began < 75
+
+
 def test_resamples(spark):
     months = spark.range(50, 90).select(F.col("id").cast("int").alias("month_int"))
     got = uncertainty.block_months(months, 20, 6)
