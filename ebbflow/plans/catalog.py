@@ -734,7 +734,7 @@ def ts9_regimes(spark, d):
 
 @query()
 def ts11_regime_labels(spark, d):
-    states = series.regimes(V.user_series(spark, d), ["x"]).join(V.user_series(spark, d), ["series_id", "t"])
+    states = series.regimes(V.user_series(spark, d), ["x"])
     return rounded(series.label_regimes(states.groupBy("series_id", "state").agg(F.avg("x").alias("score"))))
 
 
