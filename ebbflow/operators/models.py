@@ -4,34 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import ExitStack
+from contextlib import nullcontext
 from typing import TypeVar
 
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from . import validate
+from . import passes, validate
 
 T = TypeVar("T")
 #: Fits that run side by side.
 FITS = 8
-#: Rows of a task of a fit, at least.
-FIT_ROWS = 50_000
-#: How closely the fits of a grid are run, of which only scores are compared.
-GRID_TOL = 1e-7
-
-
-def scaler(rows: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Unweighted means and population deviations, 1 for a constant feature; one pass."""
-    got = rows.agg(*[f(c) for c in features for f in (F.avg, F.stddev_pop)]).first()
-    mean, sd = np.array([got[2 * k] or 0.0 for k in range(len(features))]), np.array([got[2 * k + 1] or 0.0 for k in range(len(features))])
-    return mean, np.where(sd > 0, sd, 1.0)
+#: Where the fits of a grid stop, of which only scores are compared.
+GRID_STEP = 1e-4
 
 
 class Hazard:
@@ -47,34 +38,44 @@ class Hazard:
 
 
 class Prepared:
-    """Rows standardised, assembled into vectors and kept once, for any number of fits of event on features; at exit they are let go."""
+    """Rows kept once as blocks, for any number of fits of event on features (or on some of them); at exit they are let go.
+
+    key: a column of numbers by whose values fits may take some of the rows (sets of passes.hazards()).
+    """
 
-    def __init__(self, rows: DataFrame, features: list[str], weight: str = "w", label: str = "event"):
+    def __init__(self, rows: DataFrame, features: list[str], weight: str = "w", label: str = "event", key: str | Column | None = None):
         self.features = features
-        self.mean, self.sd = scaler(rows, features)
-        scaled = rows.select(F.col(label).cast("double").alias("label"), F.col(weight).cast("double").alias("weight"), *[((F.col(f) - float(m)) / float(s)).alias(f) for f, m, s in zip(features, self.mean, self.sd, strict=True)])
-        self.kept = VectorAssembler(inputCols=features, outputCol="x").transform(scaled).select("label", "weight", "x").persist()
-        size = self.kept.agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
-        if not size["n"]:
-            self.kept.unpersist()
+        self.data = passes.Blocks(rows, [label, weight, *features], key)
+        if not len(self.data.keys):
+            self.data.__exit__()
             raise ValueError("no rows to fit on")
-        self.n, self.w = size["n"], size["w"]
-        self.data = self.kept.coalesce(-(-self.n // FIT_ROWS))
 
-    def fit(self, lam: float, alpha: float, tol: float = 1e-9, rounds: int = 200) -> Hazard:
-        """Weighted elastic-net logistic regression: (1/n) sum w nll + lam (alpha |b|_1 + (1 - alpha)/2 |b|^2).
+    def fits(self, cells: list[tuple[int, float, float]], sets: np.ndarray | None = None, features: list[str] | None = None, last: float = passes.LAST_STEP) -> list[Hazard]:
+        """A hazard for each (set, lam, alpha), all in the same passes; without sets there is one, of all rows.
 
-        Spark divides by the sum of weights where this objective divides by n, so its penalty is lam n / sum w. The intercept isn't penalised.
+        Weighted elastic-net logistic regression: (1/n) sum w nll + lam (alpha |b|_1 + (1 - alpha)/2 |b|^2). The intercept isn't penalised.
         """
-        learner = LogisticRegression(featuresCol="x", weightCol="weight", standardization=False, regParam=lam * self.n / self.w, elasticNetParam=alpha, maxIter=rounds, tol=tol)
-        model = learner.fit(self.data)
-        return Hazard(self.features, self.mean, self.sd, model.coefficients.toArray(), model.intercept)
+        features = features or self.features
+        sets = np.ones((len(self.data.keys), 1)) if sets is None else sets
+        beta, scales = passes.hazards(self.data, self.places(features), sets, cells, last)
+        return [Hazard(features, scales.mean[g], scales.sd[g], b[1:], float(b[0])) for b, (g, *_) in zip(beta, cells, strict=True)]
+
+    def fit(self, lam: float, alpha: float) -> Hazard:
+        return self.fits([(0, lam, alpha)])[0]
+
+    def scores(self, fits: list[Hazard], sets: np.ndarray, own: list[int]) -> np.ndarray:
+        """(fit, [mean nll, mean brier]) over the rows of each fit's own set, in one pass; all fits are of the same features."""
+        raw = np.array([[m.b0, *(m.raw[f] for f in m.features)] for m in fits])
+        return passes.scores(self.data, self.places(fits[0].features), sets, np.array(own), raw)
+
+    def places(self, features: list[str]) -> list[int]:
+        return [2 + self.features.index(f) for f in features]
 
     def __enter__(self) -> Prepared:
         return self
 
     def __exit__(self, *_) -> None:
-        self.kept.unpersist()
+        self.data.__exit__()
 
 
 def fit_hazard(rows: DataFrame, features: list[str], lam: float, alpha: float, weight: str = "w", label: str = "event") -> Hazard:
@@ -94,51 +95,42 @@ def concurrently(spark: SparkSession, tasks: list[Callable[[], T]], width: int =
         return list(pool.map(inheritable_thread_target(spark)(run), range(len(tasks))))
 
 
+def fit_erosions(rows: DataFrame, features: list[str], key: str | Column | None = None, sets: Callable[[np.ndarray], np.ndarray] | None = None, target: str = "d_logbal", weight: str = "weight", ridge: float = 1e-5, delta: float = 1.345, rounds: int = 10) -> list[tuple[dict[str, float], float]]:
+    """Huber regressions by reweighting, one for each set: a round is one pass over the weighted moments of all rows, then small solves.
+
+    sets: of the key's values, how often a value's rows count in each set (key, set); without it there is one, of all rows.
+    """
+    with passes.Blocks(rows, [target, weight, *features], key) as data:
+        if not len(data.keys):
+            raise ValueError("no rows to fit on")
+        chosen = np.ones((len(data.keys), 1)) if sets is None else sets(data.keys)
+        found = passes.erosions(data, list(range(2, 2 + len(features))), chosen, ridge, delta, rounds)
+    return [(dict(zip(features, b[1:].tolist(), strict=True)), float(b[0])) for b in found]
+
+
 def fit_erosion(rows: DataFrame, features: list[str], target: str = "d_logbal", weight: str = "weight", ridge: float = 1e-5, delta: float = 1.345, rounds: int = 10) -> tuple[dict[str, float], float]:
-    """Huber regression by reweighting: each round is one pass over the weighted moments of all rows, then a small solve."""
-    mean, sd = scaler(rows, features)
-    z = [F.lit(1.0), *[(F.col(f) - float(m)) / float(s) for f, m, s in zip(features, mean, sd, strict=True)]]
-    y, beta, size = F.col(target), np.zeros(len(z)), len(z)
-    for k in range(rounds):
-        gap = F.abs(y - sum((zi * float(b) for zi, b in zip(z, beta, strict=True)), F.lit(0.0)))
-        w = F.col(weight) * (F.when(gap <= delta, 1.0).otherwise(delta / (gap + 1e-12)) if k else F.lit(1.0))
-        sums = [F.sum(w * z[i] * z[j]) for i in range(size) for j in range(i, size)] + [F.sum(w * zi * y) for zi in z]
-        got = [v or 0.0 for v in rows.agg(*sums, F.count("*")).first()]
-        a = np.zeros((size, size))
-        a[np.triu_indices(size)] = got[: size * (size + 1) // 2]
-        a = a + a.T - np.diag(np.diag(a))
-        new = np.linalg.solve(a + np.diag([1e-12, *[ridge * got[-1]] * (size - 1)]), np.array(got[size * (size + 1) // 2 : -1]))
-        done, beta = np.abs(new - beta).max() < 1e-10, new
-        if done:
-            break
-    coef = beta[1:] / sd
-    return dict(zip(features, coef.tolist(), strict=True)), float(beta[0] - (coef * mean).sum())
-
-
-def penalty_grid(rows: DataFrame, features: list[str], folds: DataFrame, lams: list[float], alphas: list[float]) -> DataFrame:
+    """One Huber regression of all rows."""
+    return fit_erosions(rows, features, target=target, weight=weight, ridge=ridge, delta=delta, rounds=rounds)[0]
+
+
+def penalty_grid(rows: DataFrame, features: list[str], folds: DataFrame, lams: list[float], alphas: list[float], data: Prepared | None = None) -> DataFrame:
     """Mean NLL, Brier and their standard errors over walk-forward folds for each (lam, alpha). Rows: with w, event, month_int.
 
-    A fold's training rows are prepared once for all its fits; fits run side by side; all models of a fold are scored in one
-    pass over its test rows. Fits are run until they can be ranked (GRID_TOL), not to the last digit.
+    Rows are kept once, and all fits of all folds go through them in the same passes, a fold being a set of months; all models are scored in one more.
+    data: the rows by month_int, if they are kept already.
     """
     spark = rows.sparkSession
     cells = [(float(lam), float(alpha)) for lam in lams for alpha in alphas]
-    numbers = sorted(r[0] for r in folds.select("fold").distinct().collect())  # a few folds
-    months = {k: F.broadcast(folds.where(F.col("fold") == k).select("month_int", "role")) for k in numbers}  # a row a month
-    part = lambda k, role: rows.join(months[k].where(F.col("role") == role), "month_int")
-    with ExitStack() as kept:
-        data = concurrently(spark, [lambda k=k: Prepared(part(k, "train"), features) for k in numbers])
-        for each in data:
-            kept.enter_context(each)
-        fits = concurrently(spark, [lambda d=d, c=c: d.fit(*c, tol=GRID_TOL, rounds=100) for d in data for c in cells])
-    models = {k: fits[i * len(cells) : (i + 1) * len(cells)] for i, k in enumerate(numbers)}
-
-    def scores(k: int) -> list[tuple]:
-        ps = part(k, "test").select("event", *[m.p().alias(f"p{i}") for i, m in enumerate(models[k])])
-        got = ps.agg(*[f(F.col(f"p{i}"), F.col("event")) for i in range(len(cells)) for f in (validate.nll, validate.brier)]).first()
-        return [(*c, int(k), got[2 * i], got[2 * i + 1]) for i, c in enumerate(cells)]
-
-    out = [row for each in concurrently(spark, [lambda k=k: scores(k) for k in numbers]) for row in each]
+    months: dict[tuple, set] = {}
+    for fold, month, role in folds.select("fold", "month_int", "role").collect():  # a row a fold and month
+        months.setdefault((fold, role), set()).add(month)
+    numbers = sorted({k for k, _ in months})
+    with nullcontext(data) if data else Prepared(rows, features, key="month_int") as kept:
+        sets = {role: np.array([[float(m in months.get((k, role), ())) for k in numbers] for m in kept.data.keys]) for role in ("train", "test")}
+        each = [(g, *c) for g in range(len(numbers)) for c in cells]
+        fits = kept.fits(each, sets["train"], features, GRID_STEP) if each else []
+        got = kept.scores(fits, sets["test"], [g for g, *_ in each]).tolist() if each else []
+    out = [(lam, alpha, int(numbers[g]), *(None if v != v else v for v in s)) for (g, lam, alpha), s in zip(each, got, strict=True)]
     scored = spark.createDataFrame(out, "lam double, alpha double, fold int, nll double, brier double")
     n = F.sqrt(F.count("*"))
     return scored.groupBy("lam", "alpha").agg(F.avg("nll").alias("nll"), (F.stddev_pop("nll") / n).alias("nll_se"), F.avg("brier").alias("brier"), (F.stddev_pop("brier") / n).alias("brier_se"))
@@ -175,24 +167,24 @@ def nested_evaluation(rows: DataFrame, families: dict[str, list[str]], val_month
         raise ValueError("too few months to hold any out")
     cut2, cut1 = months[-test_months - 1], months[-test_months - val_months - 1]
     month = F.col("month_int")
-    seen = rows.where(month <= cut2).persist()
-    train, val = seen.where(month <= cut1), seen.where(month > cut1)
-    first = next(iter(families.values()))
-    choice = one_se(penalty_grid(train, first, validate.walk_forward(train, horizon, step=step), lams, alphas)).first()
-    if choice is None:
-        raise ValueError("too few months to train on")
-    lam, alpha = choice["lam"], choice["alpha"]
-    fits = concurrently(spark, [lambda f=f: fit_hazard(train, f, lam, alpha) for f in families.values()])
-    y = F.col("event")
-    ps = val.select("event", *[m.p().alias(f"p{i}") for i, m in enumerate(fits)])  # all families in one pass
-    got = ps.agg(F.count("*").alias("n"), *[f(F.col(f"p{i}"), y).alias(f"{f.__name__}{i}") for i in range(len(fits)) for f in (validate.nll, validate.brier)]).first()
-    types = "stage string, family string, n_features int, lam double, alpha double, nll double, brier double, n long"
-    scored = spark.createDataFrame([("validation", name, len(f), lam, alpha, got[f"nll{i}"], got[f"brier{i}"], got["n"]) for i, (name, f) in enumerate(families.items())], types)
-    chosen = family_choice(scored).first()["family"]
-    final = fit_hazard(seen, families[chosen], lam, alpha)
-    test = rows.where(month > cut2).agg(validate.nll(final.p(), y).alias("nll"), validate.brier(final.p(), y).alias("brier"), F.count("*").alias("n"))
+    of = spark.createDataFrame([(m,) for m in months if m <= cut1], "month_int int")
+    folds = validate.walk_forward(of, horizon, step=step)
+    every = list(dict.fromkeys(f for family in families.values() for f in family))
+    with Prepared(rows.where(month <= cut2), every, key="month_int") as seen:
+        choice = one_se(penalty_grid(rows, next(iter(families.values())), folds, lams, alphas, seen)).first()
+        if choice is None:
+            raise ValueError("too few months to train on")
+        lam, alpha = choice["lam"], choice["alpha"]
+        train = (seen.data.keys <= cut1).astype(float)[:, None]
+        fits = concurrently(spark, [lambda f=f: seen.fits([(0, lam, alpha)], train, f)[0] for f in families.values()])
+        val = [seen.scores([m], 1 - train, [0])[0].tolist() for m in fits]
+        n = int(seen.data.n @ (1 - train[:, 0]))
+        types = "stage string, family string, n_features int, lam double, alpha double, nll double, brier double, n long"
+        scored = spark.createDataFrame([("validation", name, len(f), lam, alpha, *s, n) for s, (name, f) in zip(val, families.items(), strict=True)], types)
+        chosen = family_choice(scored).first()["family"]
+        final = seen.fits([(0, lam, alpha)], None, families[chosen])[0]
+    test = rows.where(month > cut2).agg(validate.nll(final.p(), F.col("event")).alias("nll"), validate.brier(final.p(), F.col("event")).alias("brier"), F.count("*").alias("n"))
     test = test.select(F.lit("test").alias("stage"), F.lit(chosen).alias("family"), F.lit(len(families[chosen])).alias("n_features"), F.lit(lam).alias("lam"), F.lit(alpha).alias("alpha"), "nll", "brier", "n")
-    seen.unpersist()
     both = scored.unionByName(test)
     return both.withColumn("chosen", F.col("family") == chosen)
 

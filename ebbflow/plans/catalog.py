@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -927,7 +928,7 @@ def ml4_erosion_fit(spark, d):
 def ml5_penalty_grid(spark, d):
     from ..operators import books, models
 
-    rows = V.model_rows(spark, d).persist()
+    rows = V.model_rows(spark, d).persist(StorageLevel.DISK_ONLY)
     folds = validate.walk_forward(rows, 6, step=12)
     grid = models.penalty_grid(rows, books.HAZARD, folds, [1e-5 * 10 ** (4 * k / 7) for k in range(8)], [0.0, 0.25, 0.5, 0.75, 1.0])
     return grid.select(F.round("lam", 9).alias("lam"), "alpha", *[F.round(c, 4).alias(c) for c in ("nll", "nll_se", "brier", "brier_se")])
@@ -982,7 +983,7 @@ def _score(spark, d):
 
     asof = V.CUTOFF + 24
     rows, months = V.model_rows(spark, d).where(F.col("month_int") <= asof), _rates(spark, d).where(F.col("month_int") <= asof)
-    return scoring.score(rows.persist(), months.persist(), 12, 24)
+    return scoring.score(rows.persist(StorageLevel.DISK_ONLY), months.persist(), 12, 24)
 
 
 @query()
@@ -1005,7 +1006,7 @@ def ro13_scored_book(spark, d):
 def va11_coverage(spark, d):
     from ..operators import scoring
 
-    return rounded(scoring.back_test(V.model_rows(spark, d).persist(), [V.CUTOFF, V.CUTOFF + 6, V.CUTOFF + 12], 12), 4)
+    return rounded(scoring.back_test(V.model_rows(spark, d).persist(StorageLevel.DISK_ONLY), [V.CUTOFF, V.CUTOFF + 6, V.CUTOFF + 12], 12), 4)
 
 
 def _fan(spark, d, n_paths: int = 30):
@@ -1032,7 +1033,7 @@ def ss1_wal_levels(spark, d):
 def un7_coefficient_fan(spark, d):
     from ..operators import books
 
-    return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(), 120, 20), 4)
+    return rounded(books.coefficient_fan(V.model_rows(spark, d).persist(StorageLevel.DISK_ONLY), 120, 20), 4)
 
 
 # --- text cells, read-backs and checks -------------------------------------------------------------------------
@@ -1244,7 +1245,7 @@ def ml8_nested_evaluation(spark, d):
     cut = rows.agg(F.max("month_int")).first()[0] - 24
     frozen = regimes.fitted_parameters(rates, ["x"], cut)
     names = [f"regime_p{j}" for j in range(max(0, frozen.count() - 1))]
-    rows = runoff.attach_posterior(rows, regimes.posterior_columns(regimes.filtered(rates, ["x"], frozen), len(names) + 1)).persist()
+    rows = runoff.attach_posterior(rows, regimes.posterior_columns(regimes.filtered(rates, ["x"], frozen), len(names) + 1)).persist(StorageLevel.DISK_ONLY)
     more = ["bal_drawdown", "decline_streak", "bal_vol6"]
     families = {"base": books.HAZARD, "base+regime": books.HAZARD + names, "base+path": books.HAZARD + more, "base+regime+path": books.HAZARD + names + more}
     return rounded(models.nested_evaluation(rows, families, 12, 12, [1e-4, 1e-3, 1e-2, 1e-1], [0.0, 0.5, 1.0]), 4)

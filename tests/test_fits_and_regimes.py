@@ -50,6 +50,26 @@ def test_grid_equals_a_loop_over_fits(spark, rows):
         assert got[lam, 0.5].nll_se == pytest.approx(np.std(nlls) / len(nlls) ** 0.5, abs=1e-5)
 
 
+def test_all_fits_of_a_grid_share_their_passes(rows, monkeypatch):
+    """Sixty fits on overlapping months take a few passes over rows that are kept once, and each is at its optimum."""
+    passes, over = [], models.passes.Blocks.over
+    monkeypatch.setattr(models.passes.Blocks, "over", lambda self, f: passes.append(1) or over(self, f))
+    got = np.array([[r.month_int, r.event, r.w, r.a, r.b] for r in rows.select("month_int", "event", "w", "a", "b").collect()])
+    cells = [(g, lam, alpha) for g in range(4) for lam in (1e-5, 1e-3, 1e-2, 1e-1, 1.0) for alpha in (0.0, 0.5, 1.0)]
+    with models.Prepared(rows, ["a", "b"], key="month_int") as data:
+        sets = np.array([[1.0, float(m < 120), float(m >= 130), float(m % 3)] for m in data.data.keys])  # the last counts months twice, or not at all
+        fits = data.fits(cells, sets)
+    assert len(passes) < 25
+    for (g, lam, alpha), m in zip(cells, fits):
+        k = sets[(got[:, 0] - 100).astype(int), g]
+        x, y, w = got[k > 0, 3:], got[k > 0, 1], (got[:, 2] * k)[k > 0]
+        z = (x - x.mean(0)) / x.std(0)
+        p = 1 / (1 + np.exp(-(z @ m.std + m.std_b0)))
+        slope = z.T @ (w * (p - y)) / len(y) + lam * (1 - alpha) * m.std
+        assert abs((w * (p - y)).mean()) < 1e-8
+        assert all(abs(s + lam * alpha * np.sign(b)) < 1e-8 if b else abs(s) <= lam * alpha + 1e-8 for s, b in zip(slope, m.std))
+
+
 def test_nested_evaluation_reads_test_months_once(rows):
     run = lambda df: {(r.stage, r.family): r for r in models.nested_evaluation(df, {"b": ["b"], "a": ["a"], "both": ["a", "b"]}, 6, 6, [1e-3, 1e-2], [0.5], horizon=1, step=4).collect()}
     got = run(rows)
