@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,25 +89,18 @@ def resampled_paths(macro: DataFrame, names: list[str], n_paths: int, horizon: i
 def coefficient_fan(rows: DataFrame, horizon: int, n_boot: int, block: int = 6, seed: int = 0) -> DataFrame:
     """Bands of B over refits of hazard and erosion on resampled months; the cohort stays.
 
-    A month drawn k times weighs its rows k times; increments are of the observed months, before they are drawn. Draws are
-    columns of weights on one table, their refits run side by side, and one roll takes the cohort through all of them.
+    A month drawn k times weighs its rows k times; increments are of the observed months, before they are drawn. Rows are kept
+    once, the refits of all draws share their passes, and one roll takes the cohort through all of them.
     """
     spark = rows.sparkSession
     alive = panel.alive(rows)
-    drawn = uncertainty.block_months(rows, n_boot, block, seed).groupBy("boot_id", "month_int").agg(F.count("*").alias("k"))
-    times = drawn.groupBy("month_int").agg(F.map_from_entries(F.collect_list(F.struct("boot_id", "k"))).alias("times")).persist()  # a row a month
-    weighed = rows.drop("times").join(F.broadcast(times), "month_int").select("event", "w", "times", *HAZARD).persist()
-    steps = paths_.increments(rows.drop("weight")).join(F.broadcast(times), "month_int").select("d_logbal", "weight", "times", *EROSION).persist()
-
-    def refit(b: int) -> dict[str, float]:
-        k = F.coalesce(F.element_at("times", F.lit(b)), F.lit(0))
-        hazard = models.fit_hazard(weighed.where(k > 0).withColumn("w", F.col("w") * k), HAZARD, 1e-3, 0.5)
-        erosion, b0 = models.fit_erosion(steps.where(k > 0).withColumn("weight", F.col("weight") * k), EROSION)
-        return {"path_id": b, **{f"h_{c}": v for c, v in hazard.raw.items()}, "h_": hazard.b0, **{f"e_{c}": v for c, v in erosion.items()}, "e_": b0}
-
-    fits = models.concurrently(spark, [lambda b=b: refit(b) for b in range(n_boot)])
-    for kept in (times, weighed, steps):
-        kept.unpersist()
+    drawn = uncertainty.block_months(rows, n_boot, block, seed).groupBy("boot_id", "month_int").agg(F.count("*").alias("k")).collect()  # a row a draw and month
+    times = {(r["boot_id"], r["month_int"]): float(r["k"]) for r in drawn}
+    sets = lambda months: np.array([[times.get((b, int(m)), 0.0) for b in range(n_boot)] for m in months])
+    with models.Prepared(rows, HAZARD, key="month_int") as data:
+        hazards = data.fits([(b, 1e-3, 0.5) for b in range(n_boot)], sets(data.data.keys))
+    erosions = models.fit_erosions(paths_.increments(rows.drop("weight")), EROSION, "month_int", sets)
+    fits = [{"path_id": b, **{f"h_{c}": v for c, v in m.raw.items()}, "h_": m.b0, **{f"e_{c}": v for c, v in e.items()}, "e_": b0} for b, (m, (e, b0)) in enumerate(zip(hazards, erosions, strict=True))]
     columns = ["path_id", *[f"h_{c}" for c in HAZARD], "h_", *[f"e_{c}" for c in EROSION], "e_"]
     draws = spark.createDataFrame([tuple(f[c] for c in columns) for f in fits], ", ".join(f"`{c}` {'int' if c == 'path_id' else 'double'}" for c in columns))
     fanned = alive.crossJoin(F.broadcast(draws))  # with a row a draw
