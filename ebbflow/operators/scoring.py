@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,23 +64,30 @@ def _steps(rows: DataFrame, *keys: str) -> DataFrame:
 def deployed(rows: DataFrame, choice: DataFrame) -> DataFrame:
     """The table of models, a row a segment: its chosen model fitted on all of its months, with version and parameters by name.
 
-    choice (segment, chosen). Hazards and erosions are fitted side by side. A hazard's parameters are h_<feature> and h_, its erosion's
+    choice (segment, chosen). Rows are kept once, and the fits of all segments share their passes. A hazard's parameters are h_<feature> and h_, its erosion's
     e_<feature> and e_; error correction has lb0, eq, phi and rate_elasticity; the convention core_share. A hazard without events, and error correction
     of a book that is too short, become the convention.
     """
     spark = rows.sparkSession
-    steps = _steps(rows, "segment").persist()
     size = rows.groupBy("segment").agg(F.sum("event").alias("e"), F.max("month_int").alias("last"))
     plan = size.join(F.broadcast(choice.select("segment", "chosen")), "segment").collect()  # a row a segment
     corrected = {r["segment"]: r for r in models.error_correction(models.book_months(rows)).collect()}  # a row a segment
     cores = {r["segment"]: r["core_share"] for r in runoff.convention(paths_.core_volatile(rows), 0).collect()}  # a row a segment
 
-    def fit(r) -> tuple:
+    fitted = [r["segment"] for r in plan if r["chosen"] == "hazard" and r["e"]]
+    own = rows.where(F.col("segment").isin(fitted)) if fitted else None
+    key = F.array_position(F.array(*map(F.lit, fitted)), F.col("segment")) - 1
+    sets = lambda keys: (np.asarray(keys)[:, None] == np.arange(len(fitted))).astype(float)
+    hazards, erosions = {}, {}
+    if fitted:
+        with models.Prepared(own, books.HAZARD, key=key) as data:
+            hazards = dict(zip(fitted, data.fits([(k, 1e-3, 0.5) for k in range(len(fitted))], sets(data.data.keys)), strict=True))
+        erosions = dict(zip(fitted, models.fit_erosions(_steps(own, "segment"), books.EROSION, key, sets), strict=True))
+
+    def of(r) -> tuple:
         segment, kind = r["segment"], r["chosen"]
-        if kind == "hazard" and r["e"]:
-            own = F.col("segment") == segment
-            hazard = models.fit_hazard(rows.where(own), books.HAZARD, 1e-3, 0.5)
-            erosion, b0 = models.fit_erosion(steps.where(own), books.EROSION)
+        if segment in hazards:
+            hazard, (erosion, b0) = hazards[segment], erosions[segment]
             found = {**{f"h_{c}": float(v) for c, v in hazard.raw.items()}, "h_": hazard.b0, **{f"e_{c}": float(v) for c, v in erosion.items()}, "e_": float(b0)}
         elif kind == "error_correction" and segment in corrected:
             found = {c: float(corrected[segment][c]) for c in ("lb0", "eq", "phi", "rate_elasticity")}
@@ -86,8 +95,7 @@ def deployed(rows: DataFrame, choice: DataFrame) -> DataFrame:
             kind, found = "convention", {"core_share": float(cores[segment])}
         return segment, kind, _version(found), r["last"], found
 
-    found = models.concurrently(spark, [lambda r=r: fit(r) for r in plan])
-    steps.unpersist()
+    found = [of(r) for r in plan]
     return spark.createDataFrame(found, MODEL_ROW)
 
 
@@ -157,20 +165,17 @@ def back_test(rows: DataFrame, origins: list[int], horizon: int, alpha: float =
 
     q is the conformal quantile of the curve's absolute errors at all origins but the last; coverage, of the last origin alone, the share
     of its months within q. refit_gap is the largest difference of a coefficient when the same past is fitted once more. Curves are of the book as a
-    whole. Fits run side by side.
+    whole. Rows are kept once, and the fits of all origins share their passes.
     """
-    spark = rows.sparkSession
     book = rows.withColumn("segment", F.lit("book"))
-    steps = _steps(rows, "month_int").persist()
-
-    def fitted(origin: int) -> list[float]:
-        past = F.col("month_int") <= origin
-        hazard = models.fit_hazard(rows.where(past), books.HAZARD, 1e-3, 0.5)
-        erosion, b0 = models.fit_erosion(steps.where(past), books.EROSION)
-        return [*[float(hazard.raw[c]) for c in books.HAZARD], float(hazard.b0), *[float(erosion[c]) for c in books.EROSION], float(b0)]
-
-    fits = models.concurrently(spark, [lambda o=o: fitted(o) for o in origins for _ in range(2)])
+    sets = lambda months: np.array([[float(m <= o) for o in origins] for m in months])
+    cells = [(k, 1e-3, 0.5) for k in range(len(origins))]
+    with models.Prepared(rows, books.HAZARD, key="month_int") as data:
+        hazards = [data.fits(cells, sets(data.data.keys)) for _ in range(2)]
+    steps = _steps(rows, "month_int").persist(StorageLevel.DISK_ONLY)
+    erosions = [models.fit_erosions(steps, books.EROSION, "month_int", sets) for _ in range(2)]
     steps.unpersist()
+    fits = [[*m.raw.values(), m.b0, *e.values(), b0] for k in range(len(origins)) for m, (e, b0) in ((hazards[j][k], erosions[j][k]) for j in range(2))]
     parts = []
     for k, origin in enumerate(origins):
         first, again = fits[2 * k], fits[2 * k + 1]
