@@ -1162,7 +1162,9 @@ def ss2_scenario_set(spark, d):
 
 
 def _rates(spark, d):
-    return V.macro_long(spark, d).where("series = 'money_market'").select("month_int", F.col("value").alias("x"))
+    """(month_int, x), computed once: bounds that are months' values must meet the same values again, to the last bit, and sums by month depend on the order of parts."""
+    rows = V.macro_long(spark, d).where("series = 'money_market'").select("month_int", F.col("value").alias("x"))
+    return spark.createDataFrame(rows.collect(), rows.schema)  # a row a month
 
 
 _BOUNDS = f"""rates AS (SELECT month_int, money_market AS x FROM macro_month), v AS (SELECT list_sort(list(x)) AS v FROM rates WHERE month_int <= {V.CUTOFF}),
