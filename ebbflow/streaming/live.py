@@ -98,25 +98,78 @@ class _Breaks(_Detector):
         return int(model.add(x))
 
 
-class _Regimes(_Detector):
+#: Series whose hash leaves the same remainder are taken up together. State is laid out by it, so a checkpoint holds for one number.
+BUCKETS = 256
+
+
+class _Regimes(StatefulProcessor):
+    """Feeds the series of a bucket, each in order of t, to series.AdaptiveRegimes side by side; state is typed, by bucket and series.
+
+    `warm` lists the first values of a series until there are enough to fit its model; `model` holds the model's fields after that.
+    """
+
     #: Field and its shape for two states of one feature.
-    FIELDS = {"mean": (2, 1), "var": (2, 1), "move": (2, 2), "now": (2,), "n": (2,), "sum": (2, 1), "squares": (2, 1), "moves": (2, 2)}
+    FIELDS = {"mean": (1, 2), "var": (1, 2), "move": (2, 2), "now": (2,), "n": (2,), "sum": (1, 2), "squares": (1, 2), "moves": (2, 2)}
 
-    def make(self, warm):
-        model = series.AdaptiveRegimes(np.array(warm)[:, None])
-        return model, [self.add(model, v) for v in warm][-1]
+    def __init__(self, warmup: int, idle_ms: int | None):
+        self.warmup, self.idle_ms = warmup, idle_ms
 
-    def load(self, fields):
-        model = object.__new__(series.AdaptiveRegimes)
-        vars(model).update(keep=fields[0], least=fields[1])
-        vars(model).update({f: np.array(v, float).reshape(shape) for (f, shape), v in zip(self.FIELDS.items(), fields[2:], strict=True)})
-        return model
+    def init(self, handle) -> None:
+        fields = "keep double, least double, " + ", ".join(f"`{f}` array<double>" for f in self.FIELDS)
+        self.warm = handle.getMapState("warm", "series_id string", "x array<double>", self.idle_ms)
+        self.model = handle.getMapState("model", "series_id string", fields, self.idle_ms)
 
-    def save(self, model):
-        return (float(model.keep), float(model.least), *[np.ravel(getattr(model, f)).tolist() for f in self.FIELDS])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(["series_id", "t"], ignore_index=True)
+        code = frame["series_id"].factorize(use_na_sentinel=False)[0]
+        starts = np.flatnonzero(np.diff(code, prepend=-1))
+        frame["p1"] = np.nan
+        known, fresh = [], []
+        for lo, hi in zip(starts, [*starts[1:], len(frame)]):
+            name, x = frame.at[lo, "series_id"], frame["x"].to_numpy(float)[lo:hi]
+            fields = self.model.getValue((name,))
+            if fields is not None:
+                known.append((name, lo, x, fields))
+                continue
+            held = self.warm.getValue((name,))
+            held = [] if held is None else list(held[0])
+            if len(held) + len(x) < self.warmup:
+                self.warm.updateValue((name,), ([*held, *x.tolist()],))
+                continue
+            if held:
+                self.warm.removeKey((name,))
+            fresh.append((name, lo - len(held), np.concatenate((held, x)), lo))
+        known.sort(key=lambda s: -len(s[2]))
+        fresh.sort(key=lambda s: -len(s[2]))
+        p1 = frame["p1"].to_numpy(copy=True)
+        if known:
+            model = object.__new__(series.AdaptiveRegimes)
+            model.keep, model.least = known[0][3][:2]
+            for k, (f, shape) in enumerate(self.FIELDS.items()):
+                setattr(model, f, np.array([s[3][2 + k] for s in known], float).T.reshape(*shape, -1))
+            self.follow(model, known, p1)
+        if fresh:
+            model = series.AdaptiveRegimes(np.stack([s[2][: self.warmup] for s in fresh], axis=1)[None])
+            self.follow(model, fresh, p1, self.warmup - 1)
+        yield frame[["series_id", "t"]].assign(p1=p1)
+
+    def follow(self, model, found: list[tuple], p1: np.ndarray, silent: int = 0) -> None:
+        """Adds the values of each series (name, place of the first value in p1, values, ...), longest first, and stores its fields; the first `silent` say nothing."""
+        n = np.array([len(s[2]) for s in found])
+        x, places = np.zeros((n[0], len(n))), np.array([s[1] for s in found])
+        for j, s in enumerate(found):
+            x[: n[j], j] = s[2]
+        for t, row in enumerate(x):
+            m = int((n > t).sum())
+            got = model.add(row[None, :m])[1]
+            if t >= silent:
+                p1[places[:m] + t] = got
+        flat = [getattr(model, f).reshape(-1, len(n)).T.tolist() for f in self.FIELDS]
+        for j, s in enumerate(found):
+            self.model.updateValue((s[0],), (float(model.keep), float(model.least), *[f[j] for f in flat]))
 
-    def add(self, model, x):
-        return float(model.add(np.array([x]))[1])
+    def close(self) -> None:
+        pass
 
 
 def _detect(stream: DataFrame, detector: _Detector, kind: str) -> DataFrame:
@@ -140,10 +193,12 @@ def online_cusum(stream: DataFrame, warmup: int = 24, idle_ms: int | None = None
 def online_regimes(stream: DataFrame, warmup: int = 48, idle_ms: int | None = None) -> DataFrame:
     """p1, the second regime's probability, of stream (series_id, t, x), null before the warm-up has passed.
 
-    State holds the discounted sums as typed columns; checkpoints and idle_ms are as in online_cusum().
+    State holds the discounted sums as typed columns; checkpoints and idle_ms are as in online_cusum(). Series are fitted and followed many at
+    a time: a task holds a batch's rows of one of BUCKETS groups of them.
     """
-    fields = "keep double, least double, " + ", ".join(f"`{f}` array<double>" for f in _Regimes.FIELDS)
-    return _detect(stream, _Regimes(fields, "p1", warmup, idle_ms), "double")
+    mode = "none" if idle_ms is None else "processingTime"
+    dealt = stream.withColumn("bucket", F.pmod(F.xxhash64("series_id"), F.lit(BUCKETS)))
+    return dealt.groupBy("bucket").transformWithStateInPandas(_Regimes(warmup, idle_ms), "series_id string, t long, p1 double", "append", mode)
 
 
 def score_new_months(stream: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):
